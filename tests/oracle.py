@@ -26,7 +26,7 @@ def cell(value):
     if isinstance(value, Decimal):
         value = float(value)
     if isinstance(value, float):
-        return None if math.isnan(value) else float(f"{value:.12g}")
+        return None if math.isnan(value) else value
     if isinstance(value, dt.datetime) and value.tzinfo:
         return value.astimezone(dt.timezone.utc).replace(tzinfo=None)
     return value
@@ -37,6 +37,18 @@ def normal(columns, rows):
     return sorted((tuple(cell(r[i]) for i in order) for r in rows), key=repr)
 
 
+SAME_TYPE = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_differences(con, df, sql):
+    """Columns whose type differs between the two results."""
+    want = {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return {c: (t, want.get(c)) for c, t in df.dtypes if SAME_TYPE.get(t) != want.get(c)}
+
+
 def compare(con, df, sql):
     """None when equal, else a short description of the difference."""
     result = con.execute(sql)
@@ -45,6 +57,9 @@ def compare(con, df, sql):
     got = normal(df.columns, [tuple(r) for r in df.collect()])
     if sorted(df.columns) != sorted(want_columns):
         return f"columns {sorted(df.columns)} vs {sorted(want_columns)}"
+    types = type_differences(con, df, sql)
+    if types:
+        return f"types {types}"
     if len(got) != len(want):
         return f"rows {len(got)} vs {len(want)}"
     different = [(g, w) for g, w in zip(got, want) if g != w]

@@ -7,16 +7,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """The whole of ``df`` marked for broadcast when it has at most ``max_rows`` rows, else None.
+def hold_if_small(df: DataFrame, max_rows: int) -> DataFrame | None:
+    """The whole of ``df``, kept, when it has at most ``max_rows`` rows, else None.
 
     At most ``max_rows + 1`` rows are held for the count. When the bound is kept those rows are
-    all of ``df`` and are reused for the broadcast, so the input is computed once.
+    all of ``df`` and serve every later use, so the input is computed once.
     """
     if max_rows <= 0:
         return None
     held = df.limit(max_rows + 1).persist(StorageLevel.MEMORY_AND_DISK)
     if held.count() <= max_rows:
-        return F.broadcast(held)
+        return held
     held.unpersist()
     return None
+
+
+def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame | None:
+    """``df`` marked for broadcast when it has at most ``max_rows`` rows, else None."""
+    held = hold_if_small(df, max_rows)
+    return None if held is None else F.broadcast(held)

@@ -67,13 +67,24 @@ def asof_config(usage: DataFrame, clusters: DataFrame, tie: Sequence[str] = ())
 def cost_by_compute(
     usage: DataFrame, prices: DataFrame, clusters: DataFrame, tie: Sequence[str] = ()
 ) -> DataFrame:
-    """Cost per configuration the cluster had at the time; only usage that names a cluster."""
-    named = usage.withColumns(
-        {
-            "cluster_id": F.col("usage_metadata.cluster_id"),
-            "billed_node_type": F.col("usage_metadata.node_type"),
-        }
-    ).filter(F.col("cluster_id").isNotNull())
+    """Cost per configuration the cluster had at the time; only usage that names a cluster.
+
+    The configuration is looked up before the price: that step reads its facts twice, and bare
+    usage is cheaper to read again than priced usage.
+    """
+    named = (
+        usage.withColumns(
+            {
+                "cluster_id": F.col("usage_metadata.cluster_id"),
+                "billed_node_type": F.col("usage_metadata.node_type"),
+            }
+        )
+        .filter(F.col("cluster_id").isNotNull())
+        .select(
+            "usage_date", "workspace_id", "cluster_id", "usage_start_time", "usage_end_time",
+            "sku_name", "cloud", "usage_unit", "billed_node_type", "usage_quantity",
+        )
+    )
     keys = [
         "usage_date",
         "workspace_id",
@@ -83,11 +94,7 @@ def cost_by_compute(
         "billed_node_type",
         "usage_unit",
     ]
-    needed = [
-        "usage_date", "workspace_id", "cluster_id", "usage_start_time", "sku_name",
-        "billed_node_type", "usage_unit", "usage_quantity", "list_cost",
-    ]
-    return asof_config(_priced(named, prices).select(*needed), clusters, tie).groupBy(*keys).agg(*_totals())
+    return _priced(asof_config(named, clusters, tie), prices).groupBy(*keys).agg(*_totals())
 
 
 def latest_jobs(jobs: DataFrame, drop_deleted: bool = False, tie: Sequence[str] = ()) -> DataFrame:

@@ -14,10 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.functions.times import bucket_of
-from tidelake.operators.bounds import sized_broadcast
-from tidelake.operators.versions import latest_per_key
+from tidelake.operators.bounds import hold_if_small, sized_broadcast
 
-HOUR = 3600
 DAY = 86400
 
 PRICE_KEYS = ("sku_name", "cloud", "usage_unit")
@@ -37,40 +35,40 @@ def effective_join(
     at: str,
     start: str,
     end: str,
-    broadcast_rows: int = 100_000,
-    width_seconds: int = DAY,
+    broadcast_rows: int = 200_000,
+    width_seconds: int = 30 * DAY,
 ) -> DataFrame:
     """Inner join on ``keys`` and ``start <= at < end``; a NULL end is still open.
 
-    Facts without a term in force are dropped; overlapping terms each give a row. A term list
-    counted to at most ``broadcast_rows`` rows is broadcast and the facts are not shuffled.
-    A longer list is cut into the day slots between the first and last fact of its key, so that
-    a fact meets only the terms touching its day instead of the whole history of its key.
+    Facts without a term in force are dropped; overlapping terms each give a row. Terms are cut
+    into the slots of time they touch and facts meet those of their own slot, not the whole
+    history of their key. Nothing begins or ends after the last slot in which any term does, so
+    later facts share it. Term pieces counted to at most ``broadcast_rows`` are broadcast and
+    the facts are not shuffled; otherwise both sides are shuffled on key and slot.
     """
+    terms = terms.withColumns(
+        {"_first": bucket_of(terms, start, width_seconds), "_last": bucket_of(terms, end, width_seconds)}
+    )
+    small = hold_if_small(terms, broadcast_rows)
+    terms = terms if small is None else small
+    horizon = terms.agg(F.greatest(F.max("_first"), F.max("_last"))).first()[0] or 0
+
+    last = F.coalesce("_last", F.lit(horizon))
+    pieces = terms.filter(F.col("_first") <= last).withColumn("_slot", F.explode(F.sequence("_first", last)))
+    if small is not None:
+        pieces = sized_broadcast(pieces, broadcast_rows) or pieces
+    slotted = facts.withColumn("_slot", F.least(bucket_of(facts, at, width_seconds), F.lit(horizon)))
     in_force = (F.col(f"f.{at}") >= F.col(f"p.{start}")) & (
         F.col(f"p.{end}").isNull() | (F.col(f"f.{at}") < F.col(f"p.{end}"))
     )
-    extra = [F.col(f"p.{c}") for c in terms.columns if c not in keys]
-    small = sized_broadcast(terms, broadcast_rows)
-    if small is not None:
-        joined = facts.alias("f").join(small.alias("p"), _same("f", "p", keys) & in_force, "inner")
-        return joined.select("f.*", *extra)
-
-    slotted = facts.withColumn("_slot", bucket_of(facts, at, width_seconds))
-    spans = slotted.groupBy(*keys).agg(F.min("_slot").alias("_low"), F.max("_slot").alias("_high"))
-    ranged = terms.withColumns(
-        {"_first": bucket_of(terms, start, width_seconds), "_last": bucket_of(terms, end, width_seconds)}
-    ).join(spans, list(keys), "inner")
-    first = F.greatest("_first", "_low")
-    last = F.least(F.coalesce("_last", "_high"), F.col("_high"))
-    pieces = ranged.filter(first <= last).select(*terms.columns, F.explode(F.sequence(first, last)).alias("_slot"))
-    joined = slotted.alias("f").join(
-        pieces.alias("p"), _same("f", "p", [*keys, "_slot"]) & in_force, "inner"
+    joined = slotted.alias("f").join(pieces.alias("p"), _same("f", "p", [*keys, "_slot"]) & in_force, "inner")
+    helpers = {*keys, "_first", "_last", "_slot"}
+    return joined.select(
+        *[F.col(f"f.{c}") for c in facts.columns], *[F.col(f"p.{c}") for c in pieces.columns if c not in helpers]
     )
-    return joined.select(*[F.col(f"f.{c}") for c in facts.columns], *extra)
 
 
-def price_join(usage: DataFrame, prices: DataFrame, broadcast_rows: int = 100_000) -> DataFrame:
+def price_join(usage: DataFrame, prices: DataFrame, broadcast_rows: int = 200_000) -> DataFrame:
     """Usage with the list price in force when it ended; unpriced usage is dropped."""
     return effective_join(
         usage, prices, PRICE_KEYS, "usage_end_time", "price_start_time", "price_end_time", broadcast_rows
@@ -85,50 +83,64 @@ def asof_join(
     since: str,
     bring: Sequence[str],
     tie: Sequence[str] = (),
-    width_seconds: int = HOUR,
+    width_seconds: int = 600,
 ) -> DataFrame:
     """Every fact once, with the columns ``bring`` of its key's latest version at or before ``at``.
 
     Facts with no earlier version keep NULLs. Among versions with one time the greatest ``tie``
-    wins. The steps, each linear in its input:
+    wins. Facts are never multiplied by the versions of their key, and a busy key is worked on
+    in slices of ``width_seconds``:
+
+    1. the closing version of each slice is carried forward to the slices facts fall in, one
+       ordered pass over the slices of a key, whose number is bounded by the time span;
+    2. facts, versions and carried versions of one slice are put in time order, and every fact
+       takes the last version before it.
 
-    1. one version per (key, time), placed in its time bucket;
-    2. the closing version of each bucket, carried forward to the buckets facts fall in: one
-       ordered pass over the buckets of a key, whose number is bounded by the time span;
-    3. in each bucket, validity ranges from the carried version and the bucket's own changes;
-    4. facts join the ranges of their own bucket, at most one of which fits.
+    Facts without key or time match nothing; they are spread over tasks instead of meeting in one.
     """
-    held = [since, *[c for c in bring if c != since]]
-    known = versions.select(*keys, *dict.fromkeys([*held, *tie])).dropna(subset=[*keys, since])
-    own = latest_per_key(known, [*keys, since], list(tie) or [since])
-    own = own.withColumn("_bucket", bucket_of(own, since, width_seconds)).select(
-        *keys, "_bucket", F.struct(*held).alias("_version")
+    order = [since, *tie]
+    known = versions.select(*keys, *dict.fromkeys([*order, *bring])).dropna(subset=[*keys, since])
+    own = known.select(
+        *keys,
+        bucket_of(known, since, width_seconds).alias("_slice"),
+        F.col(since).alias("_time"),
+        F.struct(*tie).alias("_tie") if tie else F.struct(F.lit(0)).alias("_tie"),
+        F.struct(*bring).alias("_version"),
     )
 
-    bucketed = facts.withColumn("_bucket", bucket_of(facts, at, width_seconds))
-    slots = bucketed.select(*keys, "_bucket").filter(F.col("_bucket").isNotNull()).distinct()
-
-    closing = own.groupBy(*keys, "_bucket").agg(F.max_by("_version", F.col(f"_version.{since}")).alias("_version"))
-    timeline = slots.withColumn("_slot", F.lit(True)).unionByName(
-        closing.withColumn("_slot", F.lit(False)), allowMissingColumns=True
+    unmatched = F.col(at).isNull()
+    for key in keys:
+        unmatched = unmatched | F.col(key).isNull()
+    sliced = facts.withColumns(
+        {
+            "_slice": bucket_of(facts, at, width_seconds),
+            "_time": F.col(at),
+            "_void": F.when(unmatched, F.pmod(F.xxhash64(*keys, *facts.columns), F.lit(4096))),
+        }
     )
-    before = Window.partitionBy(*keys).orderBy("_bucket").rangeBetween(Window.unboundedPreceding, -1)
+    visited = sliced.filter(~unmatched).select(*keys, "_slice").distinct().withColumn("_visited", F.lit(True))
+
+    closing = own.groupBy(*keys, "_slice").agg(F.max_by("_version", F.struct("_time", "_tie")).alias("_version"))
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rangeBetween(Window.unboundedPreceding, -1)
     carried = (
-        timeline.withColumn("_version", F.last("_version", ignorenulls=True).over(before))
-        .filter(F.col("_slot") & F.col("_version").isNotNull())
-        .select(*keys, "_bucket", "_version")
+        visited.unionByName(closing, allowMissingColumns=True)
+        .withColumn("_version", F.last("_version", ignorenulls=True).over(earlier))
+        .filter(F.col("_visited") & F.col("_version").isNotNull())
+        .drop("_visited")
     )
 
-    in_bucket = Window.partitionBy(*keys, "_bucket").orderBy(F.col(f"_version.{since}"))
-    ranges = own.unionByName(carried).withColumn("_until", F.lead(f"_version.{since}").over(in_bucket))
-
-    fits = (F.col(f"v._version.{since}") <= F.col(f"f.{at}")) & (
-        F.col("v._until").isNull() | (F.col(f"f.{at}") < F.col("v._until"))
+    so_far = (
+        Window.partitionBy(*keys, "_slice", "_void")
+        .orderBy(F.col("_time").asc_nulls_first(), F.col("_fact").asc_nulls_first(), "_tie")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        bucketed.alias("f")
-        .join(ranges.alias("v"), _same("f", "v", [*keys, "_bucket"]) & fits, "left")
-        .select(*[F.col(f"f.{c}") for c in facts.columns], *[F.col(f"v._version.{c}").alias(c) for c in bring])
+        sliced.withColumn("_fact", F.lit(1))
+        .unionByName(own, allowMissingColumns=True)
+        .unionByName(carried, allowMissingColumns=True)
+        .withColumn("_version", F.last("_version", ignorenulls=True).over(so_far))
+        .filter(F.col("_fact").isNotNull())
+        .select(*facts.columns, *[F.col(f"_version.{c}").alias(c) for c in bring])
     )
 
 
