@@ -96,6 +96,16 @@ def test_restart_takes_only_new_files(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").count() == 3
 
 
+def test_stream_into_a_catalog_table(spark, tmp_path):
+    root = f"{tmp_path}/events"
+    write_batches(spark, root, [[(1, 4), (2, 5)]])
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS landed LOCATION '{tmp_path}/landed'")
+    for _ in range(2):
+        ingest.run_to_table(replay(spark, root), "landed.events", f"{tmp_path}/cp")
+    assert tables.read_table(spark, "landed.events").count() == 2
+    spark.sql("DROP DATABASE landed CASCADE")
+
+
 def test_memory_table_by_name(spark, tmp_path):
     root = f"{tmp_path}/events"
     write_batches(spark, root, [[(1, 4), (2, 5)]])

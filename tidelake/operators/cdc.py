@@ -185,16 +185,27 @@ def apply_ops(target: DataFrame, source: DataFrame, key: str, broadcast_rows: in
 
 
 def insert_new(
-    target: DataFrame, source: DataFrame, key: str, columns: Sequence[str] | None = None
+    target: DataFrame,
+    source: DataFrame,
+    key: str,
+    columns: Sequence[str] | None = None,
+    broadcast_rows: int = 0,
 ) -> DataFrame:
     """Target plus the INSERT events of unknown keys; only ``columns`` are filled. Replay adds nothing.
 
-    Every event of an unknown key is inserted, two of one batch as well.
+    Every event of an unknown key is inserted, two of one batch as well. With ``broadcast_rows``
+    a batch counted to fit is sent to the target's keys, which then need no shuffle.
     """
     columns = list(columns) if columns else [c for c in target.columns if c in source.columns]
-    fresh = source.filter(F.col("operation") == "INSERT").join(target.select(key), [key], "left_anti")
+    inserts = source.filter(F.col("operation") == "INSERT").select(*columns)
+    known = target.select(key)
+    small = sized_broadcast(inserts, broadcast_rows)
+    if small is not None:
+        inserts = small
+        known = known.join(small.select(key), [key], "left_semi").distinct()
+    fresh = inserts.join(known, [key], "left_anti")
     return target.withColumn("_action", F.lit(UNCHANGED)).unionByName(
-        fresh.select(*columns).withColumn("_action", F.lit(INSERTED)), allowMissingColumns=True
+        fresh.withColumn("_action", F.lit(INSERTED)), allowMissingColumns=True
     )
 
 

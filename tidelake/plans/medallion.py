@@ -51,6 +51,28 @@ def _publish_merge(merged: DataFrame, path: str) -> tuple[DataFrame, dict[str, i
     return current(spark, path), cdc.merge_metrics(current_merge(spark, path)).first().asDict()
 
 
+def run_inserts_batch(
+    spark: SparkSession,
+    batch: DataFrame,
+    path: str,
+    key: str,
+    columns: Sequence[str] | None = None,
+    broadcast_rows: int = 100_000,
+) -> dict[str, int]:
+    """Insert the events of keys the table does not have; everything else in the batch is ignored."""
+    merged = cdc.insert_new(current(spark, path), batch, key, columns, broadcast_rows)
+    return _publish_merge(merged, path)[1]
+
+
+def run_ops_batch(
+    spark: SparkSession, batch: DataFrame, path: str, key: str, broadcast_rows: int = 100_000
+) -> dict[str, int]:
+    """Operation-driven batch, one event per key; two events of one key are an error."""
+    cdc.reject_duplicate_keys(batch, [key])
+    merged = cdc.apply_ops(current(spark, path), batch, key, broadcast_rows)
+    return _publish_merge(merged, path)[1]
+
+
 def run_updates_batch(
     spark: SparkSession, batch: DataFrame, path: str, key: str, payload: Sequence[str], broadcast_rows: int = 100_000
 ) -> dict[str, int]:

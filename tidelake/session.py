@@ -8,12 +8,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 _local_dirs: dict[str, str] = {}
 
 
 def get_spark(app_name: str = "tidelake", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the library relies on: UTC, ANSI, adaptive execution.
 
+    Stream state lives in RocksDB, off the executors' heap, so it may outgrow memory.
     Shuffle partitions and memory are left to the cluster; pass them through ``conf``
     with underscores in place of dots where a test needs other values.
     """
@@ -23,6 +26,7 @@ def get_spark(app_name: str = "tidelake", master: str | None = None, **conf: str
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
     if master:
         builder = builder.master(master)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,18 +19,15 @@ def route_batch(valid_path: str, quarantine_path: str, pattern: str = LANDING_CO
     """Handler that sends rows of conforming files to one table and all others to quarantine.
 
     The two writes are separate; each is idempotent per batch, so a failure between them is
-    repaired by the retry. The batch is read once and always released.
+    repaired by the retry. The rule looks at the path alone, so Spark leaves the other side's
+    files out of each read: every file is parsed once and the batch needs no caching.
     """
 
     def handler(batch: DataFrame, batch_id: int) -> None:
         run_id = streaming_query_id(batch)
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            valid, broken = split_by_contract(batch, pattern)
-            write_batch_once(valid, valid_path, run_id, batch_id)
-            write_batch_once(broken, quarantine_path, run_id, batch_id)
-        finally:
-            batch.unpersist()
+        valid, broken = split_by_contract(batch, pattern)
+        write_batch_once(valid, valid_path, run_id, batch_id)
+        write_batch_once(broken, quarantine_path, run_id, batch_id)
 
     return handler
 
@@ -50,6 +46,18 @@ def run_available_now(df: DataFrame, path: str, checkpoint: str, mode: str = "ap
     return query
 
 
+def run_to_table(df: DataFrame, name: str, checkpoint: str) -> StreamingQuery:
+    """Stream into a catalog table until the input is used up."""
+    query = (
+        df.writeStream.format("parquet")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .toTable(name)
+    )
+    query.awaitTermination()
+    return query
+
+
 def run_updates(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Run an update-mode aggregation until the input is used up, one idempotent partition per batch.
 
