@@ -233,6 +233,9 @@ FROM observed"""
 WINDOW_COUNT = """SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS count
 FROM events GROUP BY 1, 2"""
 
+CLOSED_WINDOWS = f"""SELECT * FROM ({WINDOW_COUNT}) WHERE window_start + INTERVAL 1 HOUR <=
+  (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 SECOND FROM events)"""
+
 PAIRS = """SELECT c.user_id, c.event_id AS click_id, c.ts AS click_ts, p.event_id AS purchase_id, p.ts AS purchase_ts
 FROM events c JOIN events p ON c.user_id = p.user_id AND p.ts >= c.ts AND p.ts <= c.ts + INTERVAL 1 HOUR
 WHERE c.event_type = 'click' AND p.event_type = 'purchase'"""
@@ -485,8 +488,7 @@ SELECT transaction_id, sequence_num, count(*) AS states FROM distinct_states GRO
     "cdc_invalid_events": f"""WITH {CDC} SELECT operation, count(*) AS invalid_rows FROM events_in
 WHERE operation = 'DELETE' GROUP BY 1""",
     "window_count_batch": WINDOW_COUNT,
-    "stream_window_count": f"""SELECT * FROM ({WINDOW_COUNT}) WHERE window_start + INTERVAL 1 HOUR <=
-  (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 SECOND FROM events)""",
+    "stream_window_count": CLOSED_WINDOWS,
     "stream_user_count": "SELECT user_id, count(*) AS count FROM events GROUP BY 1",
     "interval_join_batch": PAIRS,
     "stream_interval_join": PAIRS,
@@ -508,5 +510,28 @@ FROM events GROUP BY 1, 2""",
           CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS INTEGER) AS version
         FROM orders GROUP BY 1, 2)) WHERE rn <= 20""",
     "file_layout": """SELECT 'per_supplier' AS layout, CAST(sum(n) AS BIGINT) AS rows, count(*) AS source_files,
-  max(n) AS largest_file_rows FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_suppkey)""",
+  max(n) AS largest_file_rows FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_suppkey)
+UNION ALL SELECT 'per_order', CAST(sum(n) AS BIGINT), count(*), max(n)
+FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey)""",
+    "landing_paths": """SELECT o_orderkey AS order_id, 's3://lake/orders/' ||
+    CASE WHEN o_orderstatus = 'P' THEN 'ingestion_dt=' ELSE 'ingestion_date=' END ||
+    strftime(o_orderdate, '%Y-%m-%d') || '/batch_' || o_custkey || '/orders.csv' AS _source_file,
+  CASE WHEN o_orderstatus = 'P' THEN 'INVALID_SOURCE_PATH' END AS _quarantine_reason,
+  CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS ingestion_date
+FROM orders""",
+    "orders_evolved": """SELECT o_orderkey, o_orderstatus,
+  CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS channel FROM orders""",
+    "pipeline_orders_daily": f"""WITH {BRONZE}
+SELECT order_date, status, count(*) AS order_count FROM silver GROUP BY 1, 2""",
+    "pipeline_transactions": f"{MIXED} SELECT {MIXED_ROWS}, _is_deleted, _applied_at FROM merged",
+    "stream_key_join": """SELECT o_orderkey AS order_id, o_orderdate AS order_time, l_linenumber AS line,
+  l_shipdate AS ship_time FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
+    "stream_late_rows": CLOSED_WINDOWS,
+    "stream_checkpoint_loss": """SELECT 'bronze' AS layer, 2 * count(*) AS total_rows,
+  count(DISTINCT event_id) AS distinct_keys, 2 * count(*) - count(DISTINCT event_id) AS duplicate_rows,
+  2 * count(event_id) - count(DISTINCT event_id) AS surplus_rows, 2 * (count(*) - count(event_id)) AS null_keys
+FROM events
+UNION ALL SELECT 'silver', count(DISTINCT event_id), count(DISTINCT event_id), 0, 0, 0 FROM events""",
+    "stream_processed_values": """SELECT count(*) AS output_rows, CAST(0 AS BIGINT) AS invalid_rows, 'PASS' AS result
+FROM events""",
 }

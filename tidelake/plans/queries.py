@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tidelake.functions import rules
 from tidelake.operators import cdc, costs, flatten, gold, health, quality, runs, temporal, versions
 from tidelake.plans import bindings as b
+from tidelake.plans import medallion
 from tidelake.plans.medallion import silver_orders
 from tidelake.session import scratch_dir
 from tidelake.sources import tables
@@ -97,6 +98,53 @@ def contract_quarantine(spark, sf_dir):
     return rules.split_by_contract(pages, URL_CONTRACT, "url")[1]
 
 
+@query
+def landing_paths(spark, sf_dir):
+    """Every order's landing path under the default contract; pending ones use the wrong folder name."""
+    paths = b.table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS order_id",
+        "concat('s3://lake/orders/', CASE WHEN o_orderstatus = 'P' THEN 'ingestion_dt=' ELSE 'ingestion_date=' END,"
+        " CAST(CAST(o_orderdate AS DATE) AS STRING), '/batch_', o_custkey, '/orders.csv') AS _source_file",
+    )
+    valid, broken = rules.split_by_contract(paths)
+    routed = valid.unionByName(broken, allowMissingColumns=True)
+    return rules.with_ingestion_date(routed)
+
+
+@query
+def orders_evolved(spark, sf_dir):
+    """Settled orders appended first, then open ones with one column more."""
+    out = scratch_dir(spark, "evolved")
+    orders = b.table(spark, sf_dir, "orders").withColumnRenamed("o_orderpriority", "channel")
+    tables.append_evolving(orders.filter("o_orderstatus = 'F'").drop("channel"), out)
+    tables.append_evolving(orders.filter("o_orderstatus <> 'F'"), out)
+    return tables.read_evolving(spark, out).select("o_orderkey", "o_orderstatus", "channel")
+
+
+@query
+def pipeline_orders_daily(spark, sf_dir):
+    """The whole order pipeline over published tables, run twice: the replay must change nothing."""
+    root = scratch_dir(spark, "pipeline")
+    bronze = b.bronze_orders(spark, sf_dir)
+    for _ in range(2):
+        medallion.refresh_orders(spark, bronze, root)
+    return tables.current(spark, f"{root}/gold/orders_daily")
+
+
+@query
+def pipeline_transactions(spark, sf_dir):
+    """A mixed batch merged into a published state, then sent again."""
+    root = scratch_dir(spark, "transactions")
+    tables.publish(b.transactions(spark, sf_dir), f"{root}/state", "CREATE")
+    applied = F.expr("TIMESTAMP_NTZ'2026-02-01 08:00:00'")
+    batch = _latest_changes(spark, sf_dir)
+    for _ in range(2):
+        medallion.run_mixed_batch(
+            spark, batch, f"{root}/state", f"{root}/gold", "transaction_id", PAYLOAD, applied
+        )
+    return plain(tables.current(spark, f"{root}/state"))
+
+
 # Versions, keys, checks
 
 
@@ -467,6 +515,72 @@ def stream_interval_join(spark, sf_dir):
     return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("click_ts", "purchase_ts")})
 
 
+@query
+def stream_key_join(spark, sf_dir):
+    """Orders and their line items joined as streams on the key alone; both sides stay in state."""
+
+    def stream(name: str) -> DataFrame:
+        path = f"{sf_dir}/{name}.parquet"
+        return tables.replay_stream(spark, path, spark.read.parquet(path).schema)
+
+    orders = stream("orders").selectExpr("o_orderkey AS order_id", "o_orderdate AS order_time")
+    lines = stream("lineitem").selectExpr("l_orderkey AS order_id", "l_linenumber AS line", "l_shipdate AS ship_time")
+    out = scratch_dir(spark, "key-join")
+    ingest.run_available_now(temporal.key_join(orders, lines, "order_id"), f"{out}/rows", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/rows")
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """Events, then the same events fourteen days earlier: the second delivery changes no closed window."""
+    out = scratch_dir(spark, "late")
+    events = b.table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    for shift in (0, 14):
+        shifted = events.withColumn("ts", F.col("ts") - F.expr(f"INTERVAL {shift} DAYS"))
+        shifted.write.mode("append").parquet(f"{out}/events")
+        arriving = tables.replay_stream(spark, f"{out}/events", events.schema)
+        counted = state.windowed_count(arriving, "ts", ["event_type"], "1 hour", "10 seconds")
+        ingest.run_available_now(counted, f"{out}/rows", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/rows").select(
+        F.col("window.start").cast("timestamp_ntz").alias("window_start"), "event_type", "count"
+    )
+
+
+@query
+def stream_checkpoint_loss(spark, sf_dir):
+    """Events landed twice because the checkpoint was lost: bronze doubles, silver does not."""
+    out = scratch_dir(spark, "replay")
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        tables.write_batch_once(batch, f"{out}/bronze", ingest.streaming_query_id(batch), batch_id)
+
+    for checkpoint in ("first", "second"):
+        started = (
+            _event_stream(spark, sf_dir)
+            .writeStream.foreachBatch(land)
+            .option("checkpointLocation", f"{out}/{checkpoint}")
+            .trigger(availableNow=True)
+            .start()
+        )
+        started.awaitTermination()
+    bronze = tables.read_evolving(spark, f"{out}/bronze")
+    silver = versions.latest_per_key(bronze, ["event_id"], ["ts", "_run_id"], drop_null_keys=True)
+    return (
+        quality.key_stats(bronze, "event_id")
+        .withColumn("layer", F.lit("bronze"))
+        .unionByName(quality.key_stats(silver, "event_id").withColumn("layer", F.lit("silver")))
+    )
+
+
+@query
+def stream_processed_values(spark, sf_dir):
+    """The native expression in a micro-batch, checked against its rule."""
+    out = scratch_dir(spark, "processed")
+    doubled = quality.double_native(_event_stream(spark, sf_dir).select(F.col("event_id").alias("transaction_id")))
+    ingest.run_available_now(doubled, f"{out}/rows", f"{out}/checkpoint")
+    return quality.mismatch(spark.read.parquet(f"{out}/rows"), F.col("transaction_id") * 2, "processed_value")
+
+
 @query
 def interval_delay_check(spark, sf_dir):
     return quality.delay_check(interval_join_batch(spark, sf_dir), "click_ts", "purchase_ts", 3600)
@@ -539,6 +653,7 @@ def table_history(spark, sf_dir):
 
 @query
 def file_layout(spark, sf_dir):
-    """Line items per supplier as if each supplier had delivered one file."""
+    """Line items per supplier as if each supplier had delivered one file, and as if every order were a file."""
     lines = b.table(spark, sf_dir, "lineitem")
-    return health.file_layout(lines, "per_supplier", "l_suppkey")
+    few = health.file_layout(lines, "per_supplier", "l_suppkey")
+    return few.unionByName(health.file_layout(lines, "per_order", "l_orderkey"))
