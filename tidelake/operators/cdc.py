@@ -48,6 +48,20 @@ def _column(value: str | Column) -> Column:
     return F.expr(value) if isinstance(value, str) else value
 
 
+def _against(
+    target: DataFrame, source: DataFrame, on: Sequence[str], broadcast_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """Source and target ready to be joined for the source's sake.
+
+    For a source counted to fit a broadcast the target is first cut to the rows with one of its
+    keys, which takes no shuffle; otherwise both are returned as they are.
+    """
+    small = sized_broadcast(source, broadcast_rows)
+    if small is None:
+        return source, target
+    return small, target.join(small.select(*on), list(on), "left_semi")
+
+
 def merge(
     target: DataFrame,
     source: DataFrame,
@@ -55,9 +69,12 @@ def merge(
     matched: Sequence[Update | Delete] = (),
     not_matched: Sequence[Insert] = (),
     broadcast_rows: int = 0,
+    before: Sequence[str] = (),
 ) -> DataFrame:
     """Next state of ``target`` after applying ``source``, plus ``_action``; deleted rows are still in it.
 
+    With ``before`` the struct ``_before`` keeps these columns as they were (NULL for inserted rows).
+
     The first clause whose condition holds wins; without one a target row is unchanged and a
     source row is ignored. Source keys must be unique (see :func:`reject_duplicate_keys`).
 
@@ -72,11 +89,11 @@ def merge(
     same_key = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in on])
 
     def resolve(joined: DataFrame) -> DataFrame:
-        return _resolve(joined, target.columns, source.columns, matched, not_matched)
+        return _resolve(joined, target.columns, source.columns, matched, not_matched, before)
 
     if small is not None:
         present = target.select(*on).join(small.select(*on), list(on), "left_semi").distinct()
-        fresh = origin.join(present, list(on), "left_anti").withColumn("_in_source", F.lit(True)).alias("s")
+        fresh = small.join(present, list(on), "left_anti").withColumn("_in_source", F.lit(True)).alias("s")
         kept = resolve(t.join(s, same_key, "left_outer"))
         return kept.unionByName(resolve(t.filter(F.lit(False)).join(fresh, same_key, "right_outer")))
 
@@ -96,6 +113,7 @@ def _resolve(
     source_columns: Sequence[str],
     matched: Sequence[Update | Delete],
     not_matched: Sequence[Insert],
+    before: Sequence[str],
 ) -> DataFrame:
     """Pick the clause of every joined row, then the value of every target column."""
     both = F.col("t._in_target") & F.col("s._in_source")
@@ -125,13 +143,16 @@ def _resolve(
             if name in given:
                 value = F.when(F.col("_clause") == number, _column(given[name])).otherwise(value)
         columns.append(value.alias(name))
+    if before:
+        old = F.struct(*[F.col(f"t.{name}").alias(name) for name in before])
+        columns.append(F.when(F.col("t._in_target"), old).alias("_before"))
     resolved = joined.filter(F.col("t._in_target") | F.col("_clause").isNotNull())
     return resolved.select(*columns, action.alias("_action"))
 
 
 def state_of(merged: DataFrame) -> DataFrame:
-    """The rows that remain, without the bookkeeping column."""
-    return merged.filter(F.col("_action") != DELETED).drop("_action")
+    """The rows that remain, without the bookkeeping columns."""
+    return merged.filter(F.col("_action") != DELETED).drop("_action", "_before")
 
 
 def merge_metrics(merged: DataFrame) -> DataFrame:
@@ -198,11 +219,7 @@ def insert_new(
     """
     columns = list(columns) if columns else [c for c in target.columns if c in source.columns]
     inserts = source.filter(F.col("operation") == "INSERT").select(*columns)
-    known = target.select(key)
-    small = sized_broadcast(inserts, broadcast_rows)
-    if small is not None:
-        inserts = small
-        known = known.join(small.select(key), [key], "left_semi").distinct()
+    inserts, known = _against(target.select(key), inserts, [key], broadcast_rows)
     fresh = inserts.join(known, [key], "left_anti")
     return target.withColumn("_action", F.lit(UNCHANGED)).unionByName(
         fresh.withColumn("_action", F.lit(INSERTED)), allowMissingColumns=True
@@ -239,8 +256,10 @@ def delete_audit(
     pass_name: str,
     seq: str = "sequence_num",
     audited_at: Column | None = None,
+    broadcast_rows: int = 0,
 ) -> DataFrame:
     """Decision per delete event, judged against the state before the merge."""
+    events, target_before = _against(target_before.select(key, seq), events, [key], broadcast_rows)
     current = target_before.select(F.col(key), F.col(seq).alias("_current"), F.lit(True).alias("_known"))
     outcome = (
         F.when(F.col("_known").isNull(), F.lit("ALREADY_ABSENT"))
@@ -282,6 +301,7 @@ def apply_mixed(
         [Update({**change, **stamp}, f"s.`{seq}` > t.`{seq}`")],
         [Insert({**arrive, **stamp})],
         broadcast_rows,
+        before=["_is_deleted"],
     )
 
 
@@ -290,6 +310,17 @@ def active_rows(state: DataFrame) -> DataFrame:
     return state.filter(~F.col("_is_deleted")).drop("_is_deleted")
 
 
+def _is_invalid(columns: Sequence[str], key: str, payload: Sequence[str], seq: str, operations: Sequence[str]) -> Column:
+    required = F.lit(False)
+    for name in [c for c in ["event_id", key, seq, "operation"] if c in columns]:
+        required = required | F.col(name).isNull()
+    image = F.lit(False)
+    for name in payload:
+        image = image | F.col(name).isNull()
+    known = F.col("operation").isin(*operations)
+    return required | (F.col(seq) < 1) | ~known | ((F.col("operation") != "DELETE") & image)
+
+
 def invalid_events(
     df: DataFrame,
     key: str,
@@ -298,14 +329,7 @@ def invalid_events(
     operations: Sequence[str] = OPERATIONS,
 ) -> DataFrame:
     """Events without id, key, version (from 1) or expected operation, and images with a missing field."""
-    required = F.lit(False)
-    for name in [c for c in ["event_id", key, seq, "operation"] if c in df.columns]:
-        required = required | F.col(name).isNull()
-    image = F.lit(False)
-    for name in payload:
-        image = image | F.col(name).isNull()
-    known = F.col("operation").isin(*operations)
-    return df.filter(required | (F.col(seq) < 1) | ~known | ((F.col("operation") != "DELETE") & image))
+    return df.filter(_is_invalid(df.columns, key, payload, seq, operations))
 
 
 def normalize_batch(
@@ -318,32 +342,45 @@ def normalize_batch(
     """Validate a batch, then keep the last image per key; raises before anything is written.
 
     Errors: INVALID_EVENT, AMBIGUOUS_KEY_VERSION (one key and version, two contents),
-    EVENT_ID_CONFLICT (one event id, two contents).
+    EVENT_ID_CONFLICT (one event id, two contents). Contents under one key differ when their
+    least and greatest do, so all rules and counts but the last take a single aggregation.
     """
-    if invalid_events(df, key, payload, seq, operations).limit(1).count():
-        raise ValueError("INVALID_EVENT")
     content = ["operation", *payload]
 
-    def contradictory(keys: Sequence[str], fields: Sequence[str]) -> int:
-        states = F.countDistinct(F.struct(*fields)).alias("states")
-        return df.groupBy(*keys).agg(states).filter(F.col("states") > 1).limit(1).count()
+    def contents(*fields: str) -> list[Column]:
+        whole = F.struct(*fields)
+        return [F.min(whole).alias("_least"), F.max(whole).alias("_greatest")]
 
-    if contradictory([key, seq], content):
-        raise ValueError("AMBIGUOUS_KEY_VERSION")
-    if "event_id" in df.columns and contradictory(["event_id"], [key, seq, *content]):
-        raise ValueError("EVENT_ID_CONFLICT")
-
-    counts = df.agg(
-        F.count(F.lit(1)).alias("source_rows"),
-        F.countDistinct(F.struct(key, seq, *content)).alias("distinct_versions"),
-        F.countDistinct(F.col(key)).alias("keys_after_selection"),
+    differ = ~F.col("_least").eqNullSafe(F.col("_greatest"))
+    wrong = _is_invalid(df.columns, key, payload, seq, operations)
+    by_version = df.groupBy(key, seq).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count_if(wrong).alias("_wrong"), *contents(*content)
+    )
+    found = by_version.agg(
+        F.coalesce(F.sum("_wrong"), F.lit(0)).alias("wrong"),
+        F.count_if(differ).alias("ambiguous"),
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("source_rows"),
+        F.count(F.lit(1)).alias("distinct_versions"),
+        F.countDistinct(key).alias("keys_after_selection"),
     ).first()
-    return latest_version(df, key, seq), counts.asDict()
+    if found["wrong"]:
+        raise ValueError("INVALID_EVENT")
+    if found["ambiguous"]:
+        raise ValueError("AMBIGUOUS_KEY_VERSION")
+    if "event_id" in df.columns:
+        by_id = df.groupBy("event_id").agg(*contents(key, seq, *content))
+        if by_id.filter(differ).limit(1).count():
+            raise ValueError("EVENT_ID_CONFLICT")
+    counts = {name: found[name] for name in ("source_rows", "distinct_versions", "keys_after_selection")}
+    return latest_version(df, key, seq), counts
 
 
-def reject_unknown_keys(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
+def reject_unknown_keys(
+    source: DataFrame, target: DataFrame, key: str, broadcast_rows: int = 0
+) -> DataFrame:
     """Raise when an update-only batch names a key the target does not have."""
-    if source.join(target.select(key), [key], "left_anti").limit(1).count():
+    keys, known = _against(target.select(key), source.select(key), [key], broadcast_rows)
+    if keys.join(known, [key], "left_anti").limit(1).count():
         raise ValueError("UNKNOWN_KEY")
     return source
 
@@ -364,3 +401,19 @@ def business_changes(before: DataFrame, after: DataFrame, key: str) -> DataFrame
         F.count_if(live & was_live & ~F.col("_new").eqNullSafe(F.col("_old"))).alias("updated"),
         F.count_if(~live & was_live).alias("deleted_logically"),
     )
+
+
+def merge_changes(merged: DataFrame) -> DataFrame:
+    """The counters of :func:`business_changes`, taken from an :func:`apply_mixed` result.
+
+    The merge already met every row with its earlier form, so the two states need not be
+    joined again.
+    """
+    live = ~F.col("_is_deleted")
+    was_live = F.coalesce(~F.col("_before._is_deleted"), F.lit(False))
+    touched = F.col("_action") != UNCHANGED
+    return merged.agg(
+        F.count_if(touched & live & ~was_live).alias("inserted"),
+        F.count_if(touched & live & was_live).alias("updated"),
+        F.count_if(touched & ~live & was_live).alias("deleted_logically"),
+    )

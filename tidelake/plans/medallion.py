@@ -10,7 +10,7 @@ from tidelake.functions.rules import ALLOWED_STATUSES, normalize_orders
 from tidelake.operators import cdc, gold
 from tidelake.operators.quality import invalid_orders, valid_orders
 from tidelake.operators.versions import latest_per_key
-from tidelake.sources.tables import append_audit, current, current_merge, ensure_like, publish
+from tidelake.sources.tables import append_audit, current, ensure_like, publish
 
 ORDER_VERSION = ("_ingestion_timestamp", "_source_file")
 
@@ -30,7 +30,8 @@ def refresh_orders(spark: SparkSession, bronze: DataFrame, root: str) -> dict[st
 
     target_path = f"{root}/silver/orders_current"
     merged = cdc.upsert_newer(ensure_like(written, target_path), written, "order_id")
-    state, metrics = _publish_merge(merged, target_path)
+    written_merge, metrics = _publish_merge(merged, target_path)
+    state = cdc.state_of(written_merge)
     daily = publish(gold.orders_daily(state), f"{root}/gold/orders_daily", "OVERWRITE")
     return {
         "clean": written.count(),
@@ -42,13 +43,12 @@ def refresh_orders(spark: SparkSession, bronze: DataFrame, root: str) -> dict[st
 
 
 def _publish_merge(merged: DataFrame, path: str) -> tuple[DataFrame, dict[str, int]]:
-    """Write the merge result once, partitioned by action; state and metrics are read from that.
+    """Write the merge result once, partitioned by action; returns it as written, and its counters.
 
     The counters then come from file footers, and readers skip the deleted rows' partition.
     """
-    publish(merged, path, "MERGE", partition_by=["_action"])
-    spark = merged.sparkSession
-    return current(spark, path), cdc.merge_metrics(current_merge(spark, path)).first().asDict()
+    written = publish(merged, path, "MERGE", partition_by=["_action"])
+    return written, cdc.merge_metrics(written).first().asDict()
 
 
 def run_inserts_batch(
@@ -79,7 +79,7 @@ def run_updates_batch(
     """Validated, versioned updates of known keys; nothing is written for a batch that fails."""
     target = current(spark, path)
     latest, _ = cdc.normalize_batch(batch, key, payload, operations=("UPDATE",))
-    cdc.reject_unknown_keys(latest, target, key)
+    cdc.reject_unknown_keys(latest, target, key, broadcast_rows)
     _, metrics = _publish_merge(cdc.apply_updates(target, latest, key, payload, broadcast_rows=broadcast_rows), path)
     return metrics
 
@@ -99,10 +99,10 @@ def run_deletes_batch(
     cdc.normalize_batch(batch, key, (), operations=("DELETE",))
     cdc.reject_duplicate_keys(batch, [key])
     cdc.reject_duplicate_keys(batch, ["event_id"])
-    audit = cdc.delete_audit(target, batch, key, pass_name)
-    state, metrics = _publish_merge(cdc.apply_deletes(target, batch, key, broadcast_rows=broadcast_rows), path)
+    audit = cdc.delete_audit(target, batch, key, pass_name, broadcast_rows=broadcast_rows)
+    merged, metrics = _publish_merge(cdc.apply_deletes(target, batch, key, broadcast_rows=broadcast_rows), path)
     append_audit(audit, audit_path)
-    publish(gold.payments_daily(state), gold_path, "OVERWRITE")
+    publish(gold.payments_daily(cdc.state_of(merged)), gold_path, "OVERWRITE")
     return metrics
 
 
@@ -120,7 +120,7 @@ def run_mixed_batch(
     before = current(spark, path)
     latest, preparation = cdc.normalize_batch(batch, key, payload)
     merged = cdc.apply_mixed(before, latest, key, payload, applied_at=applied_at, broadcast_rows=broadcast_rows)
-    after, metrics = _publish_merge(merged, path)
-    changes = cdc.business_changes(before, after, key).first().asDict()
-    publish(gold.transactions_summary(cdc.active_rows(after)), gold_path, "OVERWRITE")
+    written, metrics = _publish_merge(merged, path)
+    changes = cdc.merge_changes(written).first().asDict()
+    publish(gold.transactions_summary(cdc.active_rows(cdc.state_of(written))), gold_path, "OVERWRITE")
     return {"preparation": preparation, "merge": metrics, "business_changes": changes}

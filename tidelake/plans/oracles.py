@@ -179,6 +179,11 @@ merged AS (
 MIXED_ROWS = "transaction_id, payment_id, CAST(amount_dec AS DOUBLE) AS amount, sequence_num"
 
 
+BUSINESS_CHANGES = f"""{MIXED} SELECT count(*) FILTER (WHERE NOT known AND NOT _is_deleted) AS inserted,
+  count(*) FILTER (WHERE known AND _action = 'updated' AND NOT _is_deleted) AS updated,
+  count(*) FILTER (WHERE known AND _is_deleted) AS deleted_logically FROM merged"""
+
+
 def half_up(num: str, den: str) -> str:
     """Whole-number quotient rounded half away from zero, for a positive denominator."""
     return f"(CASE WHEN ({num}) < 0 THEN -1 ELSE 1 END * ((2 * abs({num}) + ({den})) // (2 * ({den}))))"
@@ -474,9 +479,8 @@ SELECT DATE '1995-01-01' + CAST(t.sequence_num - 1 AS INTEGER) AS payment_date,
   count(*) AS payment_count, CAST(sum(t.amount) AS DOUBLE) AS payment_total
 FROM target t LEFT JOIN latest s ON t.transaction_id = s.transaction_id AND s.sequence_num > t.sequence_num
 WHERE s.transaction_id IS NULL GROUP BY 1, 2""",
-    "cdc_business_changes": f"""{MIXED} SELECT count(*) FILTER (WHERE NOT known AND NOT _is_deleted) AS inserted,
-  count(*) FILTER (WHERE known AND _action = 'updated' AND NOT _is_deleted) AS updated,
-  count(*) FILTER (WHERE known AND _is_deleted) AS deleted_logically FROM merged""",
+    "cdc_business_changes": BUSINESS_CHANGES,
+    "cdc_merge_changes": BUSINESS_CHANGES,
     "cdc_delete_audit": f"""WITH {CDC}, {_latest("DELETE")}
 SELECT event_id, s.transaction_id, s.sequence_num, 'first_run' AS pass_name,
   CASE WHEN t.transaction_id IS NULL THEN 'ALREADY_ABSENT' WHEN s.sequence_num > t.sequence_num THEN 'DELETED'

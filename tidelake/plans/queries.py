@@ -373,7 +373,7 @@ def cdc_apply_ops(spark, sf_dir):
 
 @query
 def cdc_mixed_state(spark, sf_dir):
-    return plain(_mixed(spark, sf_dir))
+    return plain(_mixed(spark, sf_dir).drop("_before"))
 
 
 @query
@@ -388,7 +388,7 @@ def cdc_mixed_broadcast(spark, sf_dir):
             PAYLOAD,
             applied_at=applied,
             broadcast_rows=200_000,
-        )
+        ).drop("_before")
     )
 
 
@@ -428,6 +428,12 @@ def cdc_business_changes(spark, sf_dir):
     return cdc.business_changes(before, cdc.state_of(_mixed(spark, sf_dir)), "transaction_id")
 
 
+@query
+def cdc_merge_changes(spark, sf_dir):
+    """The same counters without joining the two states again."""
+    return cdc.merge_changes(_mixed(spark, sf_dir))
+
+
 @query
 def cdc_delete_audit(spark, sf_dir):
     events = _latest_changes(spark, sf_dir, "DELETE")

@@ -49,17 +49,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return _last(spark, path) is not None
 
 
-def current_merge(spark: SparkSession, path: str) -> DataFrame:
-    """The last published version as written, with ``_action`` if it was a merge."""
+def current(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the last published version; of a merge result, those that remain."""
     last = _last(spark, path)
     if last is None:
         raise ValueError(f"TABLE_NOT_FOUND: {path}")
-    return spark.read.parquet(last.location)
-
-
-def current(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of the last published version."""
-    rows = current_merge(spark, path)
+    rows = spark.read.parquet(last.location)
     return state_of(rows) if "_action" in rows.columns else rows
 
 
