@@ -1,0 +1,38 @@
+"""The size check in front of every broadcast."""
+
+from pyspark.sql import functions as F
+
+from tidelake.operators import bounds
+
+
+def test_only_counted_frames_are_kept(spark):
+    small = bounds.hold_if_small(spark.range(100), 100)
+    assert small.columns == ["id"] and small.count() == 100
+    assert bounds.hold_if_small(spark.range(101), 100) is None
+    assert bounds.hold_if_small(spark.range(1), 0) is None
+    plan = spark.range(10).join(bounds.sized_broadcast(spark.range(5), 10), "id")
+    assert "BroadcastHashJoin" in plan._jdf.queryExecution().executedPlan().toString()
+    assert plan.count() == 5
+    bounds.release()
+    assert not bounds._held and small.count() == 100
+
+
+def test_a_long_table_is_not_scanned_for_the_count(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def mark(rows):
+        seen.add(1)
+        return rows
+
+    wide = spark.createDataFrame(spark.sparkContext.parallelize([(i,) for i in range(6400)], 64).mapPartitions(mark), "id long")
+    assert bounds.hold_if_small(wide, 10) is None
+    assert 0 < seen.value < 16
+
+
+def test_a_changed_table_is_counted_again(spark, tmp_path):
+    path = f"{tmp_path}/prices"
+    spark.range(3).write.parquet(path)
+    assert bounds.hold_if_small(spark.read.parquet(path), 10).count() == 3
+    spark.range(3, 5).write.mode("append").parquet(path)
+    fresh = bounds.hold_if_small(spark.read.parquet(path), 10)
+    assert fresh.agg(F.max("id"), F.count("*")).first()[:] == (4, 5)

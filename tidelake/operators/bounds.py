@@ -2,27 +2,39 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+_held: list[DataFrame] = []
+
 
 def hold_if_small(df: DataFrame, max_rows: int) -> DataFrame | None:
     """The whole of ``df``, kept, when it has at most ``max_rows`` rows, else None.
 
-    At most ``max_rows + 1`` rows are held for the count. When the bound is kept those rows are
-    all of ``df`` and serve every later use, so the input is computed once.
+    The count stops as soon as it passes the bound, so a long table costs a few partitions and
+    not a scan; a short result of a long computation is computed once and kept. The tag makes
+    the kept plan this call's own: no other query picks up its rows, now or later.
     """
     if max_rows <= 0:
         return None
-    held = df.limit(max_rows + 1).persist(StorageLevel.MEMORY_AND_DISK)
-    if held.count() <= max_rows:
-        return held
-    held.unpersist()
-    return None
+    held = df.withColumn("_hold", F.lit(uuid.uuid4().hex)).persist(StorageLevel.MEMORY_AND_DISK)
+    if len(held.select(F.lit(1)).take(max_rows + 1)) > max_rows:
+        held.unpersist()
+        return None
+    _held.append(held)
+    return held.drop("_hold")
 
 
 def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame | None:
     """``df`` marked for broadcast when it has at most ``max_rows`` rows, else None."""
     held = hold_if_small(df, max_rows)
     return None if held is None else F.broadcast(held)
+
+
+def release() -> None:
+    """Let go of the kept rows once the results built on them are written; later uses recompute them."""
+    while _held:
+        _held.pop().unpersist()

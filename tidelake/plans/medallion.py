@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from tidelake.functions.rules import ALLOWED_STATUSES, normalize_orders
 from tidelake.operators import cdc, gold
+from tidelake.operators.bounds import release
 from tidelake.operators.quality import invalid_orders, valid_orders
 from tidelake.operators.versions import latest_per_key
 from tidelake.sources.tables import append_audit, current, ensure_like, publish
@@ -48,6 +49,7 @@ def _publish_merge(merged: DataFrame, path: str) -> tuple[DataFrame, dict[str, i
     The counters then come from file footers, and readers skip the deleted rows' partition.
     """
     written = publish(merged, path, "MERGE", partition_by=["_action"])
+    release()
     return written, cdc.merge_metrics(written).first().asDict()
 
 
@@ -102,6 +104,7 @@ def run_deletes_batch(
     audit = cdc.delete_audit(target, batch, key, pass_name, broadcast_rows=broadcast_rows)
     merged, metrics = _publish_merge(cdc.apply_deletes(target, batch, key, broadcast_rows=broadcast_rows), path)
     append_audit(audit, audit_path)
+    release()
     publish(gold.payments_daily(cdc.state_of(merged)), gold_path, "OVERWRITE")
     return metrics
 
