@@ -98,9 +98,9 @@ def run_deletes_batch(
 ) -> dict[str, int]:
     """Versioned deletes, an audit row per event judged on the state before, and the gold rebuild."""
     target = current(spark, path)
-    cdc.normalize_batch(batch, key, (), operations=("DELETE",))
-    cdc.reject_duplicate_keys(batch, [key])
-    cdc.reject_duplicate_keys(batch, ["event_id"])
+    _, counts = cdc.normalize_batch(batch, key, (), operations=("DELETE",))
+    if counts["keys_after_selection"] != counts["source_rows"]:
+        raise ValueError("DUPLICATE_SOURCE_KEY")
     audit = cdc.delete_audit(target, batch, key, pass_name, broadcast_rows=broadcast_rows)
     merged, metrics = _publish_merge(cdc.apply_deletes(target, batch, key, broadcast_rows=broadcast_rows), path)
     append_audit(audit, audit_path)

@@ -133,11 +133,11 @@ def pipeline_orders_daily(spark, sf_dir):
 
 @query
 def pipeline_transactions(spark, sf_dir):
-    """A mixed batch merged into a published state, then sent again."""
+    """A landed batch merged into a published state, then sent again."""
     root = scratch_dir(spark, "transactions")
     tables.publish(b.transactions(spark, sf_dir), f"{root}/state", "CREATE")
     applied = F.expr("TIMESTAMP_NTZ'2026-02-01 08:00:00'")
-    batch = _latest_changes(spark, sf_dir)
+    batch = tables.publish(_latest_changes(spark, sf_dir), f"{root}/events", "APPEND")
     for _ in range(2):
         medallion.run_mixed_batch(
             spark, batch, f"{root}/state", f"{root}/gold", "transaction_id", PAYLOAD, applied

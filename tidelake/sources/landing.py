@@ -28,7 +28,7 @@ Handler = Callable[[DataFrame, int], None]
 def file_stream(
     spark: SparkSession, root: str, pattern: str = "*.csv", max_files: int = 1000
 ) -> DataFrame:
-    """Stream of (path, length) of the files under ``root``, each once per checkpoint; contents are not read."""
+    """Stream of the files under ``root``, each once per checkpoint; contents are read only where selected."""
     return (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
@@ -36,28 +36,29 @@ def file_stream(
         .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", max_files)
         .load(root)
-        .select("path", "length")
+        .select("path", "length", "content")
     )
 
 
-def group_by_header(spark: SparkSession, files: Sequence[tuple[str, int]]) -> dict[tuple[str, ...], list[str]]:
-    """Paths per header line, split into names.
+def group_by_header(listed: DataFrame) -> dict[tuple[str, ...], list[str]]:
+    """Paths of the non-empty files per header.
 
-    Small files give theirs in one distributed read. Large files, and headers with quotes, are
-    left to the CSV reader, which looks at the first line only.
+    One distributed read gives the first line of every small file. Large files, and headers
+    with quotes, are left to the CSV reader, which looks at the first line only.
     """
-    small = [path for path, length in files if 0 < length <= SMALL_FILE_BYTES]
-    single = [path for path, length in files if length > SMALL_FILE_BYTES]
+    line = F.substring_index(F.col("content").cast("string"), "\n", 1)
+    line = F.regexp_replace(F.regexp_replace(line, "^\ufeff", ""), "\r$", "")
+    small = listed.filter((F.col("length") > 0) & (F.col("length") <= SMALL_FILE_BYTES))
+    large = listed.filter(F.col("length") > SMALL_FILE_BYTES).select("path", F.lit(None).alias("line"))
     groups: dict[tuple[str, ...], list[str]] = {}
-    if small:
-        line = F.substring_index(F.col("content").cast("string"), "\n", 1)
-        line = F.regexp_replace(F.regexp_replace(line, "^\ufeff", ""), "\r$", "")
-        for row in spark.read.format("binaryFile").load(small).select("path", line.alias("line")).collect():
-            if '"' in row.line:
-                single.append(row.path)
-            else:
-                groups.setdefault(tuple(name.strip() for name in row.line.split(",")), []).append(row.path)
+    single: list[str] = []
+    for row in small.select("path", line.alias("line")).unionByName(large).collect():
+        if row.line is None or '"' in row.line:
+            single.append(row.path)
+        else:
+            groups.setdefault(tuple(name.strip() for name in row.line.split(",")), []).append(row.path)
     if single:
+        spark = listed.sparkSession
 
         def columns(path: str) -> tuple[str, ...]:
             return tuple(spark.read.option("header", True).csv(path).columns)
@@ -83,8 +84,7 @@ def read_group(spark: SparkSession, paths: Sequence[str], header: Sequence[str])
 
 
 def read_landed(
-    spark: SparkSession,
-    files: Sequence[tuple[str, int]],
+    listed: DataFrame,
     schema: Mapping[str, str] | None = None,
     schema_location: str | None = None,
     hints: Mapping[str, str] | None = None,
@@ -94,9 +94,10 @@ def read_landed(
     With ``schema`` the types are given. Otherwise they come from the stored schema, hints and,
     for columns never seen before, inference; new columns are recorded before rows are read.
     """
-    groups = group_by_header(spark, files)
+    groups = group_by_header(listed)
     if not groups:
         return None
+    spark = listed.sparkSession
     if schema is None:
         schema = resolve_schema(spark, groups, schema_location, hints or {})
     frames = [read_group(spark, paths, header) for header, paths in groups.items()]
@@ -125,8 +126,7 @@ def land_files(
     """Take every file not yet seen by this checkpoint, hand its rows to ``handler``, then stop."""
 
     def on_batch(listed: DataFrame, batch_id: int) -> None:
-        files = [(row.path, row.length) for row in listed.select("path", "length").collect()]
-        rows = read_landed(listed.sparkSession, files, schema, schema_location, hints)
+        rows = read_landed(listed, schema, schema_location, hints)
         if rows is not None:
             handler(rows, batch_id)
 
