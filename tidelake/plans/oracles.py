@@ -528,6 +528,7 @@ FROM orders""",
     "pipeline_orders_daily": f"""WITH {BRONZE}
 SELECT order_date, status, count(*) AS order_count FROM silver GROUP BY 1, 2""",
     "pipeline_transactions": f"{MIXED} SELECT {MIXED_ROWS}, _is_deleted, _applied_at FROM merged",
+    "pipeline_transactions_bucketed": f"{MIXED} SELECT {MIXED_ROWS}, _is_deleted, _applied_at FROM merged",
     "stream_key_join": """SELECT o_orderkey AS order_id, o_orderdate AS order_time, l_linenumber AS line,
   l_shipdate AS ship_time FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
     "stream_late_rows": CLOSED_WINDOWS,

@@ -18,7 +18,7 @@ from tidelake.plans import bindings as b
 from tidelake.plans import medallion
 from tidelake.plans.medallion import silver_orders
 from tidelake.session import scratch_dir
-from tidelake.sources import tables
+from tidelake.sources import buckets, tables
 from tidelake.sources.landing import land_files
 from tidelake.streaming import ingest, progress, state
 
@@ -145,6 +145,21 @@ def pipeline_transactions(spark, sf_dir):
     return plain(tables.current(spark, f"{root}/state"))
 
 
+@query
+def pipeline_transactions_bucketed(spark, sf_dir):
+    """The same batch merged into a state that rewrites only the buckets of the batch's keys."""
+    root = scratch_dir(spark, "buckets")
+    applied = F.expr("TIMESTAMP_NTZ'2026-02-01 08:00:00'")
+    buckets.create_buckets(b.transactions(spark, sf_dir), f"{root}/state", "transaction_id", 64)
+    batch = tables.publish(_latest_changes(spark, sf_dir), f"{root}/events", "APPEND")
+
+    def apply(target: DataFrame, source: DataFrame) -> DataFrame:
+        return cdc.apply_mixed(target, source, "transaction_id", PAYLOAD, applied_at=applied, broadcast_rows=100_000)
+
+    buckets.merge_into_buckets(spark, f"{root}/state", "transaction_id", batch, apply, 64)
+    return plain(buckets.read_buckets(spark, f"{root}/state"))
+
+
 # Versions, keys, checks
 
 
