@@ -17,6 +17,13 @@ def test_only_counted_frames_are_kept(spark):
     assert not bounds._held and small.count() == 100
 
 
+def test_few_but_wide_rows_are_not_broadcast(spark):
+    wide = spark.range(10).withColumn("text", F.repeat(F.lit("x"), 10_000))
+    assert bounds.sized_broadcast(wide, 100, max_bytes=50_000) is None
+    assert bounds.sized_broadcast(wide, 100) is not None
+    assert bounds.sized_broadcast(wide.limit(0), 100) is not None
+
+
 def test_a_long_table_is_not_scanned_for_the_count(spark):
     seen = spark.sparkContext.accumulator(0)
 

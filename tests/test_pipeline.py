@@ -69,6 +69,10 @@ def test_detail_history_layout(spark, tmp_path):
     assert layout["small"].rows == layout["compact"].rows == 200
     assert (layout["small"].source_files, layout["compact"].source_files) == (16, 1)
 
+    merged = health.compact(spark, small, f"{tmp_path}/merged")
+    assert merged.count() == 200 and len(merged.inputFiles()) == 1
+    assert sorted(merged.columns) == ["id", "p"]
+
     log = spark.range(30).select(
         F.when(F.col("id") < 25, "a").otherwise("b").alias("table_name"), F.col("id").alias("version")
     )

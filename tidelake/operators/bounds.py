@@ -28,10 +28,16 @@ def hold_if_small(df: DataFrame, max_rows: int) -> DataFrame | None:
     return held.drop("_hold")
 
 
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """``df`` marked for broadcast when it has at most ``max_rows`` rows, else None."""
+def sized_broadcast(df: DataFrame, max_rows: int, max_bytes: int = 128 << 20) -> DataFrame | None:
+    """``df`` marked for broadcast when both its rows and their text length keep the bounds, else None."""
     held = hold_if_small(df, max_rows)
-    return None if held is None else F.broadcast(held)
+    if held is None:
+        return None
+    width = F.length(F.struct(*[F.col(f"`{c}`") for c in held.columns]).cast("string"))
+    if (held.agg(F.sum(width)).first()[0] or 0) > max_bytes:
+        _held.pop().unpersist()
+        return None
+    return F.broadcast(held)
 
 
 def release() -> None:

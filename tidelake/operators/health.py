@@ -85,3 +85,11 @@ def file_layout(df: DataFrame, layout: str, file_column: str = "_source_file") -
         F.count(F.lit(1)).alias("source_files"),
         F.max("n").alias("largest_file_rows"),
     )
+
+
+def compact(spark: SparkSession, source: str, target: str, file_bytes: int = 512 << 20) -> DataFrame:
+    """Rewrite a parquet folder of small files as files of about ``file_bytes``; returns the new table."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
+    size = listed.agg(F.sum("length")).first()[0] or 0
+    spark.read.parquet(source).repartition(max(1, -(-size // file_bytes))).write.parquet(target)
+    return spark.read.parquet(target)
