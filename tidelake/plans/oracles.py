@@ -331,6 +331,19 @@ WHERE billing_origin_product = 'JOBS' AND p.job_id IS NOT NULL GROUP BY ALL""",
 SELECT usage_date, workspace_id, tag[1] AS tag_key, tag[2] AS tag_value, billing_origin_product, sku_name, usage_unit,
   {SUMS} FROM tagged GROUP BY ALL""",
     "cost_kpis": _kpis(),
+    "event_kpis": """WITH days AS (
+  SELECT event_type, CAST(ts AS DATE) AS day, CAST(value AS DECIMAL(12,2)) AS amount FROM events
+)
+SELECT event_type, max(day) AS latest_usage_date,
+  CAST(sum(CASE WHEN day = DATE '2024-01-20' THEN amount ELSE 0 END) AS DOUBLE) AS value_today,
+  CAST(sum(CASE WHEN day BETWEEN DATE '2024-01-01' AND DATE '2024-01-20' THEN amount ELSE 0 END) AS DOUBLE) AS value_mtd,
+  CAST(sum(CASE WHEN day BETWEEN DATE '2024-01-14' AND DATE '2024-01-20' THEN amount ELSE 0 END) AS DOUBLE)
+    AS value_last_7_days,
+  CAST(sum(CASE WHEN day BETWEEN DATE '2024-01-07' AND DATE '2024-01-13' THEN amount ELSE 0 END) AS DOUBLE)
+    AS value_previous_7_days,
+  CAST(sum(CASE WHEN day BETWEEN DATE '2023-12-01' AND DATE '2023-12-31' THEN amount ELSE 0 END) AS DOUBLE)
+    AS value_previous_month
+FROM days GROUP BY event_type""",
     "job_runs": f"""WITH {PERIODS}, {JOBS}, collapsed AS (
   SELECT workspace_id, job_id, l_orderkey AS run_id, min(period_start) AS run_start_time,
     max(period_end) AS run_end_time, max(o_orderpriority) AS trigger_type, max(l_returnflag) AS run_type,
@@ -500,6 +513,7 @@ WHERE operation = 'DELETE' GROUP BY 1""",
   CASE WHEN count(*) > 0 THEN 'PASS' ELSE 'FAIL' END AS result FROM ({PAIRS})""",
     "stream_landing_route": """SELECT o_orderkey AS order_id, o_custkey AS customer_id,
   CAST(o_orderdate AS DATE) AS order_date, o_orderstatus AS status,
+  CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END AS channel,
   CASE WHEN o_orderstatus <> 'P' THEN make_date(CAST(year(o_orderdate) AS BIGINT), 1, 1) END AS ingestion_date,
   CASE WHEN o_orderstatus = 'P' THEN 'INVALID_SOURCE_PATH' END AS _quarantine_reason
 FROM orders""",

@@ -281,6 +281,16 @@ def cost_kpis(spark, sf_dir):
     return plain(costs.cost_kpis(b.usage(spark, sf_dir), b.list_prices(spark, sf_dir), AS_OF))
 
 
+@query
+def event_kpis(spark, sf_dir):
+    """Period sums of another fact: event values per type."""
+    events = b.table(spark, sf_dir, "events").selectExpr(
+        "event_type", "CAST(ts AS DATE) AS day", "CAST(value AS DECIMAL(12,2)) AS amount"
+    )
+    as_of = F.lit("2024-01-20").cast("date")
+    return plain(costs.period_sums(events, ["event_type"], "day", {"value": F.col("amount")}, as_of))
+
+
 @query
 def job_runs(spark, sf_dir):
     return runs.job_runs(b.run_timeline(spark, sf_dir), b.jobs(spark, sf_dir), tie=["change_id"])
@@ -609,19 +619,21 @@ def interval_delay_check(spark, sf_dir):
 
 @query
 def stream_landing_route(spark, sf_dir):
-    """Orders landed as CSV folders, pending ones in folders that break the contract."""
+    """Orders landed as CSV folders; pending ones have one column more and break the path contract."""
     out = scratch_dir(spark, "landing")
     orders = b.table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS order_id",
         "o_custkey AS customer_id",
         "CAST(o_orderdate AS DATE) AS order_date",
         "o_orderstatus AS status",
+        "o_orderpriority AS channel",
         "concat(year(o_orderdate), '-01-01') AS folder",
         "quarter(o_orderdate) AS batch",
     )
-    for pending, name in ((False, "ingestion_date"), (True, "ingestion_dt")):
-        part = orders.filter((F.col("status") == "P") == F.lit(pending)).withColumnRenamed("folder", name)
-        part.write.partitionBy(name, "batch").option("header", True).mode("append").csv(f"{out}/raw")
+    settled = orders.filter("status <> 'P'").drop("channel").withColumnRenamed("folder", "ingestion_date")
+    pending = orders.filter("status = 'P'").withColumnRenamed("folder", "ingestion_dt")
+    for part, folder in ((settled, "ingestion_date"), (pending, "ingestion_dt")):
+        part.write.partitionBy(folder, "batch").option("header", True).mode("append").csv(f"{out}/raw")
     land_files(
         spark,
         f"{out}/raw",
@@ -630,12 +642,14 @@ def stream_landing_route(spark, sf_dir):
             f"{out}/valid", f"{out}/quarantine", r".*/ingestion_date=\d{4}-\d{2}-\d{2}/batch=\d+/[^/]+\.csv$"
         ),
         schema_location=f"{out}/schema",
+        hints={"order_id": "bigint", "customer_id": "bigint"},
+    )
+    routed = tables.read_evolving(spark, f"{out}/valid").unionByName(
+        tables.read_evolving(spark, f"{out}/quarantine"), allowMissingColumns=True
+    )
+    return routed.select(
+        "order_id", "customer_id", "order_date", "status", "channel", "ingestion_date", "_quarantine_reason"
     )
-    columns = ["order_id", "customer_id", "order_date", "status", "ingestion_date"]
-    valid = tables.read_evolving(spark, f"{out}/valid").select(*columns)
-    broken = tables.read_evolving(spark, f"{out}/quarantine").select(*columns, "_quarantine_reason")
-    routed = valid.unionByName(broken, allowMissingColumns=True)
-    return routed.withColumns({"order_id": F.col("order_id").cast("long"), "customer_id": F.col("customer_id").cast("long")})
 
 
 @query
