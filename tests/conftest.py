@@ -13,7 +13,8 @@ def spark():
     session = get_spark(
         "tidelake-tests",
         "local[8]",
-        spark_sql_shuffle_partitions="8",
+        spark_sql_shuffle_partitions="4",
+        spark_default_parallelism="4",
         spark_ui_enabled="false",
         spark_driver_memory="6g",
     )
