@@ -10,6 +10,8 @@ sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as entry  # noqa: E402
 import oracle  # noqa: E402
+from tidelake.plans.oracles import ORACLES  # noqa: E402
+from tidelake.plans.queries import QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -17,14 +19,14 @@ def con(sf_dir):
     return oracle.connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, con, sf_dir, name):
     assert oracle.compare(con, entry.queries()[name](spark, sf_dir), entry.oracle_sql()[name]) is None
 
 
 def test_every_query_has_sql_or_is_a_listing():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"table_detail"}
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) - set(ORACLES) == {"table_detail"}
+    assert set(ORACLES) <= set(QUERIES)
 
 
 def test_entry(spark):
@@ -36,7 +38,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in sorted(entry.queries()) if not n.startswith(("stream_", "pipeline_"))])
+@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if not n.startswith(("stream_", "pipeline_"))])
 def test_plans_have_no_pair_of_everything(spark, sf_dir, name):
     text = plan(entry.queries()[name](spark, sf_dir))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
