@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +13,7 @@ from tidelake.session import scratch_dir
 
 BATCH_ROWS = 2_000
 BATCH_BYTES = 32 << 20
-WORD_MEMO = 400_000
+BROADCAST_ROWS = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +39,12 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def matching(df: DataFrame, chosen: DataFrame, on: list[str]) -> DataFrame:
+    """``df`` joined with a written table of narrow rows; sent to all tasks only while its count is small."""
+    few = chosen.count() <= BROADCAST_ROWS
+    return df.join(F.broadcast(chosen) if few else chosen, on)
+
+
 def pieces_of(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of (first row, UTF-8 texts) of a batch, each of at most ``most_bytes`` unless one text is longer."""
     start, texts, total = 0, [], 0
@@ -54,16 +59,6 @@ def pieces_of(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) ->
         yield start, texts
 
 
-class WordHashes(dict):
-    """64-bit hash of each word, remembered while the worker's memo has room."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_MEMO:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
 def mixed(h: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values, so that their order is as good as random."""
     h = h ^ (h >> np.uint64(30))
@@ -73,22 +68,65 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingle_set(text: bytes, width: int, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct hashes of the ``width``-word shingles of a text.
+BASE = 0x9E3779B97F4A7C15
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = np.arange(256)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+_VALUES = mixed(_LOWER.astype(np.uint64) + np.uint64(1))
+
+
+def _powers(base: int, count: int) -> np.ndarray:
+    out = np.full(count, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+class ShingleSets:
+    """Sorted distinct 64-bit hashes of the ``width``-word shingles of texts.
 
     Words are runs without ASCII white space, A-Z lowered. Fewer words than ``width`` make one
-    shingle of all of them, no word makes none.
+    shingle of all of them, no word makes none. All texts of a call are hashed together: a word's
+    hash is the difference of two running sums of its bytes, weighted by powers of an odd number.
     """
-    words = text.lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    span = min(width, len(words))
-    rolled = np.full(len(words) - span + 1, span, np.uint64)
-    for k in range(span):
-        rolled = (rolled ^ h[k : len(words) - span + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
-        rolled ^= rolled >> np.uint64(29)
-    return np.unique(mixed(rolled))
+
+    def __init__(self, width: int) -> None:
+        self.width, self.power, self.inverse = width, _powers(BASE, 2), _powers(pow(BASE, -1, 1 << 64), 2)
+
+    def of_piece(self, texts: list[bytes]) -> list[np.ndarray]:
+        flat = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+        if len(flat) > len(self.power):
+            self.power = _powers(BASE, 2 * len(flat))
+            self.inverse = _powers(pow(BASE, -1, 1 << 64), 2 * len(flat))
+        space = _SPACE[flat]
+        start = np.flatnonzero(~space & np.r_[True, space[:-1]])
+        end = np.flatnonzero(space & np.r_[False, ~space[:-1]])
+        sums = np.cumsum(_VALUES[flat] * self.power[: len(flat)], dtype=np.uint64)
+        h = mixed((sums[end - 1] - np.where(start > 0, sums[start - 1], np.uint64(0))) * self.inverse[start])
+        sizes = np.array([len(t) + 1 for t in texts])
+        words = np.diff(np.searchsorted(start, np.r_[0, np.cumsum(sizes)]))
+        rolled = np.full(max(0, len(h) - self.width + 1), self.width, np.uint64)
+        for k in range(self.width):
+            rolled = (rolled ^ h[k : k + len(rolled)]) * np.uint64(BASE)
+            rolled ^= rolled >> np.uint64(29)
+        rolled = mixed(rolled)
+        out, at = [], 0
+        for count in words.tolist():
+            if count >= self.width:
+                own = np.sort(rolled[at : at + count - self.width + 1])
+                out.append(own[np.r_[True, own[1:] != own[:-1]]])
+            elif count:
+                short = np.uint64(count)
+                for word in h[at : at + count]:
+                    short = mixed(np.array([short ^ word], np.uint64) * np.uint64(BASE))[0]
+                out.append(np.array([short], np.uint64))
+            else:
+                out.append(np.empty(0, np.uint64))
+            at += count
+        return out
+
+    def __call__(self, batch: pa.RecordBatch, column: str = "text") -> list[np.ndarray]:
+        return [own for _, texts in pieces_of(batch, column, 1 << 20) for own in self.of_piece(texts)]
 
 
 def signed(values: np.ndarray) -> np.ndarray:

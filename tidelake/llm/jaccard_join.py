@@ -24,20 +24,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.llm.common import (
-    WordHashes,
+    ShingleSets,
     arrow_map,
     connected,
+    matching,
     mixed,
     saved,
-    shingle_set,
     signed,
 )
 
 BINS = 1 << 20
 CHUNK = 1 << 16
-ENTRIES_PER_BUCKET = 500_000
+ENTRIES_PER_BUCKET = 700_000
 FLUSH = 1_500_000
-SMALL_LIST = 6
+SMALL_LIST = 64
 SALTED_LIST = 20_000
 SEEN = 500_000
 
@@ -54,19 +54,23 @@ def set_name(tokens: np.ndarray) -> int:
     return int(signed(name)[0])
 
 
-def _texts(batch: pa.RecordBatch) -> list[bytes]:
-    return [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
+def shared_at_least(n):
+    """Prefixes of sets from this size on are so long that similar sets share this many shingles in them.
+
+    One would do for finding pairs. Some more make prefixes a little longer and rule out the pairs
+    that have only a passage in common, before any set is fetched.
+    """
+    return 1 + n // 20
 
 
 def _name_sets(width: int):
     """Per document its set's size and name, and the task's count of shingles by hash bin."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = WordHashes(), np.zeros(BINS, np.int64)
+        sets, counts = ShingleSets(width), np.zeros(BINS, np.int64)
         for batch in batches:
             n, names = [], []
-            for text in _texts(batch):
-                tokens = shingle_set(text, width, hashes)
+            for tokens in sets(batch):
                 n.append(len(tokens))
                 names.append(set_name(tokens))
                 # The tokens of one set are distinct; two in one bin count once, which only blurs.
@@ -169,11 +173,10 @@ def _entries(width: int, percent: int, shared_levels, bits: int):
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part), kinds)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen, found, held, level = WordHashes(), set(), [], 0, shared_levels.value
+        sets, seen, found, held, level = ShingleSets(width), set(), [], 0, shared_levels.value
         for batch in batches:
             ids = batch.column("doc_id").is_valid().to_pylist()
-            for text, has_id in zip(_texts(batch), ids, strict=True):
-                tokens = shingle_set(text, width, hashes)
+            for tokens, has_id in zip(sets(batch), ids, strict=True):
                 name = set_name(tokens)
                 if not len(tokens) or not has_id or name in seen:
                     continue
@@ -181,7 +184,7 @@ def _entries(width: int, percent: int, shared_levels, bits: int):
                     seen.clear()
                 seen.add(name)
                 size = len(tokens)
-                keep = size - (percent * size + 99) // 100 + 1
+                keep = min(size, size - (percent * size + 99) // 100 + shared_at_least(size))
                 lev = level[(tokens >> np.uint64(44)).astype(np.int64)]
                 if lev.any():
                     order = np.lexsort((tokens, lev))[:keep]
@@ -202,7 +205,7 @@ def _index(percent: int):
 
     def passes(n1, p1, n2, p2):
         need = -(-percent * (n1 + n2) // (100 + percent))
-        rest = 1 + np.minimum(n1 - p1, n2 - p2) - 1
+        rest = np.minimum(p1, p2) + np.minimum(n1 - p1, n2 - p2)
         return (100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2)) & (rest >= need)
 
     def run(group: pa.Table) -> pa.Table:
@@ -226,7 +229,7 @@ def _index(percent: int):
         def pairs_of(tok, cls, n, pos):
             """All pairs of one list, by blocks of equal (size, position)."""
             if not len(tok):
-                return np.empty(0, np.int64), np.empty(0, np.int64)
+                return tuple(np.empty((3, 0), np.int64))
             start = np.flatnonzero(np.r_[True, (np.diff(tok) != 0) | (np.diff(n) != 0) | (np.diff(pos) != 0)])
             size = np.diff(np.r_[start, len(tok)])
             left, right, k = [], [], 0
@@ -242,16 +245,22 @@ def _index(percent: int):
                 at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                 a = np.repeat(start[i], count) + at // np.repeat(size[j], count)
                 b = np.repeat(start[j], count) + at % np.repeat(size[j], count)
-                left.append(cls[a[a < b]])
-                right.append(cls[b[a < b]])
+                left.append(a[a < b])
+                right.append(b[a < b])
                 k += 1
-            return np.concatenate(left or [cls[:0]]), np.concatenate(right or [cls[:0]])
-
-        small = (per_entry > 1) & (per_entry <= SMALL_LIST)
-        a, b = pairs_of(tok[small], cls[small], n[small], pos[small])
-        lefts, rights = [a], [b]
-        large = per_entry > SMALL_LIST
-        lo = 0
+            a, b = np.concatenate(left or [start[:0]]), np.concatenate(right or [start[:0]])
+            return np.minimum(cls[a], cls[b]), np.maximum(cls[a], cls[b]), shared_at_least(np.minimum(n[a], n[b]))
+
+        # A salted list is a part of one, however few entries it has here.
+        large = (per_entry > SMALL_LIST) | (group.column("salt")[0].as_py() > 0)
+        small = (per_entry > 1) & ~large
+        a, b, least = pairs_of(tok[small], cls[small], n[small], pos[small])
+        order = np.lexsort((b, a))
+        a, b, least = a[order], b[order], least[order]
+        start = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else a
+        common = np.diff(np.r_[start, len(a)]) if len(a) else a
+        a, b, least = a[start], b[start], least[start]
+        lefts, rights = [], []
         big = np.flatnonzero(large)
         edges = np.r_[0, np.flatnonzero(np.diff(tok[big]) != 0) + 1, len(big)] if len(big) else [0]
         for lo, hi in zip(edges, edges[1:]):
@@ -265,13 +274,14 @@ def _index(percent: int):
                 lefts.append(np.full(len(near), cls[lead]))
                 rights.append(cls[near])
                 at += 1 + len(rest)
-        a, b = np.concatenate(lefts), np.concatenate(rights)
-        a, b = np.minimum(a, b), np.maximum(a, b)
-        pairs = np.unique(np.stack([a, b], 1), axis=0) if len(a) else np.empty((0, 2), np.int64)
-        none = pa.nulls(len(pairs), pa.int64())
+        led = np.concatenate([np.empty(0, np.int64), *lefts]), np.concatenate([np.empty(0, np.int64), *rights])
+        led = np.unique(np.stack([np.minimum(*led), np.maximum(*led)], 1), axis=0)
+        zeros = np.zeros(len(led), np.int64)
         return pa.concat_tables(
             [
-                pa.table({"tok": none, "a": pairs[:, 0], "b": pairs[:, 1], "n": none, "pos": none}),
+                pa.table({"tok": pa.nulls(len(a), pa.int64()), "a": a, "b": b, "n": least, "pos": common}),
+                # Leader pairs are compared whatever their number of common shingles.
+                pa.table({"tok": pa.nulls(len(led), pa.int64()), "a": led[:, 0], "b": led[:, 1], "n": zeros, "pos": zeros}),
                 pa.table(
                     {
                         "tok": signed(tok[large]),
@@ -289,12 +299,16 @@ def _index(percent: int):
 
 def _packed_sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        shingles = ShingleSets(width)
         for batch in batches:
-            sets = [shingle_set(t, width, hashes) for t in _texts(batch)]
+            sets = shingles(batch)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([set_name(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                ["cls", "tokens"],
+                [
+                    pa.array([set_name(s) for s in sets], pa.int64()),
+                    batch.column("wanted"),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                ],
+                ["cls", "wanted", "tokens"],
             )
 
     return run
@@ -343,14 +357,18 @@ def similar_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     )
     level.unpersist()
 
-    pairs = index.filter("b is not null").select("a", "b").distinct()
+    # Similar sets that meet in no large list share that many prefix shingles in small ones.
+    found = index.filter("b is not null").groupBy("a", "b").agg(F.sum("pos").alias("common"), F.min("n").alias("least"))
+    pairs = saved(found.filter("common >= least").select("a", "b"), "jaccard-pairs")
     large = index.filter("b is null").select("tok", F.col("a").alias("cls"), "n", "pos")
     wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls")))
     wanted = wanted.unionByName(large.select("cls")).distinct()
     chosen = classes.join(wanted, "cls").filter("doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    texts = docs.join(chosen.select("doc_id", F.col("cls").alias("wanted")), "doc_id").select("doc_id", "text")
-    sets = arrow_map(texts, _packed_sets(width), "cls long, tokens binary")
-    sets = saved(sets.join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "jaccard-sets")
+    chosen = saved(chosen.select("doc_id", F.col("cls").alias("wanted")), "jaccard-chosen")
+    texts = matching(docs, chosen, ["doc_id"]).select("wanted", "text")
+    # A doc_id may have rows with other texts; only the set asked for is kept, and once.
+    sets = arrow_map(texts, _packed_sets(width), "cls long, wanted long, tokens binary").filter("cls = wanted")
+    sets = saved(sets.select("cls", "tokens"), "jaccard-sets")
 
     def overlaps(pairs: DataFrame, label: str) -> DataFrame:
         sided = pairs.join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("tb")), "b")
@@ -425,7 +443,7 @@ def _across(large, known, links, labels, overlaps, percent) -> DataFrame:
         .join(right, ["tok", "b"])
         .filter(
             f"100 * least(n1, n2) >= {percent} * greatest(n1, n2)"
-            f" and {100 + percent} * least(n1 - p1, n2 - p2) >= {percent} * (n1 + n2)"
+            f" and {100 + percent} * (least(p1, p2) + least(n1 - p1, n2 - p2)) >= {percent} * (n1 + n2)"
         )
         .select(F.least("y", "z").alias("a"), F.greatest("y", "z").alias("b"))
         .distinct()
