@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.session import scratch_dir
 
+# The functions of this package travel with the tasks, so that workers need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules["tidelake.llm"])
+
 BATCH_ROWS = 2_000
 BATCH_BYTES = 32 << 20
 BROADCAST_ROWS = 200_000
@@ -24,10 +29,11 @@ def arrow_map(
     df: DataFrame,
     function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
     schema: str,
+    rows: int = BATCH_ROWS,
 ) -> DataFrame:
     """``mapInArrow`` with batches bounded in rows and bytes, so that long texts do not add up in a worker."""
     conf = df.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(function, schema)
 

@@ -39,6 +39,9 @@ ENTRIES_PER_BUCKET = 700_000
 FLUSH = 1_500_000
 SMALL_LIST = 64
 SALTED_LIST = 20_000
+SHARED_PART = 12
+WIDESPREAD = 24
+MOST_WIDESPREAD = 1 << 20
 SEEN = 500_000
 
 ENTRY = "bucket int, salt int, tok binary, doc binary, pos binary, cls binary, n binary"
@@ -60,7 +63,7 @@ def shared_at_least(n):
     One would do for finding pairs. Some more make prefixes a little longer and rule out the pairs
     that have only a passage in common, before any set is fetched.
     """
-    return 1 + n // 20
+    return 1 + n // SHARED_PART
 
 
 def _name_sets(width: int):
@@ -126,16 +129,36 @@ def _bin_counts(written: DataFrame) -> np.ndarray:
     return counts
 
 
-def levels(counts: np.ndarray) -> np.ndarray:
-    """By how much a bin's count stands out; 0 for bins no fuller than chance fills them.
+def _in_bins(width: int, full):
+    """The task's shingles that fall in bins fuller than usual, counted."""
 
-    Ordered by (level, hash), shingles of widespread passages come last, so that prefixes avoid them.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, chosen = ShingleSets(width), full.value
+        for batch in batches:
+            kept = [t[chosen[(t >> np.uint64(44)).astype(np.int64)]] for t in sets(batch)]
+            tok, n = np.unique(np.concatenate([np.empty(0, np.uint64), *kept]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(tok)), pa.array(n)], ["tok", "n"])
+
+    return run
+
+
+def widespread(docs: DataFrame, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles in more than ``WIDESPREAD`` documents, sorted, and in how many; at most ``MOST_WIDESPREAD``, the commonest.
+
+    Ordered by (this count, hash), shingles of widespread passages come last, so prefixes avoid them.
+    The order may be any; only the length of index lists depends on it. Counted are the shingles of
+    bins that stand out, a few hundredths of all, by a grouped sum.
     """
-    usual = np.median(counts)
-    return np.maximum(0, counts - (usual + 6 * np.sqrt(usual) + 8)).astype(np.int64)
+    usual = float(np.median(counts))
+    full = docs.sparkSession.sparkContext.broadcast(counts > usual + 2 * np.sqrt(usual) + WIDESPREAD // 4)
+    sums = arrow_map(docs.select("text"), _in_bins(width, full), "tok long, n long").groupBy("tok").agg(F.sum("n").alias("n"))
+    found = sums.filter(F.col("n") > WIDESPREAD).orderBy(F.desc("n"), "tok").limit(MOST_WIDESPREAD).toArrow()
+    tok = found.column("tok").to_numpy().view(np.uint64)
+    order = np.argsort(tok)
+    return tok[order], found.column("n").to_numpy()[order]
 
 
-def _entries(width: int, percent: int, shared_levels, bits: int):
+def _entries(width: int, percent: int, common, bits: int):
     """Prefix entries packed by bucket of the shingle's hash; widespread shingles spread over salts."""
 
     def pack(found: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +196,8 @@ def _entries(width: int, percent: int, shared_levels, bits: int):
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part), kinds)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, seen, found, held, level = ShingleSets(width), set(), [], 0, shared_levels.value
+        sets, seen, found, held = ShingleSets(width), set(), [], 0
+        often, level = common.value
         for batch in batches:
             ids = batch.column("doc_id").is_valid().to_pylist()
             for tokens, has_id in zip(sets(batch), ids, strict=True):
@@ -185,7 +209,10 @@ def _entries(width: int, percent: int, shared_levels, bits: int):
                 seen.add(name)
                 size = len(tokens)
                 keep = min(size, size - (percent * size + 99) // 100 + shared_at_least(size))
-                lev = level[(tokens >> np.uint64(44)).astype(np.int64)]
+                lev = np.zeros(size, np.int64)
+                if len(often):
+                    at = np.minimum(np.searchsorted(often, tokens), len(often) - 1)
+                    lev = np.where(often[at] == tokens, level[at], 0)
                 if lev.any():
                     order = np.lexsort((tokens, lev))[:keep]
                     tokens, lev = tokens[order], lev[order]
@@ -347,19 +374,20 @@ def similar_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     classes = named.filter("chunk is null").select("doc_id", "n", "cls")
     total = int(counts.sum()) * (100 - percent) // 100
     bits = max(0, (total // ENTRIES_PER_BUCKET).bit_length())
-    level = spark.sparkContext.broadcast(levels(counts))
-    entries = arrow_map(docs, _entries(width, percent, level, bits), ENTRY)
+    common = spark.sparkContext.broadcast(widespread(docs, counts, width))
+    entries = arrow_map(docs, _entries(width, percent, common, bits), ENTRY)
     index = saved(
         entries.groupBy("bucket", "salt").applyInArrow(
             _index(percent), "tok long, a long, b long, n long, pos long"
         ),
         "jaccard-index",
     )
-    level.unpersist()
+    common.unpersist()
 
     # Similar sets that meet in no large list share that many prefix shingles in small ones.
     found = index.filter("b is not null").groupBy("a", "b").agg(F.sum("pos").alias("common"), F.min("n").alias("least"))
-    pairs = saved(found.filter("common >= least").select("a", "b"), "jaccard-pairs")
+    found = saved(found, "jaccard-found")
+    pairs = found.filter("common >= least").select("a", "b")
     large = index.filter("b is null").select("tok", F.col("a").alias("cls"), "n", "pos")
     wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls")))
     wanted = wanted.unionByName(large.select("cls")).distinct()
@@ -380,7 +408,7 @@ def similar_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     edges = known.filter(links).select("a", "b")
     labels = connected(edges, "jaccard-first")
     if not large.isEmpty():
-        edges = edges.unionByName(_across(large, known, links, labels, overlaps, percent))
+        edges = edges.unionByName(_across(large, found, known, links, labels, overlaps, percent))
         labels = connected(edges, "jaccard-all")
 
     reached = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
@@ -393,7 +421,7 @@ def similar_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     )
 
 
-def _across(large, known, links, labels, overlaps, percent) -> DataFrame:
+def _across(large, found, known, links, labels, overlaps, percent) -> DataFrame:
     """Links between sets of one large list that the leaders' links have not connected yet."""
     linked = known.filter(links)
     sides = linked.select(F.col("b").alias("cls"), F.col("a").alias("lead"), F.expr("nb - inter").alias("extra"))
@@ -426,9 +454,18 @@ def _across(large, known, links, labels, overlaps, percent) -> DataFrame:
     met = entries.select("tok", "lead", "component").distinct()
     other = met.select("tok", F.col("lead").alias("b"), F.col("component").alias("other"))
     met = met.join(other, "tok").filter("component != other and lead < b").select(F.col("lead").alias("a"), "b")
-    compared = overlaps(met.distinct(), "jaccard-leaders")
+    met = met.groupBy("a", "b").agg(F.count("*").alias("meetings"))
     for side in "ab":
-        compared = compared.join(groups.select([F.col(c).alias(f"{c}_{side}") for c in groups.columns]).withColumnRenamed(f"lead_{side}", side), side)
+        own = groups.select([F.col(c).alias(f"{c}_{side}" if c != "lead" else side) for c in groups.columns])
+        met = met.join(own, side)
+    # What two followers share in small lists counts beside the large lists their leaders meet in.
+    lead_of = entries.select("cls", "lead").distinct()
+    beside = found.filter("least > 0").join(lead_of.select(F.col("cls").alias("a"), F.col("lead").alias("x")), "a")
+    beside = beside.join(lead_of.select(F.col("cls").alias("b"), F.col("lead").alias("y")), "b")
+    beside = beside.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.max("common").alias("beside"))
+    enough = F.col("meetings") + F.coalesce("beside", F.lit(0)) >= 1 + F.floor(F.least("lo_a", "lo_b") / SHARED_PART)
+    met = saved(met.join(beside, ["a", "b"], "left").filter(enough), "jaccard-met")
+    compared = overlaps(met.select("a", "b"), "jaccard-leaders").join(met, ["a", "b"])
     joined = compared.filter(links).select("a", "b")
     # No follower pair can reach the threshold when even this bound stays below it.
     reachable = F.expr(

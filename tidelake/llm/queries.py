@@ -5,16 +5,78 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidelake.llm import jaccard_join
-from tidelake.llm.common import table
+from tidelake.llm import fingerprints, jaccard_join, suffix_dedup, url_filter, warc
+from tidelake.llm.common import saved, table
+from tidelake.session import scratch_dir
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(table(spark, sf_dir, "documents"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.printed(F.col("sketch")).alias("fingerprint"),
+        fingerprints.printed(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprints.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprints.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+URL_RULES = (
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judged(table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    read = warc.read_archives(spark, path).select(
+        "page_id",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        "refers_to",
+    )
+    read = saved(read, "warc-read")
+    responses = read.filter("record_type = 'response'")
+    # A revisit's payload is the one of the record it refers to.
+    sizes = responses.select(F.col("page_id").alias("refers_to"), "payload_bytes").dropDuplicates(["refers_to"])
+    revisits = read.filter("record_type = 'revisit'").drop("payload_bytes").join(sizes, "refers_to", "left")
+    return responses.unionByName(revisits)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
+    "op3_fingerprints": op3_fingerprints,
+    "op4_suffix_dedup": op4_suffix_dedup,
+    "op8_url_filter": op8_url_filter,
+    "op10_warc": op10_warc,
 }
 ORACLES: dict[str, str] = {}
