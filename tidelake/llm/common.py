@@ -25,6 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the public vocabulary file ``name`` is installed, the same on all machines."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def arrow_map(
     df: DataFrame,
     function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],

@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import fingerprints, jaccard_join, suffix_dedup, url_filter, warc
-from tidelake.llm.common import saved, table
+from tidelake.llm import (
+    fingerprints,
+    jaccard_join,
+    neighbours,
+    packing,
+    pii,
+    quality,
+    sentencepiece_codec,
+    suffix_dedup,
+    url_filter,
+    warc,
+)
+from tidelake.llm.common import saved, table, tokenizer_path
 from tidelake.session import scratch_dir
 
 
@@ -16,6 +27,13 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(table(spark, sf_dir, "documents"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and whether decoding them gives it back."""
+    path = tokenizer_path("piece_bpe_32k.model")
+    ids = sentencepiece_codec.encoded_and_decoded(table(spark, sf_dir, "documents"), path)
+    return ids.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "restored")
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
     return made.select(
@@ -40,6 +58,34 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.packed(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.found_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def listed(column: str):
+        return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind: str):
+        return F.size(F.filter("pii.base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[number(kind) for kind in pii.KINDS[:4]],
+        F.sha2(listed("pii.base"), 256).alias("base_sha256"),
+        listed("pii.spans").alias("spans"),
+    )
+
+
 URL_RULES = (
     ("allow", "com/"),
     ("block", "example.com/en/"),
@@ -54,6 +100,10 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -72,11 +122,23 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return responses.unionByName(revisits)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_fingerprints": op3_fingerprints,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_packing": op5_packing,
+    "op6_neighbours": op6_neighbours,
+    "op7_pii": op7_pii,
     "op8_url_filter": op8_url_filter,
+    "op9_quality": op9_quality,
     "op10_warc": op10_warc,
+    "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {}

@@ -159,3 +159,21 @@ def decoded(ids: DataFrame, model_path: str) -> DataFrame:
     Control pieces are silent, byte pieces are put together, damaged UTF-8 is replaced, NULL is empty.
     """
     return arrow_map(ids.select("doc_id", "ids"), _decode(model_path), "doc_id long, text string")
+
+
+def encoded_and_decoded(docs: DataFrame, model_path: str) -> DataFrame:
+    """(doc_id, ids, restored): the ids of each text, and whether decoding them gives the text back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Codec(model_path)
+        for batch in batches:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            ids = [codec.encode(t) for t in texts]
+            restored = [codec.decode(i) == t for i, t in zip(ids, texts)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(restored)],
+                ["doc_id", "ids", "restored"],
+            )
+
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    return arrow_map(rows, run, "doc_id long, ids array<int>, restored boolean")

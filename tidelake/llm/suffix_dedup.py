@@ -414,10 +414,10 @@ def _merge(group: pa.Table) -> pa.Table:
 def _cut(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, spans, sizes = [], [], []
+            kept, spans, sizes, clean = [], [], [], []
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             for text, marks in zip(texts, batch.column("marks").to_pylist(), strict=True):
-                text = text or b""
+                missing, text = text is None, text or b""
                 covered = _stretches(_positions(marks, COVERED), length - ANCHOR, length, len(text))
                 repeated = _stretches(_positions(marks, REPEATED), 0, length, len(text))
                 own = np.concatenate([covered, repeated])
@@ -435,6 +435,7 @@ def _cut(length: int):
                 kept.append(b"".join(out))
                 spans.append([{"start": lo, "end": hi} for lo, hi in own])
                 sizes.append(len(text))
+                clean.append(None if missing else kept[-1].decode("utf-8", "ignore"))
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -442,20 +443,22 @@ def _cut(length: int):
                     pa.array(sizes, pa.int64()),
                     pa.array(spans, span),
                     pa.array(kept, pa.binary()),
+                    pa.array(clean, pa.string()),
                     batch.column("carried"),
                 ],
-                ["doc_id", "n_bytes", "spans", "kept", "carried"],
+                ["doc_id", "n_bytes", "spans", "kept", "text", "carried"],
             )
 
     return run
 
 
 def without_repeats(docs: DataFrame, length: int = 50, carry: Sequence[str] = ()) -> DataFrame:
-    """(doc_id, n_bytes, spans, kept, carried) for each row of ``docs`` (doc_id, text, any others).
+    """(doc_id, n_bytes, spans, kept, text, carried) for each row of ``docs`` (doc_id, text, any others).
 
     A byte goes when a ``length``-byte string that covers it also starts in a document with a smaller
     doc_id; strings are judged on the input and do not cross documents. ``spans`` are the removed
-    runs [start, end), ``kept`` the remaining UTF-8 bytes, ``carried`` a struct of the columns named
+    runs [start, end), ``kept`` the remaining UTF-8 bytes, ``text`` those as characters, without ones cut
+    apart (NULL where it was NULL), ``carried`` a struct of the columns named
     in ``carry``. NULL text counts as empty. Rows that repeat a doc_id do not count as earlier than
     each other. A row without doc_id is neither searched nor cut. Empty tables give empty results.
     """
@@ -488,7 +491,7 @@ def without_repeats(docs: DataFrame, length: int = 50, carry: Sequence[str] = ()
     )
     marks = per_doc(marks.unionByName(merged))
     schema = (
-        "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, carried "
+        "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, text string, carried "
         + docs.schema["carried"].dataType.simpleString()
     )
     return arrow_map(docs.join(marks, ["doc_id", "th"], "left").select("doc_id", "text", "marks", "carried"), _cut(length), schema)
