@@ -35,14 +35,14 @@ from tidelake.llm.common import (
 
 BINS = 1 << 20
 CHUNK = 1 << 16
-ENTRIES_PER_BUCKET = 700_000
-FLUSH = 1_500_000
+ENTRIES_PER_BUCKET = 350_000
+FLUSH = 400_000
 SMALL_LIST = 64
 SALTED_LIST = 20_000
 SHARED_PART = 12
 WIDESPREAD = 24
 MOST_WIDESPREAD = 1 << 20
-SEEN = 500_000
+SEEN = 100_000
 
 ENTRY = "bucket int, salt int, tok binary, doc binary, pos binary, cls binary, n binary"
 
