@@ -27,10 +27,10 @@ from tidelake.llm.common import arrow_map, mixed, saved
 
 ANCHOR = 20
 GAP = 96
-PIECE_BYTES = 1 << 20
-SHARD_BYTES = 2 << 20
-ANCHORS_PER_BUCKET = 600_000
-FLUSH = 800_000
+PIECE_BYTES = 256 << 10
+SHARD_BYTES = 1 << 20
+ANCHORS_PER_BUCKET = 250_000
+FLUSH = 250_000
 
 BASE = np.uint64(0xD6E8FEB86659FD93)
 VALUES = mixed(np.arange(1, 258, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
