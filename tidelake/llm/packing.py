@@ -10,8 +10,10 @@ padding and are tried beside it.
 from __future__ import annotations
 
 import os
+import re
 from collections import deque
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +31,12 @@ BUFFER = 1_500_000
 MEMO = 600_000
 
 
+_FINAL_MARK = re.compile(rb"(?<=[a-z])([.,])(?=\s|$)")
+
+
 class WordTokens:
-    """Token ids of texts by a tokenizer that never joins what white space parts.
+    """Token ids of texts by a tokenizer that lowers case, never joins what white space parts and
+    marks where a word ends.
 
     Every distinct word is encoded once while the memo has room; a text is the sequence of its words.
     """
@@ -40,41 +46,71 @@ class WordTokens:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.special = [p.content.encode() for p in self.tokenizer.get_added_tokens_decoder().values()]
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.ids, self.used = np.empty(1 << 16, np.uint32), 0
-        self.start, self.size, self.ends = [], [], []
+        self.ids: list[np.ndarray] = [np.empty(0, np.uint32)]
+        self.size: list[np.ndarray] = [np.empty(0, np.int64)]
+        self.stop: list[np.ndarray] = [np.empty(0, bool)]
+
+    def encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some words, and how many each has.
+
+        A word of letters alone is one unit of the tokenizer and has one last piece, so many such
+        words are encoded as one text and told apart by their last pieces.
+        """
+        if all(map(str.isalpha, words)):
+            ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, np.uint32)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(words):
+                return ids, np.diff(np.r_[0, ends])
+        found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
 
     def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.known]
+        new = words.difference(self.known)
         if len(self.known) + len(new) > MEMO and self.known:
             self.forget()
-            new = list(words)
-        for word, found in zip(new, self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-            ids = found.ids
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.known[word] = len(self.start)
-            self.start.append(self.used)
-            self.size.append(len(ids))
-            self.ends.append(word[-1:] in b".!?")
-            self.used += len(ids)
+            new = words
+        new = [(w, w.decode()) for w in new]
+        plain = [pair for pair in new if pair[1].isalpha()]
+        others = [pair for pair in new if not pair[1].isalpha()]
+        for group in (plain, others):
+            for at in range(0, len(group), 2000):
+                part = group[at : at + 2000]
+                ids, sizes = self.encoded([text for _, text in part])
+                self.known.update(zip([w for w, _ in part], range(len(self.known), len(self.known) + len(part))))
+                self.ids.append(ids)
+                self.size.append(sizes)
+                self.stop.append(np.array([w[-1:] in b".!?" for w, _ in part]))
+        self.ids, self.size, self.stop = ([np.concatenate(c)] for c in (self.ids, self.size, self.stop))
+
+    def words(self, text: bytes) -> list[bytes]:
+        # Lowering the case first makes fewer words, but could write a special token.
+        low = text.lower()
+        low = text if any(s in low for s in self.special) else low
+        # A mark behind a letter is a unit of its own, with a space before it or not.
+        return _FINAL_MARK.sub(rb" \1", low).split()
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids, the number of ids of each text, and the places after which a sentence ends."""
-        words = [t.split() for t in texts]
-        self.learn(set().union(*map(set, words)))
-        at = np.fromiter((self.known[w] for own in words for w in own), np.int64, sum(map(len, words)))
-        start, size = np.array(self.start, np.int64)[at], np.array(self.size, np.int64)[at]
+        words = list(map(self.words, texts))
+        flat = list(chain.from_iterable(words))
+        self.learn(set(flat))
+        at = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+        size = self.size[0][at]
+        start = (np.cumsum(self.size[0]) - self.size[0])[at]
         before = np.cumsum(size) - size
-        ids = self.ids[np.arange(int(size.sum())) + np.repeat(start - before, size)] if len(at) else self.ids[:0]
+        ids = self.ids[0][np.arange(int(size.sum())) + np.repeat(start - before, size)]
         edges = np.r_[0, np.cumsum(list(map(len, words)))].astype(np.int64)
         sums = np.r_[0, np.cumsum(size)]
-        ends = (before + size)[np.array(self.ends, bool)[at]] if len(at) else at
-        return ids, sums[edges[1:]] - sums[edges[:-1]], ends
+        return ids, sums[edges[1:]] - sums[edges[:-1]], (before + size)[self.stop[0][at]]
 
 
 def best_cuts(places: np.ndarray, penalties: np.ndarray, window: int = WINDOW) -> list[int]:
