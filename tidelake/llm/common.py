@@ -49,7 +49,11 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: later steps neither repeat it nor depend on its executors."""
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    schema, spark = df.schema, df.sparkSession
+    del df
+    # What the step shuffled is of no more use; Spark deletes it once the garbage collector finds that out.
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def matching(df: DataFrame, chosen: DataFrame, on: list[str]) -> DataFrame:

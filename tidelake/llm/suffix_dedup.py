@@ -9,7 +9,7 @@ the corpus, so shards hold only the stretches of text that can matter:
    same surroundings, all windows around the anchor are repeats and nothing else need be looked at.
 2. Where anchors are shared but surroundings differ, the surroundings are cut out. Shards of these
    segments get a suffix array (Larsson-Sadakane refinement) and its common prefixes (Kasai), which
-   give each distinct window of a shard and the earliest document in it.
+   give its groups of equal windows and the earliest document of each.
 3. The shards' sorted windows are merged by hash range: each shard's windows are looked up by binary
    search in the merged ones, which tells it of earlier documents in other shards.
 """
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from tidelake.llm.common import arrow_map, mixed, saved
 
 ANCHOR = 20
+NEAR_BITS = 12
+DECIDED_BUCKETS = 256
 GAP = 96
 PIECE_BYTES = 256 << 10
 SHARD_BYTES = 1 << 20
@@ -41,22 +43,26 @@ def _power(k: int) -> np.uint64:
     return np.uint64(pow(int(BASE), k, 1 << 64))
 
 
-def window_hashes(symbols: np.ndarray, length: int, at: np.ndarray | None = None) -> np.ndarray:
-    """Polynomial hashes of all windows of ``length`` symbols (0-256), or of those starting at ``at``."""
-    span, h, levels = 1, VALUES[symbols], []
-    while True:
-        levels.append((span, h))
-        if span * 2 > length:
-            break
-        h = h[:-span] * _power(span) + h[span:]
-        span *= 2
-    starts = np.arange(max(0, len(symbols) - length + 1)) if at is None else at
-    out, done = np.zeros(len(starts), np.uint64), 0
-    for span, h in reversed(levels):
-        while length - done >= span:
-            out = out * _power(span) + h[starts + done]
-            done += span
-    return mixed(out)
+class WindowHashes:
+    """Polynomial hashes of windows of any length over symbols (0-256), put together from powers of two."""
+
+    def __init__(self, symbols: np.ndarray, most: int) -> None:
+        span, h = 1, VALUES[symbols]
+        self.levels = [(span, h)]
+        while span * 2 <= most:
+            h = h[:-span] * _power(span) + h[span:]
+            span *= 2
+            self.levels.append((span, h))
+
+    def __call__(self, length: int, starts: np.ndarray | slice) -> np.ndarray:
+        """Hashes of the windows of ``length`` that begin at ``starts``, given as places or as a slice."""
+        out, done = None, 0
+        for span, h in reversed(self.levels):
+            while length - done >= span:
+                part = h[starts.start + done : starts.stop + done] if isinstance(starts, slice) else h[starts + done]
+                out = part if out is None else out * _power(span) + part
+                done += span
+        return mixed(out)
 
 
 def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -79,10 +85,15 @@ def laid_out(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def anchors(texts: Sequence[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, position, anchor hash, hash of the surroundings) of every picked anchor."""
-    width = length - ANCHOR + 1
+    """(text number, position, anchor hash, hash of the surroundings) of every picked anchor.
+
+    The hash of the surroundings is one of all of them and two short ones, of the bytes right before
+    and right after the anchor. A window of ``length`` has all of one of these two parts.
+    """
+    width, half = length - ANCHOR + 1, (length - ANCHOR) // 2
     symbols, starts, ends = laid_out(texts)
-    grams = window_hashes(symbols, ANCHOR)
+    hashes = WindowHashes(symbols, 2 * length - ANCHOR)
+    grams = hashes(ANCHOR, slice(0, len(symbols) - ANCHOR + 1))
     step = np.zeros(len(grams) + 1, np.int32)
     long_enough = ends - starts >= length
     np.add.at(step, starts[long_enough], 1)
@@ -96,7 +107,9 @@ def anchors(texts: Sequence[bytes], length: int) -> tuple[np.ndarray, np.ndarray
     least[np.cumsum(whole[:-1]) == 0] = 0
     reach = _sliding(np.r_[np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)], width, np.maximum)
     at = np.flatnonzero(usable & (reach[: len(grams)] == grams))
-    around = window_hashes(symbols, 2 * length - ANCHOR, at - (length - ANCHOR))
+    around = hashes(2 * length - ANCHOR, at - (length - ANCHOR)) >> np.uint64(2 * NEAR_BITS) << np.uint64(2 * NEAR_BITS)
+    around |= hashes(half, at - half) >> np.uint64(64 - NEAR_BITS) << np.uint64(NEAR_BITS)
+    around |= hashes(half, at + ANCHOR) >> np.uint64(64 - NEAR_BITS)
     text = np.searchsorted(starts, at, side="right") - 1
     return text, at - starts[text], grams[at], around
 
@@ -163,12 +176,8 @@ def common_prefixes(symbols: np.ndarray, ends: np.ndarray, sa: np.ndarray, rank:
     return np.maximum(0, shared[origin] - (np.arange(n) - origin))
 
 
-def shard_windows(segments: Sequence[bytes], owners: np.ndarray, length: int):
-    """The distinct windows of a shard by its suffix array.
-
-    Returns, for every whole window in suffix order: its segment, offset, number of its group of
-    equal windows, and whether it belongs to an earlier owner's group than its own.
-    """
+def shard_windows(segments: Sequence[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Segment, offset and number of its group of equal windows, for every whole window in suffix order."""
     sizes = np.array([len(s) for s in segments], np.int64)
     ends = np.cumsum(sizes + 1) - 1
     symbols = np.zeros(int(sizes.sum()) + len(segments), np.int16)
@@ -181,10 +190,7 @@ def shard_windows(segments: Sequence[bytes], owners: np.ndarray, length: int):
     kept = sa[whole[sa]]
     # Suffixes shorter than a window cannot stand between two that share a whole window.
     new = np.r_[True, shared[kept[1:]] < length] if len(kept) else np.zeros(0, bool)
-    group = np.cumsum(new) - 1
-    owner = owners[segment[kept]]
-    least = np.minimum.reduceat(owner, np.flatnonzero(new)) if len(kept) else owner
-    return segment[kept], kept - (ends - sizes)[segment[kept]], group, owner > least[group]
+    return segment[kept], kept - (ends - sizes)[segment[kept]], np.cumsum(new) - 1
 
 
 MARK = "doc_id long, th long, kind int, pos binary"
@@ -217,6 +223,8 @@ POSTED_NAMES = ["bucket", "key", "around", "doc", "low", "high", "ids", "hashes"
 
 def _post(key, around, doc, pos, ids, hashes, bits: int) -> Iterator[pa.RecordBatch]:
     """Entries (key, around, doc, pos) packed by the top bits of the key."""
+    if not len(key):
+        return
     wide = around is key
     order = np.argsort(key)
     key, around, doc, pos = key[order], around[order], doc[order], pos[order]
@@ -230,7 +238,7 @@ def _post(key, around, doc, pos, ids, hashes, bits: int) -> Iterator[pa.RecordBa
             (
                 int(bucket[lo]),
                 key[lo:hi].tobytes() if wide else (key[lo:hi] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(),
-                b"" if wide else np.ascontiguousarray(around[lo:hi].view(np.uint16).reshape(-1, 4)[:, :3]).tobytes(),
+                b"" if wide else around[lo:hi].tobytes(),
                 local.astype(np.uint16).tobytes(),
                 (p & 0xFFFF).astype(np.uint16).tobytes(),
                 (p >> 16).astype(np.uint16).tobytes(),
@@ -244,15 +252,31 @@ def _post(key, around, doc, pos, ids, hashes, bits: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part), kinds)], POSTED_NAMES)
 
 
+def _decided(doc, pos, ids, hashes) -> Iterator[pa.RecordBatch]:
+    """Positions that need no merging, posted without keys to buckets of their own."""
+    if len(doc):
+        own, local = np.unique(doc, return_inverse=True)
+        bucket = -1 - int(ids[own[0]] % DECIDED_BUCKETS)
+        p = pos.astype(np.uint32)
+        row = (
+            bucket, b"", b"", local.astype(np.uint16).tobytes(), (p & 0xFFFF).astype(np.uint16).tobytes(),
+            (p >> 16).astype(np.uint16).tobytes(), ids[own].tobytes(), hashes[own].tobytes(),
+        )
+        kinds = [pa.int32(), *[pa.binary()] * 7]
+        yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], POSTED_NAMES)
+
+
+def _is_decided(group: pa.Table) -> bool:
+    return group.column("bucket")[0].as_py() < 0
+
+
 def _unpost(group: pa.Table, wide: bool):
     """The entries of one bucket and its documents: key, around, doc number, pos, ids, hashes, block number."""
     key, around, doc, pos, ids, hashes, block, count = [], [], [], [], [], [], [], 0
     for at, row in enumerate(group.to_pylist()):
         key.append(np.frombuffer(row["key"], np.uint64 if wide else np.uint32))
         if not wide:
-            full = np.zeros((len(key[-1]), 4), np.uint16)
-            full[:, :3] = np.frombuffer(row["around"], np.uint16).reshape(-1, 3)
-            around.append(full.view(np.uint64)[:, 0])
+            around.append(np.frombuffer(row["around"], np.uint64))
         doc.append(np.frombuffer(row["doc"], np.uint16).astype(np.int64) + count)
         pos.append(np.frombuffer(row["low"], np.uint16).astype(np.int64) | np.frombuffer(row["high"], np.uint16).astype(np.int64) << 16)
         ids.append(np.frombuffer(row["ids"], np.int64))
@@ -271,7 +295,17 @@ def _scan(length: int, bits: int):
 
         def flush():
             key, around, doc, pos = (np.concatenate(c) for c in zip(*parts))
-            return _post(key, around, doc, pos, np.array(ids, np.int64), np.array(hashes, np.int64), bits)
+            named, known = np.array(ids, np.int64), np.array(hashes, np.int64)
+            owner = named[doc]
+            order = np.lexsort((owner, around, key))
+            new = np.r_[True, (np.diff(key[order]) != 0) | (np.diff(around[order]) != 0)]
+            least = owner[order][new][np.cumsum(new) - 1]
+            # Behind an earlier document of this very task with the same surroundings: decided here.
+            later = np.zeros(len(key), bool)
+            later[order] = owner[order] > least
+            yield from _decided(doc[later], pos[later], named, known)
+            rest = ~later
+            yield from _post(key[rest], around[rest], doc[rest], pos[rest], named, known, bits)
 
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
@@ -302,6 +336,8 @@ def _scan(length: int, bits: int):
 def _settle(group: pa.Table) -> pa.Table:
     """One bucket's anchors: those covered by an earlier document's surroundings, and the open ones."""
     key, around, doc, pos, ids, hashes, _ = _unpost(group, wide=False)
+    if _is_decided(group):
+        return pa.Table.from_batches([_mark_batch(_marks(doc, pos, COVERED, ids, hashes))])
     owner = ids[doc]
     order = np.lexsort((owner, around, key))
     key, around, doc, pos, owner = key[order], around[order], doc[order], pos[order], owner[order]
@@ -310,12 +346,19 @@ def _settle(group: pa.Table) -> pa.Table:
     starts = np.flatnonzero(new_class)
     class_of = np.cumsum(new_class) - 1
     covered = owner > owner[starts][class_of]  # sorted by owner within a class
-    key_of = np.cumsum(new_key) - 1
-    key_starts = np.flatnonzero(new_key)
-    classes = np.bincount(key_of[starts], minlength=len(key_starts))
-    low, high = np.minimum.reduceat(owner, key_starts), np.maximum.reduceat(owner, key_starts)
-    open_key = (classes > 1) & (low != high)
-    is_open = open_key[key_of] & ~covered
+    first = np.zeros(len(key), bool)
+    first[starts] = True
+    is_open = np.zeros(len(key), bool)
+    for shift in (0, NEAR_BITS):
+        # Only where the bytes on one side agree too can two documents share a whole window.
+        near = around >> np.uint64(shift) & np.uint64((1 << NEAR_BITS) - 1)
+        order = np.lexsort((near, key))
+        group = np.r_[True, (np.diff(key[order]) != 0) | (np.diff(near[order]) != 0)]
+        begin, of = np.flatnonzero(group), np.cumsum(group) - 1
+        classes = np.bincount(of, weights=first[order], minlength=len(begin))
+        low, high = np.minimum.reduceat(owner[order], begin), np.maximum.reduceat(owner[order], begin)
+        is_open[order] |= ((classes > 1) & (low != high))[of]
+    is_open &= ~covered
     rows = _marks(doc[covered], pos[covered], COVERED, ids, hashes)
     rows += _marks(doc[is_open], pos[is_open], OPEN, ids, hashes)
     return pa.Table.from_batches([_mark_batch(rows)])
@@ -337,35 +380,27 @@ def _stretches(at: np.ndarray, before: int, after: int, size: int) -> np.ndarray
 
 
 def _shards(length: int, bits: int):
-    """Suffix arrays of the open stretches; posts each shard's windows, marks what the shard itself shows."""
+    """Suffix arrays of the open stretches; each shard's windows, posted by the range of their hash."""
 
-    def windows(segments: list[bytes], own: list[tuple], ids: np.ndarray, hashes: np.ndarray):
-        place = np.array([(d, at) for d, at in own], np.int64)
-        segment, offset, group, later = shard_windows(segments, ids[place[:, 0]], length)
+    def posted(segments: list[bytes], own: list[tuple], ids: np.ndarray, hashes: np.ndarray):
+        place = np.array(own, np.int64)
+        segment, offset, group = shard_windows(segments, length)
         doc, pos = place[segment, 0], place[segment, 1] + offset
-        rows = _marks(doc[later], pos[later], REPEATED, ids, hashes)
-        first = ~later
         # One hash a group of equal windows, from the first of it.
         lead = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.empty(0, np.int64)
         symbols, starts, _ = laid_out(segments)
-        named = window_hashes(symbols, length, starts[segment[lead]] + offset[lead])
-        return rows, named[group[first]], doc[first], pos[first]
+        key = WindowHashes(symbols, length)(length, starts[segment[lead]] + offset[lead])[group]
+        owner = ids[doc]
+        later = owner > np.minimum.reduceat(owner, lead)[group] if len(lead) else np.zeros(0, bool)
+        yield from _decided(doc[later], pos[later], ids, hashes)
+        key = key[~later]
+        yield from _post(key, key, doc[~later], pos[~later], ids, hashes, bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segments, own, ids, hashes, held = [], [], [], [], 0
-
-        def flush():
-            known, named = np.array(ids, np.int64), np.array(hashes, np.int64)
-            rows, key, doc, pos = windows(segments, own, known, named)
-            marked = _mark_batch(rows)
-            yield _both(marked, None)
-            if len(key):
-                for posted in _post(key, key, doc, pos, known, named, bits):
-                    yield _both(None, posted)
-
         for batch in batches:
             for row in batch.to_pylist():
-                text = row["text"].encode() if isinstance(row["text"], str) else row["text"]
+                text = row["text"].encode()
                 at = _positions(row["marks"], OPEN)
                 for lo, hi in _stretches(at, length - ANCHOR, length, len(text)).tolist():
                     segments.append(text[lo:hi])
@@ -374,31 +409,19 @@ def _shards(length: int, bits: int):
                 ids.append(row["doc_id"])
                 hashes.append(row["th"])
                 if held >= SHARD_BYTES or len(ids) >= 60_000:
-                    yield from flush()
+                    yield from posted(segments, own, np.array(ids, np.int64), np.array(hashes, np.int64))
                     segments, own, ids, hashes, held = [], [], [], [], 0
         if segments:
-            yield from flush()
+            yield from posted(segments, own, np.array(ids, np.int64), np.array(hashes, np.int64))
 
     return run
 
 
-BOTH = f"doc_id long, th long, kind int, pos binary, {POSTED}"
-
-
-def _both(marked: pa.RecordBatch | None, posted: pa.RecordBatch | None) -> pa.RecordBatch:
-    """Rows of marks or of posted entries under one schema."""
-    fields = [("doc_id", pa.int64()), ("th", pa.int64()), ("kind", pa.int32()), ("pos", pa.binary())]
-    fields += [("bucket", pa.int32()), *[(n, pa.binary()) for n in POSTED_NAMES[1:]]]
-    source = posted if marked is None else marked
-    rows = source.num_rows
-    return pa.RecordBatch.from_arrays(
-        [source.column(n) if n in source.schema.names else pa.nulls(rows, k) for n, k in fields], [n for n, _ in fields]
-    )
-
-
 def _merge(group: pa.Table) -> pa.Table:
     """Windows of one hash range: each shard's are looked up in all shards' merged windows."""
     key, _, doc, pos, ids, hashes, block = _unpost(group, wide=True)
+    if _is_decided(group):
+        return pa.Table.from_batches([_mark_batch(_marks(doc, pos, REPEATED, ids, hashes))])
     owner = ids[doc]
     order = np.lexsort((owner, key))
     merged, first = np.unique(key[order], return_index=True)
@@ -479,17 +502,9 @@ def without_repeats(docs: DataFrame, length: int = 50, carry: Sequence[str] = ()
         return marks.groupBy("doc_id", "th").agg(F.collect_list(F.struct("kind", "pos")).alias("marks"))
 
     opened = per_doc(settled.filter(F.col("kind") == OPEN))
-    searched = arrow_map(
-        narrow.join(opened, ["doc_id", "th"]),
-        _shards(length, bits),
-        BOTH,
-    )
-    searched = saved(searched, "suffix-shards")
-    merged = searched.filter("bucket is not null").select(*POSTED_NAMES).groupBy("bucket").applyInArrow(_merge, MARK)
-    marks = settled.filter(F.col("kind") == COVERED).unionByName(
-        searched.filter("bucket is null").select("doc_id", "th", "kind", "pos")
-    )
-    marks = per_doc(marks.unionByName(merged))
+    windows = arrow_map(narrow.join(opened, ["doc_id", "th"]), _shards(length, bits), POSTED)
+    merged = saved(windows.groupBy("bucket").applyInArrow(_merge, MARK), "suffix-merged")
+    marks = per_doc(settled.filter(F.col("kind") == COVERED).unionByName(merged))
     schema = (
         "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, text string, carried "
         + docs.schema["carried"].dataType.simpleString()
