@@ -1,5 +1,9 @@
 """Landing: incremental files, contract routing, evolving schema, rescued data, retries, lost checkpoints."""
 
+import json
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,11 +122,66 @@ def test_given_schema_and_quoted_headers(spark, lake):
     assert valid.filter("order_id = 8").first().channel == "web, mobile"
 
 
-def test_large_files_use_the_first_line_only(spark, lake, monkeypatch):
-    monkeypatch.setattr(landing, "SMALL_FILE_BYTES", 1)
-    lake.drop("ingestion_date=2026-08-21/batch_002", [f"{HEADER4},channel", "9,1,2026-08-21,paid,web"])
+def test_old_files_are_landed_too(spark, lake):
+    lake.land(spark)
+    for number, days in ((2, 30), (3, 400), (4, 0)):
+        folder = f"ingestion_date=2026-08-2{number}/batch_00{number}"
+        lake.drop(folder, [HEADER4, f"{10 * number},1,2026-08-21,paid"])
+        then = time.time() - days * 86400
+        os.utime(lake.raw / folder / "orders.csv", (then, then))
+        lake.land(spark)
+    assert ids(tables.read_evolving(spark, lake.valid)) == [1, 2, 3, 20, 30, 40]
+
+
+@pytest.mark.parametrize("lines", [1, 40_000])
+def test_one_header_rule_at_every_size(spark, lake, lines):
+    head = ["", "\ufeff order_id, customer_id ,,a,a,Status", *["7,1,x,y,z,paid"] * lines]
+    lake.drop("ingestion_date=2026-08-21/batch_002", head)
+    lake.land(spark, handler=ingest.route_batch(lake.valid, lake.quarantine))
+    row = tables.read_evolving(spark, lake.valid).filter("order_id = 7").first()
+    assert (row.customer_id, row._c2, row.a3, row.a4) == (1, "x", "y", "z")
+    # The first file has a column "status": a name that differs in case is not that column.
+    assert row.status is None and json.loads(row._rescued_data) == {"Status": "paid"}
+    assert tables.read_evolving(spark, lake.valid).filter("order_id = 7").count() == lines
+
+
+def test_columns_outside_a_given_schema_are_rescued(spark, lake):
+    lake.drop("ingestion_date=2026-08-21/batch_002", ["order_id,STATUS,channel,note", "x,paid,web,hello", "8,paid,,"])
+    given = {"order_id": "bigint", "status": "string"}
+    lake.land(spark, schema=given, schema_location=None)
+    rows = {r.order_id: r for r in tables.read_evolving(spark, lake.valid).filter("_source_file like '%batch_002%'").collect()}
+    assert json.loads(rows[None]._rescued_data) == {"order_id": "x", "STATUS": "paid", "channel": "web", "note": "hello"}
+    assert rows[8].status is None and json.loads(rows[8]._rescued_data) == {"STATUS": "paid"}
+
+
+def test_names_that_differ_in_case_do_not_stop_the_stream(spark, lake):
+    lake.drop("ingestion_date=2026-08-21/batch_002", ["Order_ID,channel", "5,web"])
+    for _ in range(2):
+        lake.land(spark)
+    known, _ = stored_schema(spark, lake.schema)
+    assert "Order_ID" not in known and "channel" in known
+    row = tables.read_evolving(spark, lake.valid).filter("channel = 'web'").first()
+    assert row.order_id is None and json.loads(row._rescued_data) == {"Order_ID": "5"}
+
+
+def test_headers_are_read_in_one_job(spark, lake):
+    for number in range(2, 12):
+        lake.drop(f"ingestion_date=2026-08-21/batch_{number:03d}", [f"{HEADER4},c{number}", *["1,2,2026-08-21,paid,x"] * 50_000])
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(lake.raw)).select("path", "length")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        groups = landing.group_by_header(files)
+        jobs = len(tracker.getJobIdsForGroup("headers"))
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert len(groups) == 11 and jobs <= 3  # the list of files, its listing, the headers
+
+
+def test_a_quarantine_without_rows_reads_as_empty(spark, lake):
     lake.land(spark)
-    assert ids(tables.read_evolving(spark, lake.valid)) == [1, 2, 3, 9]
+    empty = tables.read_evolving(spark, lake.quarantine)
+    assert empty.count() == 0 and "_quarantine_reason" in empty.columns and "order_id" in empty.columns
 
 
 def test_failure_between_the_two_writes_is_repaired(spark, lake):

@@ -40,8 +40,7 @@ def model_mixed(state, events):
     return after
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 10_000])
-def test_mixed_batches_in_any_order(spark, broadcast_rows):
+def test_mixed_batches_in_any_order(spark):
     rng = random.Random(5)
     state = {k: (f"s{k}", rng.randrange(1, 150), rng.random() < 0.2) for k in range(0, 40, 2)}
     frame = spark.createDataFrame([(k, *row, "start") for k, row in state.items()], STATE)
@@ -49,7 +48,7 @@ def test_mixed_batches_in_any_order(spark, broadcast_rows):
     batches.append(batches[0])
     for events in batches:
         source = latest_version(spark.createDataFrame(events, EVENT), "k", "sequence_num")
-        merged = cdc.apply_mixed(frame, source, "k", ["v"], applied_at=F.lit("now"), broadcast_rows=broadcast_rows)
+        merged = cdc.apply_mixed(frame, source, "k", ["v"], applied_at=F.lit("now"))
         wanted = model_mixed(state, events)
         rows = merged.collect()
         assert {r.k: (r.v, r.sequence_num, r._is_deleted) for r in rows} == wanted and len(rows) == len(wanted)
@@ -64,8 +63,7 @@ def test_mixed_batches_in_any_order(spark, broadcast_rows):
     assert not changed
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 10_000])
-def test_operations_without_versions(spark, broadcast_rows):
+def test_operations_without_versions(spark):
     rng = random.Random(9)
     state = {k: f"s{k}" for k in range(0, 60, 2)}
     events = [(k, f"e{k}", 1, rng.choice(["INSERT", "UPDATE", "DELETE"])) for k in rng.sample(range(80), 50)]
@@ -76,7 +74,7 @@ def test_operations_without_versions(spark, broadcast_rows):
         elif op == "UPDATE" and key in wanted or op == "INSERT" and key not in wanted:
             wanted[key] = value
     target = spark.createDataFrame(list(state.items()), "k long, v string")
-    merged = cdc.apply_ops(target, spark.createDataFrame(events, EVENT), "k", broadcast_rows)
+    merged = cdc.apply_ops(target, spark.createDataFrame(events, EVENT), "k")
     assert {r.k: r.v for r in cdc.state_of(merged).collect()} == wanted
     counted = cdc.merge_metrics(merged).first()
     assert counted.deleted_rows == len(set(state) - set(wanted))

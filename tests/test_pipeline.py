@@ -70,8 +70,11 @@ def test_detail_history_layout(spark, tmp_path):
     assert (layout["small"].source_files, layout["compact"].source_files) == (16, 1)
 
     merged = health.compact(spark, small, f"{tmp_path}/merged")
-    assert merged.count() == 200 and len(merged.inputFiles()) == 1
+    assert merged.count() == 200 and len(merged.inputFiles()) == 2
     assert sorted(merged.columns) == ["id", "p"]
+    spark.range(5).withColumn("late", F.lit("x")).withColumn("p", F.lit(1)).write.mode("append").partitionBy("p").parquet(small)
+    again = health.compact(spark, small, f"{tmp_path}/again")
+    assert again.count() == 205 and again.filter("late = 'x'").count() == 5
 
     log = spark.range(30).select(
         F.when(F.col("id") < 25, "a").otherwise("b").alias("table_name"), F.col("id").alias("version")

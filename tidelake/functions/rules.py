@@ -52,9 +52,10 @@ def event_category(status_code: Column, action: Column, sensitive: str = SENSITI
     )
 
 
-def with_rescued(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+def with_rescued(df: DataFrame, types: Mapping[str, str], others: str | None = None) -> DataFrame:
     """Cast all-string columns and keep what did not fit, as JSON, in ``_rescued_data``.
 
+    ``others`` names a map column of values the schema has no column for; they are kept as well.
     NULL means that nothing was rescued. An existing ``_rescued_data`` (a malformed line the
     reader kept) wins over the per-column values.
     """
@@ -64,7 +65,14 @@ def with_rescued(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
         if kind.lower() != "string"
     }
     rescued = F.lit(None).cast("string")
-    if lost:
+    if others:
+        pairs = [F.create_map(F.lit(name), F.when(flag, F.col(name))) for name, flag in lost.items()]
+        kept = F.map_filter(
+            F.map_concat(*pairs, F.coalesce(F.col(others), F.create_map().cast("map<string,string>"))),
+            lambda _, value: value.isNotNull(),
+        )
+        rescued = F.when(F.size(kept) > 0, F.to_json(kept))
+    elif lost:
         any_lost = F.lit(False)
         for flag in lost.values():
             any_lost = any_lost | flag

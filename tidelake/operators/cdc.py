@@ -14,7 +14,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.operators.bounds import sized_broadcast
 from tidelake.operators.versions import latest_version
 
 OPERATIONS = ("INSERT", "UPDATE", "DELETE")
@@ -48,27 +47,12 @@ def _column(value: str | Column) -> Column:
     return F.expr(value) if isinstance(value, str) else value
 
 
-def _against(
-    target: DataFrame, source: DataFrame, on: Sequence[str], broadcast_rows: int
-) -> tuple[DataFrame, DataFrame]:
-    """Source and target ready to be joined for the source's sake.
-
-    For a source counted to fit a broadcast the target is first cut to the rows with one of its
-    keys, which takes no shuffle; otherwise both are returned as they are.
-    """
-    small = sized_broadcast(source, broadcast_rows)
-    if small is None:
-        return source, target
-    return small, target.join(small.select(*on), list(on), "left_semi")
-
-
 def merge(
     target: DataFrame,
     source: DataFrame,
     on: Sequence[str],
     matched: Sequence[Update | Delete] = (),
     not_matched: Sequence[Insert] = (),
-    broadcast_rows: int = 0,
     before: Sequence[str] = (),
 ) -> DataFrame:
     """Next state of ``target`` after applying ``source``, plus ``_action``; deleted rows are still in it.
@@ -78,33 +62,21 @@ def merge(
     The first clause whose condition holds wins; without one a target row is unchanged and a
     source row is ignored. Source keys must be unique (see :func:`reject_duplicate_keys`).
 
-    With ``broadcast_rows`` set and a source counted to at most that many rows, the target is
-    neither shuffled nor sorted. Otherwise both sides are shuffled once on the key; NULL keys
-    match nothing and are kept out of that shuffle, where they would all meet in one task.
+    Both sides are joined once, on the key; how is left to Spark, which knows the sizes. NULL keys
+    match nothing; a running number beside the key keeps them from meeting in one task.
     """
-    t = target.withColumn("_in_target", F.lit(True)).alias("t")
-    small = sized_broadcast(source, broadcast_rows)
-    origin = small if small is not None else source
-    s = origin.withColumn("_in_source", F.lit(True)).alias("s")
-    same_key = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in on])
-
-    def resolve(joined: DataFrame) -> DataFrame:
-        return _resolve(joined, target.columns, source.columns, matched, not_matched, before)
-
-    if small is not None:
-        present = target.select(*on).join(small.select(*on), list(on), "left_semi").distinct()
-        fresh = small.join(present, list(on), "left_anti").withColumn("_in_source", F.lit(True)).alias("s")
-        kept = resolve(t.join(s, same_key, "left_outer"))
-        return kept.unionByName(resolve(t.filter(F.lit(False)).join(fresh, same_key, "right_outer")))
-
-    t_null = reduce(lambda a, b: a | b, [F.col(f"t.{k}").isNull() for k in on])
-    s_null = reduce(lambda a, b: a | b, [F.col(f"s.{k}").isNull() for k in on])
-    parts = [
-        t.filter(~t_null).join(s.filter(~s_null), same_key, "full_outer"),
-        t.filter(t_null).join(s.filter(F.lit(False)), same_key, "left_outer"),
-        t.filter(F.lit(False)).join(s.filter(s_null), same_key, "right_outer"),
-    ]
-    return reduce(DataFrame.unionByName, [resolve(p) for p in parts])
+    t = target.withColumns({"_in_target": F.lit(True), "_void": _void(on)}).alias("t")
+    s = source.withColumns({"_in_source": F.lit(True), "_void": _void(on)}).alias("s")
+    same_key = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in [*on, "_void"]])
+    # Without a clause for unknown keys only the target's rows can come out.
+    joined = t.join(s, same_key, "full_outer" if not_matched else "left_outer")
+    return _resolve(joined, target.columns, source.columns, matched, not_matched, before)
+
+
+def _void(keys: Sequence[str]) -> Column:
+    """0 for rows with all keys, else one of many numbers."""
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return F.when(missing, 1 + F.pmod(F.monotonically_increasing_id(), F.lit(4096))).otherwise(F.lit(0).cast("long"))
 
 
 def _resolve(
@@ -179,7 +151,6 @@ def upsert_newer(
     key: str,
     ts: str = "_ingestion_timestamp",
     null_is_oldest: bool = False,
-    broadcast_rows: int = 0,
 ) -> DataFrame:
     """Replace rows by a strictly newer source row and insert unknown keys.
 
@@ -188,10 +159,10 @@ def upsert_newer(
     newer = f"s.`{ts}` > t.`{ts}`"
     if null_is_oldest:
         newer = f"({newer}) OR (t.`{ts}` IS NULL AND s.`{ts}` IS NOT NULL)"
-    return merge(target, source, [key], [Update(condition=newer)], [Insert()], broadcast_rows)
+    return merge(target, source, [key], [Update(condition=newer)], [Insert()])
 
 
-def apply_ops(target: DataFrame, source: DataFrame, key: str, broadcast_rows: int = 0) -> DataFrame:
+def apply_ops(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Operation-driven merge without version guard: UPDATE and DELETE on known keys, INSERT on new ones."""
     image = {c: f"s.`{c}`" for c in target.columns if c in source.columns}
     changed = {c: v for c, v in image.items() if c != key}
@@ -201,7 +172,6 @@ def apply_ops(target: DataFrame, source: DataFrame, key: str, broadcast_rows: in
         [key],
         [Delete("s.operation = 'DELETE'"), Update(changed, "s.operation = 'UPDATE'")],
         [Insert(image, "s.operation = 'INSERT'")],
-        broadcast_rows,
     )
 
 
@@ -210,17 +180,14 @@ def insert_new(
     source: DataFrame,
     key: str,
     columns: Sequence[str] | None = None,
-    broadcast_rows: int = 0,
 ) -> DataFrame:
     """Target plus the INSERT events of unknown keys; only ``columns`` are filled. Replay adds nothing.
 
-    Every event of an unknown key is inserted, two of one batch as well. With ``broadcast_rows``
-    a batch counted to fit is sent to the target's keys, which then need no shuffle.
+    Every event of an unknown key is inserted, two of one batch as well.
     """
     columns = list(columns) if columns else [c for c in target.columns if c in source.columns]
     inserts = source.filter(F.col("operation") == "INSERT").select(*columns)
-    inserts, known = _against(target.select(key), inserts, [key], broadcast_rows)
-    fresh = inserts.join(known, [key], "left_anti")
+    fresh = inserts.join(target.select(key), [key], "left_anti")
     return target.withColumn("_action", F.lit(UNCHANGED)).unionByName(
         fresh.withColumn("_action", F.lit(INSERTED)), allowMissingColumns=True
     )
@@ -233,20 +200,17 @@ def apply_updates(
     payload: Sequence[str],
     seq: str = "sequence_num",
     applied_at: Column | None = None,
-    broadcast_rows: int = 0,
 ) -> DataFrame:
     """Versioned update: only a higher sequence number changes a row and its ``_applied_at``."""
     image = {c: f"s.`{c}`" for c in [*payload, seq]}
     image["_applied_at"] = F.current_timestamp() if applied_at is None else applied_at
-    return merge(target, source, [key], [Update(image, f"s.`{seq}` > t.`{seq}`")], (), broadcast_rows)
+    return merge(target, source, [key], [Update(image, f"s.`{seq}` > t.`{seq}`")])
 
 
-def apply_deletes(
-    target: DataFrame, source: DataFrame, key: str, seq: str = "sequence_num", broadcast_rows: int = 0
-) -> DataFrame:
+def apply_deletes(target: DataFrame, source: DataFrame, key: str, seq: str = "sequence_num") -> DataFrame:
     """Versioned physical delete: a delete older than the row is ignored."""
     newer = f"s.operation = 'DELETE' AND s.`{seq}` > t.`{seq}`"
-    return merge(target, source, [key], [Delete(newer)], (), broadcast_rows)
+    return merge(target, source, [key], [Delete(newer)])
 
 
 def delete_audit(
@@ -256,10 +220,8 @@ def delete_audit(
     pass_name: str,
     seq: str = "sequence_num",
     audited_at: Column | None = None,
-    broadcast_rows: int = 0,
 ) -> DataFrame:
     """Decision per delete event, judged against the state before the merge."""
-    events, target_before = _against(target_before.select(key, seq), events, [key], broadcast_rows)
     current = target_before.select(F.col(key), F.col(seq).alias("_current"), F.lit(True).alias("_known"))
     outcome = (
         F.when(F.col("_known").isNull(), F.lit("ALREADY_ABSENT"))
@@ -283,7 +245,6 @@ def apply_mixed(
     payload: Sequence[str],
     seq: str = "sequence_num",
     applied_at: Column | None = None,
-    broadcast_rows: int = 0,
 ) -> DataFrame:
     """Versioned merge that turns deletes into tombstones.
 
@@ -300,7 +261,6 @@ def apply_mixed(
         [key],
         [Update({**change, **stamp}, f"s.`{seq}` > t.`{seq}`")],
         [Insert({**arrive, **stamp})],
-        broadcast_rows,
         before=["_is_deleted"],
     )
 
@@ -375,12 +335,9 @@ def normalize_batch(
     return latest_version(df, key, seq), counts
 
 
-def reject_unknown_keys(
-    source: DataFrame, target: DataFrame, key: str, broadcast_rows: int = 0
-) -> DataFrame:
+def reject_unknown_keys(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Raise when an update-only batch names a key the target does not have."""
-    keys, known = _against(target.select(key), source.select(key), [key], broadcast_rows)
-    if keys.join(known, [key], "left_anti").limit(1).count():
+    if not source.select(key).join(target.select(key), [key], "left_anti").isEmpty():
         raise ValueError("UNKNOWN_KEY")
     return source
 

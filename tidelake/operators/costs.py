@@ -52,9 +52,13 @@ def cost_by_sku(usage: DataFrame, prices: DataFrame) -> DataFrame:
 
 
 def asof_config(usage: DataFrame, clusters: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
-    """Usage with the cluster configuration in force when it started; NULLs before the first one."""
+    """Usage with the cluster configuration in force when it started; NULLs before the first one.
+
+    The cluster is the column ``cluster_id`` or, in usage records as they come, the one of their metadata.
+    """
+    named = usage if "cluster_id" in usage.columns else usage.withColumn("cluster_id", F.col("usage_metadata.cluster_id"))
     return asof_join(
-        usage,
+        named,
         clusters,
         ["workspace_id", "cluster_id"],
         "usage_start_time",

@@ -10,6 +10,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidelake.sources.tables import read_evolving
+
 log = logging.getLogger(__name__)
 
 
@@ -88,8 +90,17 @@ def file_layout(df: DataFrame, layout: str, file_column: str = "_source_file") -
 
 
 def compact(spark: SparkSession, source: str, target: str, file_bytes: int = 512 << 20) -> DataFrame:
-    """Rewrite a parquet folder of small files as files of about ``file_bytes``; returns the new table."""
+    """Rewrite a parquet folder of small files as files of about ``file_bytes``; returns the new table.
+
+    All columns of all files are kept, and the partition folders too.
+    """
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
-    size = listed.agg(F.sum("length")).first()[0] or 0
-    spark.read.parquet(source).repartition(max(1, -(-size // file_bytes))).write.parquet(target)
-    return spark.read.parquet(target)
+    folders = F.regexp_extract_all(F.col("path"), F.lit(r"/([^/=]+)=[^/]*(?=/)"), F.lit(1))
+    found = listed.agg(F.sum("length").alias("size"), F.max(folders).alias("folders")).first()
+    rows = read_evolving(spark, source)
+    partitions = [c for c in rows.columns if c in (found.folders or [])]
+    parts = max(1, -(-(found.size or 0) // file_bytes))
+    # With folders, adaptive execution splits large ones and puts small ones together.
+    rows = rows.hint("rebalance", *partitions) if partitions else rows.repartition(parts)
+    rows.write.partitionBy(*partitions).parquet(target)
+    return read_evolving(spark, target)

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.functions.times import bucket_of
-from tidelake.operators.bounds import hold_if_small, sized_broadcast
 
 DAY = 86400
 
@@ -35,28 +34,23 @@ def effective_join(
     at: str,
     start: str,
     end: str,
-    broadcast_rows: int = 200_000,
     width_seconds: int = 30 * DAY,
 ) -> DataFrame:
     """Inner join on ``keys`` and ``start <= at < end``; a NULL end is still open.
 
     Facts without a term in force are dropped; overlapping terms each give a row. Terms are cut
     into the slots of time they touch and facts meet those of their own slot, not the whole
-    history of their key. Nothing begins or ends after the last slot in which any term does, so
-    later facts share it. Term pieces counted to at most ``broadcast_rows`` are broadcast and
-    the facts are not shuffled; otherwise both sides are shuffled on key and slot.
+    history of their key. No term begins after the latest start, so later facts share that slot, in
+    which a term of far-off end has its last piece; the exact condition decides there as elsewhere.
+    Whether the pieces are broadcast is left to Spark, which measures them.
     """
     terms = terms.withColumns(
         {"_first": bucket_of(terms, start, width_seconds), "_last": bucket_of(terms, end, width_seconds)}
     )
-    small = hold_if_small(terms, broadcast_rows)
-    terms = terms if small is None else small
-    horizon = terms.agg(F.greatest(F.max("_first"), F.max("_last"))).first()[0] or 0
+    horizon = terms.agg(F.max("_first")).first()[0] or 0
 
-    last = F.coalesce("_last", F.lit(horizon))
+    last = F.least(F.coalesce("_last", F.lit(horizon)), F.lit(horizon))
     pieces = terms.filter(F.col("_first") <= last).withColumn("_slot", F.explode(F.sequence("_first", last)))
-    if small is not None:
-        pieces = sized_broadcast(pieces, broadcast_rows) or pieces
     slotted = facts.withColumn("_slot", F.least(bucket_of(facts, at, width_seconds), F.lit(horizon)))
     in_force = (F.col(f"f.{at}") >= F.col(f"p.{start}")) & (
         F.col(f"p.{end}").isNull() | (F.col(f"f.{at}") < F.col(f"p.{end}"))
@@ -68,11 +62,9 @@ def effective_join(
     )
 
 
-def price_join(usage: DataFrame, prices: DataFrame, broadcast_rows: int = 200_000) -> DataFrame:
+def price_join(usage: DataFrame, prices: DataFrame) -> DataFrame:
     """Usage with the list price in force when it ended; unpriced usage is dropped."""
-    return effective_join(
-        usage, prices, PRICE_KEYS, "usage_end_time", "price_start_time", "price_end_time", broadcast_rows
-    )
+    return effective_join(usage, prices, PRICE_KEYS, "usage_end_time", "price_start_time", "price_end_time")
 
 
 def asof_join(
@@ -115,7 +107,7 @@ def asof_join(
         {
             "_slice": bucket_of(facts, at, width_seconds),
             "_time": F.col(at),
-            "_void": F.when(unmatched, F.pmod(F.xxhash64(*keys, *facts.columns), F.lit(4096))),
+            "_void": F.when(unmatched, F.pmod(F.monotonically_increasing_id(), F.lit(4096))),
         }
     )
     visited = sliced.filter(~unmatched).select(*keys, "_slice").distinct().withColumn("_visited", F.lit(True))

@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from tidelake.functions.rules import ALLOWED_STATUSES, normalize_orders
 from tidelake.operators import cdc, gold
-from tidelake.operators.bounds import release
 from tidelake.operators.quality import invalid_orders, valid_orders
 from tidelake.operators.versions import latest_per_key
-from tidelake.sources.tables import append_audit, current, ensure_like, publish
+from tidelake.sources.tables import append_audit, current, current_version, ensure_like, publish
 
 ORDER_VERSION = ("_ingestion_timestamp", "_source_file")
 
@@ -49,7 +48,6 @@ def _publish_merge(merged: DataFrame, path: str) -> tuple[DataFrame, dict[str, i
     The counters then come from file footers, and readers skip the deleted rows' partition.
     """
     written = publish(merged, path, "MERGE", partition_by=["_action"])
-    release()
     return written, cdc.merge_metrics(written).first().asDict()
 
 
@@ -59,30 +57,27 @@ def run_inserts_batch(
     path: str,
     key: str,
     columns: Sequence[str] | None = None,
-    broadcast_rows: int = 100_000,
 ) -> dict[str, int]:
     """Insert the events of keys the table does not have; everything else in the batch is ignored."""
-    merged = cdc.insert_new(current(spark, path), batch, key, columns, broadcast_rows)
+    merged = cdc.insert_new(current(spark, path), batch, key, columns)
     return _publish_merge(merged, path)[1]
 
 
-def run_ops_batch(
-    spark: SparkSession, batch: DataFrame, path: str, key: str, broadcast_rows: int = 100_000
-) -> dict[str, int]:
+def run_ops_batch(spark: SparkSession, batch: DataFrame, path: str, key: str) -> dict[str, int]:
     """Operation-driven batch, one event per key; two events of one key are an error."""
     cdc.reject_duplicate_keys(batch, [key])
-    merged = cdc.apply_ops(current(spark, path), batch, key, broadcast_rows)
+    merged = cdc.apply_ops(current(spark, path), batch, key)
     return _publish_merge(merged, path)[1]
 
 
 def run_updates_batch(
-    spark: SparkSession, batch: DataFrame, path: str, key: str, payload: Sequence[str], broadcast_rows: int = 100_000
+    spark: SparkSession, batch: DataFrame, path: str, key: str, payload: Sequence[str]
 ) -> dict[str, int]:
     """Validated, versioned updates of known keys; nothing is written for a batch that fails."""
     target = current(spark, path)
     latest, _ = cdc.normalize_batch(batch, key, payload, operations=("UPDATE",))
-    cdc.reject_unknown_keys(latest, target, key, broadcast_rows)
-    _, metrics = _publish_merge(cdc.apply_updates(target, latest, key, payload, broadcast_rows=broadcast_rows), path)
+    cdc.reject_unknown_keys(latest, target, key)
+    _, metrics = _publish_merge(cdc.apply_updates(target, latest, key, payload), path)
     return metrics
 
 
@@ -94,17 +89,19 @@ def run_deletes_batch(
     gold_path: str,
     key: str,
     pass_name: str,
-    broadcast_rows: int = 100_000,
 ) -> dict[str, int]:
-    """Versioned deletes, an audit row per event judged on the state before, and the gold rebuild."""
+    """Versioned deletes, an audit row per event judged on the state before, and the gold rebuild.
+
+    The audit is written before the state, under the pass and the version it judged: a pass repeated
+    after a failure replaces its own rows, and one that only has to publish finds its audit there.
+    """
     target = current(spark, path)
     _, counts = cdc.normalize_batch(batch, key, (), operations=("DELETE",))
     if counts["keys_after_selection"] != counts["source_rows"]:
         raise ValueError("DUPLICATE_SOURCE_KEY")
-    audit = cdc.delete_audit(target, batch, key, pass_name, broadcast_rows=broadcast_rows)
-    merged, metrics = _publish_merge(cdc.apply_deletes(target, batch, key, broadcast_rows=broadcast_rows), path)
-    append_audit(audit, audit_path)
-    release()
+    audit = cdc.delete_audit(target, batch, key, pass_name)
+    append_audit(audit, audit_path, f"{pass_name}-{current_version(spark, path)}")
+    merged, metrics = _publish_merge(cdc.apply_deletes(target, batch, key), path)
     publish(gold.payments_daily(cdc.state_of(merged)), gold_path, "OVERWRITE")
     return metrics
 
@@ -117,12 +114,11 @@ def run_mixed_batch(
     key: str,
     payload: Sequence[str],
     applied_at: Column | None = None,
-    broadcast_rows: int = 100_000,
 ) -> dict[str, dict[str, int]]:
     """Mixed batch with tombstones: merge counters, changes for readers, gold rebuild."""
     before = current(spark, path)
     latest, preparation = cdc.normalize_batch(batch, key, payload)
-    merged = cdc.apply_mixed(before, latest, key, payload, applied_at=applied_at, broadcast_rows=broadcast_rows)
+    merged = cdc.apply_mixed(before, latest, key, payload, applied_at=applied_at)
     written, metrics = _publish_merge(merged, path)
     changes = cdc.merge_changes(written).first().asDict()
     publish(gold.transactions_summary(cdc.active_rows(cdc.state_of(written))), gold_path, "OVERWRITE")

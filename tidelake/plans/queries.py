@@ -154,7 +154,7 @@ def pipeline_transactions_bucketed(spark, sf_dir):
     batch = tables.publish(_latest_changes(spark, sf_dir), f"{root}/events", "APPEND")
 
     def apply(target: DataFrame, source: DataFrame) -> DataFrame:
-        return cdc.apply_mixed(target, source, "transaction_id", PAYLOAD, applied_at=applied, broadcast_rows=100_000)
+        return cdc.apply_mixed(target, source, "transaction_id", PAYLOAD, applied_at=applied)
 
     buckets.merge_into_buckets(spark, f"{root}/state", "transaction_id", batch, apply, 64)
     return plain(buckets.read_buckets(spark, f"{root}/state"))
@@ -248,8 +248,8 @@ def cost_by_sku(spark, sf_dir):
 
 @query
 def cost_by_sku_sliced(spark, sf_dir):
-    """The same totals on the path for price lists too long to broadcast."""
-    priced = temporal.price_join(b.usage(spark, sf_dir), b.list_prices(spark, sf_dir), broadcast_rows=0)
+    """The same totals, summed straight from the priced usage."""
+    priced = temporal.price_join(b.usage(spark, sf_dir), b.list_prices(spark, sf_dir))
     cost = F.col("usage_quantity") * F.col("pricing.effective_list.default")
     keys = ["usage_date", "workspace_id", "billing_origin_product", "sku_name", "usage_unit"]
     totals = priced.groupBy(*keys).agg(
@@ -403,16 +403,15 @@ def cdc_mixed_state(spark, sf_dir):
 
 @query
 def cdc_mixed_broadcast(spark, sf_dir):
-    """The mixed merge allowed to broadcast a batch counted to fit; the result must not change."""
+    """The mixed merge of a batch that comes in many small partitions."""
     applied = F.expr("TIMESTAMP_NTZ'2026-02-01 08:00:00'")
     return plain(
         cdc.apply_mixed(
             b.transactions(spark, sf_dir),
-            _latest_changes(spark, sf_dir),
+            _latest_changes(spark, sf_dir).repartition(16),
             "transaction_id",
             PAYLOAD,
             applied_at=applied,
-            broadcast_rows=200_000,
         ).drop("_before")
     )
 

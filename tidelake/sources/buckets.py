@@ -1,21 +1,21 @@
 """State tables cut into key buckets, so that a batch rewrites only the buckets it touches.
 
 A published table (:mod:`tidelake.sources.tables`) is written whole at every merge, which suits
-batches that touch most of it. Here the folder has one partition per bucket of the key's hash;
-a merge reads, and then replaces, the partitions of the batch's keys alone. Replacing is per
-partition, not one transaction: a reader may see some buckets before others, and a merge that
-failed is sent again, which the version guards of the change modes make harmless.
+batches that touch most of it. Here a version is a list of folders, one per bucket of the key's
+hash: a merge writes the batch's buckets to new folders, then publishes a list in which they replace
+the old ones. Nothing is overwritten, so a merge that fails half-way leaves the version before it.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.operators.bounds import release
 from tidelake.operators.cdc import INSERTED, merge_metrics, state_of
+from tidelake.sources.tables import SCHEMA_FOLDER, current, publish, read_evolving
 
 Apply = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -24,56 +24,62 @@ def bucket_number(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
-def _replace(rows: DataFrame, path: str, key: str, buckets: int, gather: bool) -> None:
+def _write(rows: DataFrame, path: str, key: str, buckets: int) -> str:
+    """Rows in new folders, one a bucket; adaptive execution splits a large bucket into several files."""
+    folder = f"{path}/d-{uuid.uuid4().hex}"
     placed = rows.withColumn("_bucket", bucket_number(key, buckets))
-    (
-        (placed.repartition("_bucket") if gather else placed)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_bucket")
-        .parquet(path)
-    )
+    placed.hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(folder)
+    placed.limit(0).write.parquet(f"{folder}/{SCHEMA_FOLDER}")
+    return folder
+
+
+def _folders(spark: SparkSession, path: str) -> dict[int, str]:
+    """Where each bucket of the current version lies; at most as many as there are buckets."""
+    return {row.bucket: row.folder for row in current(spark, path).collect()}
+
+
+def _publish(spark: SparkSession, path: str, folders: dict[int, str], operation: str) -> None:
+    listed = spark.createDataFrame(sorted(folders.items()), "bucket int, folder string")
+    publish(listed.coalesce(1), path, operation)
 
 
 def create_buckets(rows: DataFrame, path: str, key: str, buckets: int) -> None:
-    """First version of the table; rows of a bucket are brought together, one file each at best."""
-    placed = rows.withColumn("_action", F.lit(INSERTED)).withColumn("_bucket", bucket_number(key, buckets))
-    placed.repartition("_bucket").write.partitionBy("_bucket").parquet(path)
+    """First version of the table."""
+    written = _write(rows.withColumn("_action", F.lit(INSERTED)), path, key, buckets)
+    _publish(rows.sparkSession, path, {n: written for n in range(buckets)}, "CREATE TABLE")
+
+
+def _read(spark: SparkSession, folders: dict[int, str]) -> DataFrame:
+    """Rows of the given buckets, each from its folder; other partitions are not read."""
+    by_folder: dict[str, list[int]] = {}
+    for number, folder in folders.items():
+        by_folder.setdefault(folder, []).append(number)
+    parts = [read_evolving(spark, folder).filter(F.col("_bucket").isin(own)) for folder, own in by_folder.items()]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    return rows.drop("_bucket")
 
 
 def read_buckets(spark: SparkSession, path: str, only: Sequence[int] | None = None) -> DataFrame:
-    """The current rows, of some buckets if given; other partitions are not read."""
-    rows = spark.read.parquet(path)
-    if only is not None:
-        rows = rows.filter(F.col("_bucket").isin(list(only)))
-    return state_of(rows).drop("_bucket")
+    """The current rows, of some buckets if given."""
+    folders = _folders(spark, path)
+    return state_of(_read(spark, {n: f for n, f in folders.items() if only is None or n in only}))
 
 
 def merge_into_buckets(
-    spark: SparkSession,
-    path: str,
-    key: str,
-    batch: DataFrame,
-    apply: Apply,
-    buckets: int,
-    gather: bool = True,
+    spark: SparkSession, path: str, key: str, batch: DataFrame, apply: Apply, buckets: int
 ) -> dict[str, int]:
     """Apply a batch with ``apply(target, batch) -> merged`` to the buckets of its keys; returns the counters.
 
-    Only bucket numbers, at most ``buckets``, reach the driver. Deleted rows stay in the files
-    with their action until the next merge of their bucket, so that a bucket left without rows
-    is still replaced.
-
-    A merge that shuffles on the key leaves every task with rows of every bucket; ``gather``
-    brings each bucket together before it is written, instead of a file per task and bucket.
-    Where ``apply`` broadcasts the batch, tasks keep the buckets they read and it can be off.
+    Only bucket numbers and folders, at most ``buckets``, reach the driver. Deleted rows stay in the
+    files with their action until the next merge of their bucket.
     """
     numbered = batch.select(bucket_number(key, buckets).alias("n")).distinct()
     touched = sorted(row.n for row in numbered.collect())
     if not touched:
         return {"inserted_rows": 0, "updated_rows": 0, "deleted_rows": 0}
     merged = apply(read_buckets(spark, path, touched), batch)
-    _replace(merged, path, key, buckets, gather)
-    release()
-    written = spark.read.parquet(path).filter(F.col("_bucket").isin(touched))
-    return merge_metrics(written).first().asDict()
+    written = _write(merged, path, key, buckets)
+    _publish(spark, path, _folders(spark, path) | {n: written for n in touched}, "MERGE")
+    return merge_metrics(read_evolving(spark, written)).first().asDict()

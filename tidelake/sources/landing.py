@@ -2,13 +2,17 @@
 
 The stream carries the file *list*; the checkpoint remembers which files were taken. In each
 micro-batch only paths and headers reach the driver, at most ``max_files`` of them; rows are
-read by Spark, one native CSV read per distinct header.
+read by Spark, one native CSV read per distinct header. A header is read one way, whatever the
+size of its file (:func:`header_names`).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+import csv
+from collections import Counter
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +21,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidelake.functions.rules import with_ingestion_date, with_lineage, with_rescued
 from tidelake.sources.schemas import resolve_schema
+from tidelake.sources.tables import NO_FILE_TOO_OLD
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
-SMALL_FILE_BYTES = 1 << 20
 MALFORMED = "_malformed"
+OTHERS = "_others"
+#: One file a partition for the reading of headers: no file is this long.
+WHOLE_FILE = str(1 << 50)
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -28,50 +35,70 @@ Handler = Callable[[DataFrame, int], None]
 def file_stream(
     spark: SparkSession, root: str, pattern: str = "*.csv", max_files: int = 1000
 ) -> DataFrame:
-    """Stream of the files under ``root``, each once per checkpoint; contents are read only where selected."""
+    """Stream of the files under ``root``, each once per checkpoint however old it is; contents are not read."""
     return (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", NO_FILE_TOO_OLD)
         .load(root)
-        .select("path", "length", "content")
+        .select("path", "length")
     )
 
 
+def header_names(line: str) -> tuple[str, ...]:
+    """Column names of a header line, as Spark's reader would name them, with spaces around them taken off.
+
+    Quotes are undone; an empty name becomes ``_c`` and its place; names that repeat within the line,
+    letter for letter, get their place behind them.
+    """
+    names = [name.strip() for name in next(csv.reader([line.removeprefix("\ufeff").rstrip("\r")]))]
+    count = Counter(names)
+    return tuple(f"_c{i}" if not n else f"{n}{i}" if count[n] > 1 else n for i, n in enumerate(names))
+
+
 def group_by_header(listed: DataFrame) -> dict[tuple[str, ...], list[str]]:
-    """Paths of the non-empty files per header.
+    """Paths of the files per header, in path order; files without any text are left out.
 
-    One distributed read gives the first line of every small file. Large files, and headers
-    with quotes, are left to the CSV reader, which looks at the first line only.
+    One job reads a line of every file, one file a task, and stops there.
     """
-    line = F.substring_index(F.col("content").cast("string"), "\n", 1)
-    line = F.regexp_replace(F.regexp_replace(line, "^\ufeff", ""), "\r$", "")
-    small = listed.filter((F.col("length") > 0) & (F.col("length") <= SMALL_FILE_BYTES))
-    large = listed.filter(F.col("length") > SMALL_FILE_BYTES).select("path", F.lit(None).alias("line"))
+
+    def first_line(rows: Iterator) -> Iterator[tuple[str, str]]:
+        for path, line in rows:
+            if line.strip("\ufeff \t\r"):
+                yield path, line
+                return
+
+    spark = listed.sparkSession
+    paths = sorted(row.path for row in listed.filter("length > 0").select("path").collect())
+    if not paths:
+        return {}
+    # Read by the planner, not by the running job, so they can be put back at once.
+    sizes = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {key: spark.conf.get(key) for key in sizes}
+    try:
+        for key in sizes:
+            spark.conf.set(key, WHOLE_FILE)
+        lines = spark.read.text(paths).select("_metadata.file_path", "value").rdd.mapPartitions(first_line).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
     groups: dict[tuple[str, ...], list[str]] = {}
-    single: list[str] = []
-    for row in small.select("path", line.alias("line")).unionByName(large).collect():
-        if row.line is None or '"' in row.line:
-            single.append(row.path)
-        else:
-            groups.setdefault(tuple(name.strip() for name in row.line.split(",")), []).append(row.path)
-    if single:
-        spark = listed.sparkSession
-
-        def columns(path: str) -> tuple[str, ...]:
-            return tuple(spark.read.option("header", True).csv(path).columns)
-
-        with ThreadPoolExecutor(max_workers=min(16, len(single))) as pool:
-            for path, header in zip(single, pool.map(columns, single)):
-                groups.setdefault(header, []).append(path)
+    for path, line in sorted(lines):
+        groups.setdefault(header_names(line), []).append(unquote(path))
     return groups
 
 
-def read_group(spark: SparkSession, paths: Sequence[str], header: Sequence[str]) -> DataFrame:
-    """Files of one header as text columns with lineage; lines of another width are kept in ``_rescued_data``."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, MALFORMED]])
+def read_group(spark: SparkSession, paths: Sequence[str], header: Sequence[str], known: Sequence[str]) -> DataFrame:
+    """Files of one header as text: the ``known`` columns, all others in a map, with lineage.
+
+    Names are known letter for letter; one that differs in case only is another. Lines of another
+    width are kept in ``_rescued_data``.
+    """
+    places = {name: f"_p{i}" for i, name in enumerate(header)}
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*places.values(), MALFORMED]])
     rows = (
         spark.read.schema(schema)
         .option("header", True)
@@ -80,7 +107,15 @@ def read_group(spark: SparkSession, paths: Sequence[str], header: Sequence[str])
         .csv(list(paths))
     )
     line = F.when(F.col(MALFORMED).isNotNull(), F.to_json(F.struct(F.col(MALFORMED).alias("_line"))))
-    return with_lineage(rows).withColumn("_rescued_data", line).drop(MALFORMED)
+    extra = [part for name, place in places.items() if name not in known for part in (F.lit(name), F.col(place))]
+    others = F.create_map(*extra) if extra else F.lit(None)
+    return with_lineage(rows).select(
+        *[F.col(places[name]).alias(name) if name in places else F.lit(None).cast("string").alias(name) for name in known],
+        line.alias("_rescued_data"),
+        "_ingestion_timestamp",
+        "_source_file",
+        others.cast("map<string,string>").alias(OTHERS),
+    )
 
 
 def read_landed(
@@ -91,8 +126,10 @@ def read_landed(
 ) -> DataFrame | None:
     """Rows of the files, typed, with rescued data, lineage and landing date; None without any row source.
 
-    With ``schema`` the types are given. Otherwise they come from the stored schema, hints and,
-    for columns never seen before, inference; new columns are recorded before rows are read.
+    With ``schema`` the types are given, and columns it does not name are kept in ``_rescued_data``.
+    Otherwise they come from the stored schema, hints and, for columns never seen before, inference;
+    new columns are recorded before rows are read. A column that differs from a known one in case
+    only is rescued in either case.
     """
     groups = group_by_header(listed)
     if not groups:
@@ -100,15 +137,8 @@ def read_landed(
     spark = listed.sparkSession
     if schema is None:
         schema = resolve_schema(spark, groups, schema_location, hints or {})
-    frames = [read_group(spark, paths, header) for header, paths in groups.items()]
-    rows = frames[0]
-    for frame in frames[1:]:
-        rows = rows.unionByName(frame, allowMissingColumns=True)
-    for name in schema:
-        if name not in rows.columns:
-            rows = rows.withColumn(name, F.lit(None).cast("string"))
-    technical = ["_rescued_data", "_ingestion_timestamp", "_source_file"]
-    rows = with_rescued(rows.select(*schema, *technical), schema)
+    frames = [read_group(spark, paths, header, list(schema)) for header, paths in groups.items()]
+    rows = with_rescued(reduce(DataFrame.unionByName, frames), schema, OTHERS).drop(OTHERS)
     return rows if "ingestion_date" in schema else with_ingestion_date(rows)
 
 
@@ -148,6 +178,7 @@ def csv_stream(spark: SparkSession, root: str, schema: str | T.StructType, max_f
         .option("header", True)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", NO_FILE_TOO_OLD)
         .csv(root)
     )
     return with_lineage(rows)

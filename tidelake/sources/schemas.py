@@ -36,19 +36,24 @@ def resolve_schema(
     """Stored schema widened by the columns of these headers; the widening is stored first.
 
     A hint decides the type of a new column, else Spark infers it from the files that have it.
-    Types of known columns never change: values that do not fit are rescued.
+    Types of known columns never change: values that do not fit are rescued. Of names that differ in
+    case only, the one known first is the column; tables could not hold both.
     """
     known, version = stored_schema(spark, location)
     added: dict[str, str] = {}
     for header, paths in groups.items():
-        fresh = [c for c in header if c not in known and c not in added]
+        taken, fresh = {c.lower() for c in [*known, *added]}, []
+        for column in header:
+            if column.lower() not in taken:
+                taken.add(column.lower())
+                fresh.append(column)
         if not fresh:
             continue
         inferred: dict[str, str] = {}
         if any(c not in hints for c in fresh):
-            inferred = dict(
-                spark.read.option("header", True).option("inferSchema", True).csv(list(paths)).dtypes
-            )
+            kinds = spark.read.option("header", True).option("inferSchema", True).csv(list(paths)).dtypes
+            # By place: the header may name columns in ways the reader does not.
+            inferred = {name: kind for name, (_, kind) in zip(header, kinds)}
         for column in fresh:
             added[column] = hints.get(column) or inferred.get(column, "string")
     if added and location is not None:

@@ -2,13 +2,15 @@
 
 A published table is a folder with one sub-folder per version and an append-only ``_history``.
 Readers follow the last history row, which is written after the data, so a table is never
-overwritten while it is read and a failed publication stays invisible. One writer at a time.
+overwritten while it is read and a failed publication stays invisible. Of two writers of one
+version the second fails.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,11 @@ from tidelake.operators.cdc import state_of
 
 HISTORY = "version long, timestamp timestamp, operation string, userName string, location string"
 
+#: Longer than any file is old: the file source forgets, and then passes over, files beyond its
+#: maximum age. Remembering all of them costs the driver about 200 bytes a file.
+NO_FILE_TOO_OLD = "36500d"
+SCHEMA_FOLDER = "_columns"
+
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table by name, or a parquet folder by path."""
@@ -26,8 +33,13 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def read_evolving(spark: SparkSession, path: str) -> DataFrame:
-    """An appended folder whose files may have different columns."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    """An appended folder whose files may have different columns; without files yet, empty."""
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return spark.read.parquet(f"{path}/{SCHEMA_FOLDER}").limit(0)
 
 
 def history(spark: SparkSession, path: str) -> DataFrame:
@@ -49,6 +61,32 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return _last(spark, path) is not None
 
 
+def current_version(spark: SparkSession, path: str) -> int:
+    """Number of the last published version, -1 before the first."""
+    last = _last(spark, path)
+    return -1 if last is None else last.version
+
+
+def claim(spark: SparkSession, path: str, version: int) -> None:
+    """Take a version for this writer; the file system lets only one create the marker.
+
+    A writer that died leaves its marker behind; :func:`release_claim` lets the version be written
+    again once it is known to be dead.
+    """
+    marker = _hadoop_path(spark, f"{path}/_claims/v{version:08d}")
+    if not marker.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(marker):
+        raise RuntimeError(f"VERSION_TAKEN: {path} version {version} is being written, or was left unfinished")
+
+
+def release_claim(spark: SparkSession, path: str, version: int) -> None:
+    marker = _hadoop_path(spark, f"{path}/_claims/v{version:08d}")
+    marker.getFileSystem(spark._jsc.hadoopConfiguration()).delete(marker, False)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
 def current(spark: SparkSession, path: str) -> DataFrame:
     """The rows of the last published version; of a merge result, those that remain."""
     last = _last(spark, path)
@@ -58,17 +96,41 @@ def current(spark: SparkSession, path: str) -> DataFrame:
     return state_of(rows) if "_action" in rows.columns else rows
 
 
-def publish(df: DataFrame, path: str, operation: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def publish(
+    df: DataFrame, path: str, operation: str, partition_by: Sequence[str] = (), name: str | None = None
+) -> DataFrame:
     """Write ``df`` as the next version and make it current; returns the written table.
 
     ``df`` may be computed from the current version. The returned frame reads the files, so
-    counts on it do not repeat the work.
+    counts on it do not repeat the work. With ``name`` the catalog view of that name shows the
+    current rows from then on, in every session that shares the catalog.
     """
     spark = df.sparkSession
-    last = _last(spark, path)
-    version = 0 if last is None else last.version + 1
+    version = current_version(spark, path) + 1
     location = f"{path}/v{version:08d}-{uuid.uuid4().hex[:8]}"
-    df.write.partitionBy(*partition_by).parquet(location)
+    with _claimed(spark, path, version):
+        df.write.partitionBy(*partition_by).parquet(location)
+        record_version(spark, path, version, operation, location)
+    if name is not None:
+        gone = " WHERE _action <> 'deleted'" if "_action" in df.columns else ""
+        shown = ", ".join(f"`{c}`" for c in df.columns if c not in ("_action", "_before"))
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {shown} FROM parquet.`{location}`{gone}")
+    return spark.read.parquet(location)
+
+
+@contextmanager
+def _claimed(spark: SparkSession, path: str, version: int) -> Iterator[None]:
+    """Hold the claim on a version; given back when writing it fails."""
+    claim(spark, path, version)
+    try:
+        yield
+    except BaseException:
+        release_claim(spark, path, version)
+        raise
+
+
+def record_version(spark: SparkSession, path: str, version: int, operation: str, location: str) -> None:
+    """The history row that makes a written version current."""
     row = spark.range(1).select(
         F.lit(version).cast("long").alias("version"),
         F.current_timestamp().alias("timestamp"),
@@ -77,7 +139,6 @@ def publish(df: DataFrame, path: str, operation: str, partition_by: Sequence[str
         F.lit(location).alias("location"),
     )
     row.coalesce(1).write.mode("append").json(f"{path}/_history")
-    return spark.read.parquet(location)
 
 
 def ensure_like(df: DataFrame, path: str) -> DataFrame:
@@ -88,9 +149,10 @@ def ensure_like(df: DataFrame, path: str) -> DataFrame:
     return current(spark, path)
 
 
-def append_audit(df: DataFrame, path: str) -> None:
-    """Add rows to an append-only log."""
-    df.write.mode("append").parquet(path)
+def append_audit(df: DataFrame, path: str, pass_id: str) -> None:
+    """Add the rows of one pass to a log; the same pass written again replaces its rows."""
+    passes = df.withColumn("_pass_id", F.lit(pass_id)).write.mode("overwrite").partitionBy("_pass_id")
+    passes.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def append_evolving(df: DataFrame, path: str) -> None:
@@ -103,7 +165,9 @@ def write_batch_once(df: DataFrame, path: str, run_id: str, batch_id: int) -> No
 
     The batch owns the partition (run id, batch id) and overwrites that partition alone. The
     run id is the id of the streaming query, which a restart keeps and a new checkpoint changes.
+    The columns are kept beside the rows, for as long as there are none.
     """
+    df.limit(0).write.mode("ignore").parquet(f"{path}/{SCHEMA_FOLDER}")
     (
         df.withColumns({"_run_id": F.lit(run_id), "_batch_id": F.lit(batch_id).cast("long")})
         .write.mode("overwrite")
@@ -129,7 +193,7 @@ def replay_stream(
     spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None
 ) -> DataFrame:
     """A parquet table as a stream, in file order; ``path`` may be a folder or one file."""
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("maxFileAge", NO_FILE_TOO_OLD)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     # A pattern, since a stream over a literal path accepts folders only.
