@@ -6,12 +6,15 @@ the sketch of the whole; two sketches estimate resemblance, containment and dist
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.llm.common import saved
 
 K = 128
+BIN_ROWS = 500
+MOST_BINS = 20_000
 WIDTH = 5
 
 
@@ -75,26 +78,20 @@ def printed(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda h: F.lpad(F.hex(h), 16, "0")), "")
 
 
-def _followers(keys: DataFrame) -> DataFrame:
-    """``keys`` (doc_id, th, n) with the next key by descending doc_id, the first one after the last.
+def _binned(rows: DataFrame, per_bin: int) -> DataFrame:
+    """``rows`` with a column ``bin``: ranges of doc_id of about ``per_bin`` rows, more where that made over ``MOST_BINS``.
 
-    Keys are dealt out by range; each range is ordered by itself, and a range's last key is followed
-    by the first key of the next range, of which there is one a partition.
+    NULL ids are in bin -1.
+    A range's bounds are quantiles of all ids, so dense stretches of ids get as many bins as they need.
     """
-    order = [F.desc_nulls_last("doc_id"), F.asc("th")]
-    dealt = keys.repartitionByRange(*order).withColumn("range", F.spark_partition_id())
-    dealt = saved(dealt, "fingerprint-order")
-    own = F.struct("doc_id", "th")
-    within = Window.partitionBy("range").orderBy(*order)
-    listed = dealt.withColumn("after", F.lead(own).over(within))
-    heads = dealt.withColumn("place", F.row_number().over(within)).filter("place = 1").select("range", own.alias("head"))
-    ranges = Window.orderBy("range")
-    around = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    heads = heads.select(
-        "range", F.coalesce(F.lead("head").over(ranges), F.first("head").over(around)).alias("next_head")
-    )
-    return listed.join(heads, "range").select(
-        "doc_id", "th", "n", F.coalesce("after", "next_head").alias("next")
+    known = rows.select(F.col("doc_id").cast("double").alias("doc_id")).dropna()
+    bins = max(1, min(MOST_BINS, known.count() // per_bin))
+    cuts = known.approxQuantile("doc_id", [k / bins for k in range(1, bins)], 0.2 / bins) if bins > 1 else []
+    splits = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
+    number = Bucketizer(splits=splits, inputCol="_place", outputCol="bin")
+    placed = number.transform(rows.withColumn("_place", F.coalesce(F.col("doc_id").cast("double"), F.lit(0.0))))
+    return placed.drop("_place").withColumn(
+        "bin", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.col("bin")).cast("int")
     )
 
 
@@ -106,29 +103,47 @@ def edited_fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
     document and get a row each; rows of one doc_id with other texts follow each other by a hash;
     rows without doc_id come last. NULL text counts as empty. Other columns are ignored. Returns
     doc_id, n_chars, edited, sketch, edited_sketch, next_sketch.
+
+    Texts are moved once, to bins of neighbouring ids, where the next document is the next row. Only
+    a bin's last document needs one from elsewhere, the first of the bin below.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long"), text.alias("text"))
-    rows = rows.withColumns({"th": F.xxhash64("text"), "n": F.length("text")})
-    keys = rows.groupBy("doc_id", "th").agg(F.first("n").alias("n"))
-    wanted = _followers(keys).select(
-        F.col("doc_id").alias("for_id"),
-        F.col("th").alias("for_th"),
-        F.floor(F.col("n") / 3).cast("int").alias("m"),
-        F.col("next.doc_id").alias("next_id"),
-        F.col("next.th").alias("next_th"),
+    rows = docs.select(F.col("doc_id").cast("long"), text.alias("text")).withColumn("th", F.xxhash64("text"))
+    rows = _binned(rows, BIN_ROWS)
+
+    # The first document of every bin, by ids alone, then its text: one row a bin.
+    head = F.max(F.struct("doc_id", F.negative("th").alias("low"))).alias("head")
+    heads = rows.select("bin", "doc_id", F.shiftright("th", 1).alias("th")).groupBy("bin").agg(head)
+    heads = saved(heads, "fingerprint-heads")
+    firsts = rows.alias("r").join(
+        F.broadcast(heads).alias("h"),
+        F.expr("r.bin = h.bin and r.doc_id <=> h.head.doc_id and shiftright(r.th, 1) = -h.head.low"),
     )
-    rows = rows.withColumn("sketch", sketch(F.col("text"), k))
-    own = rows.select("doc_id", "th", "n", "text", "sketch")
-    given = own.join(wanted, F.expr("doc_id <=> next_id and th = next_th")).select(
-        "for_id", "for_th", F.expr("substring(text, 1, m)").alias("piece"), F.col("sketch").alias("next_sketch")
+    firsts = firsts.groupBy("r.bin").agg(F.min(F.struct("r.th", "r.text")).alias("first"))
+    ring = Window.orderBy(F.desc("bin"))
+    whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    firsts = saved(firsts, "fingerprint-firsts")
+    below = firsts.select(
+        F.col("bin").alias("_bin"), F.coalesce(F.lead("first.text").over(ring), F.first("first.text").over(whole)).alias("below")
+    )
+
+    own = rows.repartition("bin").groupBy("bin", "doc_id", "th").agg(
+        F.first("text").alias("text"), F.count("*").cast("int").alias("copies")
     )
-    given = given.groupBy("for_id", "for_th").agg(F.first(F.struct("piece", "next_sketch")).alias("given"))
-    edited = own.join(given, F.expr("doc_id <=> for_id and th = for_th")).select(
-        "doc_id",
-        F.col("n").cast("long").alias("n_chars"),
-        "sketch",
-        F.expr("concat(substring(text, 1, n - cast(floor(n / 3) as int)), given.piece)").alias("edited"),
-        F.col("given.next_sketch").alias("next_sketch"),
+    own = own.withColumn("sketch", sketch(F.col("text"), k))
+    order = Window.partitionBy("bin").orderBy(F.desc_nulls_last("doc_id"), F.shiftright("th", 1), "th")
+    following = own.withColumns({"after": F.lead("text").over(order), "next_sketch": F.lead("sketch").over(order)})
+    following = following.join(below, F.expr("bin = _bin and after is null"), "left")
+    size = F.length("text")
+    following = following.withColumns(
+        {
+            "n_chars": size.cast("long"),
+            "after": F.coalesce("after", "below"),
+            "next_sketch": F.coalesce("next_sketch", sketch(F.col("below"), k)),
+        }
     )
-    return edited.withColumn("edited_sketch", sketch(F.col("edited"), k))
+    replaced = "cast(floor(n_chars / 3) as int)"
+    edited = F.expr(f"concat(substring(text, 1, cast(n_chars as int) - {replaced}), substring(after, 1, {replaced}))")
+    made = following.withColumn("edited", edited).withColumn("edited_sketch", sketch(F.col("edited"), k))
+    made = made.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    return made.select("doc_id", "n_chars", "edited", "sketch", "edited_sketch", "next_sketch")
