@@ -40,6 +40,7 @@ FLUSH = 400_000
 SMALL_LIST = 64
 SALTED_LIST = 20_000
 SHARED_PART = 12
+LEADERS = 3
 WIDESPREAD = 24
 MOST_WIDESPREAD = 1 << 20
 SEEN = 100_000
@@ -231,9 +232,11 @@ def _index(percent: int):
     """One bucket's lists: candidate pairs of small lists, leader pairs and the entries of large ones."""
 
     def passes(n1, p1, n2, p2):
+        """Whether two sets can be similar that share this shingle; whether they can when it is their first."""
         need = -(-percent * (n1 + n2) // (100 + percent))
-        rest = np.minimum(p1, p2) + np.minimum(n1 - p1, n2 - p2)
-        return (100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2)) & (rest >= need)
+        rest = np.minimum(n1 - p1, n2 - p2)
+        sized = 100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2)
+        return sized & (np.minimum(p1, p2) + rest >= need), sized & (rest >= need)
 
     def run(group: pa.Table) -> pa.Table:
         tok, cls, n, pos = [], [], [], []
@@ -256,59 +259,65 @@ def _index(percent: int):
         def pairs_of(tok, cls, n, pos):
             """All pairs of one list, by blocks of equal (size, position)."""
             if not len(tok):
-                return tuple(np.empty((3, 0), np.int64))
+                return tuple(np.empty((4, 0), np.int64))
             start = np.flatnonzero(np.r_[True, (np.diff(tok) != 0) | (np.diff(n) != 0) | (np.diff(pos) != 0)])
             size = np.diff(np.r_[start, len(tok)])
-            left, right, k = [], [], 0
+            left, right, firsts, k = [], [], [], 0
             while True:
                 i = np.arange(len(start) - k)
                 i = i[tok[start[i]] == tok[start[i + k]]]
                 if not len(i):
                     break
                 j = i + k
-                ok = passes(n[start[i]], pos[start[i]], n[start[j]], pos[start[j]])
-                i, j = i[ok], j[ok]
+                ok, first = passes(n[start[i]], pos[start[i]], n[start[j]], pos[start[j]])
+                i, j, first = i[ok], j[ok], first[ok]
                 count = size[i] * size[j]
                 at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                 a = np.repeat(start[i], count) + at // np.repeat(size[j], count)
                 b = np.repeat(start[j], count) + at % np.repeat(size[j], count)
                 left.append(a[a < b])
                 right.append(b[a < b])
+                firsts.append(np.repeat(first, count)[a < b])
                 k += 1
             a, b = np.concatenate(left or [start[:0]]), np.concatenate(right or [start[:0]])
-            return np.minimum(cls[a], cls[b]), np.maximum(cls[a], cls[b]), shared_at_least(np.minimum(n[a], n[b]))
+            first = np.concatenate([np.zeros(0, bool), *firsts]).astype(np.int64)
+            return np.minimum(cls[a], cls[b]), np.maximum(cls[a], cls[b]), shared_at_least(np.minimum(n[a], n[b])), first
 
         # A salted list is a part of one, however few entries it has here.
         large = (per_entry > SMALL_LIST) | (group.column("salt")[0].as_py() > 0)
         small = (per_entry > 1) & ~large
-        a, b, least = pairs_of(tok[small], cls[small], n[small], pos[small])
+        a, b, least, first = pairs_of(tok[small], cls[small], n[small], pos[small])
         order = np.lexsort((b, a))
-        a, b, least = a[order], b[order], least[order]
+        a, b, least, first = a[order], b[order], least[order], first[order]
         start = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else a
         common = np.diff(np.r_[start, len(a)]) if len(a) else a
+        first = np.maximum.reduceat(first, start) if len(a) else a
         a, b, least = a[start], b[start], least[start]
         lefts, rights = [], []
         big = np.flatnonzero(large)
         edges = np.r_[0, np.flatnonzero(np.diff(tok[big]) != 0) + 1, len(big)] if len(big) else [0]
         for lo, hi in zip(edges, edges[1:]):
             own = big[lo:hi]
-            at = 0
-            while at < len(own):  # a leader for each range of sizes
-                lead = own[at]
-                rest = own[at + 1 :]
-                rest = rest[100 * n[lead] >= percent * n[rest]]
-                near = rest[passes(n[lead], pos[lead], n[rest], pos[rest])]
-                lefts.append(np.full(len(near), cls[lead]))
-                rights.append(cls[near])
-                at += 1 + len(rest)
+            # Sets with few rare shingles have this one early; of a group of copies these are the ones
+            # nearest to what was copied, and so the likeliest to be similar to all others.
+            own = own[np.lexsort((cls[own], pos[own]))]
+            led_by = 0
+            while len(own) and led_by < LEADERS:
+                lead, own = own[0], own[1:]
+                sized, near = passes(n[lead], pos[lead], n[own], pos[own])
+                lefts.append(np.full(int(near.sum()), cls[lead]))
+                rights.append(cls[own[near]])
+                led_by += 1
+                if led_by == LEADERS:  # what no leader's size fits has leaders of its own
+                    own, led_by = own[100 * np.minimum(n[lead], n[own]) < percent * np.maximum(n[lead], n[own])], 0
         led = np.concatenate([np.empty(0, np.int64), *lefts]), np.concatenate([np.empty(0, np.int64), *rights])
         led = np.unique(np.stack([np.minimum(*led), np.maximum(*led)], 1), axis=0)
         zeros = np.zeros(len(led), np.int64)
         return pa.concat_tables(
             [
-                pa.table({"tok": pa.nulls(len(a), pa.int64()), "a": a, "b": b, "n": least, "pos": common}),
+                pa.table({"tok": pa.nulls(len(a), pa.int64()), "a": a, "b": b, "n": least, "pos": common, "first": first}),
                 # Leader pairs are compared whatever their number of common shingles.
-                pa.table({"tok": pa.nulls(len(led), pa.int64()), "a": led[:, 0], "b": led[:, 1], "n": zeros, "pos": zeros}),
+                pa.table({"tok": pa.nulls(len(led), pa.int64()), "a": led[:, 0], "b": led[:, 1], "n": zeros, "pos": zeros, "first": zeros + 1}),
                 pa.table(
                     {
                         "tok": signed(tok[large]),
@@ -316,6 +325,7 @@ def _index(percent: int):
                         "b": pa.nulls(int(large.sum()), pa.int64()),
                         "n": n[large],
                         "pos": pos[large],
+                        "first": (pos[large] <= n[large] - -(-percent * n[large] // 100)).astype(np.int64),
                     }
                 ),
             ]
@@ -378,17 +388,25 @@ def similar_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     entries = arrow_map(docs, _entries(width, percent, common, bits), ENTRY)
     index = saved(
         entries.groupBy("bucket", "salt").applyInArrow(
-            _index(percent), "tok long, a long, b long, n long, pos long"
+            _index(percent), "tok long, a long, b long, n long, pos long, first long"
         ),
         "jaccard-index",
     )
     common.unpersist()
 
     # Similar sets that meet in no large list share that many prefix shingles in small ones.
-    found = index.filter("b is not null").groupBy("a", "b").agg(F.sum("pos").alias("common"), F.min("n").alias("least"))
+    found = index.filter("b is not null").groupBy("a", "b")
+    found = found.agg(F.sum("pos").alias("common"), F.min("n").alias("least"), F.max("first").alias("first"))
     found = saved(found, "jaccard-found")
-    pairs = found.filter("common >= least").select("a", "b")
-    large = index.filter("b is null").select("tok", F.col("a").alias("cls"), "n", "pos")
+    large = index.filter("b is null").select("tok", F.col("a").alias("cls"), "n", "pos", "first")
+    # What a pair lacks in small lists it may share in large ones, of which each set's number is known.
+    held = large.groupBy("cls").agg(F.count("*").alias("held"))
+    short = found.filter("first = 1 and common < least")
+    for side in "ab":
+        short = short.join(held.select(F.col("cls").alias(side), F.col("held").alias(f"held_{side}")), side)
+    short = short.filter("common + least(held_a, held_b) >= least").select("a", "b")
+    pairs = found.filter("first = 1 and common >= least").select("a", "b").unionByName(short)
+    pairs = saved(pairs, "jaccard-pairs")
     wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls")))
     wanted = wanted.unionByName(large.select("cls")).distinct()
     chosen = classes.join(wanted, "cls").filter("doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
@@ -441,6 +459,7 @@ def _across(large, found, known, links, labels, overlaps, percent) -> DataFrame:
             "cls",
             "n",
             "pos",
+            "first",
             F.coalesce("component", "cls").alias("component"),
             F.coalesce("best.lead", "cls").alias("lead"),
             F.coalesce("best.extra", F.lit(0)).alias("extra"),
@@ -451,9 +470,13 @@ def _across(large, found, known, links, labels, overlaps, percent) -> DataFrame:
     groups = entries.groupBy("lead").agg(
         F.max("extra").alias("extra"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("component").alias("of")
     )
-    met = entries.select("tok", "lead", "component").distinct()
-    other = met.select("tok", F.col("lead").alias("b"), F.col("component").alias("other"))
-    met = met.join(other, "tok").filter("component != other and lead < b").select(F.col("lead").alias("a"), "b")
+    # Similar sets meet in the list of their first common shingle, which both have in the part of
+    # their prefix that would do without the count of common ones.
+    ahead = entries.filter("first = 1").select("tok", "lead", "component").distinct()
+    other = ahead.select("tok", F.col("lead").alias("b"), F.col("component").alias("other"))
+    met = ahead.join(other, "tok").filter("component != other and lead < b").select(F.col("lead").alias("a"), "b").distinct()
+    listed = entries.select("tok", "lead").distinct()
+    met = met.join(listed.withColumnRenamed("lead", "a"), "a").join(listed.withColumnRenamed("lead", "b"), ["b", "tok"])
     met = met.groupBy("a", "b").agg(F.count("*").alias("meetings"))
     for side in "ab":
         own = groups.select([F.col(c).alias(f"{c}_{side}" if c != "lead" else side) for c in groups.columns])
