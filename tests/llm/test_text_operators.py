@@ -352,3 +352,17 @@ def test_quality_of_odd_rows(spark, odd_docs, no_docs, texts):
     assert all(r.keep for r in quality.judged(odd_docs, labels.limit(0)).collect())
     assert quality.good_documents(odd_docs, labels).columns == odd_docs.columns
     assert quality.judged(no_docs, labels).collect() == []
+
+
+def test_queries_equal_their_sql(spark, sf_dir):
+    import pathlib
+    import sys
+
+    sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[1]))
+    import oracle
+
+    from tidelake.llm.queries import ORACLES
+
+    con = oracle.connect(sf_dir)
+    for name, sql in ORACLES.items():
+        assert oracle.compare(con, QUERIES[name](spark, sf_dir), sql) is None
