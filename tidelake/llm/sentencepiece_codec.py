@@ -31,9 +31,9 @@ class Codec:
         model = SentencePieceProcessor(model_file=path)
         self.pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if model.is_byte(i)}
-        self.values = {i: b for b, i in self.bytes.items()}
         skipped = [model.is_byte(i) or model.is_control(i) or model.is_unknown(i) for i in range(len(self.pieces))]
-        self.silent = {i for i, out in enumerate(skipped) if out} - set(self.values)
+        values = {i: bytes([b]) for b, i in self.bytes.items()}
+        self.written = [values.get(i, b"" if skipped[i] else p.encode()) for i, p in enumerate(self.pieces)]
         self.automaton = ahocorasick.Automaton()
         lowest, inner, lines = math.inf, False, False
         for i, piece in enumerate(self.pieces):
@@ -111,12 +111,7 @@ class Codec:
         return out
 
     def decode(self, ids: list[int]) -> str:
-        out = bytearray()
-        for i in ids:
-            if i in self.values:
-                out.append(self.values[i])
-            elif i not in self.silent:
-                out += self.pieces[i].encode()
+        out = b"".join(map(self.written.__getitem__, ids))
         return out.decode("utf-8", "replace").replace(SPACE, " ").removeprefix(" ")
 
 
