@@ -7,7 +7,6 @@ from other hardware, so the ratio between variants says more than the single num
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
 import time
 from decimal import Decimal
 from pathlib import Path
@@ -52,7 +51,7 @@ class Timer:
 
 def run(spark: SparkSession) -> dict[str, dict]:
     out = scratch_dir(spark, "scenarios")
-    raw = Path(tempfile.mkdtemp(prefix="bench-landing-"))
+    raw = Path(f"{out}/landing".removeprefix("file:").replace("//", "/"))
     timed = Timer()
 
     def land(root: Path, name: str, checkpoint: str = "checkpoint") -> dict:
@@ -111,14 +110,14 @@ def run(spark: SparkSession) -> dict[str, dict]:
     day = dt.date(2026, 10, 6)
     tables.publish(
         spark.createDataFrame(
-            [(980000 + i, day, Decimal(a), "accepted", v, T0) for i, a, v in ((1, "100.00", 1), (2, "50.00", 3), (3, "30.00", 1))],
+            [(610 + i, day, Decimal(a), "accepted", v, T0) for i, a, v in ((1, "64.10", 1), (2, "22.40", 3), (3, "9.90", 1))],
             "payment_id long, payment_date date, amount decimal(12,2), status string, sequence_num long, _applied_at timestamp",
         ),
         f"{out}/payments",
         "CREATE",
     )
     deletes = spark.createDataFrame(
-        [("delete_001", 980001, 2, "DELETE"), ("delete_002", 980002, 2, "DELETE")],
+        [("delete_001", 611, 2, "DELETE"), ("delete_002", 612, 2, "DELETE")],
         "event_id string, payment_id long, sequence_num long, operation string",
     )
     paths = [f"{out}/{name}" for name in ("payments", "audit", "payments_gold")]
@@ -128,7 +127,7 @@ def run(spark: SparkSession) -> dict[str, dict]:
 
     tables.publish(
         spark.createDataFrame(
-            [(990000 + i, 1000 + i, Decimal(a), 1, False, T0) for i, a in ((1, "100.00"), (2, "50.00"), (3, "30.00"))],
+            [(990000 + i, 1000 + i, Decimal(a), 1, False, T0) for i, a in ((1, "64.10"), (2, "22.40"), (3, "9.90"))],
             "transaction_id long, payment_id long, amount decimal(12,2), sequence_num long, _is_deleted boolean,"
             " _applied_at timestamp",
         ),
@@ -137,13 +136,13 @@ def run(spark: SparkSession) -> dict[str, dict]:
     )
     mixed = spark.createDataFrame(
         [
-            ("txn_001_update_v2", 990001, 1001, Decimal("110.00"), 2, "UPDATE"),
-            ("txn_001_update_v3", 990001, 1001, Decimal("120.00"), 3, "UPDATE"),
-            ("txn_002_delete_v2", 990002, None, None, 2, "DELETE"),
-            ("txn_002_insert_v1", 990002, 1002, Decimal("50.00"), 1, "INSERT"),
-            ("txn_004_insert_v1", 990004, 1004, Decimal("40.00"), 1, "INSERT"),
-            ("txn_004_insert_v1", 990004, 1004, Decimal("40.00"), 1, "INSERT"),
-            ("txn_003_same_v1", 990003, 1003, Decimal("30.00"), 1, "UPDATE"),
+            ("north-raise", 311, 77, Decimal("70.20"), 2, "UPDATE"),
+            ("north-raise-again", 311, 77, Decimal("81.30"), 3, "UPDATE"),
+            ("south-close", 312, None, None, 2, "DELETE"),
+            ("south-open-late", 312, 78, Decimal("22.40"), 1, "INSERT"),
+            ("west-open", 314, 80, Decimal("15.60"), 1, "INSERT"),
+            ("west-open", 314, 80, Decimal("15.60"), 1, "INSERT"),
+            ("east-resent", 313, 79, Decimal("9.90"), 1, "UPDATE"),
         ],
         "event_id string, transaction_id long, payment_id long, amount decimal(12,2), sequence_num long, operation string",
     )
@@ -154,7 +153,7 @@ def run(spark: SparkSession) -> dict[str, dict]:
         )
         return done["merge"]
 
-    stale = mixed.filter("event_id = 'txn_002_insert_v1'")
+    stale = mixed.filter("event_id = 'south-open-late'")
     timed("mixed_merge", 5.891, lambda: merge(mixed), inserted_rows=1, updated_rows=2)
     timed("mixed_merge_replay", 4.964, lambda: merge(mixed), inserted_rows=0, updated_rows=0)
     timed("mixed_merge_stale_insert", 5.234, lambda: merge(stale), inserted_rows=0, updated_rows=0)

@@ -139,8 +139,8 @@ def test_monitoring_views_and_health_collection(spark, sf_dir, tmp_path):
         assert spark.table(name).limit(1).count() == 1
 
     path = f"{tmp_path}/t"
-    for n in range(3):
+    for n in range(22):
         tables.publish(spark.range(1).withColumn("n", F.lit(n)), path, "OVERWRITE")
     out = monitoring.collect_table_health(spark, f"{tmp_path}/health", published={"t": path})
-    assert out["history"].count() == 3 and out["history"].agg(F.max("version")).first()[0] == 2
-    assert out["detail"].first().num_files >= 3
+    assert out["history"].count() == 20 and out["history"].agg(F.max("version")).first()[0] == 21
+    assert out["detail"].first().num_files >= 22

@@ -38,7 +38,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if not n.startswith(("stream_", "pipeline_"))])
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plans_have_no_pair_of_everything(spark, sf_dir, name):
     text = plan(entry.queries()[name](spark, sf_dir))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,15 +33,15 @@ def normalize_orders(df: DataFrame) -> DataFrame:
     )
 
 
+def order_rules(allowed: Iterable[str] = ALLOWED_STATUSES) -> list[Column]:
+    """What a valid order keeps: its three required values, a known status, nothing rescued."""
+    required = [F.col(name).isNotNull() for name in ("order_id", "customer_id", "order_date")]
+    return [*required, F.col("status").isin(*allowed), F.col("_rescued_data").isNull()]
+
+
 def order_is_valid(allowed: Iterable[str] = ALLOWED_STATUSES) -> Column:
     """All order rules as one predicate (three-valued: NULL status gives NULL)."""
-    return (
-        F.col("order_id").isNotNull()
-        & F.col("customer_id").isNotNull()
-        & F.col("order_date").isNotNull()
-        & F.col("status").isin(*allowed)
-        & F.col("_rescued_data").isNull()
-    )
+    return reduce(lambda a, b: a & b, order_rules(allowed))
 
 
 def event_category(status_code: Column, action: Column, sensitive: str = SENSITIVE_ACTIONS) -> Column:

@@ -29,7 +29,9 @@ def catalog_locations(spark: SparkSession, listed: DataFrame) -> dict[str, str]:
 def table_detail(
     spark: SparkSession, locations: Mapping[str, str], formats: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Per table: format, location, first and last file time, bytes, files, partition columns.
+    """Per table: catalog, schema, format, location, first and last file time, bytes, files, partition columns.
+
+    Names may be ``table``, ``schema.table`` or ``catalog.schema.table``; what they leave out is NULL.
 
     The files are listed by Spark and grouped in one job; their contents are not read. A table
     that cannot be listed is logged and left out. Plain files have no clustering columns.
@@ -65,7 +67,13 @@ def table_detail(
             F.count(F.lit(1)).alias("num_files"),
             F.max(folders).alias("partition_columns"),
         )
-        .withColumn("clustering_columns", F.array().cast("array<string>"))
+        .withColumns(
+            {
+                "clustering_columns": F.array().cast("array<string>"),
+                "schema_name": F.get(F.reverse(F.split("table_name", r"\.")), 1),
+                "catalog_name": F.get(F.reverse(F.split("table_name", r"\.")), 2),
+            }
+        )
     )
 
 

@@ -30,6 +30,18 @@ VIEWS: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+def create_views(spark: SparkSession, sources: Mapping[str, str], schema: str, names: Sequence[str] | None = None) -> list[str]:
+    """Publish the views as catalog tables of ``schema`` that stay when the session ends.
+
+    Python builds the views, so what lasts is their result: run again to bring them up to date.
+    """
+    tables = {name: spark.table(source) for name, source in sources.items()}
+    made = [f"{schema}.{name}" for name in names or VIEWS]
+    for name in made:
+        VIEWS[name.rpartition(".")[2]](tables).write.mode("overwrite").saveAsTable(name)
+    return made
+
+
 def register_views(tables: Tables, names: Sequence[str] | None = None) -> list[str]:
     """Create or replace the views as temporary views for SQL users."""
     names = list(names or VIEWS)

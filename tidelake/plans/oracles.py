@@ -553,4 +553,41 @@ FROM events
 UNION ALL SELECT 'silver', count(DISTINCT event_id), count(DISTINCT event_id), 0, 0, 0 FROM events""",
     "stream_processed_values": """SELECT count(*) AS output_rows, CAST(0 AS BIGINT) AS invalid_rows, 'PASS' AS result
 FROM events""",
+    "stream_landing_late_files": "SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS status FROM orders",
+    "stream_landing_headers": """SELECT l_orderkey AS order_id, CAST(l_linenumber AS INTEGER) AS line,
+  CASE WHEN l_returnflag = 'N' THEN CAST(l_quantity AS BIGINT) END AS quantity,
+  CASE WHEN l_returnflag = 'A' THEN
+    '{"Quantity":"' || CAST(l_quantity AS BIGINT) || '","extra":"' || l_linestatus || '"}' END AS _rescued_data
+FROM lineitem WHERE l_returnflag IN ('N', 'A')""",
+    "effective_far_end": """SELECT 'term ' || o_orderstatus AS term, count(*) AS orders, min(o_orderdate) AS since
+FROM orders GROUP BY o_orderstatus""",
+    "asof_map": """WITH ranked AS (
+  SELECT b.event_id, b.event_type AS kind, s.event_id AS signup_id,
+    row_number() OVER (PARTITION BY b.event_id ORDER BY s.ts DESC, s.event_id DESC) AS rn
+  FROM events b LEFT JOIN events s ON s.event_type = 'signup' AND b.user_id = s.user_id AND s.ts <= b.ts
+  WHERE b.event_type = 'purchase'
+)
+SELECT event_id, kind, signup_id FROM ranked WHERE rn = 1""",
+    "compacted_orders": """SELECT o_orderkey, o_orderstatus,
+  CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS channel FROM orders""",
+    "page_paths": "SELECT page_id, url FROM pages WHERE regexp_matches(url, '^https://[^/]+/en/')",
+    "late_shipments": """SELECT o_orderkey AS order_id, o_orderdate, l_linenumber, l_shipdate
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+WHERE l_shipdate < o_orderdate OR l_shipdate > o_orderdate + INTERVAL 30 DAYS""",
+    "nation_snapshot": "SELECT n_nationkey, n_name FROM nation",
+    "source_files": """SELECT 'orders' AS source, count(*) AS rows, count(*) AS stamped FROM orders
+UNION ALL SELECT 'lineitem', count(*), count(*) FROM lineitem""",
+    "lineitem_distinct_orders": "SELECT DISTINCT l_orderkey FROM lineitem",
+    "written_table_detail": """SELECT 'lake' AS catalog_name, 'sales' AS schema_name, 'lake.sales.orders' AS table_name,
+  'parquet' AS format, count(DISTINCT o_orderstatus) AS num_files, 'o_orderstatus' AS partition_columns, true AS has_bytes
+FROM orders""",
+    "written_table_history": """SELECT 'orders' AS table_name, version, 'WRITE ' || o_orderstatus AS operation FROM (
+  SELECT o_orderstatus, row_number() OVER (ORDER BY o_orderstatus) - 1 AS version FROM (SELECT DISTINCT o_orderstatus FROM orders))
+ORDER BY version DESC LIMIT 2""",
+    "written_file_layout": """SELECT 'per_status' AS layout, CAST(sum(n) AS BIGINT) AS rows, count(*) AS source_files,
+  max(n) AS largest_file_rows FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderstatus)""",
+    "stream_progress_log": """SELECT row_number() OVER (ORDER BY event_type) - 1 AS batch_id, count(*) AS input_rows,
+  'KEEPING_UP' AS status FROM events GROUP BY event_type""",
 }
+ORACLES["audit_log"] = ORACLES["cdc_delete_audit"]
+

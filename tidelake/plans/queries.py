@@ -691,3 +691,184 @@ def file_layout(spark, sf_dir):
     lines = b.table(spark, sf_dir, "lineitem")
     few = health.file_layout(lines, "per_supplier", "l_suppkey")
     return few.unionByName(health.file_layout(lines, "per_order", "l_orderkey"))
+
+
+# What the queries above leave out
+
+
+def _aged(spark: SparkSession, folder: str, days: int) -> None:
+    """Date the files of a folder back."""
+    found = tables._hadoop_path(spark, folder)
+    system = found.getFileSystem(spark._jsc.hadoopConfiguration())
+    listed = system.listFiles(found, True)
+    while listed.hasNext():
+        file = listed.next()
+        system.setTimes(file.getPath(), file.getModificationTime() - days * 86_400_000, -1)
+
+
+@query
+def stream_landing_late_files(spark, sf_dir):
+    """Orders in three deliveries, the later ones with files dated weeks before the first: all are landed."""
+    out = scratch_dir(spark, "late-files")
+    orders = b.table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS order_id", "o_custkey AS customer_id", "o_orderstatus AS status"
+    )
+    for number, (status, days) in enumerate((("F", 0), ("O", 30), ("P", 400)), 1):
+        folder = f"{out}/raw/ingestion_date=2026-01-01/batch={number}"
+        orders.filter(F.col("status") == status).write.option("header", True).csv(folder)
+        _aged(spark, folder, days)
+        route = ingest.route_batch(f"{out}/valid", f"{out}/quarantine", r".*/batch=\d+/[^/]+\.csv$")
+        types = {"order_id": "bigint", "customer_id": "bigint", "status": "string"}
+        land_files(spark, f"{out}/raw", f"{out}/checkpoint", route, schema=types)
+    return tables.read_evolving(spark, f"{out}/valid").select("order_id", "customer_id", "status")
+
+
+@query
+def stream_landing_headers(spark, sf_dir):
+    """One long file and many short ones whose header has another case and one column more than the schema."""
+    out = scratch_dir(spark, "headers")
+    lines = b.table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS order_id", "l_linenumber AS line", "CAST(l_quantity AS BIGINT) AS quantity",
+        "l_linestatus AS extra", "l_returnflag AS flag",
+    )
+    long = lines.filter("flag = 'N'").select("order_id", "line", "quantity").coalesce(1)
+    long.write.option("header", True).csv(f"{out}/raw/long")
+    short = lines.filter("flag = 'A'").withColumnRenamed("quantity", "Quantity").drop("flag").repartition(12)
+    short.write.option("header", True).csv(f"{out}/raw/short")
+    route = ingest.route_batch(f"{out}/valid", f"{out}/quarantine", r".*/(long|short)/[^/]+\.csv$")
+    types = {"order_id": "bigint", "line": "int", "quantity": "bigint"}
+    land_files(spark, f"{out}/raw", f"{out}/checkpoint", route, schema=types)
+    return tables.read_evolving(spark, f"{out}/valid").select(*types, "_rescued_data")
+
+
+@query
+def effective_far_end(spark, sf_dir):
+    """Orders under a term of their status that begins with its first order and ends in 9999."""
+    orders = b.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    terms = orders.groupBy("o_orderstatus").agg(F.min("o_orderdate").alias("since"))
+    terms = terms.withColumns(
+        {"until": F.expr("TIMESTAMP_NTZ'9999-12-31 00:00:00'"), "term": F.concat(F.lit("term "), "o_orderstatus")}
+    )
+    joined = temporal.effective_join(orders, terms, ["o_orderstatus"], "o_orderdate", "since", "until")
+    return joined.groupBy("term").agg(F.count("*").alias("orders"), F.min("since").alias("since"))
+
+
+@query
+def asof_map(spark, sf_dir):
+    """Purchases that carry a map, with the latest signup of their user before them."""
+    events = b.table(spark, sf_dir, "events")
+    bought = events.filter("event_type = 'purchase'").select(
+        "event_id", "user_id", "ts", F.create_map(F.lit("kind"), "event_type").alias("tags")
+    )
+    signups = events.filter("event_type = 'signup'").select("user_id", F.col("ts").alias("since"), F.col("event_id").alias("signup_id"))
+    found = temporal.asof_join(bought, signups, ["user_id"], "ts", "since", ["signup_id"], ["signup_id"])
+    return found.select("event_id", F.element_at("tags", F.lit("kind")).alias("kind"), "signup_id")
+
+
+@query
+def compacted_orders(spark, sf_dir):
+    """Files with different columns, compacted: rows, columns and partition folders stay."""
+    out = scratch_dir(spark, "compacted")
+    orders = b.table(spark, sf_dir, "orders").withColumnRenamed("o_orderpriority", "channel")
+    few = orders.select("o_orderkey", "o_orderstatus", "channel")
+    few.filter("o_orderstatus = 'F'").drop("channel").write.partitionBy("o_orderstatus").parquet(f"{out}/small")
+    few.filter("o_orderstatus <> 'F'").write.mode("append").partitionBy("o_orderstatus").parquet(f"{out}/small")
+    return health.compact(spark, f"{out}/small", f"{out}/large").select("o_orderkey", "o_orderstatus", "channel")
+
+
+@query
+def audit_log(spark, sf_dir):
+    """The delete audit written twice by one pass, as after a failure: it is there once."""
+    out = scratch_dir(spark, "audit")
+    for _ in range(2):
+        tables.append_audit(cdc_delete_audit(spark, sf_dir), out, "first_run-0")
+    return spark.read.parquet(out).drop("_pass_id")
+
+
+@query
+def page_paths(spark, sf_dir):
+    pages = b.table(spark, sf_dir, "pages").select("page_id", "url")
+    return rules.only_paths(pages, r"^https://[^/]+/en/", "url")
+
+
+@query
+def late_shipments(spark, sf_dir):
+    """Lines shipped before their order or over 30 days after it."""
+    orders = b.table(spark, sf_dir, "orders").selectExpr("o_orderkey AS order_id", "o_orderdate")
+    lines = b.table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS order_id", "l_linenumber", "l_shipdate")
+    pairs = temporal.key_join(orders, lines, "order_id")
+    return temporal.out_of_range_matches(pairs, "o_orderdate", "l_shipdate", 30 * temporal.DAY)
+
+
+@query
+def nation_snapshot(spark, sf_dir):
+    nations = b.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return spark.createDataFrame(versions.snapshot(nations, "n_nationkey", 25), nations.schema)
+
+
+@query
+def source_files(spark, sf_dir):
+    """Rows by the table their lineage names, read from two tables at once."""
+    read = [
+        rules.with_lineage(spark.read.parquet(f"{sf_dir}/{name}.parquet")).select("_source_file", "_ingestion_timestamp")
+        for name in ("orders", "lineitem")
+    ]
+    name = F.regexp_extract("_source_file", r"/(\w+)\.parquet", 1)
+    landed = read[0].unionByName(read[1]).groupBy(name.alias("source"))
+    return landed.agg(F.count("*").alias("rows"), F.count("_ingestion_timestamp").alias("stamped"))
+
+
+@query
+def lineitem_distinct_orders(spark, sf_dir):
+    """Copies judged by the order alone; which line of it stays is open, so only the order is shown."""
+    lines = b.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return versions.drop_exact(lines, ["l_orderkey"]).select("l_orderkey")
+
+
+@query
+def written_table_detail(spark, sf_dir):
+    """Detail of a table written with a folder a status, one file in each."""
+    out = scratch_dir(spark, "detail")
+    b.table(spark, sf_dir, "orders").coalesce(1).write.partitionBy("o_orderstatus").parquet(out)
+    detail = health.table_detail(spark, {"lake.sales.orders": out})
+    return detail.select(
+        "catalog_name", "schema_name", "table_name", "format", "num_files",
+        F.array_join("partition_columns", ",").alias("partition_columns"),
+        (F.col("size_in_bytes") > 0).alias("has_bytes"),
+    )
+
+
+@query
+def written_table_history(spark, sf_dir):
+    """The history of a table published once per order status."""
+    out = scratch_dir(spark, "history")
+    statuses = sorted(r[0] for r in b.table(spark, sf_dir, "orders").select("o_orderstatus").distinct().collect())
+    for status in statuses:
+        tables.publish(b.table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == status), out, f"WRITE {status}")
+    log = tables.history(spark, out).withColumn("table_name", F.lit("orders"))
+    return health.table_history(log, 2).select("table_name", "version", "operation")
+
+
+@query
+def written_file_layout(spark, sf_dir):
+    """Rows and files of orders as they were really written: one file a status."""
+    out = scratch_dir(spark, "layout")
+    b.table(spark, sf_dir, "orders").coalesce(1).write.partitionBy("o_orderstatus").parquet(out)
+    read = spark.read.parquet(out).withColumn("_source_file", F.col("_metadata.file_path"))
+    return health.file_layout(read, "per_status")
+
+
+@query
+def stream_progress_log(spark, sf_dir):
+    """Every batch of a stream as its listener wrote it, with the backlog verdict; one file is one batch."""
+    out = scratch_dir(spark, "progress")
+    events = b.table(spark, sf_dir, "events").select("event_id", "event_type")
+    for kind in ("click", "error", "purchase", "signup", "view"):
+        events.filter(F.col("event_type") == kind).coalesce(1).write.mode("append").parquet(f"{out}/events")
+    arriving = tables.replay_stream(spark, f"{out}/events", events.schema, files_per_batch=1)
+    with progress.ProgressLog(spark, f"{out}/log") as log:
+        query = ingest.run_available_now(arriving, f"{out}/rows", f"{out}/checkpoint")
+        rows = log.rows(query)
+    # An hour a batch: nothing falls behind, whatever the machine.
+    verdicts = progress.classify_progress(rows, 3600)
+    return verdicts.select("batch_id", "input_rows", "status")

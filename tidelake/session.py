@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -38,13 +40,18 @@ def get_spark(app_name: str = "tidelake", master: str | None = None, **conf: str
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may do without it: there driver and executors share one disk.
+    Only a local master may do without it: there driver and executors share one disk. The folder is
+    then a temporary one, removed when the program ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        return _local_dirs.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="tidelake-"))
+        application = spark.sparkContext.applicationId
+        if application not in _local_dirs:
+            _local_dirs[application] = tempfile.mkdtemp(prefix="tidelake-")
+            atexit.register(shutil.rmtree, _local_dirs[application], ignore_errors=True)
+        return _local_dirs[application]
     raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import json
+import threading
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 SCHEMA = (
     "batch_id long, input_rows long, input_rows_per_second double, processed_rows_per_second double,"
@@ -38,10 +39,53 @@ def _row(progress: Any) -> tuple:
 
 
 def progress_df(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """One row per recent micro-batch; Spark keeps a fixed number of them. State is summed over operators."""
+    """One row per recent micro-batch; Spark keeps a fixed number of them (see :class:`ProgressLog` for all).
+
+    State is summed over operators.
+    """
     return spark.createDataFrame([_row(p) for p in query.recentProgress], SCHEMA)
 
 
+class ProgressLog(StreamingQueryListener):
+    """Writes every batch of every query of the session to a folder, however long they run.
+
+    Spark reports in the background: :meth:`rows` waits for a query's end before it reads.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+        self._ended: dict[str, threading.Event] = {}
+
+    def _end(self, run_id: Any) -> threading.Event:
+        return self._ended.setdefault(str(run_id), threading.Event())
+
+    def __enter__(self) -> ProgressLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event: Any) -> None:
+        self._end(event.runId)
+
+    def onQueryProgress(self, event: Any) -> None:
+        row = self.spark.createDataFrame([(str(event.progress.runId), *_row(event.progress))], f"run_id string, {SCHEMA}")
+        row.coalesce(1).write.mode("append").parquet(self.path)
+
+    def onQueryIdle(self, event: Any) -> None:
+        pass
+
+    def onQueryTerminated(self, event: Any) -> None:
+        self._end(event.runId).set()
+
+    def rows(self, query: StreamingQuery, seconds: float = 60) -> DataFrame:
+        """All batches of a query that has ended."""
+        if not self._end(query.runId).wait(seconds):
+            raise TimeoutError("the query has not ended")
+        return self.spark.read.schema(f"run_id string, {SCHEMA}").parquet(self.path).filter(F.col("run_id") == str(query.runId))
+
+
 def classify_progress(df: DataFrame, trigger_seconds: float, duration_ms: str = "batch_duration_ms") -> DataFrame:
     """FALLING_BEHIND when a batch took longer than the trigger interval, else KEEPING_UP."""
     behind = F.col(duration_ms) > F.lit(trigger_seconds * 1000)
