@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tidelake.llm.common import (
     ShingleSets,
+    arrow_groups,
     arrow_map,
     connected,
     matching,
@@ -387,8 +388,8 @@ def similar_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     common = spark.sparkContext.broadcast(widespread(docs, counts, width))
     entries = arrow_map(docs, _entries(width, percent, common, bits), ENTRY)
     index = saved(
-        entries.groupBy("bucket", "salt").applyInArrow(
-            _index(percent), "tok long, a long, b long, n long, pos long, first long"
+        arrow_groups(
+            entries, ["bucket", "salt"], _index(percent), "tok long, a long, b long, n long, pos long, first long"
         ),
         "jaccard-index",
     )
@@ -439,8 +440,8 @@ def similar_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     )
 
 
-def _across(large, found, known, links, labels, overlaps, percent) -> DataFrame:
-    """Links between sets of one large list that the leaders' links have not connected yet."""
+def _mixed_lists(large: DataFrame, known: DataFrame, links, labels: DataFrame, label: str) -> DataFrame:
+    """Entries of the large lists whose sets are not all connected, with each set's component and leader."""
     linked = known.filter(links)
     sides = linked.select(F.col("b").alias("cls"), F.col("a").alias("lead"), F.expr("nb - inter").alias("extra"))
     sides = sides.unionByName(linked.select(F.col("a").alias("cls"), F.col("b").alias("lead"), F.expr("na - inter").alias("extra")))
@@ -466,21 +467,36 @@ def _across(large, found, known, links, labels, overlaps, percent) -> DataFrame:
         )
     )
     mixed_lists = entries.groupBy("tok").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    entries = saved(entries.join(mixed_lists.filter("lo != hi").select("tok"), "tok", "left_semi"), "jaccard-mixed")
+    return saved(entries.join(mixed_lists.filter("lo != hi").select("tok"), "tok", "left_semi"), label)
+
+
+def _with_both(pairs: DataFrame, own: DataFrame, key: str) -> DataFrame:
+    """``pairs`` (a, b) with the columns of ``own`` for either side."""
+    for side in "ab":
+        pairs = pairs.join(own.select([F.col(c).alias(side if c == key else f"{c}_{side}") for c in own.columns]), side)
+    return pairs
+
+
+def _across(large, found, known, links, labels, overlaps, percent) -> DataFrame:
+    """Links between sets of one large list that the leaders' links have not connected yet."""
+    entries = _mixed_lists(large, known, links, labels, "jaccard-mixed")
     groups = entries.groupBy("lead").agg(
-        F.max("extra").alias("extra"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("component").alias("of")
+        F.max("extra").alias("extra"),
+        F.min("n").alias("lo"),
+        F.max("n").alias("hi"),
+        F.collect_set("tok").alias("held"),
     )
     # Similar sets meet in the list of their first common shingle, which both have in the part of
     # their prefix that would do without the count of common ones.
-    ahead = entries.filter("first = 1").select("tok", "lead", "component").distinct()
-    other = ahead.select("tok", F.col("lead").alias("b"), F.col("component").alias("other"))
-    met = ahead.join(other, "tok").filter("component != other and lead < b").select(F.col("lead").alias("a"), "b").distinct()
-    listed = entries.select("tok", "lead").distinct()
-    met = met.join(listed.withColumnRenamed("lead", "a"), "a").join(listed.withColumnRenamed("lead", "b"), ["b", "tok"])
-    met = met.groupBy("a", "b").agg(F.count("*").alias("meetings"))
-    for side in "ab":
-        own = groups.select([F.col(c).alias(f"{c}_{side}" if c != "lead" else side) for c in groups.columns])
-        met = met.join(own, side)
+    # What both have from there on bounds what they share; of followers, the best case counts.
+    ahead = entries.filter("first = 1").groupBy("tok", "lead", "component")
+    ahead = ahead.agg(F.max(F.col("n") - F.col("pos")).alias("rest"), F.min("n").alias("lo"))
+    other = ahead.select("tok", F.col("lead").alias("b"), F.col("component").alias("other"), F.col("rest").alias("rest_b"), F.col("lo").alias("lo_b"))
+    can = f"{100 + percent} * least(rest, rest_b) >= {percent} * (lo + lo_b)"
+    met = ahead.join(other, "tok").filter(f"component != other and lead < b and {can}")
+    met = met.select(F.col("lead").alias("a"), "b").distinct()
+    met = _with_both(met, groups, "lead").withColumn("meetings", F.size(F.array_intersect("held_a", "held_b")))
+    met = met.drop("held_a", "held_b")
     # What two followers share in small lists counts beside the large lists their leaders meet in.
     lead_of = entries.select("cls", "lead").distinct()
     beside = found.filter("least > 0").join(lead_of.select(F.col("cls").alias("a"), F.col("lead").alias("x")), "a")
@@ -503,9 +519,10 @@ def _across(large, found, known, links, labels, overlaps, percent) -> DataFrame:
         .join(right, ["tok", "b"])
         .filter(
             f"100 * least(n1, n2) >= {percent} * greatest(n1, n2)"
-            f" and {100 + percent} * (least(p1, p2) + least(n1 - p1, n2 - p2)) >= {percent} * (n1 + n2)"
+            f" and {100 + percent} * least(n1 - p1, n2 - p2) >= {percent} * (n1 + n2)"
         )
         .select(F.least("y", "z").alias("a"), F.greatest("y", "z").alias("b"))
         .distinct()
     )
-    return joined.unionByName(overlaps(open_pairs, "jaccard-open").filter(links).select("a", "b"))
+    late = overlaps(open_pairs, "jaccard-open").filter(links).select("a", "b")
+    return joined.unionByName(late)
