@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable, Iterator
 
@@ -25,6 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def give_back() -> None:
+    """Return memory a worker has freed to the system; allocators keep it for a next time that may not come."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def tokenizer_path(name: str) -> str:
     """Where the public vocabulary file ``name`` is installed, the same on all machines."""
     import public_tokenizers
@@ -42,7 +51,25 @@ def arrow_map(
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return df.mapInArrow(function, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        give_back()
+
+    return df.mapInArrow(task, schema)
+
+
+def arrow_groups(
+    df: DataFrame, keys: list[str], function: Callable[[pa.Table], pa.Table], schema: str
+) -> DataFrame:
+    """``applyInArrow`` per group of ``keys``."""
+
+    def group(rows: pa.Table) -> pa.Table:
+        out = function(rows)
+        give_back()
+        return out
+
+    return df.groupBy(*keys).applyInArrow(group, schema)
 
 
 def saved(df: DataFrame, label: str) -> DataFrame:

@@ -23,16 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.common import arrow_map, mixed, saved
+from tidelake.llm.common import arrow_groups, arrow_map, mixed, saved
 
 ANCHOR = 20
 NEAR_BITS = 12
-DECIDED_BUCKETS = 256
+DECIDED_BUCKETS = 1 << 30
 GAP = 96
 PIECE_BYTES = 256 << 10
 SHARD_BYTES = 1 << 20
-ANCHORS_PER_BUCKET = 250_000
-FLUSH = 250_000
+ANCHORS_PER_BUCKET = 150_000
+FLUSH = 200_000
 
 BASE = np.uint64(0xD6E8FEB86659FD93)
 VALUES = mixed(np.arange(1, 258, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -256,7 +256,7 @@ def _decided(doc, pos, ids, hashes) -> Iterator[pa.RecordBatch]:
     """Positions that need no merging, posted without keys to buckets of their own."""
     if len(doc):
         own, local = np.unique(doc, return_inverse=True)
-        bucket = -1 - int(ids[own[0]] % DECIDED_BUCKETS)
+        bucket = -1 - int((ids[own[0]] ^ hashes[own[-1]]) % DECIDED_BUCKETS)
         p = pos.astype(np.uint32)
         row = (
             bucket, b"", b"", local.astype(np.uint16).tobytes(), (p & 0xFFFF).astype(np.uint16).tobytes(),
@@ -496,14 +496,14 @@ def without_repeats(docs: DataFrame, length: int = 50, carry: Sequence[str] = ()
     bits = max(0, int(total * 0.065 / ANCHORS_PER_BUCKET).bit_length())
     narrow = docs.select("doc_id", "th", "text")
     posted = arrow_map(narrow, _scan(length, bits), POSTED)
-    settled = saved(posted.groupBy("bucket").applyInArrow(_settle, MARK), "suffix-settled")
+    settled = saved(arrow_groups(posted, ["bucket"], _settle, MARK), "suffix-settled")
 
     def per_doc(marks: DataFrame) -> DataFrame:
         return marks.groupBy("doc_id", "th").agg(F.collect_list(F.struct("kind", "pos")).alias("marks"))
 
     opened = per_doc(settled.filter(F.col("kind") == OPEN))
     windows = arrow_map(narrow.join(opened, ["doc_id", "th"]), _shards(length, bits), POSTED)
-    merged = saved(windows.groupBy("bucket").applyInArrow(_merge, MARK), "suffix-merged")
+    merged = saved(arrow_groups(windows, ["bucket"], _merge, MARK), "suffix-merged")
     marks = per_doc(settled.filter(F.col("kind") == COVERED).unionByName(merged))
     schema = (
         "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, text string, carried "
