@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 from collections import deque
 from collections.abc import Iterator
 from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -113,6 +115,14 @@ class WordTokens:
         return ids, sums[edges[1:]] - sums[edges[:-1]], (before + size)[self.stop[0][at]]
 
 
+def word_tokens(path: str) -> WordTokens:
+    """The worker's own: what one task has learned of the words serves the next."""
+    kept = sys.modules.setdefault("_tidelake_word_tokens", ModuleType("_tidelake_word_tokens")).__dict__
+    if path not in kept:
+        kept[path] = WordTokens(path)
+    return kept[path]
+
+
 def best_cuts(places: np.ndarray, penalties: np.ndarray, window: int = WINDOW) -> list[int]:
     """Ends of the cheapest sequences over ``places`` (ascending, gaps at most ``window``), the last included.
 
@@ -120,8 +130,12 @@ def best_cuts(places: np.ndarray, penalties: np.ndarray, window: int = WINDOW) -
     """
     count = len(places)
     place, penalty = [0, *places.tolist()], [0.0, *penalties.tolist()]
-    powers = [1 << k for k in range(8, window.bit_length() - 1)]
-    at = {p: i for i, p in enumerate(place)}
+    shorter: dict[int, list[int]] = {}  # from where a sequence of a power of two ends here
+    known = np.array(place)
+    for power in (1 << k for k in range(8, window.bit_length() - 1)):
+        at = np.searchsorted(known, known - power)
+        for j in np.flatnonzero(known[at] == known - power).tolist():
+            shorter.setdefault(j, []).append(int(at[j]))
     cost, back = [0.0] * (count + 1), [0] * (count + 1)
     queue = deque([(0.0, 0)])
     for j in range(1, count + 1):
@@ -130,9 +144,8 @@ def best_cuts(places: np.ndarray, penalties: np.ndarray, window: int = WINDOW) -
             queue.popleft()
         best, source = queue[0]
         best += window - here
-        for power in powers:
-            i = at.get(here - power)
-            if i is not None and cost[i] < best:
+        for i in shorter.get(j, ()):
+            if cost[i] < best:
                 best, source = cost[i], i
         cost[j] = own = best + SEQUENCE + penalty[j]
         back[j] = source
@@ -232,7 +245,7 @@ _KINDS = [*[pa.int64()] * 6, pa.binary()]
 
 def _pack(path: str, end_id: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, stream = WordTokens(path), Stream(end_id, window)
+        tokens, stream = word_tokens(path), Stream(end_id, window)
         base = TaskContext.get().partitionId() << 36
 
         def flush(last: bool):
