@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import sys
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -78,7 +80,10 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     schema, spark = df.schema, df.sparkSession
     del df
-    # What the step shuffled is of no more use; Spark deletes it once the garbage collector finds that out.
+    # What the step shuffled is of no more use; Spark deletes it once the garbage collector finds that
+    # out, which it can when the listeners have heard of the step's end.
+    gc.collect()
+    time.sleep(0.3)
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)
 
