@@ -191,6 +191,27 @@ def test_archives_of_odd_pages(spark):
     assert warc.read_archives(spark, empty).collect() == []
 
 
+def test_long_payloads_of_repeated_and_missing_ids(spark):
+    texts = [c * 3000 for c in "abcdefg"]
+    pages = [(1, texts[0]), (1, texts[0]), (2, texts[1]), (2, texts[2]), (None, texts[3]), (None, texts[4]), (None, texts[4])]
+    pages += [(3, texts[5]), (4, texts[5]), (None, texts[5]), (5, texts[0]), (6, texts[6])]
+    df = spark.createDataFrame([(i, "u", t) for i, t in pages], "page_id long, url string, html string")
+    path = scratch_dir(spark, "warc-repeated")
+    warc.write_archives(df, path, segment_bytes=500)
+    rows = warc.read_archives(spark, path).collect()
+    assert all(r.complete for r in rows)
+    key = lambda x: (x[0] is None, x)
+    got = sorted(((r.page_id, r.payload.decode()) for r in rows if r.record_type == "response"), key=key)
+    assert got == sorted([p for p in pages if p[0] not in (4, 5) and p != (None, texts[5])], key=key)
+    revisits = [(r.page_id, r.refers_to, r.payload_digest) for r in rows if r.record_type == "revisit"]
+    digests = [brute.digest32(t.encode()) for t in texts]
+    assert sorted(revisits, key=key) == [(4, 3, digests[5]), (5, 1, digests[0]), (None, 3, digests[5])]
+    files = [r.content for r in spark.read.format("binaryFile").load(path).select("content").collect()]
+    fields = [f for data in files for f, _ in warc.records_in(warc.gunzipped(data))]
+    ids = [f["warc-record-id"] for f in fields]
+    assert len(ids) == len(set(ids)) and {f["warc-refers-to"] for f in fields if "warc-refers-to" in f} <= set(ids)
+
+
 def test_damaged_records_are_told(spark):
     import pyarrow as pa
 

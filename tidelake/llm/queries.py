@@ -117,8 +117,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = saved(read, "warc-read")
     responses = read.filter("record_type = 'response'")
     # A revisit's payload is the one of the record it refers to.
-    sizes = responses.select(F.col("page_id").alias("refers_to"), "payload_bytes").dropDuplicates(["refers_to"])
-    revisits = read.filter("record_type = 'revisit'").drop("payload_bytes").join(sizes, "refers_to", "left")
+    same = ["refers_to", "payload_digest"]
+    sizes = responses.select(F.col("page_id").alias("refers_to"), "payload_digest", "payload_bytes").dropDuplicates(same)
+    revisits = read.filter("record_type = 'revisit'").drop("payload_bytes").join(sizes, same, "left")
     return responses.unionByName(revisits)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -69,21 +70,33 @@ def _record(fields: list[tuple[str, str]], block: bytes) -> str:
     return f"WARC/1.1\r\n{head}\r\n{block.decode()}"
 
 
-def _records_of(page_id, url: str | None, html: bytes, first, date: str, segment: int) -> Iterator[str]:
-    own = f"<urn:page:{page_id}>"
+def _record_id(page_id, digest: str, alone: bool) -> str:
+    """Of a record of its own: rows that repeat a page_id and payload differ in a random part."""
+    own = f"urn:page:{'' if page_id is None else page_id}:{digest}"
+    return f"<{own}>" if alone else f"<{own}:{uuid.uuid4()}>"
+
+
+def _records_of(
+    page_id, url: str | None, html: bytes, n: int, first, first_n, date: str, segment: int
+) -> Iterator[str]:
+    digest = digest32(html)
+    own = _record_id(page_id, digest, n == 1)
     target = " ".join((url or "").split())
-    common = [("WARC-Date", date), ("WARC-Target-URI", target), ("WARC-Payload-Digest", f"sha1:{digest32(html)}")]
+    common = [("WARC-Date", date), ("WARC-Target-URI", target), ("WARC-Payload-Digest", f"sha1:{digest}")]
+    page = [] if page_id is None else [("WARC-Page-ID", str(page_id))]
     if first is not None and first != page_id:
-        refers = [("WARC-Refers-To", f"<urn:page:{first}>"), ("WARC-Profile", PROFILE)]
-        yield _record([("WARC-Type", "revisit"), ("WARC-Record-ID", own), *common, *refers], b"")
+        refers = [("WARC-Refers-To-Page-ID", str(first)), ("WARC-Profile", PROFILE)]
+        if first_n == 1:
+            refers.append(("WARC-Refers-To", _record_id(first, digest, True)))
+        yield _record([("WARC-Type", "revisit"), ("WARC-Record-ID", own), *common, *page, *refers], b"")
         return
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n" + chunked(html)
     parts = list(whole_characters(block, segment))
     kind = ("Content-Type", "application/http; msgtype=response")
     for number, part in enumerate(parts, 1):
         fields = [("WARC-Type", "response" if number == 1 else "continuation")]
-        fields.append(("WARC-Record-ID", own if number == 1 else f"<urn:page:{page_id}:{number}>"))
-        fields += [*common, kind] if number == 1 else common[:2]
+        fields.append(("WARC-Record-ID", own if number == 1 else f"{own[:-1]}:{number}>"))
+        fields += [*common, *page, kind] if number == 1 else [*common[:2], *page]
         if len(parts) > 1:
             fields.append(("WARC-Segment-Number", str(number)))
         if number > 1:
@@ -97,9 +110,9 @@ def _as_records(date: str, segment: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            columns = [batch.column(c).to_pylist() for c in ("page_id", "url", "html", "first")]
-            for page_id, url, html, first in zip(*columns):
-                out += _records_of(page_id, url, (html or "").encode(), first, date, segment)
+            columns = [batch.column(c).to_pylist() for c in ("page_id", "url", "html", "n", "first", "first_n")]
+            for page_id, url, html, *role in zip(*columns):
+                out += _records_of(page_id, url, (html or "").encode(), *role, date, segment)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
 
     return run
@@ -111,20 +124,23 @@ def write_archives(
     """Write a record per row of ``pages`` (page_id, url, html) into gzipped archives under ``path``.
 
     Of rows with equal payloads the smallest page_id is the response and the others revisit it;
-    rows that repeat a page_id and payload are alike. NULL html is an empty payload, a NULL url an
+    rows that repeat a page_id and payload are alike. Each record has an id of its own and its page_id
+    in ``WARC-Page-ID``, a NULL one being left out; a revisit names the page in
+    ``WARC-Refers-To-Page-ID``, and the record too if only one has that page and payload. NULL html is an empty payload, a NULL url an
     empty target. Blocks over ``segment_bytes`` continue in further records. The record end is the
     line separator of Spark's text writer, so any file system Spark writes to will do. Other columns
     are ignored; an empty table writes no records.
     """
     pages = pages.select(F.col("page_id").cast("long"), F.col("url"), F.coalesce("html", F.lit("")).alias("html"))
     named = pages.select("page_id", F.sha1("html").alias("sha"))
-    first = named.groupBy("sha").agg(F.min("page_id").alias("first"))
+    counts = named.groupBy("page_id", "sha").agg(F.count("*").alias("n"))
+    first = counts.groupBy("sha").agg(F.min("page_id").alias("first"), F.min_by("n", "page_id").alias("first_n"))
     # Narrow rows meet on the payload, of which one may be a third of all; the pages meet on their id.
-    roles = named.distinct().join(first, "sha")
+    roles = counts.join(first, "sha")
     same = pages.withColumn("sha", F.sha1("html")).alias("p").join(
         roles.alias("r"), F.expr("p.page_id <=> r.page_id and p.sha = r.sha")
     )
-    rows = same.select("p.page_id", "p.url", "p.html", "r.first")
+    rows = same.select("p.page_id", "p.url", "p.html", "r.n", "r.first", "r.first_n")
     records = arrow_map(rows, _as_records(date, segment_bytes), "value string")
     writer = records.write.option("lineSep", RECORD_END).option("compression", "gzip")
     writer.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
@@ -156,15 +172,16 @@ def gunzipped(data: bytes) -> bytes:
     return b"".join(out)
 
 
-def _page(uri: str | None):
-    name = (uri or "").removeprefix("<urn:page:").removesuffix(">")
-    return int(name) if name.lstrip("-").isdigit() else None
+def _page(fields: dict[str, str], *names: str) -> int | None:
+    """The page_id in the first of the fields there is; a record's id may be ``<urn:page:…>`` in older archives."""
+    value = next((fields[n] for n in names if n in fields), "").removeprefix("<urn:page:").removesuffix(">")
+    return int(value) if value.removeprefix("-").isdecimal() else None
 
 
 READ = "page_id long, uri string, record_type string, refers_to long, payload binary, payload_digest string, complete boolean"
 _READ_KINDS = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.string(), pa.bool_()]
-SEGMENT = "origin string, uri string, digest string, segment int, total long, block binary"
-_SEGMENT_KINDS = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.binary()]
+SEGMENT = "origin string, page_id long, uri string, digest string, segment int, total long, block binary"
+_SEGMENT_KINDS = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.binary()]
 
 
 def _batch(rows: list[tuple], schema: str, kinds: list) -> pa.RecordBatch:
@@ -199,13 +216,14 @@ def _parse(segmented: bool):
                         continue
                     uri, digest = fields.get("warc-target-uri"), fields.get("warc-payload-digest", "")
                     digest = digest.removeprefix("sha1:") or None
+                    page = _page(fields, "warc-page-id", "warc-segment-origin-id", "warc-record-id")
                     if segmented:
                         origin = fields.get("warc-segment-origin-id", fields["warc-record-id"])
                         total = fields.get("warc-segment-total-length")
                         total = None if total is None else int(total)
-                        rows.append((origin, uri, digest, int(fields["warc-segment-number"]), total, block))
+                        rows.append((origin, page, uri, digest, int(fields["warc-segment-number"]), total, block))
                     else:
-                        page, refers = _page(fields["warc-record-id"]), _page(fields.get("warc-refers-to"))
+                        refers = _page(fields, "warc-refers-to-page-id", "warc-refers-to")
                         rows.append(_read_row(page, uri, fields["warc-type"], refers, digest, block))
                     held += len(block)
                     if held > 8 << 20:
@@ -226,7 +244,7 @@ def _reassemble(group: pa.Table) -> pa.Table:
         block = b"".join(parts[k]["block"] for k in sorted(parts))
         block = block if len(block) == last["total"] else None
     known = first or last
-    row = _read_row(_page(known["origin"]), known["uri"], "response", None, known["digest"], block)
+    row = _read_row(known.get("page_id"), known["uri"], "response", None, known["digest"], block)
     return pa.Table.from_batches([_batch([row], READ, _READ_KINDS)])
 
 
