@@ -317,6 +317,28 @@ def test_contexts_find_unseen_identifiers(spark):
     assert all("0044" not in r.pii.clean for r in found if r.doc_id in new)
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 200_000])
+def test_rare_contexts_count_beside_many_common_ones(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(pii, "BROADCAST_ROWS", broadcast_rows)
+    letters = "translate(cast({} as string), '0123456789', 'abcdefghij')".format
+    many = f"concat('x', {letters('id % 7000')}, ' y', {letters('id % 7000')}, ' u', id, '@q.org z', {letters('id % 7000')})"
+    common = spark.range(7 * 7000).selectExpr("id as doc_id", f"{many} as text")
+    rows = [(100_000 + i, f"zulu yankee v{i}@q.org whiskey") for i in range(5)]
+    rows += [(200_000, "zulu yankee 0044-1234-77 whiskey"), (200_000, "zulu yankee 0044-1234-77 whiskey"), (200_001, None)]
+    rare = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.found_spans(common.unionByName(rare)).filter("doc_id >= 100000").collect()
+    clean = sorted((r.doc_id, r.pii.clean) for r in found if r.doc_id >= 200_000 and r.text)
+    assert clean == [(200_000, "zulu yankee [ID] whiskey")] * 2
+    assert len(found) == 8 and all(r.pii.clean == "zulu yankee [EMAIL] whiskey" for r in found if r.doc_id < 200_000)
+
+
+def test_joined_patterns_find_the_same(spark, sf_dir, monkeypatch):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    sent = sorted((r.doc_id, r.pii) for r in pii.found_spans(docs).collect())
+    monkeypatch.setattr(pii, "BROADCAST_ROWS", 0)
+    assert sent == sorted((r.doc_id, r.pii) for r in pii.found_spans(docs).collect())
+
+
 def test_personal_data_of_odd_rows(odd_docs, no_docs, texts):
     rows = pii.found_spans(odd_docs, "n").collect()
     assert len(rows) == len(texts) + 3

@@ -12,17 +12,16 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.common import arrow_map, saved
+from tidelake.llm.common import BROADCAST_ROWS, arrow_map, saved
 
 KINDS = ("email", "ip", "card", "phone", "id")
 ROUNDS = 3
 LEAST_SURE = 5
 GOOD_PATTERN = 0.9
 LEAST_SCORE = 0.85
-MODEL_PATTERNS = 20_000
 LEAST_DIGITS, LEAST_LENGTH = 4, 8
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -158,8 +157,8 @@ def _graph(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def learned_patterns(docs: DataFrame) -> dict[str, float]:
-    """High-confidence patterns and their scores; of more than ``MODEL_PATTERNS`` those with most support.
+def learned_patterns(docs: DataFrame) -> DataFrame:
+    """(pattern, worth) of all high-confidence patterns, written to the shared folder.
 
     Instances count once each, however often they occur. A seed scores 1; a pattern the mean of its
     instances' scores, counted only from ``LEAST_SURE`` sure ones on; another instance the mean of its two
@@ -189,12 +188,14 @@ def learned_patterns(docs: DataFrame) -> dict[str, float]:
             "instance", "seed", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("found", F.lit(0.0))).alias("score")
         )
         scores = saved(scores, f"pii-scores-{turn}")
-    good = patterns.filter(F.col("worth") >= GOOD_PATTERN).orderBy(F.desc("sure"), "pattern").limit(MODEL_PATTERNS)
-    return {r.pattern: r.worth for r in good.collect()}
+    return saved(patterns.filter(F.col("worth") >= GOOD_PATTERN).select("pattern", "worth"), "pii-good")
 
 
 def all_spans(text: str, model: dict[str, float]) -> tuple[list, list]:
-    """(fixed forms, fixed forms and found identifiers), each (start, kind number, end) in order."""
+    """(fixed forms, fixed forms and found identifiers), each (start, kind number, end) in order.
+
+    ``found_places`` finds the same identifiers with a model that is a table.
+    """
     base = fixed_forms(text)
     extra = []
     for lo, hi, seed, patterns in instances(text, base) if model else []:
@@ -209,6 +210,36 @@ def all_spans(text: str, model: dict[str, float]) -> tuple[list, list]:
     return base, sorted(base + extra)
 
 
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = [pa.string(), pa.int32(), pa.int32(), pa.list_(pa.string())]
+    for batch in batches:
+        rows = []
+        for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            found = instances(text, fixed_forms(text))
+            rows += [(key, lo, hi, patterns) for lo, hi, seed, patterns in found if not seed]
+        columns = zip(*rows) if rows else [()] * len(kinds)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)], ["key", "start", "end", "patterns"]
+        )
+
+
+def found_places(docs: DataFrame, model: DataFrame) -> DataFrame:
+    """(key, places) of the texts with identifiers of no fixed form, places being (start, end); ``key`` is ``text_key``."""
+    texts = docs.select(text_key().alias("key"), "text").filter("text is not null")
+    spots = arrow_map(texts, _candidates, "key string, start int, end int, patterns array<string>")
+    edges = spots.select("key", "start", "end", F.explode("patterns").alias("pattern")).join(model, "pattern")
+    kind = F.substring("pattern", 1, 1)
+    worths = [F.max(F.when(kind == k, F.col("worth"))).alias(k) for k in "lrs"]
+    best = edges.groupBy("key", "start", "end").agg(*worths)
+    order = F.array_sort(F.transform(F.array(*"lrs"), lambda x: -F.coalesce(x, F.lit(0.0))))
+    best = best.filter(-(F.get(order, 0) + F.get(order, 1)) / 2 >= LEAST_SCORE)
+    return best.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("places"))
+
+
+def text_key() -> Column:
+    return F.sha2("text", 256)
+
+
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
@@ -232,21 +263,37 @@ def found_spans(docs: DataFrame, column: str = "pii") -> DataFrame:
 
     Positions are code points, ends exclusive; spans are ordered by start and kind. NULL texts have no
     spans and stay NULL. Patterns are learned from all rows of ``docs``; no rows, no patterns.
-    Repeated rows get a row each, and a new column named as an old one replaces it.
+    Repeated rows get a row each, and a new column named as an old one replaces it. All good patterns
+    count; they are sent to all tasks while they are at most ``BROADCAST_ROWS``, else joined.
     """
-    model = docs.sparkSession.sparkContext.broadcast(learned_patterns(docs))
+    patterns = learned_patterns(docs)
+    few = patterns.count() <= BROADCAST_ROWS
+    model = docs.sparkSession.sparkContext.broadcast({r.pattern: r.worth for r in patterns.collect()} if few else {})
     docs = docs.drop(column)
+    names, places = docs.columns, "_places"
+    while places in names:
+        places += "_"
+    out = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
+    if not few:
+        found = saved(found_places(docs, patterns), "pii-places")
+        found = found.select(F.col("key").alias(f"{places}_key"), F.col("places").alias(places))
+        if found.count() <= BROADCAST_ROWS:
+            found = F.broadcast(found)
+        docs = docs.join(found, text_key() == F.col(f"{places}_key"), "left").drop(f"{places}_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = model.value
         for batch in batches:
             rows = []
-            for text in batch.column("text").to_pylist():
+            joined = [None] * len(batch) if few else batch.column(places).to_pylist()
+            for text, extra in zip(batch.column("text").to_pylist(), joined, strict=True):
                 base, spans = all_spans(text or "", known)
+                if extra:
+                    spans = sorted(base + [(p["start"], 4, p["end"]) for p in extra])
                 clean = text if not spans else redacted(text, spans)
                 rows.append({"base": _named(base), "spans": _named(spans), "clean": clean})
             kind = pa.struct([("base", _SPANS), ("spans", _SPANS), ("clean", pa.string())])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, kind)], [*batch.schema.names, column])
+            old = batch.columns[: len(names)]
+            yield pa.RecordBatch.from_arrays([*old, pa.array(rows, kind)], [*names, column])
 
-    fields = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    return arrow_map(docs, run, f"{fields}, `{column}` struct<base:{SPANS},spans:{SPANS},clean:string>")
+    return arrow_map(docs, run, f"{out}, `{column}` struct<base:{SPANS},spans:{SPANS},clean:string>")
