@@ -155,6 +155,21 @@ def test_segmentation_is_the_most_probable():
     assert split("cheappills") == ["cheap", "pills"]
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 200_000])
+def test_rare_and_unseen_words_cut_hosts(spark, monkeypatch, broadcast_rows):
+    from tidelake.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast_rows)
+    letters = "translate(cast({} as string), '0123456789', 'abcdefghij')".format
+    many = spark.range(60).selectExpr("id as page_id", "'http://x.org/' as url", f"array_join(transform(sequence(id * 1000, id * 1000 + 999), k -> concat('q', {letters('k')}, ' q', {letters('k')})), ' ') as html")
+    rows = [(100, "http://zebravalley.org/x", "zebra valley"), (101, "http://malwarefarm.org/x", "malw are are farm"), (102, None, None)]
+    pages = many.unionByName(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = {r.page_id: r for r in url_filter.judged(pages, ()).collect()}
+    assert len(got) == 63 and got[102].tokens == []
+    assert got[100].tokens[:2] == ["h:zebra", "h:valley"]
+    assert got[101].tokens[:2] == ["h:malware", "h:farm"] and got[101].score > got[100].score
+
+
 # WARC
 
 

@@ -5,14 +5,14 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.common import arrow_map, saved
+from tidelake.llm.common import arrow_map, matching, saved
 
-VOCABULARY = 50_000
 FEATURES = 100_000
 LONGEST_WORD = 20
 MEMO = 200_000
@@ -52,8 +52,9 @@ def word_counts(texts: DataFrame, column: str) -> DataFrame:
 class Segmenter:
     """Most probable split of a concatenated name under a unigram model, by Viterbi."""
 
-    def __init__(self, counts: dict[str, int]) -> None:
-        self.total = max(2, sum(counts.values()))
+    def __init__(self, counts: dict[str, int], total: int | None = None) -> None:
+        """``counts`` may lack words that no name has if ``total`` is given."""
+        self.total = max(2, sum(counts.values()) if total is None else total)
         self.logs = {w: math.log(n / self.total) for w, n in counts.items()}
         self.longest = max([1, *map(len, counts)])
         self.memo: dict[str, list[str]] = {}
@@ -87,27 +88,74 @@ class Segmenter:
         return words[::-1]
 
 
-def tokens_of(host: str, path: str, split: Segmenter) -> list[str]:
-    """Words of the host without its last label and ``www``, and of the path; a run of digits is ``#``."""
+def names_of(host: str) -> list[str]:
+    """Runs of a-z of a host without its last label and ``www``."""
     labels = host.split(".")[:-1]
-    names = [part for label in labels if label != "www" for part in re.split(r"[^a-z]+", label) if part]
-    out = [f"h:{word}" for name in names for word in split(name)]
+    return [part for label in labels if label != "www" for part in re.split(r"[^a-z]+", label) if part]
+
+
+def tokens_of(words: list[str], path: str) -> list[str]:
+    """The words of a host and those of a path; a run of digits is ``#``."""
+    out = [f"h:{word}" for word in words]
     return out + [f"p:{'#' if part.isdigit() else part}" for part in re.split(r"[^0-9a-z]+", path.lower()) if part]
 
 
-def _tokenised(counts):
+def _parts(longest: int):
+    """(key, word) for all runs of 1 to ``longest`` letters in a host's names."""
+
+    def rows_of(keys: list[str], hosts: list[str]) -> Iterator[tuple[str, str]]:
+        for key, host in zip(keys, hosts, strict=True):
+            for name in names_of(host):
+                for end in range(1, len(name) + 1):
+                    yield from ((key, name[start:end]) for start in range(max(0, end - longest), end))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = Segmenter(counts.value)
         for batch in batches:
-            hosts, paths = batch.column("host").to_pylist(), batch.column("path").to_pylist()
-            tokens = [tokens_of(h, p, split) for h, p in zip(hosts, paths, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(tokens, pa.list_(pa.string()))], [*batch.schema.names, "tokens"]
-            )
+            rows = rows_of(batch.column("key").to_pylist(), batch.column("host").to_pylist())
+            while some := list(islice(rows, 50_000)):
+                keys, words = zip(*some)
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(words, pa.string())], ["key", "word"])
+
+    return run
+
+
+def _split(total: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hosts, known, words = batch.column("host"), batch.column("known").to_pylist(), []
+            for host, own in zip(hosts.to_pylist(), known, strict=True):
+                split = Segmenter({w["word"]: w["n"] for w in own or []}, total)
+                words.append([word for name in names_of(host) for word in split(name)])
+            yield pa.RecordBatch.from_arrays([hosts, pa.array(words, pa.list_(pa.string()))], ["host", "words"])
 
     return run
 
 
+def host_words(hosts: DataFrame, counts: DataFrame, longest: int) -> DataFrame:
+    """(host, words) of distinct ``hosts`` (host), cut under all of ``counts`` (word, n), a written table.
+
+    A host is cut by the counts of the words in its own names, so no task needs the whole vocabulary.
+    """
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # A long host goes by its hash, as it would be repeated for each of its parts.
+    keyed = hosts.withColumn("key", F.when(F.length("host") <= 64, F.col("host")).otherwise(F.sha2("host", 256)))
+    parts = arrow_map(keyed, _parts(longest), "key string, word string")
+    known = matching(parts, counts, ["word"]).groupBy("key").agg(F.collect_set(F.struct("word", "n")).alias("known"))
+    own = keyed.join(known, "key", "left").select("host", "known")
+    return saved(arrow_map(own, _split(total), "host string, words array<string>"), "urls-hosts")
+
+
+def _tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words, paths = batch.column("words").to_pylist(), batch.column("path").to_pylist()
+        tokens = [tokens_of(w, p) for w, p in zip(words, paths, strict=True)]
+        names = batch.schema.names
+        kept = [c for c, n in zip(batch.columns, names) if n != "words"]
+        yield pa.RecordBatch.from_arrays(
+            [*kept, pa.array(tokens, pa.list_(pa.string()))], [*[n for n in names if n != "words"], "tokens"]
+        )
+
+
 def _scored(model):
     weights, prior = model
 
@@ -130,19 +178,25 @@ def judged(
     The longest fitting rule decides; other URLs are blocked when naive Bayes finds that likelier
     (score above 0). Its examples are all URLs: to block where the host has one of ``blocked_words``,
     to allow elsewhere; other URLs that a rule blocks are none, as rules speak of places, not of
-    words. The words hosts are cut into are counted over all pages' text, the
-    ``VOCABULARY`` most frequent kept; the model keeps the ``FEATURES`` most frequent tokens. Without
+    words. The words hosts are cut into are counted over all pages' text, blocked
+    words once at least; the model keeps the ``FEATURES`` most frequent tokens. Without
     examples of both kinds everything without a rule is allowed. NULL urls and urls without ``://``
     have empty host and path. Repeated rows get a row each; other columns are ignored.
     """
     spark = pages.sparkSession
-    top = word_counts(pages, "html").orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
-    counts = spark.sparkContext.broadcast({r.word: r.n for r in top})
+    counted = saved(word_counts(pages, "html"), "urls-counted")
+    seeds = spark.createDataFrame([(w,) for w in sorted(set(blocked_words))], "word string").coalesce(1)
+    new = seeds.join(counted.filter(F.col("word").isin(*blocked_words)), "word", "left_anti")
+    counts = counted.unionByName(new.select("word", F.lit(1).cast("long").alias("n")))
+    longest = max([LONGEST_WORD, *map(len, blocked_words)])
     urls = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     urls = urls.withColumns({"rule": rule, "listed": verdict})
-    fields = ", ".join(f"{c} {t}" for c, t in urls.dtypes)
-    tokens = saved(arrow_map(urls, _tokenised(counts), f"{fields}, tokens array<string>"), "urls-tokens")
+    words = host_words(saved(urls.select("host").distinct(), "urls-distinct"), counts, longest)
+    urls = matching(urls, words, ["host"])
+    fields = ", ".join(f"{c} {t}" for c, t in urls.dtypes if c != "words")
+    tokens = arrow_map(urls, _tokenised, f"{fields}, tokens array<string>")
+    tokens = saved(tokens, "urls-tokens")
 
     seeds = F.array(*[F.lit(f"h:{w}") for w in blocked_words]).cast("array<string>")
     label = F.when(F.arrays_overlap("tokens", seeds), F.lit("block"))
