@@ -170,6 +170,36 @@ def test_rare_and_unseen_words_cut_hosts(spark, monkeypatch, broadcast_rows):
     assert got[101].tokens[:2] == ["h:malware", "h:farm"] and got[101].score > got[100].score
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 200_000])
+def test_rare_tokens_weigh_beside_many_common_ones(spark, monkeypatch, broadcast_rows):
+    import math
+    from collections import Counter
+
+    from tidelake.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast_rows)
+    path = "array_join(transform(sequence(id % 101 * 1000, id % 101 * 1000 + 999), k -> concat('t', k)), '/')"
+    many = spark.range(202).selectExpr("id as page_id", f"concat('http://good.org/', {path}) as url", "'good spam farm' as html")
+    urls = [(900, "http://spamfarm.org/rare"), (901, "http://farm.net/rare/rare"), (902, "http://farm.net/rare/rare"), (903, None)]
+    pages = many.unionByName(spark.createDataFrame([(i, u, "good") for i, u in urls], "page_id long, url string, html string"))
+    got = {r.page_id: r for r in url_filter.judged(pages, ()).collect()}
+    assert len(got) == 206
+    counts, sizes = {True: Counter(), False: Counter()}, Counter()
+    for r in got.values():
+        counts["h:spam" in r.tokens].update(r.tokens)
+        sizes["h:spam" in r.tokens] += 1
+    n = len(counts[True] | counts[False])
+    assert n > 101_000 and sizes[True] == 1
+    totals = {kind: own.total() + n for kind, own in counts.items()}
+
+    def log(kind, token):
+        return math.log((counts[kind][token] + 1) / totals[kind])
+
+    for r in got.values():
+        want = math.log(sizes[True] / sizes[False]) + sum(log(True, t) - log(False, t) for t in r.tokens)
+        assert r.score == pytest.approx(want, abs=1e-6) and r.verdict == ("block" if want > 0 else "allow")
+
+
 # WARC
 
 

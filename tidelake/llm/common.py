@@ -83,10 +83,10 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def matching(df: DataFrame, chosen: DataFrame, on: list[str]) -> DataFrame:
+def matching(df: DataFrame, chosen: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """``df`` joined with a written table of narrow rows; sent to all tasks only while its count is small."""
     few = chosen.count() <= BROADCAST_ROWS
-    return df.join(F.broadcast(chosen) if few else chosen, on)
+    return df.join(F.broadcast(chosen) if few else chosen, on, how)
 
 
 def pieces_of(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) -> Iterator[tuple[int, list[bytes]]]:

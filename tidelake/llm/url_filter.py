@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from tidelake.llm.common import arrow_map, matching, saved
 
-FEATURES = 100_000
 LONGEST_WORD = 20
 MEMO = 200_000
 
@@ -156,18 +155,17 @@ def _tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _scored(model):
-    weights, prior = model
+def evidence(tokens: DataFrame, weights: DataFrame) -> DataFrame:
+    """(host, path, evidence): the sum of the ``weights`` (token, weight) of a URL's tokens, written.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = weights.value
-        for batch in batches:
-            scores = [prior + sum(own.get(t, 0.0) for t in tokens) for tokens in batch.column("tokens").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"]
-            )
-
-    return run
+    Each host and path is scored once, in the order of its tokens; those without weights have no row.
+    """
+    spots = tokens.select("host", "path", "tokens").distinct()
+    spots = spots.select("host", "path", F.posexplode("tokens").alias("at", "token"))
+    own = matching(spots, weights, ["token"]).groupBy("host", "path")
+    own = own.agg(F.array_sort(F.collect_list(F.struct("at", "weight"))).alias("own"))
+    total = F.aggregate("own", F.lit(0.0), lambda sum_, x: sum_ + x["weight"])
+    return saved(own.select("host", "path", total.alias("evidence")), "urls-evidence")
 
 
 def judged(
@@ -179,8 +177,7 @@ def judged(
     (score above 0). Its examples are all URLs: to block where the host has one of ``blocked_words``,
     to allow elsewhere; other URLs that a rule blocks are none, as rules speak of places, not of
     words. The words hosts are cut into are counted over all pages' text, blocked
-    words once at least; the model keeps the ``FEATURES`` most frequent tokens. Without
-    examples of both kinds everything without a rule is allowed. NULL urls and urls without ``://``
+    words once at least; the model has the weights of all tokens of examples. Without examples of both kinds everything without a rule is allowed. NULL urls and urls without ``://``
     have empty host and path. Repeated rows get a row each; other columns are ignored.
     """
     spark = pages.sparkSession
@@ -208,15 +205,18 @@ def judged(
         F.count(F.when(F.col("label") == "block", 1)).alias("block"),
         F.count(F.when(F.col("label") != "block", 1)).alias("allow"),
     )
-    kept = by_token.orderBy(F.desc(F.col("block") + F.col("allow")), "token").limit(FEATURES).collect()
-    weights, prior = {}, -math.inf
+    score = F.lit(-math.inf)
+    scored = tokens
     if len(sizes) == 2:
-        prior = math.log(sizes["block"] / sizes["allow"])
-        block, allow = sum(r.block for r in kept) + len(kept), sum(r.allow for r in kept) + len(kept)
-        weights = {r.token: math.log((r.block + 1) / block) - math.log((r.allow + 1) / allow) for r in kept}
-    model = spark.sparkContext.broadcast(weights), prior
-    fields = ", ".join(f"{c} {t}" for c, t in tokens.dtypes)
-    scored = arrow_map(tokens, _scored(model), f"{fields}, score double")
+        by_token = saved(by_token, "urls-by-token")
+        n, block, allow = by_token.agg(
+            F.count("*"), F.coalesce(F.sum("block"), F.lit(0)), F.coalesce(F.sum("allow"), F.lit(0))
+        ).first()
+        weight = F.log((F.col("block") + 1) / F.lit(block + n)) - F.log((F.col("allow") + 1) / F.lit(allow + n))
+        found = evidence(tokens, by_token.select("token", weight.alias("weight")))
+        scored = matching(tokens, found, ["host", "path"], "left")
+        score = F.lit(math.log(sizes["block"] / sizes["allow"])) + F.coalesce("evidence", F.lit(0.0))
+    scored = scored.withColumn("score", score)
     by_method = F.when(F.col("score") > 0, F.lit("block")).otherwise(F.lit("allow"))
     return scored.select(
         "page_id", "host", "path", "rule", F.coalesce("listed", by_method).alias("verdict"), "score", "tokens"
