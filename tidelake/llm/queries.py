@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.llm import (
+    alignment,
     fingerprints,
+    importance,
     jaccard_join,
+    license_scan,
     neighbours,
     packing,
     pii,
@@ -123,6 +126,34 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return responses.unionByName(revisits)
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = importance.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return importance.ranked(rows)
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scanned(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["phrase"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(F.transform(base, lambda s: s["start"])).cast("long").alias("first_word"),
+        F.array_max(F.transform(base, lambda s: s["start"])).cast("long").alias("last_word"),
+        license_scan.labels(base).alias("base_labels"),
+        license_scan.labels(F.col("spans")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["share"])), F.lit(0.0)).alias("score"),
+    )
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    rows = alignment.counted(alignment.aligned(table(spark, sf_dir, "documents"), *paths))
+    return rows.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -140,8 +171,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
+    "op11_importance": op11_importance,
+    "op12_license_scan": op12_license_scan,
+    "op13_alignment": op13_alignment,
     "pipeline": pipeline,
 }
+_TEMPLATE_ROWS = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(license_scan.TEMPLATES))
 ORACLES: dict[str, str] = {
     "op1_jaccard_join": """WITH RECURSIVE split AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -166,4 +201,109 @@ reached(a, b) AS (SELECT a, b FROM ways UNION SELECT r.a, w.b FROM reached r JOI
 least AS (SELECT a, min(b) AS b FROM reached GROUP BY a)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(least.b, d.doc_id)) AS component_id
 FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON least.a = d.doc_id""",
+    "op11_importance": """WITH RECURSIVE steps(n, step, c) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL SELECT n, step + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE step < 8
+),
+crc AS (SELECT n, c FROM steps WHERE step = 8),
+texts AS (
+  SELECT 0 AS side, row_number() OVER () AS r, doc_id, text FROM documents
+  UNION ALL SELECT 1, row_number() OVER (), NULL, text FROM benchmark
+),
+split AS (
+  SELECT side, r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'),
+    lambda x: x <> '') AS w FROM texts
+),
+grams AS (
+  SELECT side, r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS gram
+  FROM split
+),
+bytes AS (
+  SELECT gram, hex(encode(gram)) AS h, strlen(gram) AS size FROM (SELECT DISTINCT gram FROM grams)
+),
+rolled(gram, h, size, i, c) AS (
+  SELECT gram, h, size, 0, 4294967295 FROM bytes
+  UNION ALL
+  SELECT gram, h, size, i + 1, xor(x.c >> 8, crc.c) FROM rolled x JOIN crc
+    ON crc.n = xor(x.c, ('0x' || substr(h, 2 * i + 1, 2))::BIGINT) & 255 WHERE i < size
+),
+buckets AS (SELECT gram, xor(c, 4294967295) % 10000 AS bucket FROM rolled WHERE i = size),
+counts AS (
+  SELECT bucket, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t FROM grams JOIN buckets USING (gram)
+  GROUP BY bucket
+),
+totals AS (SELECT sum(s)::DOUBLE AS s_all, sum(t)::DOUBLE AS t_all FROM counts),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (s_all + 10000) / ((s + 1)::DOUBLE * (t_all + 10000))))::BIGINT AS gain
+  FROM counts, totals
+),
+weights AS (
+  SELECT r, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+  FROM grams JOIN buckets USING (gram) JOIN gains USING (bucket) WHERE side = 0 GROUP BY r
+),
+scores AS (
+  SELECT doc_id, len(w) AS n, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE)
+      / 4294967296.0::DOUBLE)))::BIGINT AS score
+  FROM split LEFT JOIN weights USING (r) WHERE side = 0
+),
+places AS (
+  SELECT *, CASE WHEN n >= 20 THEN row_number() OVER (PARTITION BY n >= 20 ORDER BY score DESC, doc_id) END AS place,
+    count(*) FILTER (n >= 20) OVER () AS able FROM scores
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 25 * able // 100 THEN place END AS rank FROM places""",
+    "op12_license_scan": f"""WITH templates(template, label, body) AS (VALUES {_TEMPLATE_ROWS}),
+parts AS (
+  SELECT template, label, string_split(body, ' ') AS t, len(string_split(body, ' ')) AS length,
+    CASE WHEN len(string_split(body, ' ')) < 5 THEN 2 ELSE 3 END AS width FROM templates
+),
+template_grams AS (
+  SELECT *, length - width + 1 AS grams, unnest(range(length - width + 1)) AS place FROM parts
+),
+wanted AS (SELECT * EXCLUDE (t), array_to_string(t[place + 1 : place + width], ' ') AS gram FROM template_grams),
+split AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'),
+    lambda x: x <> '') AS w FROM documents
+),
+runs AS (
+  SELECT r, w, unnest(range(len(w) - 1)) AS pos, 2 AS width FROM split
+  UNION ALL SELECT r, w, unnest(range(len(w) - 2)), 3 FROM split
+),
+hits AS (
+  SELECT r, template, label, length, width, grams, place, pos FROM
+    (SELECT r, pos, width, array_to_string(w[pos + 1 : pos + width], ' ') AS gram FROM runs) JOIN wanted USING (width, gram)
+),
+diagonals AS (
+  SELECT r, template, label, length, width, grams, pos - place AS diagonal, list(place) AS places, min(pos) AS first,
+    max(pos) AS last FROM hits GROUP BY ALL
+),
+phrases AS (
+  SELECT r, label, diagonal AS start, 1.0::DOUBLE AS share FROM diagonals WHERE length < 5 AND len(places) = grams
+),
+marked AS (
+  SELECT *, coalesce(abs(diagonal - lag(diagonal) OVER o) > 8 OR first - lag(last) OVER o > 8, true)::INT AS new
+  FROM diagonals WHERE length >= 5 WINDOW o AS (PARTITION BY r, template ORDER BY first, diagonal)
+),
+numbered AS (
+  SELECT *, sum(new) OVER (PARTITION BY r, template ORDER BY first, diagonal ROWS UNBOUNDED PRECEDING) AS run FROM marked
+),
+notices AS (
+  SELECT r, label, len(list_distinct(flatten(list(places))))::DOUBLE / grams AS share FROM numbered
+  GROUP BY r, template, run, label, length, width, grams
+  HAVING len(list_distinct(flatten(list(places))))::DOUBLE / grams >= 0.5
+    AND max(last) + width - min(first) <= 2 * length
+),
+base AS (
+  SELECT r, count(*) AS n_base, min(start)::BIGINT AS first_word, max(start)::BIGINT AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM phrases GROUP BY r
+),
+every AS (
+  SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+  FROM (SELECT r, label, share FROM phrases UNION ALL SELECT r, label, share FROM notices) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM split LEFT JOIN base USING (r) LEFT JOIN every USING (r)""",
 }
