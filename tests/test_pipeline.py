@@ -144,3 +144,61 @@ def test_monitoring_views_and_health_collection(spark, sf_dir, tmp_path):
     out = monitoring.collect_table_health(spark, f"{tmp_path}/health", published={"t": path})
     assert out["history"].count() == 20 and out["history"].agg(F.max("version")).first()[0] == 21
     assert out["detail"].first().num_files >= 22
+
+
+def _files(folder):
+    return {f.relative_to(folder).as_posix(): f.stat().st_size for f in folder.rglob("*.parquet")}
+
+
+@pytest.fixture
+def mixed_sizes(spark, tmp_path):
+    """Two partition folders with a large file and several small ones, one with a single small file."""
+    path = tmp_path / "orders x"
+    rows = spark.range(60_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"), (F.col("id") % 2).alias("p"))
+    rows.repartition(1).write.partitionBy("p").parquet(str(path))
+    large = _files(path)
+    few = spark.range(60_000, 60_100).select("id", F.lit("s").alias("v"), (F.col("id") % 2).alias("p"))
+    few.repartition(6, "id").write.mode("append").partitionBy("p").parquet(str(path))
+    new = few.limit(3).select((F.col("id") + 1000).alias("id"), "v", F.lit(7).alias("p"), F.lit("n").alias("channel"))
+    new.coalesce(1).write.mode("append").partitionBy("p").parquet(str(path))
+    return path, large, min(large.values())
+
+
+def test_small_files_are_put_together_and_large_ones_stay(spark, mixed_sizes):
+    path, large, limit = mixed_sizes
+    before, rows = _files(path), sorted(map(repr, tables.read_evolving(spark, str(path)).collect()))
+    replaced = health.compact_small_files(spark, str(path), limit)
+    after = _files(path)
+    assert replaced == len(before) - len(large) - 1
+    assert all(after[name] == size for name, size in large.items())
+    assert sorted(name.split("/")[0] for name in after) == ["p=0", "p=0", "p=1", "p=1", "p=7"]
+    assert sorted(map(repr, tables.read_evolving(spark, str(path)).collect())) == rows
+    assert not (path / "_compaction").exists()
+
+
+@pytest.mark.parametrize("stop", ["staged", "half moved", "not staged"])
+def test_a_compaction_that_stops_is_finished_or_undone(spark, mixed_sizes, monkeypatch, stop):
+    path, large, limit = mixed_sizes
+    rows = sorted(map(repr, tables.read_evolving(spark, str(path)).collect()))
+    finish, calls = health._finish_compaction, []
+
+    def stops(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise InterruptedError
+        return finish(*args)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(health, "_finish_compaction", stops)
+        with pytest.raises(InterruptedError):
+            health.compact_small_files(spark, str(path), limit)
+    work = path / "_compaction"
+    assert sorted(map(repr, tables.read_evolving(spark, str(path)).collect())) == rows
+    if stop == "not staged":
+        (work / health.READY).unlink()
+    if stop == "half moved":
+        file = next((work / health.STAGED).rglob("part-*.parquet"))
+        file.rename(path / file.relative_to(work / health.STAGED))
+    health.compact_small_files(spark, str(path), limit)
+    assert sorted(map(repr, tables.read_evolving(spark, str(path)).collect())) == rows
+    assert len(_files(path)) == 5 and set(large) < set(_files(path))

@@ -119,3 +119,20 @@ def test_backlog_verdict(spark):
     df = spark.createDataFrame([(1, 5000), (2, 5001)], "batch_id long, batch_duration_ms long")
     got = {r.batch_id: r.status for r in progress.classify_progress(df, 5).collect()}
     assert got == {1: "KEEPING_UP", 2: "FALLING_BEHIND"}
+
+
+def test_progress_is_written_in_few_files(spark, tmp_path):
+    import json
+    from types import SimpleNamespace
+
+    log = progress.ProgressLog(spark, f"{tmp_path}/log", rows_per_file=25)
+    query = SimpleNamespace(runId="run-1")
+    log.onQueryStarted(query)
+    for batch in range(210):
+        report = {"batchId": batch, "numInputRows": 3, "stateOperators": [{"numRowsTotal": batch, "numRowsDroppedByWatermark": 1}]}
+        log.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(runId="run-1", json=json.dumps(report))))
+    log.onQueryTerminated(query)
+    rows = log.rows(query)
+    assert rows.count() == 210 and len(rows.inputFiles()) == 9
+    assert rows.agg({"rows_dropped_by_watermark": "sum", "batch_id": "max"}).first() in ((210, 209), (209, 210))
+    assert progress.ProgressLog(spark, f"{tmp_path}/none")._waiting == []

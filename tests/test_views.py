@@ -4,8 +4,11 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidelake.operators import costs, flatten, runs
+from tidelake.plans import bindings as b
+from tidelake.plans import monitoring
 
 D = Decimal
 
@@ -195,3 +198,71 @@ def test_statement_preview_and_waiting(spark):
     assert flat.filter("length(statement_preview) > 500").count() == 0
     assert flat.filter("total_waiting_duration_ms IS NULL").count() == 0
     assert flat.count() == history.count()
+
+
+# Views kept by the catalog
+
+
+def _half(df):
+    return F.pmod(F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")]), F.lit(2)) == 0
+
+
+@pytest.fixture(scope="module")
+def sources(spark, sf_dir, tmp_path_factory):
+    """All sources as catalog tables that hold half of their rows, and how to put in the rest."""
+    out = tmp_path_factory.mktemp("views")
+    made = {
+        "usage": b.usage, "list_prices": b.list_prices, "clusters": b.clusters, "jobs": b.jobs,
+        "job_run_timeline": b.run_timeline, "job_task_run_timeline": b.task_timeline, "node_timeline": b.nodes,
+        "query_history": b.query_history, "audit": b.audit, "table_lineage": b.lineage,
+    }
+    frames = {name: make(spark, sf_dir) for name, make in made.items()}
+    # The period sums are of today, so usage ends today.
+    shift = F.datediff(F.current_date(), F.lit("1998-12-01").cast("date"))
+    frames["usage"] = frames["usage"].withColumn("usage_date", F.date_add("usage_date", shift))
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS kept LOCATION '{out}/kept'")
+    for name, df in frames.items():
+        df.filter(_half(df)).write.option("path", f"{out}/{name}").saveAsTable(f"kept.{name}")
+
+    def complete():
+        for name, df in frames.items():
+            df.filter(~_half(df)).write.mode("append").option("path", f"{out}/{name}").saveAsTable(f"kept.{name}")
+
+    yield complete
+    spark.sql("DROP SCHEMA kept CASCADE")
+
+
+TIES = {"jobs": ["change_id"], "clusters": ["change_id"]}
+TIED = {
+    "finops_cost_by_compute": lambda t: costs.cost_by_compute(t["usage"], t["list_prices"], t["clusters"], ["change_id"]),
+    "finops_cost_by_job": lambda t: costs.cost_by_job(t["usage"], t["list_prices"], t["jobs"], ["change_id"]),
+    "job_runs": lambda t: runs.job_runs(t["job_run_timeline"], t["jobs"], ["change_id"]),
+    "job_tasks": lambda t: runs.job_tasks(t["job_task_run_timeline"], t["jobs"], ["change_id"]),
+    "compute_utilization": lambda t: runs.compute_utilization(t["node_timeline"], t["clusters"], ["change_id"]),
+}
+
+
+def _rows(df):
+    maps = [c for c, t in df.dtypes if t.startswith("map")]
+    return sorted(map(repr, df.withColumns({c: F.to_json(c) for c in maps}).collect()))
+
+
+def test_kept_views_show_what_their_sources_hold(spark, sources):
+    names = {name: f"kept.{name}" for name in (
+        "usage", "list_prices", "clusters", "jobs", "job_run_timeline", "job_task_run_timeline", "node_timeline",
+        "query_history", "audit", "table_lineage",
+    )}
+    made = monitoring.create_views(spark, names, "kept", ties=TIES)
+    assert len(made) == len(monitoring.VIEWS) == 12
+    before = {name: spark.table(name).count() for name in made}
+    sources()
+    # Another session of the catalog reads the text anew.
+    other = spark.newSession()
+    for name in monitoring.VIEWS:
+        tables_now = {s: spark.table(t) for s, t in names.items()}
+        want = TIED.get(name, monitoring.VIEWS[name])(tables_now)
+        got = other.table(f"kept.{name}")
+        assert got.columns == want.columns and [t for _, t in got.dtypes] == [t for _, t in want.dtypes], name
+        assert _rows(got) == _rows(want), name
+    after = {name: spark.table(name).count() for name in made}
+    assert all(after[n] >= before[n] for n in made) and sum(after.values()) > sum(before.values())

@@ -73,8 +73,8 @@ def cost_by_compute(
 ) -> DataFrame:
     """Cost per configuration the cluster had at the time; only usage that names a cluster.
 
-    The configuration is looked up before the price: that step reads its facts twice, and bare
-    usage is cheaper to read again than priced usage.
+    The configuration is looked up before the price: that step writes its facts, and bare usage is
+    narrower than priced usage.
     """
     named = (
         usage.withColumns(

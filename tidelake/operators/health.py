@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Mapping
 from functools import reduce
 
@@ -10,6 +11,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidelake.sources.landing import unescaped
 from tidelake.sources.tables import read_evolving
 
 log = logging.getLogger(__name__)
@@ -112,3 +114,74 @@ def compact(spark: SparkSession, source: str, target: str, file_bytes: int = 512
     rows = rows.hint("rebalance", *partitions) if partitions else rows.repartition(parts)
     rows.write.partitionBy(*partitions).parquet(target)
     return read_evolving(spark, target)
+
+
+STAGED, REPLACED, READY = "rows", "replaced", "_READY"
+
+
+def compact_small_files(spark: SparkSession, path: str, small_bytes: int = 128 << 20, file_bytes: int = 512 << 20) -> int:
+    """Put the small files of a parquet folder together, where they are; returns how many were replaced.
+
+    Files of ``small_bytes`` or more are neither read nor moved. Spark prunes by file size, reads the
+    small ones, and adaptive execution packs their rows into files of about ``file_bytes`` a partition
+    folder. The new files are staged in a hidden folder beside a list of those they replace; then the
+    new ones are moved in and the old ones deleted. A run that stops in between is finished, or
+    undone, by the next one. Readers should pause: while files are moved they may see rows twice.
+    """
+    work = f"{path}/_compaction"
+    replaced = _finish_compaction(spark, path, work)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    listed = listed.select(F.col("_metadata.file_path").alias("path"), "length")
+    folder = F.regexp_extract("path", "^(.*)/", 1)
+    small = listed.filter(F.col("length") < small_bytes)
+    # A single small file has nothing to be put together with.
+    groups = small.groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("files")).filter("files > 1")
+    if groups.isEmpty():
+        return replaced
+    rows = read_evolving(spark, path).filter(F.col("_metadata.file_size") < small_bytes)
+    names = F.regexp_extract_all(F.col("path"), F.lit(r"/([^/=]+)=[^/]*(?=/)"), F.lit(1))
+    partitions = [c for c in rows.columns if c in (listed.agg(F.max(names)).first()[0] or [])]
+    small.join(groups, folder == F.col("folder"), "left_semi").select("path").write.parquet(f"{work}/{REPLACED}")
+    old = spark.read.parquet(f"{work}/{REPLACED}")
+    rows = rows.withColumn("_file", F.col("_metadata.file_path")).join(old, F.col("_file") == F.col("path"), "left_semi")
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    own = spark.newSession()
+    own.conf.set(size, str(file_bytes))
+    view = f"compaction_{uuid.uuid4().hex}"
+    rows.drop("_file").createGlobalTempView(view)
+    try:
+        packed = own.table(f"global_temp.{view}").hint("rebalance", *partitions)
+        packed.write.partitionBy(*partitions).parquet(f"{work}/{STAGED}")
+    finally:
+        spark.catalog.dropGlobalTempView(view)
+    hadoop, system = _file_system(spark, work)
+    system.create(hadoop(f"{work}/{READY}")).close()
+    return replaced + _finish_compaction(spark, path, work)
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    return hadoop, hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _finish_compaction(spark: SparkSession, path: str, work: str) -> int:
+    """Move staged files in and delete those they replace, if staging was complete; then clear it away."""
+    hadoop, system = _file_system(spark, path)
+    count = 0
+    if system.exists(hadoop(f"{work}/{READY}")):
+        staged = f"{work}/{STAGED}"
+        base = system.makeQualified(hadoop(staged)).toString()
+        if system.exists(hadoop(staged)):
+            files = system.listFiles(hadoop(staged), True)
+            while files.hasNext():
+                file = files.next().getPath()
+                if file.getName()[0] not in "_.":
+                    target = hadoop(f"{path}{file.toString()[len(base):]}")
+                    system.mkdirs(target.getParent())
+                    if not system.rename(file, target):
+                        raise RuntimeError(f"NOT_MOVED: {file.toString()}")
+        for row in spark.read.parquet(f"{work}/{REPLACED}").select(unescaped("path").alias("path")).toLocalIterator():
+            system.delete(hadoop(row.path), False)
+            count += 1
+    system.delete(hadoop(work), True)
+    return count

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.functions.times import bucket_of
+from tidelake.session import written_once
 
 DAY = 86400
 
@@ -83,9 +84,11 @@ def asof_join(
     wins. Facts are never multiplied by the versions of their key, and a busy key is worked on
     in slices of ``width_seconds``:
 
-    1. the closing version of each slice is carried forward to the slices facts fall in, one
-       ordered pass over the slices of a key, whose number is bounded by the time span;
-    2. facts, versions and carried versions of one slice are put in time order, and every fact
+    1. the facts are computed once, and written with their slices to the shared folder;
+    2. the closing version of each slice is carried forward to the slices facts fall in, one
+       ordered pass over the slices of a key, whose number is bounded by the time span; the slices
+       come from two narrow columns of the written facts;
+    3. facts, versions and carried versions of one slice are put in time order, and every fact
        takes the last version before it.
 
     Facts without key or time match nothing; they are spread over tasks instead of meeting in one.
@@ -110,7 +113,8 @@ def asof_join(
             "_void": F.when(unmatched, F.pmod(F.monotonically_increasing_id(), F.lit(4096))),
         }
     )
-    visited = sliced.filter(~unmatched).select(*keys, "_slice").distinct().withColumn("_visited", F.lit(True))
+    sliced = written_once(sliced, "asof-facts")
+    visited = sliced.filter("_void IS NULL").select(*keys, "_slice").distinct().withColumn("_visited", F.lit(True))
 
     closing = own.groupBy(*keys, "_slice").agg(F.max_by("_version", F.struct("_time", "_tie")).alias("_version"))
     earlier = Window.partitionBy(*keys).orderBy("_slice").rangeBetween(Window.unboundedPreceding, -1)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.operators import costs, flatten, health, runs
+from tidelake.plans.view_sql import VIEW_SQL
 from tidelake.sources.tables import history, list_tables, publish
 
 Tables = Mapping[str, DataFrame]
@@ -30,15 +31,26 @@ VIEWS: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
-def create_views(spark: SparkSession, sources: Mapping[str, str], schema: str, names: Sequence[str] | None = None) -> list[str]:
-    """Publish the views as catalog tables of ``schema`` that stay when the session ends.
+def create_views(
+    spark: SparkSession,
+    sources: Mapping[str, str],
+    schema: str,
+    names: Sequence[str] | None = None,
+    ties: Mapping[str, Sequence[str]] | None = None,
+) -> list[str]:
+    """Create or replace the views in ``schema`` over the catalog tables ``sources``.
 
-    Python builds the views, so what lasts is their result: run again to bring them up to date.
+    The catalog keeps their text: they stay when the session ends, and show what their sources hold
+    when they are read. Of ``jobs`` and ``clusters`` rows that changed at one time, the greatest in the
+    columns ``ties`` counts.
     """
-    tables = {name: spark.table(source) for name, source in sources.items()}
-    made = [f"{schema}.{name}" for name in names or VIEWS]
-    for name in made:
-        VIEWS[name.rpartition(".")[2]](tables).write.mode("overwrite").saveAsTable(name)
+    known = {name: ".".join(f"`{part}`" for part in source.split(".")) for name, source in sources.items()}
+    for name in ("jobs", "clusters"):
+        known[f"{name}_tie"] = "".join(f", `{column}` DESC" for column in (ties or {}).get(name, ()))
+    made = []
+    for name in names or VIEW_SQL:
+        spark.sql(f"CREATE OR REPLACE VIEW {schema}.{name} AS {VIEW_SQL[name].format(**known)}")
+        made.append(f"{schema}.{name}")
     return made
 
 

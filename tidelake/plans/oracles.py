@@ -6,7 +6,7 @@ on the order of floating-point additions.
 
 from __future__ import annotations
 
-from tidelake.plans.queries import AS_OF
+from tidelake.plans.queries import AS_OF, TABLES
 
 USAGE = """
 usage AS (
@@ -263,6 +263,13 @@ def _lineage_side(name: str, schema: str) -> str:
   CAST(NULL AS VARCHAR) AS {name}_path"""
 
 
+_TABLE_NAMES = " UNION ALL ".join(f"SELECT '{name}' AS table_name" for name in TABLES)
+_TABLE_COUNTS = " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS n FROM {name}" for name in TABLES)
+_SPARK_TYPE = """CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+    WHEN 'DOUBLE' THEN 'double' WHEN 'FLOAT' THEN 'float' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'DATE' THEN 'date'
+    WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>' WHEN 'DOUBLE[]' THEN 'array<double>'
+    ELSE column_type END"""
+
 ORACLES: dict[str, str] = {
     "orders_valid": f"WITH {BRONZE} SELECT * EXCLUDE (ok) FROM judged WHERE ok",
     "orders_quarantine": f"WITH {BRONZE} SELECT * EXCLUDE (ok) FROM judged WHERE NOT coalesce(ok, false)",
@@ -545,7 +552,8 @@ SELECT order_date, status, count(*) AS order_count FROM silver GROUP BY 1, 2""",
     "pipeline_transactions_bucketed": f"{MIXED} SELECT {MIXED_ROWS}, _is_deleted, _applied_at FROM merged",
     "stream_key_join": """SELECT o_orderkey AS order_id, o_orderdate AS order_time, l_linenumber AS line,
   l_shipdate AS ship_time FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
-    "stream_late_rows": CLOSED_WINDOWS,
+    "stream_late_rows": f"""SELECT *, (SELECT count(DISTINCT (date_trunc('hour', ts - INTERVAL 14 DAYS), event_type))
+  FROM events) AS late_groups FROM ({CLOSED_WINDOWS})""",
     "stream_checkpoint_loss": """SELECT 'bronze' AS layer, 2 * count(*) AS total_rows,
   count(DISTINCT event_id) AS distinct_keys, 2 * count(*) - count(DISTINCT event_id) AS duplicate_rows,
   2 * count(event_id) - count(DISTINCT event_id) AS surplus_rows, 2 * (count(*) - count(event_id)) AS null_keys
@@ -558,7 +566,7 @@ FROM events""",
   CASE WHEN l_returnflag = 'N' THEN CAST(l_quantity AS BIGINT) END AS quantity,
   CASE WHEN l_returnflag = 'A' THEN
     '{"Quantity":"' || CAST(l_quantity AS BIGINT) || '","extra":"' || l_linestatus || '"}' END AS _rescued_data
-FROM lineitem WHERE l_returnflag IN ('N', 'A')""",
+FROM lineitem""",
     "effective_far_end": """SELECT 'term ' || o_orderstatus AS term, count(*) AS orders, min(o_orderdate) AS since
 FROM orders GROUP BY o_orderstatus""",
     "asof_map": """WITH ranked AS (
@@ -586,8 +594,47 @@ FROM orders""",
 ORDER BY version DESC LIMIT 2""",
     "written_file_layout": """SELECT 'per_status' AS layout, CAST(sum(n) AS BIGINT) AS rows, count(*) AS source_files,
   max(n) AS largest_file_rows FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderstatus)""",
-    "stream_progress_log": """SELECT row_number() OVER (ORDER BY event_type) - 1 AS batch_id, count(*) AS input_rows,
-  'KEEPING_UP' AS status FROM events GROUP BY event_type""",
+    "stream_progress_log": """SELECT count(*) AS input_rows, 'KEEPING_UP' AS status, true AS few_files
+FROM events GROUP BY user_id % 40""",
+    "stream_memory_count": "SELECT event_type, count(*) AS count FROM events GROUP BY event_type",
+    "concurrent_updates": """SELECT c_custkey AS customer_id,
+  CAST(round(c_acctbal * 100) AS BIGINT) + 1 + c_nationkey % 2 AS cents, CAST(2 AS BIGINT) AS sequence_num FROM customer""",
+    "concurrent_bucket_updates": "SELECT CAST(2 AS BIGINT) AS sequence_num, count(*) AS orders FROM orders",
+    "ledger_landings": """SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS status,
+  CAST(2 AS BIGINT) AS deliveries, CAST(9 AS BIGINT) AS files FROM orders""",
+    "catalog_tables": f"SELECT true AS in_schema, table_name FROM ({_TABLE_NAMES} UNION ALL SELECT 'orders_by_status')",
+    "catalog_detail": f"""SELECT table_name, true AS in_schema, 'parquet' AS format, '' AS partition_columns,
+  CAST(NULL AS BIGINT) AS num_files, n > 0 AS has_bytes FROM ({_TABLE_COUNTS})
+UNION ALL SELECT 'orders_by_status', true, 'parquet', 'o_orderstatus', count(DISTINCT o_orderstatus), true FROM orders""",
+    "table_detail": f"""SELECT table_name, 'parquet' AS format, CAST(NULL AS VARCHAR) AS schema_name, 0 AS partitions,
+  n > 0 AS has_files, true AS in_order FROM ({_TABLE_COUNTS})""",
+    "compacted_in_place": """SELECT o_orderstatus, o_orderkey % 10 > 0 AS was_there, count(*) AS rows,
+  CAST(1 AS BIGINT) AS files, CAST(sum(o_custkey) AS BIGINT) AS customers FROM orders GROUP BY 1, 2""",
+    "duplicate_keys_in_order": """SELECT CAST(row_number() OVER (ORDER BY count(*) DESC, l_suppkey) AS INTEGER) AS place,
+  l_suppkey, count(*) AS row_count FROM lineitem GROUP BY l_suppkey HAVING count(*) > 1
+ORDER BY row_count DESC, l_suppkey LIMIT 50""",
+    "table_schemas": "\nUNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, CAST(row_number() OVER () - 1 AS INTEGER) AS place, column_name, {_SPARK_TYPE} AS type
+FROM (DESCRIBE {name})"""
+        for name in TABLES
+    ),
+    "cdc_unconditional_delete": f"""WITH {CDC}, {_latest("DELETE")}
+SELECT t.transaction_id, t.payment_id, CAST(t.amount AS DOUBLE) AS amount, t.sequence_num, false AS _is_deleted,
+  applied AS _applied_at
+FROM target t LEFT JOIN latest s ON t.transaction_id = s.transaction_id WHERE s.transaction_id IS NULL""",
+    "cdc_resurrected": f"""WITH {CDC},
+deletes AS (SELECT transaction_id, max(sequence_num) AS n FROM events_in WHERE operation = 'DELETE' GROUP BY 1),
+inserts AS (SELECT transaction_id, max(sequence_num) AS n FROM events_in WHERE operation = 'INSERT' GROUP BY 1)
+SELECT t.transaction_id, i.n AS sequence_num, d.n AS deleted_at FROM target t
+JOIN deletes d ON d.transaction_id = t.transaction_id AND d.n > t.sequence_num
+JOIN inserts i ON i.transaction_id = t.transaction_id AND i.n < d.n""",
 }
+for _view, _same in (
+    ("view_cost_daily", "price_daily"),
+    ("view_cost_by_compute", "cost_by_compute"),
+    ("view_job_runs", "job_runs"),
+    ("view_compute_utilization", "compute_utilization"),
+):
+    ORACLES[_view] = ORACLES[_same]
 ORACLES["audit_log"] = ORACLES["cdc_delete_audit"]
 

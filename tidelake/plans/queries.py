@@ -6,6 +6,7 @@ nothing that differs between runs (times of writing, paths, batch ids) is return
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,10 @@ from pyspark.sql import types as T
 from tidelake.functions import rules
 from tidelake.operators import cdc, costs, flatten, gold, health, quality, runs, temporal, versions
 from tidelake.plans import bindings as b
-from tidelake.plans import medallion
+from tidelake.plans import medallion, monitoring
 from tidelake.plans.medallion import silver_orders
 from tidelake.session import scratch_dir
-from tidelake.sources import buckets, tables
+from tidelake.sources import buckets, ledger, tables
 from tidelake.sources.landing import land_files
 from tidelake.streaming import ingest, progress, state
 
@@ -160,6 +161,56 @@ def pipeline_transactions_bucketed(spark, sf_dir):
     return plain(buckets.read_buckets(spark, f"{root}/state"))
 
 
+@query
+def concurrent_updates(spark, sf_dir):
+    """Two writers of one state of customers: one reads, the other publishes first, the first starts again."""
+    path = scratch_dir(spark, "writers")
+    customers = b.table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS customer_id", "CAST(round(c_acctbal * 100) AS BIGINT) AS cents", "c_nationkey % 2 AS side"
+    )
+    first = customers.selectExpr("*", "1L AS sequence_num", "CAST(NULL AS TIMESTAMP) AS _applied_at")
+    tables.publish(first, path, "CREATE")
+
+    def events(side: int) -> DataFrame:
+        return customers.filter(F.col("side") == side).selectExpr(
+            "customer_id", f"cents + {side + 1} AS cents", "2L AS sequence_num", "'UPDATE' AS operation"
+        )
+
+    overtaken = []
+
+    def late(target: DataFrame) -> DataFrame:
+        if not overtaken:
+            overtaken.append(medallion.run_updates_batch(spark, events(1), path, "customer_id", ["cents"]))
+        return cdc.apply_updates(target, events(0), "customer_id", ["cents"])
+
+    medallion.run_merge(spark, path, late)
+    return tables.current(spark, path).select("customer_id", "cents", "sequence_num")
+
+
+@query
+def concurrent_bucket_updates(spark, sf_dir):
+    """The same in buckets: a writer of other buckets is taken along, without merging again."""
+    path = scratch_dir(spark, "bucket-writers")
+    orders = b.table(spark, sf_dir, "orders").selectExpr("o_orderkey AS k", "o_orderstatus AS v", "1L AS sequence_num")
+    state = orders.withColumn("_applied_at", F.lit(None).cast("timestamp"))
+    buckets.create_buckets(state, path, "k", 8)
+    number = buckets.bucket_number("k", 8) % 2
+    overtaken = []
+
+    def run(side: int) -> dict[str, int]:
+        batch = orders.filter(number == side).selectExpr("k", f"'side {side}' AS v", "2L AS sequence_num")
+
+        def apply(target: DataFrame, source: DataFrame) -> DataFrame:
+            if side == 0 and not overtaken:
+                overtaken.append(run(1))
+            return cdc.apply_updates(target, source, "k", ["v"])
+
+        return buckets.merge_into_buckets(spark, path, "k", batch, apply, 8)
+
+    run(0)
+    return buckets.read_buckets(spark, path).groupBy("sequence_num").agg(F.count(F.lit(1)).alias("orders"))
+
+
 # Versions, keys, checks
 
 
@@ -323,6 +374,46 @@ def data_lineage(spark, sf_dir):
     return flatten.data_lineage(b.lineage(spark, sf_dir))
 
 
+def _live_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A catalog view made while its sources hold half of their rows; the other half comes later."""
+    schema, out = f"views_{uuid.uuid4().hex[:12]}", scratch_dir(spark, "views")
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{out}/schema'")
+    made = {
+        "usage": b.usage, "list_prices": b.list_prices, "clusters": b.clusters, "jobs": b.jobs,
+        "job_run_timeline": b.run_timeline, "node_timeline": b.nodes,
+    }
+    needed = {s: made[s](spark, sf_dir) for s in made if f"{{{s}}}" in monitoring.VIEW_SQL[name]}
+    half = {s: F.pmod(F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")]), F.lit(2)) for s, df in needed.items()}
+    for source, df in needed.items():
+        df.filter(half[source] == 0).write.option("path", f"{out}/{source}").saveAsTable(f"{schema}.{source}")
+    sources = {source: f"{schema}.{source}" for source in needed}
+    ties = {"jobs": ["change_id"], "clusters": ["change_id"]}
+    (view,) = monitoring.create_views(spark, sources, schema, [name], ties)
+    for source, df in needed.items():
+        df.filter(half[source] == 1).write.mode("append").option("path", f"{out}/{source}").saveAsTable(f"{schema}.{source}")
+    return spark.table(view)
+
+
+@query
+def view_cost_daily(spark, sf_dir):
+    return plain(_live_view(spark, sf_dir, "finops_cost_daily"))
+
+
+@query
+def view_cost_by_compute(spark, sf_dir):
+    return plain(_live_view(spark, sf_dir, "finops_cost_by_compute"))
+
+
+@query
+def view_job_runs(spark, sf_dir):
+    return _live_view(spark, sf_dir, "job_runs")
+
+
+@query
+def view_compute_utilization(spark, sf_dir):
+    return _live_view(spark, sf_dir, "compute_utilization")
+
+
 @query
 def asof_signup(spark, sf_dir):
     events = b.table(spark, sf_dir, "events")
@@ -416,6 +507,26 @@ def cdc_mixed_broadcast(spark, sf_dir):
     )
 
 
+@query
+def cdc_unconditional_delete(spark, sf_dir):
+    """The mistake versions guard against: deletes that remove newer rows too."""
+    target = b.transactions(spark, sf_dir)
+    merged = cdc.merge(target, _latest_changes(spark, sf_dir, "DELETE"), ["transaction_id"], [cdc.Delete()])
+    return plain(cdc.state_of(merged))
+
+
+@query
+def cdc_resurrected(spark, sf_dir):
+    """The mistake tombstones guard against: after a physical delete an older insert brings the key back."""
+    deletes, inserts = (_latest_changes(spark, sf_dir, kind) for kind in ("DELETE", "INSERT"))
+    gone = cdc.state_of(cdc.apply_deletes(b.transactions(spark, sf_dir), deletes, "transaction_id"))
+    again = cdc.merge(gone, inserts, ["transaction_id"], not_matched=[cdc.Insert()]).filter("_action = 'inserted'")
+    known = b.transactions(spark, sf_dir).select("transaction_id")
+    removed = deletes.join(known, "transaction_id").select("transaction_id", F.col("sequence_num").alias("deleted_at"))
+    back = again.join(removed, "transaction_id").filter("sequence_num < deleted_at")
+    return back.select("transaction_id", "sequence_num", "deleted_at")
+
+
 @query
 def cdc_merge_metrics(spark, sf_dir):
     return cdc.merge_metrics(_mixed(spark, sf_dir))
@@ -562,18 +673,27 @@ def stream_key_join(spark, sf_dir):
 
 @query
 def stream_late_rows(spark, sf_dir):
-    """Events, then the same events fourteen days earlier: the second delivery changes no closed window."""
+    """Events, then the same events fourteen days earlier: the second delivery changes no closed window.
+
+    Beside each window stands how many groups the state operators dropped as late, from the progress
+    log: Spark counts them after it has put the rows of a window and type together.
+    """
     out = scratch_dir(spark, "late")
     events = b.table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
-    for shift in (0, 14):
-        shifted = events.withColumn("ts", F.col("ts") - F.expr(f"INTERVAL {shift} DAYS"))
-        shifted.write.mode("append").parquet(f"{out}/events")
-        arriving = tables.replay_stream(spark, f"{out}/events", events.schema)
-        counted = state.windowed_count(arriving, "ts", ["event_type"], "1 hour", "10 seconds")
-        ingest.run_available_now(counted, f"{out}/rows", f"{out}/checkpoint")
-    return spark.read.parquet(f"{out}/rows").select(
+    reports = []
+    with progress.ProgressLog(spark, f"{out}/log") as log:
+        for shift in (0, 14):
+            shifted = events.withColumn("ts", F.col("ts") - F.expr(f"INTERVAL {shift} DAYS"))
+            shifted.write.mode("append").parquet(f"{out}/events")
+            arriving = tables.replay_stream(spark, f"{out}/events", events.schema)
+            counted = state.windowed_count(arriving, "ts", ["event_type"], "1 hour", "10 seconds")
+            reports.append(log.rows(ingest.run_available_now(counted, f"{out}/rows", f"{out}/checkpoint")))
+    dropped = reports[0].unionByName(reports[1]).agg(F.sum("rows_dropped_by_watermark").alias("late_groups"))
+    windows = spark.read.parquet(f"{out}/rows").select(
         F.col("window.start").cast("timestamp_ntz").alias("window_start"), "event_type", "count"
     )
+    one = F.lit(1).alias("one")
+    return windows.select("*", one).join(F.broadcast(dropped.select("*", one)), "one").drop("one")
 
 
 @query
@@ -670,7 +790,13 @@ def _locations(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
 @query
 def table_detail(spark, sf_dir):
-    return health.table_detail(spark, _locations(spark, sf_dir))
+    """Detail of the given tables; sizes and times differ between machines, so only their order is shown."""
+    detail = health.table_detail(spark, _locations(spark, sf_dir))
+    return detail.select(
+        "table_name", "format", "schema_name", F.size("partition_columns").alias("partitions"),
+        ((F.col("num_files") > 0) & (F.col("size_in_bytes") > 0)).alias("has_files"),
+        (F.col("created_at") <= F.col("last_modified")).alias("in_order"),
+    )
 
 
 @query
@@ -725,22 +851,66 @@ def stream_landing_late_files(spark, sf_dir):
 
 @query
 def stream_landing_headers(spark, sf_dir):
-    """One long file and many short ones whose header has another case and one column more than the schema."""
+    """Long files, many short ones whose header has another case and a column more, and some with a column less."""
     out = scratch_dir(spark, "headers")
     lines = b.table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey AS order_id", "l_linenumber AS line", "CAST(l_quantity AS BIGINT) AS quantity",
         "l_linestatus AS extra", "l_returnflag AS flag",
     )
-    long = lines.filter("flag = 'N'").select("order_id", "line", "quantity").coalesce(1)
+    long = lines.filter("flag = 'N'").select("order_id", "line", "quantity")
     long.write.option("header", True).csv(f"{out}/raw/long")
     short = lines.filter("flag = 'A'").withColumnRenamed("quantity", "Quantity").drop("flag").repartition(12)
     short.write.option("header", True).csv(f"{out}/raw/short")
-    route = ingest.route_batch(f"{out}/valid", f"{out}/quarantine", r".*/(long|short)/[^/]+\.csv$")
+    less = lines.filter("flag = 'R'").select("line", "order_id").repartition(5)
+    less.write.option("header", True).csv(f"{out}/raw/less")
+    route = ingest.route_batch(f"{out}/valid", f"{out}/quarantine", r".*/(long|short|less)/[^/]+\.csv$")
     types = {"order_id": "bigint", "line": "int", "quantity": "bigint"}
     land_files(spark, f"{out}/raw", f"{out}/checkpoint", route, schema=types)
     return tables.read_evolving(spark, f"{out}/valid").select(*types, "_rescued_data")
 
 
+@query
+def ledger_landings(spark, sf_dir):
+    """Orders landed by a ledger: three deliveries, a run that dies before its last mark, a ledger that is lost.
+
+    ``deliveries`` counts how often a row is in bronze: once by the ledger however often it ran, and once
+    more for the ledger that had to start anew; ``files`` are those in the first ledger.
+    """
+    out = scratch_dir(spark, "ledger")
+    orders = b.table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS order_id", "o_custkey AS customer_id", "o_orderstatus AS status"
+    )
+    types = {"order_id": "bigint", "customer_id": "bigint", "status": "string"}
+
+    def land(name: str, stop_before_mark: bool = False) -> None:
+        route = ingest.route_batch(f"{out}/valid", f"{out}/quarantine", r".*/batch=\w/[^/]+\.csv$")
+        if not stop_before_mark:
+            ledger.land_with_ledger(spark, f"{out}/raw", f"{out}/{name}", route, schema=types, max_files=2)
+            return
+
+        def dies(batch: DataFrame, batch_id: int) -> None:
+            route(batch, batch_id)
+            raise InterruptedError
+
+        try:
+            ledger.land_with_ledger(spark, f"{out}/raw", f"{out}/{name}", dies, schema=types, max_files=2)
+        except InterruptedError:
+            pass
+
+    for number, status in enumerate(("F", "O", "P")):
+        # The last delivery adds to the first one's folder, and the first run after it stops half-way.
+        folder = f"{out}/raw/ingestion_date=2026-01-0{1 + number % 2}/batch={status}"
+        orders.filter(F.col("status") == status).repartition(3).write.option("header", True).csv(folder)
+        land("ledger", stop_before_mark=number == 2)
+        land("ledger")
+    land("started_anew")
+    bronze = tables.read_evolving(spark, f"{out}/valid")
+    files = ledger.landed_files(spark, f"{out}/ledger").select("path").distinct().count()
+    return bronze.groupBy("order_id", "customer_id", "status").agg(
+        F.count(F.lit(1)).alias("deliveries"), F.lit(files).cast("long").alias("files")
+    )
+
+
 @query
 def effective_far_end(spark, sf_dir):
     """Orders under a term of their status that begins with its first order and ends in 9999."""
@@ -829,7 +999,7 @@ def lineitem_distinct_orders(spark, sf_dir):
 def written_table_detail(spark, sf_dir):
     """Detail of a table written with a folder a status, one file in each."""
     out = scratch_dir(spark, "detail")
-    b.table(spark, sf_dir, "orders").coalesce(1).write.partitionBy("o_orderstatus").parquet(out)
+    b.table(spark, sf_dir, "orders").repartition("o_orderstatus").write.partitionBy("o_orderstatus").parquet(out)
     detail = health.table_detail(spark, {"lake.sales.orders": out})
     return detail.select(
         "catalog_name", "schema_name", "table_name", "format", "num_files",
@@ -853,22 +1023,122 @@ def written_table_history(spark, sf_dir):
 def written_file_layout(spark, sf_dir):
     """Rows and files of orders as they were really written: one file a status."""
     out = scratch_dir(spark, "layout")
-    b.table(spark, sf_dir, "orders").coalesce(1).write.partitionBy("o_orderstatus").parquet(out)
+    b.table(spark, sf_dir, "orders").repartition("o_orderstatus").write.partitionBy("o_orderstatus").parquet(out)
     read = spark.read.parquet(out).withColumn("_source_file", F.col("_metadata.file_path"))
     return health.file_layout(read, "per_status")
 
 
 @query
 def stream_progress_log(spark, sf_dir):
-    """Every batch of a stream as its listener wrote it, with the backlog verdict; one file is one batch."""
+    """Every batch of a stream as its listener wrote it, with the backlog verdict; one file is one batch.
+
+    Each of 40 files has the events of a share of the users, so batches are told apart by their rows.
+    """
     out = scratch_dir(spark, "progress")
-    events = b.table(spark, sf_dir, "events").select("event_id", "event_type")
-    for kind in ("click", "error", "purchase", "signup", "view"):
-        events.filter(F.col("event_type") == kind).coalesce(1).write.mode("append").parquet(f"{out}/events")
-    arriving = tables.replay_stream(spark, f"{out}/events", events.schema, files_per_batch=1)
+    share = F.col("user_id") % 40
+    events = b.table(spark, sf_dir, "events").select("event_id", "user_id")
+    dealt = events.withColumn("share", share).repartition("share")
+    dealt.write.partitionBy("share").parquet(f"{out}/events")
+    arriving = tables.replay_stream(spark, f"{out}/events/*/part-*.parquet", events.schema, files_per_batch=1)
     with progress.ProgressLog(spark, f"{out}/log") as log:
-        query = ingest.run_available_now(arriving, f"{out}/rows", f"{out}/checkpoint")
+        query = ingest.run_available_now(arriving.select("event_id"), f"{out}/rows", f"{out}/checkpoint")
         rows = log.rows(query)
     # An hour a batch: nothing falls behind, whatever the machine.
     verdicts = progress.classify_progress(rows, 3600)
-    return verdicts.select("batch_id", "input_rows", "status")
+    few = len(rows.inputFiles()) < 20
+    return verdicts.select("input_rows", "status", F.lit(few).alias("few_files"))
+
+
+@query
+def stream_memory_count(spark, sf_dir):
+    """Events per type, counted by a stream on a processing-time trigger into an in-memory table, read by name."""
+    out, name = scratch_dir(spark, "memory"), f"counted_{uuid.uuid4().hex[:12]}"
+    counted = _event_stream(spark, sf_dir).groupBy("event_type").count()
+    running = ingest.start_memory(counted, name, f"{out}/checkpoint", "complete", "1 second")
+    running.processAllAvailable()
+    running.stop()
+    return spark.table(name)
+
+
+# Catalog health
+
+
+def _registered(spark: SparkSession, sf_dir: str) -> str:
+    """A schema of its own with all given tables, partitioned orders, a view, and the health tables to leave out."""
+    schema, out = f"lake_{uuid.uuid4().hex[:12]}", scratch_dir(spark, "catalog")
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{out}/schema'")
+    for name in TABLES:
+        spark.sql(f"CREATE TABLE {schema}.{name} USING parquet LOCATION '{sf_dir}/{name}.parquet'")
+    orders = b.table(spark, sf_dir, "orders").repartition("o_orderstatus")
+    orders.write.partitionBy("o_orderstatus").option("path", f"{out}/by_status").saveAsTable(f"{schema}.orders_by_status")
+    spark.sql(f"CREATE VIEW {schema}.orders_open AS SELECT * FROM {schema}.orders WHERE o_orderstatus = 'O'")
+    spark.sql(f"CREATE TABLE {schema}.table_health_detail (n INT) USING parquet LOCATION '{out}/detail'")
+    return schema
+
+
+@query
+def catalog_tables(spark, sf_dir):
+    """The tables of a schema in name order, without views and without health's own."""
+    schema = _registered(spark, sf_dir)
+    listed = tables.list_tables(spark, [schema], ["table_health_detail", "table_health_history"])
+    return listed.select((F.col("schema_name") == schema).alias("in_schema"), "table_name")
+
+
+@query
+def catalog_detail(spark, sf_dir):
+    """Detail of every listed table: format, partition columns, and whether it has files and bytes."""
+    schema = _registered(spark, sf_dir)
+    listed = tables.list_tables(spark, [schema], ["table_health_detail", "table_health_history"])
+    detail = health.table_detail(spark, health.catalog_locations(spark, listed))
+    return detail.select(
+        F.element_at(F.split("table_name", r"\."), -1).alias("table_name"),
+        (F.col("schema_name") == schema).alias("in_schema"),
+        "format",
+        F.array_join("partition_columns", ",").alias("partition_columns"),
+        F.when(F.size("partition_columns") > 0, F.col("num_files")).alias("num_files"),
+        ((F.col("size_in_bytes") > 0) & (F.col("created_at") <= F.col("last_modified"))).alias("has_bytes"),
+    )
+
+
+@query
+def compacted_in_place(spark, sf_dir):
+    """A folder with one large file and many small ones a status: the small ones are put together, the large stay."""
+    out = scratch_dir(spark, "in-place")
+    orders = b.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    large = orders.filter("o_orderkey % 10 > 0").repartition("o_orderstatus")
+    large.write.partitionBy("o_orderstatus").parquet(out)
+    name, size = F.col("_metadata.file_path"), F.col("_metadata.file_size")
+    limit = spark.read.parquet(out).select(size.alias("size")).agg(F.min("size")).first()[0]
+    # One file a status, so the driver sees as many names.
+    before = spark.createDataFrame(
+        spark.read.parquet(out).select(name.alias("file")).distinct().collect(), "file string"
+    )
+    small = orders.filter("o_orderkey % 10 = 0").repartition(16, "o_orderkey")
+    small.write.mode("append").partitionBy("o_orderstatus").parquet(out)
+    health.compact_small_files(spark, out, limit)
+    now = spark.read.parquet(out).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", name.alias("file"))
+    kept = now.join(F.broadcast(before.withColumn("was_there", F.lit(True))), "file", "left")
+    files = kept.groupBy("o_orderstatus", "was_there").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("file").alias("files"), F.sum("o_custkey").alias("customers")
+    )
+    return files.withColumn("was_there", F.coalesce("was_there", F.lit(False)))
+
+
+@query
+def duplicate_keys_in_order(spark, sf_dir):
+    """The 50 suppliers with the most line items, and their places: the report is read in its order."""
+    lines = b.table(spark, sf_dir, "lineitem")
+    report = quality.duplicate_keys(lines, ["l_suppkey"], ordered=True).limit(50)
+    placed = [(place, *row) for place, row in enumerate(report.collect(), 1)]
+    return spark.createDataFrame(placed, "place int, l_suppkey long, row_count long")
+
+
+@query
+def table_schemas(spark, sf_dir):
+    """Columns and types of the tables as they are read, by which a schema that has changed is found."""
+    rows = [
+        (name, place, field.name, field.dataType.simpleString())
+        for name in TABLES
+        for place, field in enumerate(b.table(spark, sf_dir, name).schema)
+    ]
+    return spark.createDataFrame(rows, "table_name string, place int, column_name string, type string")

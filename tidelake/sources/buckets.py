@@ -15,7 +15,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.operators.cdc import INSERTED, merge_metrics, state_of
-from tidelake.sources.tables import SCHEMA_FOLDER, current, publish, read_evolving
+from tidelake.sources.tables import (
+    ATTEMPTS,
+    SCHEMA_FOLDER,
+    VersionConflict,
+    publish,
+    read_evolving,
+    read_version,
+)
 
 Apply = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -33,14 +40,19 @@ def _write(rows: DataFrame, path: str, key: str, buckets: int) -> str:
     return folder
 
 
+def _listed(spark: SparkSession, path: str) -> tuple[int, dict[int, str]]:
+    """The current version, and where each bucket lies in it; at most as many as there are buckets."""
+    version, rows = read_version(spark, path)
+    return version, {row.bucket: row.folder for row in rows.collect()}
+
+
 def _folders(spark: SparkSession, path: str) -> dict[int, str]:
-    """Where each bucket of the current version lies; at most as many as there are buckets."""
-    return {row.bucket: row.folder for row in current(spark, path).collect()}
+    return _listed(spark, path)[1]
 
 
-def _publish(spark: SparkSession, path: str, folders: dict[int, str], operation: str) -> None:
+def _publish(spark: SparkSession, path: str, folders: dict[int, str], operation: str, read: int | None = None) -> None:
     listed = spark.createDataFrame(sorted(folders.items()), "bucket int, folder string")
-    publish(listed.coalesce(1), path, operation)
+    publish(listed.coalesce(1), path, operation, read=read)
 
 
 def create_buckets(rows: DataFrame, path: str, key: str, buckets: int) -> None:
@@ -73,13 +85,24 @@ def merge_into_buckets(
     """Apply a batch with ``apply(target, batch) -> merged`` to the buckets of its keys; returns the counters.
 
     Only bucket numbers and folders, at most ``buckets``, reach the driver. Deleted rows stay in the
-    files with their action until the next merge of their bucket.
+    files with their action until the next merge of their bucket. Writers of different buckets both
+    succeed; of two writers of one bucket the second raises ``VersionConflict``.
     """
     numbered = batch.select(bucket_number(key, buckets).alias("n")).distinct()
     touched = sorted(row.n for row in numbered.collect())
     if not touched:
         return {"inserted_rows": 0, "updated_rows": 0, "deleted_rows": 0}
-    merged = apply(read_buckets(spark, path, touched), batch)
-    written = _write(merged, path, key, buckets)
-    _publish(spark, path, _folders(spark, path) | {n: written for n in touched}, "MERGE")
+    version, folders = _listed(spark, path)
+    target = state_of(_read(spark, {n: folders[n] for n in touched}))
+    written = _write(apply(target, batch), path, key, buckets)
+    for left in reversed(range(ATTEMPTS)):
+        try:
+            _publish(spark, path, folders | {n: written for n in touched}, "MERGE", version)
+            break
+        except VersionConflict:
+            version, now = _listed(spark, path)
+            # A writer of other buckets does not matter: its folders are taken over. One of these does.
+            if not left or any(now[n] != folders[n] for n in touched):
+                raise
+            folders = now
     return merge_metrics(read_evolving(spark, written)).first().asDict()

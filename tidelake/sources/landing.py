@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -59,6 +59,11 @@ def header_names(line: str) -> tuple[str, ...]:
     return tuple(f"_c{i}" if not n else f"{n}{i}" if count[n] > 1 else n for i, n in enumerate(names))
 
 
+def unescaped(path: str | Column) -> Column:
+    """A file path as it is written; Spark's own column of paths escapes characters."""
+    return F.try_url_decode(F.replace(F.col(path) if isinstance(path, str) else path, F.lit("+"), F.lit("%2B")))
+
+
 def group_by_header(listed: DataFrame) -> dict[tuple[str, ...], list[str]]:
     """Paths of the files per header, in path order; files without any text are left out.
 
@@ -75,16 +80,11 @@ def group_by_header(listed: DataFrame) -> dict[tuple[str, ...], list[str]]:
     paths = sorted(row.path for row in listed.filter("length > 0").select("path").collect())
     if not paths:
         return {}
-    # Read by the planner, not by the running job, so they can be put back at once.
-    sizes = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
-    before = {key: spark.conf.get(key) for key in sizes}
-    try:
-        for key in sizes:
-            spark.conf.set(key, WHOLE_FILE)
-        lines = spark.read.text(paths).select("_metadata.file_path", "value").rdd.mapPartitions(first_line).collect()
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+    # Planned in a session of its own, so that no other query meets these sizes.
+    own = spark.newSession()
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        own.conf.set(key, WHOLE_FILE)
+    lines = own.read.text(paths).select("_metadata.file_path", "value").rdd.mapPartitions(first_line).collect()
     groups: dict[tuple[str, ...], list[str]] = {}
     for path, line in sorted(lines):
         groups.setdefault(header_names(line), []).append(unquote(path))

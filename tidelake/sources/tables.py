@@ -2,15 +2,23 @@
 
 A published table is a folder with one sub-folder per version and an append-only ``_history``.
 Readers follow the last history row, which is written after the data, so a table is never
-overwritten while it is read and a failed publication stays invisible. Of two writers of one
-version the second fails.
+overwritten while it is read and a failed publication stays invisible.
+
+Writers are optimistic. One that changes what it has read (a merge) names the version it read, and
+publishes only while that one is current; otherwise it raises :class:`VersionConflict`, and
+:func:`retried` reads and merges again. A writer that replaces the table whatever is in it names none.
+Two writers of one version are told apart by creating the same marker file, which needs a file system
+where "create, unless it exists" is one step: HDFS, local disks and the like, and object stores only
+where their Hadoop connector creates conditionally. On others, run one writer at a time.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from typing import NamedTuple, TypeVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +33,21 @@ HISTORY = "version long, timestamp timestamp, operation string, userName string,
 #: maximum age. Remembering all of them costs the driver about 200 bytes a file.
 NO_FILE_TOO_OLD = "36500d"
 SCHEMA_FOLDER = "_columns"
+#: How often a writer starts again that finds its version is no longer current.
+ATTEMPTS = 5
+
+Result = TypeVar("Result")
+
+
+class VersionConflict(RuntimeError):
+    """Another writer published, or is publishing, since the version was read."""
+
+
+class Version(NamedTuple):
+    """A published version and its rows; of a merge result, those that remain."""
+
+    number: int
+    rows: DataFrame
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -42,6 +65,16 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
         return spark.read.parquet(f"{path}/{SCHEMA_FOLDER}").limit(0)
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A parquet folder of a known schema; without the folder, no rows."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def history(spark: SparkSession, path: str) -> DataFrame:
     """Publications of a table, oldest first; empty when there are none."""
     try:
@@ -75,7 +108,7 @@ def claim(spark: SparkSession, path: str, version: int) -> None:
     """
     marker = _hadoop_path(spark, f"{path}/_claims/v{version:08d}")
     if not marker.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(marker):
-        raise RuntimeError(f"VERSION_TAKEN: {path} version {version} is being written, or was left unfinished")
+        raise VersionConflict(f"VERSION_TAKEN: {path} version {version} is being written, or was left unfinished")
 
 
 def release_claim(spark: SparkSession, path: str, version: int) -> None:
@@ -87,26 +120,40 @@ def _hadoop_path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
-def current(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of the last published version; of a merge result, those that remain."""
+def read_version(spark: SparkSession, path: str) -> Version:
+    """The last published version, with its number for :func:`publish`."""
     last = _last(spark, path)
     if last is None:
         raise ValueError(f"TABLE_NOT_FOUND: {path}")
     rows = spark.read.parquet(last.location)
-    return state_of(rows) if "_action" in rows.columns else rows
+    return Version(last.version, state_of(rows) if "_action" in rows.columns else rows)
+
+
+def current(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the last published version; of a merge result, those that remain."""
+    return read_version(spark, path).rows
 
 
 def publish(
-    df: DataFrame, path: str, operation: str, partition_by: Sequence[str] = (), name: str | None = None
+    df: DataFrame,
+    path: str,
+    operation: str,
+    partition_by: Sequence[str] = (),
+    name: str | None = None,
+    read: int | None = None,
 ) -> DataFrame:
     """Write ``df`` as the next version and make it current; returns the written table.
 
-    ``df`` may be computed from the current version. The returned frame reads the files, so
+    ``df`` may be computed from the current version; ``read`` is then that version's number, and the
+    publication fails before it writes if the table has moved on. The returned frame reads the files, so
     counts on it do not repeat the work. With ``name`` the catalog view of that name shows the
     current rows from then on, in every session that shares the catalog.
     """
     spark = df.sparkSession
-    version = current_version(spark, path) + 1
+    last = current_version(spark, path)
+    if read is not None and last != read:
+        raise VersionConflict(f"VERSION_MOVED: {path} is at version {last}, not {read}")
+    version = last + 1
     location = f"{path}/v{version:08d}-{uuid.uuid4().hex[:8]}"
     with _claimed(spark, path, version):
         df.write.partitionBy(*partition_by).parquet(location)
@@ -118,6 +165,16 @@ def publish(
     return spark.read.parquet(location)
 
 
+def retried(change: Callable[[], Result], attempts: int = ATTEMPTS, wait_seconds: float = 1) -> Result:
+    """``change()``, done again from its reading on while other writers come first, with growing waits."""
+    for attempt in range(attempts - 1):
+        try:
+            return change()
+        except VersionConflict:
+            time.sleep(wait_seconds * 2**attempt)
+    return change()
+
+
 @contextmanager
 def _claimed(spark: SparkSession, path: str, version: int) -> Iterator[None]:
     """Hold the claim on a version; given back when writing it fails."""
@@ -143,10 +200,15 @@ def record_version(spark: SparkSession, path: str, version: int, operation: str,
 
 def ensure_like(df: DataFrame, path: str) -> DataFrame:
     """The current table, created empty with the columns of ``df`` when there is none yet."""
+    return ensure_version(df, path).rows
+
+
+def ensure_version(df: DataFrame, path: str) -> Version:
+    """The same, with the version's number for :func:`publish`."""
     spark = df.sparkSession
     if not table_exists(spark, path):
-        return publish(spark.createDataFrame([], df.schema), path, "CREATE TABLE")
-    return current(spark, path)
+        publish(spark.createDataFrame([], df.schema), path, "CREATE TABLE", read=-1)
+    return read_version(spark, path)
 
 
 def append_audit(df: DataFrame, path: str, pass_id: str) -> None:

@@ -10,9 +10,14 @@ from tidelake.sources.landing import Handler
 from tidelake.sources.tables import write_batch_once
 
 
+#: Where a landing without a stream leaves the id its batches belong to.
+RUN_ID = "tidelake.runId"
+
+
 def streaming_query_id(df: DataFrame) -> str:
-    """Id of the running query, stored in its checkpoint: the same after a restart."""
-    return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    """Id of the running query, stored in its checkpoint, or of the ledger: the same after a restart."""
+    context = df.sparkSession.sparkContext
+    return context.getLocalProperty("sql.streaming.queryId") or context.getLocalProperty(RUN_ID)
 
 
 def route_batch(valid_path: str, quarantine_path: str, pattern: str = LANDING_CONTRACT) -> Handler:

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from tidelake.sources.tables import read_or_empty
+
 SCHEMA = (
     "batch_id long, input_rows long, input_rows_per_second double, processed_rows_per_second double,"
     " batch_duration_ms long, state_rows long, state_updated_rows long, state_removed_rows long,"
@@ -49,12 +51,17 @@ def progress_df(spark: SparkSession, query: StreamingQuery) -> DataFrame:
 class ProgressLog(StreamingQueryListener):
     """Writes every batch of every query of the session to a folder, however long they run.
 
+    Reports wait in memory until there are ``rows_per_file`` of them, or until a query ends or the log is
+    left; they are then written as one file. A driver that is lost takes with it what waits.
+
     Spark reports in the background: :meth:`rows` waits for a query's end before it reads.
     """
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, rows_per_file: int = 500) -> None:
+        self.spark, self.path, self.rows_per_file = spark, path, rows_per_file
         self._ended: dict[str, threading.Event] = {}
+        self._waiting: list[tuple] = []
+        self._lock = threading.Lock()
 
     def _end(self, run_id: Any) -> threading.Event:
         return self._ended.setdefault(str(run_id), threading.Event())
@@ -65,25 +72,38 @@ class ProgressLog(StreamingQueryListener):
 
     def __exit__(self, *_: object) -> None:
         self.spark.streams.removeListener(self)
+        self.flush()
+
+    def flush(self) -> None:
+        """Write what waits."""
+        with self._lock:
+            rows, self._waiting = self._waiting, []
+        if rows:
+            made = self.spark.createDataFrame(rows, f"run_id string, {SCHEMA}")
+            made.coalesce(1).write.mode("append").parquet(self.path)
 
     def onQueryStarted(self, event: Any) -> None:
         self._end(event.runId)
 
     def onQueryProgress(self, event: Any) -> None:
-        row = self.spark.createDataFrame([(str(event.progress.runId), *_row(event.progress))], f"run_id string, {SCHEMA}")
-        row.coalesce(1).write.mode("append").parquet(self.path)
+        with self._lock:
+            self._waiting.append((str(event.progress.runId), *_row(event.progress)))
+            full = len(self._waiting) >= self.rows_per_file
+        if full:
+            self.flush()
 
     def onQueryIdle(self, event: Any) -> None:
         pass
 
     def onQueryTerminated(self, event: Any) -> None:
+        self.flush()
         self._end(event.runId).set()
 
     def rows(self, query: StreamingQuery, seconds: float = 60) -> DataFrame:
         """All batches of a query that has ended."""
         if not self._end(query.runId).wait(seconds):
             raise TimeoutError("the query has not ended")
-        return self.spark.read.schema(f"run_id string, {SCHEMA}").parquet(self.path).filter(F.col("run_id") == str(query.runId))
+        return read_or_empty(self.spark, self.path, f"run_id string, {SCHEMA}").filter(F.col("run_id") == str(query.runId))
 
 
 def classify_progress(df: DataFrame, trigger_seconds: float, duration_ms: str = "batch_duration_ms") -> DataFrame:
