@@ -231,7 +231,7 @@ ODD = [
 ]
 
 
-@pytest.mark.parametrize("longest,width,frequent", [(alignment.LONG, alignment.RANGE, 1 << 20), (200, 37, 40), (64, 5, 0)])
+@pytest.mark.parametrize("longest,width,frequent", [(alignment.LONG, alignment.RANGE, 1 << 20), (200, 37, 40), (64, 5, 0), (2_000, 500, 1)])
 def test_alignment_is_that_of_a_plain_version(spark, encoders, longest, width, frequent):
     rows = [(i, t, 1, "r") for i, t in ODD]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_a int, row string").repartition(3)

@@ -4,9 +4,11 @@ A text is encoded by a byte-level BPE (A, over a space and the text) and a piece
 the space itself). Offsets where tokens of both end cut the bytes into groups. A fragment is what one
 byte range knows: an open prefix (its tokens up to the first common end; where the group began is not
 known yet), closed groups, and an open suffix (tokens behind its last common end). Fragments compose
-associatively: suffix and next prefix make one group. Texts up to ``LONG`` bytes are one range; longer
-ones are cut at spaces no token of either vocabulary crosses, their parts are encoded and cut to ranges
-in different tasks, and composed by tree reduction.
+associatively: suffix and next prefix make one group. Texts are cut at single spaces, which no token of
+either vocabulary crosses: what is between two of them gives closed groups whatever stands around it,
+and is encoded once for all its occurrences in a batch. Stretches of over ``RANGE`` bytes without such a
+space are composed from byte ranges. Texts of more than ``LONG`` bytes are cut into parts that are encoded
+in different tasks and composed by tree reduction.
 
 Texts that are NULL, empty or not restored by either tokenizer have no tokens. Every row is worked on
 by itself, so repeated rows and doc_ids count as often as they occur. A long text without such a space is one
@@ -20,6 +22,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -29,14 +32,16 @@ from pyspark.sql import functions as F
 
 from tidelake.llm.common import arrow_groups, arrow_map, pieces_of, saved
 
-LONG = 32 << 10
-RANGE = 8 << 10
+LONG = 64 << 10
+RANGE = 4 << 10
 FAN_IN = 8
 #: Id pairs with the highest counts that every task gets; counts of the others are joined.
 FREQUENT_PAIRS = 1 << 20
 B_IDS = 1 << 16
 
 BYTES_AT_ONCE = 1 << 20
+#: A worker remembers so many words of so many characters at most.
+WORDS_KEPT, LONGEST_KEPT = 100_000, 48
 #: A single space between characters that are none: no piece has a space inside, no A token has one but first.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -88,16 +93,23 @@ class Encoders:
         self.b_vocabulary = Vocabulary(pieces)
         self.a_sizes, self.b_sizes = self.a_vocabulary.sizes, self.b_vocabulary.sizes
 
-    def __call__(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
-        """The ids of each text by A and B; None where either does not give the text back."""
+    def flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bool]:
+        """Ids of all texts by A and B one after the other, their numbers a text, and whether both give all texts back."""
         spaced = [f" {t}" for t in texts]
-        a_ids = [e.ids for e in self.a.encode_batch(spaced, add_special_tokens=False)]
+        a_ids = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
         b_ids = self.b.encode(texts, num_threads=1)
-        a_bytes, b_bytes = self.a_vocabulary.pieces, self.b_vocabulary.pieces
-        for text, a, b in zip(spaced, a_ids, b_ids):
-            want = text.encode()
-            same = b"".join(map(a_bytes.__getitem__, a)) == want == b"".join(map(b_bytes.__getitem__, b))
-            yield (np.array(a, np.int64), np.array(b, np.int64)) if same else None
+        want, good, out = "".join(spaced).encode(), True, []
+        for ids, pieces in ((a_ids, self.a_vocabulary.pieces), (b_ids, self.b_vocabulary.pieces)):
+            joined = list(chain.from_iterable(ids))
+            good = good and b"".join(map(pieces.__getitem__, joined)) == want
+            out += [np.array(joined, np.int64), np.fromiter(map(len, ids), np.int64, len(ids))]
+        return *out, good
+
+    def __call__(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
+        """The ids of each text by A and B; None where either does not give the text back."""
+        for text in texts:
+            a, _, b, _, good = self.flat([text])
+            yield (a, b) if good else None
 
 
 class Fragment(NamedTuple):
@@ -241,46 +253,115 @@ def _columns(rows: list[tuple], types: list[pa.DataType], names: list[str]) -> p
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
 
-def _short(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
-    """Rows encoded and aligned one by one, many at once in numpy; long texts are passed over."""
+class Words:
+    """What a text's words give, each encoded once: a word begins with a single space no token crosses.
+
+    A word's end is a common end, so a word is a run of closed groups; a text is its words' runs one after
+    the other. Words of more than ``range_bytes`` are composed from fragments of byte ranges. Of short
+    words the most recent ``WORDS_KEPT`` are remembered.
+    """
+
+    def __init__(self, byte_path: str, piece_path: str, range_bytes: int = RANGE) -> None:
+        self.encoders, self.range_bytes = Encoders(byte_path, piece_path), range_bytes
+        self.known: dict[str, tuple | None] = {}
+
+    def learn(self, words: list[str]) -> dict[str, tuple | None]:
+        """(n_a, n_b, groups each with ';', links) of each word; None where a tokenizer does not give it back."""
+        short = [w for w in words if 0 < len(w) <= self.range_bytes]
+        a, a_counts, b, b_counts, good = self.encoders.flat(short)
+        if good:
+            out: dict[str, tuple | None] = dict(zip(short, _closed_runs(a, a_counts, b, b_counts, self.encoders)))
+        else:
+            half = len(short) // 2
+            out = {short[0]: None} if not half else self.learn(short[:half]) | self.learn(short[half:])
+        for word in words:
+            if not word:
+                out[word] = None
+            elif len(word) > self.range_bytes:
+                (own,) = self.encoders([word])
+                made = own and ranges(*own, self.encoders.a_sizes, self.encoders.b_sizes, self.range_bytes)
+                out[word] = made and (made.n_a, made.n_b, groups_of(made) + b";", made.links.tobytes())
+        return out
+
+    def __call__(self, texts: list[str]) -> Iterator[tuple[int, int, bytes, bytes] | None]:
+        """The same for whole texts."""
+        split = [_CUT.split(t) for t in texts]
+        new = [w for w in set().union(*split) if w not in self.known]
+        own: dict[str, tuple | None] = {}
+        for start, stop in _runs_of_bytes(new, BYTES_AT_ONCE):
+            own.update(self.learn(new[start:stop]))
+        known = self.known
+        for words in split:
+            parts = [own[w] if w in own else known[w] for w in words]
+            if None in parts:
+                yield None
+                continue
+            n_a, n_b, groups, links = zip(*parts)
+            yield sum(n_a), sum(n_b), b"".join(groups), b"".join(links)
+        if len(self.known) + len(own) > WORDS_KEPT:
+            self.known = {}
+        self.known.update((w, made) for w, made in own.items() if len(w) <= LONGEST_KEPT)
+
+
+def _runs_of_bytes(words: list[str], most: int) -> Iterator[tuple[int, int]]:
+    """(start, stop) of runs of at most ``most`` characters, or one longer word."""
+    start, total = 0, 0
+    for i, word in enumerate(words):
+        if i > start and total + len(word) > most:
+            yield start, i
+            start, total = i, 0
+        total += len(word) + 1
+    if words:
+        yield start, len(words)
+
+
+def _closed_runs(
+    a: np.ndarray, a_counts: np.ndarray, b: np.ndarray, b_counts: np.ndarray, encoders: Encoders
+) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """(n_a, n_b, groups, links) of many words: ends are counted on from word to word, whose ends are common."""
+    if not len(a):
+        return
+    a_ends, b_ends = np.cumsum(encoders.a_sizes[a]), np.cumsum(encoders.b_sizes[b])
+    at = np.searchsorted(a_ends, b_ends)
+    b_cuts = np.flatnonzero(a_ends[at] == b_ends)
+    a_cuts = at[b_cuts]
+    links = (a[a_cuts] << 16 | b[b_cuts]).astype("<u4").tobytes()
+    text, ends = group_text(a, b, a_cuts, b_cuts)
+    last = np.searchsorted(a_cuts, np.cumsum(a_counts) - 1)
+    first, begin = 0, 0
+    for n_a, n_b, stop, end in zip(a_counts.tolist(), b_counts.tolist(), (4 * (last + 1)).tolist(), ends[last].tolist()):
+        yield n_a, n_b, text[begin:end], links[first:stop]
+        first, begin = stop, end
+
+
+def _short(docs: DataFrame, byte_path: str, piece_path: str, width: int) -> DataFrame:
+    """Rows encoded and aligned one by one; long texts are passed over."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoders = Encoders(byte_path, piece_path)
+        words = Words(byte_path, piece_path, width)
         names = ["row", "doc_id", "n_a", "n_b", "n_groups", "links", "groups_sha256"]
+        types = [pa.int64()] * 3 + [pa.binary(), pa.string()]
         for whole in batches:
             for start, piece in pieces_of(whole, "text", BYTES_AT_ONCE):
-                batch, texts = whole.slice(start, len(piece)), [t.decode() for t in piece]
-                out = _aligned_at_once(texts, list(encoders(texts)), encoders)
-                types = [pa.int64()] * 3 + [pa.binary(), pa.string()]
+                batch, out = whole.slice(start, len(piece)), []
+                for made in words([t.decode() for t in piece]):
+                    n_a, n_b, groups, links = made or (0, 0, b"", b"")
+                    digest = hashlib.sha256(groups[:-1]).hexdigest() if made else ""
+                    out.append((n_a, n_b, len(links) // 4, links, digest))
                 made = [pa.array(c, t) for c, t in zip(zip(*out), types)]
                 yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), *made], names=names)
 
     return arrow_map(docs, encode, _ALIGNED.format(id=id_type))
 
 
-def _aligned_at_once(texts: list, ids: list, encoders: Encoders) -> list[tuple]:
-    """(n_a, n_b, n_groups, links, sha256) of whole texts: ends are counted on from text to text, whose ends are common."""
-    out = [(0, 0, 0, b"", "")] * len(texts)
-    good = [i for i, (t, own) in enumerate(zip(texts, ids)) if t and own is not None]
-    if not good:
-        return out
-    a = np.concatenate([ids[i][0] for i in good])
-    b = np.concatenate([ids[i][1] for i in good])
-    a_ends, b_ends = np.cumsum(encoders.a_sizes[a]), np.cumsum(encoders.b_sizes[b])
-    at = np.searchsorted(a_ends, b_ends)
-    b_cuts = np.flatnonzero(a_ends[at] == b_ends)
-    a_cuts = at[b_cuts]
-    links = (a[a_cuts] << 16 | b[b_cuts]).astype("<u4")
-    text, ends = group_text(a, b, a_cuts, b_cuts)
-    last = np.searchsorted(a_cuts, np.cumsum([len(ids[i][0]) for i in good]) - 1) + 1
-    first = 0
-    for i, stop in zip(good, last.tolist()):
-        begin = int(ends[first - 1]) if first else 0
-        digest = hashlib.sha256(text[begin : int(ends[stop - 1]) - 1]).hexdigest()
-        out[i] = (len(ids[i][0]), len(ids[i][1]), stop - first, links[first:stop].tobytes(), digest)
-        first = stop
-    return out
+def _part_fragment(made: tuple[int, int, bytes, bytes]) -> Fragment:
+    """A run of closed groups as the fragment of a part: where its first group began is for its neighbour to say."""
+    n_a, n_b, groups, links = made
+    first, _, body = groups[:-1].partition(b";")
+    prefix = tuple(np.array(ids.split(b","), np.int64) for ids in first.split(b"|"))
+    links = np.frombuffer(links, np.uint32)
+    return Fragment(n_a, n_b, len(links), prefix, body, (_NONE, _NONE), links)
 
 
 def _cut(text: str, most: int) -> list[str]:
@@ -310,14 +391,14 @@ def _long(docs: DataFrame, byte_path: str, piece_path: str, long: int, width: in
                 ).cast(_arrow_schema(id_type))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoders = Encoders(byte_path, piece_path)
+        words = Words(byte_path, piece_path, width)
         names = ["row", "doc_id", "part", "whole", *[c.split()[0] for c in _FRAGMENT.split(", ")]]
+        types = [pa.int64(), _arrow(id_type), pa.int64(), pa.bool_(), *_FRAGMENT_TYPES]
         for batch in batches:
             for row, doc_id, part, text in zip(*[c.to_pylist() for c in batch.columns]):
-                (ids,) = encoders([text])
-                made = ranges(*ids, encoders.a_sizes, encoders.b_sizes, width) if ids is not None else EMPTY
-                rows = [(row, doc_id, part, ids is not None, *_stored(made))]
-                yield _columns(rows, [pa.int64(), _arrow(id_type), pa.int64(), pa.bool_(), *_FRAGMENT_TYPES], names)
+                (made,) = words([text])
+                stored = _stored(_part_fragment(made) if made else EMPTY)
+                yield _columns([(row, doc_id, part, made is not None, *stored)], types, names)
 
     parts = saved(arrow_map(docs, cut, f"row long, doc_id {id_type}, part long, text string", rows=16), "align-parts")
     dealt = parts.repartition(F.xxhash64("row", "part"))
@@ -371,7 +452,7 @@ def aligned(docs: DataFrame, byte_path: str, piece_path: str, longest: int = LON
     long = F.coalesce(F.octet_length("text") > longest, F.lit(False))
     number = F.monotonically_increasing_id()
     short = docs.filter(~long).select(number.alias("row"), "doc_id", "text")
-    short = saved(_short(short, byte_path, piece_path), "align-short")
+    short = saved(_short(short, byte_path, piece_path, width), "align-short")
     # Numbers are kept by the written parts; those of long texts are below zero.
     long_rows = docs.filter(long).select((-1 - number).alias("row"), "doc_id", "text")
     return short.unionByName(saved(_long(long_rows, byte_path, piece_path, longest, width), "align-long"))
