@@ -21,8 +21,10 @@ import hashlib
 import json
 import os
 import re
+import sys
 from collections.abc import Iterator
 from itertools import chain
+from types import ModuleType
 from typing import NamedTuple
 
 import numpy as np
@@ -39,9 +41,9 @@ FAN_IN = 8
 FREQUENT_PAIRS = 1 << 20
 B_IDS = 1 << 16
 
-BYTES_AT_ONCE = 1 << 20
+BYTES_AT_ONCE = 2 << 20
 #: A worker remembers so many words of so many characters at most.
-WORDS_KEPT, LONGEST_KEPT = 100_000, 48
+WORDS_KEPT, LONGEST_KEPT = 300_000, 48
 #: A single space between characters that are none: no piece has a space inside, no A token has one but first.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -257,8 +259,8 @@ class Words:
     """What a text's words give, each encoded once: a word begins with a single space no token crosses.
 
     A word's end is a common end, so a word is a run of closed groups; a text is its words' runs one after
-    the other. Words of more than ``range_bytes`` are composed from fragments of byte ranges. Of short
-    words the most recent ``WORDS_KEPT`` are remembered.
+    the other. Words of more than ``range_bytes`` are composed from fragments of byte ranges. Short words
+    are remembered; when there are over ``WORDS_KEPT`` of them, those of the last texts alone stay.
     """
 
     def __init__(self, byte_path: str, piece_path: str, range_bytes: int = RANGE) -> None:
@@ -286,7 +288,8 @@ class Words:
     def __call__(self, texts: list[str]) -> Iterator[tuple[int, int, bytes, bytes] | None]:
         """The same for whole texts."""
         split = [_CUT.split(t) for t in texts]
-        new = [w for w in set().union(*split) if w not in self.known]
+        used = set().union(*split)
+        new = [w for w in used if w not in self.known]
         own: dict[str, tuple | None] = {}
         for start, stop in _runs_of_bytes(new, BYTES_AT_ONCE):
             own.update(self.learn(new[start:stop]))
@@ -299,10 +302,19 @@ class Words:
             n_a, n_b, groups, links = zip(*parts)
             yield sum(n_a), sum(n_b), b"".join(groups), b"".join(links)
         if len(self.known) + len(own) > WORDS_KEPT:
-            self.known = {}
+            self.known = {w: known[w] for w in used if w in known}
         self.known.update((w, made) for w, made in own.items() if len(w) <= LONGEST_KEPT)
 
 
+def worker_words(byte_path: str, piece_path: str, range_bytes: int) -> Words:
+    """The worker's own: what one task has learned of the words serves the next."""
+    kept = sys.modules.setdefault("_tidelake_aligned_words", ModuleType("_tidelake_aligned_words")).__dict__
+    key = f"{byte_path}|{piece_path}|{range_bytes}"
+    if key not in kept:
+        kept[key] = Words(byte_path, piece_path, range_bytes)
+    return kept[key]
+
+
 def _runs_of_bytes(words: list[str], most: int) -> Iterator[tuple[int, int]]:
     """(start, stop) of runs of at most ``most`` characters, or one longer word."""
     start, total = 0, 0
@@ -339,7 +351,7 @@ def _short(docs: DataFrame, byte_path: str, piece_path: str, width: int) -> Data
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(byte_path, piece_path, width)
+        words = worker_words(byte_path, piece_path, width)
         names = ["row", "doc_id", "n_a", "n_b", "n_groups", "links", "groups_sha256"]
         types = [pa.int64()] * 3 + [pa.binary(), pa.string()]
         for whole in batches:
@@ -391,7 +403,7 @@ def _long(docs: DataFrame, byte_path: str, piece_path: str, long: int, width: in
                 ).cast(_arrow_schema(id_type))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(byte_path, piece_path, width)
+        words = worker_words(byte_path, piece_path, width)
         names = ["row", "doc_id", "part", "whole", *[c.split()[0] for c in _FRAGMENT.split(", ")]]
         types = [pa.int64(), _arrow(id_type), pa.int64(), pa.bool_(), *_FRAGMENT_TYPES]
         for batch in batches:
