@@ -320,3 +320,31 @@ def test_pipeline_on_odd_rows(spark, odd_docs, no_docs, sf_dir):
             assert out.columns == docs.columns
             docs = spark.createDataFrame(out.collect(), docs.schema)
         assert docs.filter("doc_id is not null").count() == docs.select("doc_id").filter("doc_id is not null").distinct().count()
+
+
+def test_pipeline_keeps_a_clean_text_whose_doc_id_repeats(spark, sf_dir):
+    import corpus_pipeline as cp
+
+    first = "a passage about rivers and mountains that an early document has in full length here"
+    clean = "quite another thing written once only by somebody who shares a number with a copy of it"
+    rows = [
+        (1, first, "s"), (7, first, "s"), (7, clean, "s"), (7, clean, "s"), (7, clean + " indeed", "s"),
+        (9, "words of a third text that nobody else in this small table has ever used before", "s"), (None, first, "s"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component string")
+    got = cp.keep_one_of_similar(spark, docs, sf_dir)
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=repr)
+    assert got.columns == docs.columns
+    assert [i for i, _ in kept] == [1, 7, 9, None] and kept[1][1] in (clean, clean + " indeed")
+
+
+def test_segments_carry_rows_of_the_given_pages(spark, sf_dir):
+    path = scratch_dir(spark, "warc-segments")
+    pages = table(spark, sf_dir, "pages")
+    warc.write_archives(pages, path, segment_bytes=2 << 10)
+    files = spark.read.format("binaryFile").load(path).select("content")
+    parts = warc.arrow_map(files, warc._parse(True), warc.SEGMENT, rows=1)
+    assert parts.select("origin").distinct().count() > pages.count() / 10
+    read = {r.page_id: r for r in warc.read_archives(spark, path).filter("record_type = 'response'").collect()}
+    want = {r.page_id: r.html for r in pages.collect()}
+    assert all(r.complete and r.payload.decode() == want[i] for i, r in read.items())

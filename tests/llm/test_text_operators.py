@@ -42,6 +42,48 @@ def test_large_and_salted_lists_lose_no_link(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute.components(rows)
 
 
+def near_copies(count, seed=3):
+    """A text of 220 words and copies of it with 3 to 13 words changed, each by words of its own."""
+    rng = random.Random(seed)
+    base = [f"b{rng.randrange(5000)}" for _ in range(220)]
+    rows = []
+    for i in range(count):
+        own = list(base)
+        for at in rng.sample(range(220), rng.randrange(3, 14)):
+            own[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+def test_few_pairs_of_near_copies_are_compared(spark, monkeypatch):
+    """Copies that differ too much from each other are mostly ruled out by what their prefixes leave to share."""
+    made = {}
+
+    def counted(df, label):
+        made[label] = made.get(label, 0) + (out := keep(df, label)).count()
+        return out
+
+    keep = jaccard_join.saved
+    monkeypatch.setattr(jaccard_join, "saved", counted)
+    rows = near_copies(400)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar_components(df).collect()}
+    assert got == brute.components(rows)
+    compared = made["jaccard-overlaps"] + made["jaccard-leaders"] + made["jaccard-open"]
+    assert compared < 0.12 * 400 * 399 / 2 and made["jaccard-unsure"] < 400
+
+
+def test_a_component_of_most_rows_is_named_like_the_others(spark):
+    rows = [(i, "one text that most of the rows have in common") for i in range(60)]
+    rows += [(100 + i, f"text number {i // 2} of a pair of its own and no other") for i in range(10)]
+    rows += [(200, None), (201, ""), (None, rows[0][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = jaccard_join.similar_components(df).collect()
+    want = brute.components([r for r in rows if r[0] is not None])
+    assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == {i: c for i, (_, c) in want.items()}
+    assert len(got) == len(rows)
+
+
 def test_components_of_odd_rows(odd_docs, no_docs, texts):
     rows = jaccard_join.similar_components(odd_docs).collect()
     assert len(rows) == len(texts) + 3

@@ -84,12 +84,13 @@ def _name_sets(width: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("text_key"),
                     pa.array(n, pa.int64()),
                     pa.array(names, pa.int64()),
                     pa.nulls(batch.num_rows, pa.int32()),
                     empty,
                 ],
-                ["doc_id", "n", "cls", "chunk", "counts"],
+                ["doc_id", "text_key", "n", "cls", "chunk", "counts"],
             )
         chunks = [(k, c) for k, c in enumerate(counts.reshape(-1, CHUNK)) if c.any()]
         if chunks:
@@ -99,10 +100,11 @@ def _name_sets(width: int):
                     nothing,
                     nothing,
                     nothing,
+                    nothing,
                     pa.array([k for k, _ in chunks], pa.int32()),
                     pa.array([c.astype(np.int32).tobytes() for _, c in chunks], pa.binary()),
                 ],
-                ["doc_id", "n", "cls", "chunk", "counts"],
+                ["doc_id", "text_key", "n", "cls", "chunk", "counts"],
             )
 
     return run
@@ -160,6 +162,11 @@ def widespread(docs: DataFrame, counts: np.ndarray, width: int) -> tuple[np.ndar
     return tok[order], found.column("n").to_numpy()[order]
 
 
+def prefix_length(percent: int, n: str = "n") -> str:
+    """How many shingles the prefix of a set of ``n`` has, as SQL."""
+    return f"least({n}, {n} - ({percent} * {n} + 99) div 100 + 1 + {n} div {SHARED_PART})"
+
+
 def _entries(width: int, percent: int, common, bits: int):
     """Prefix entries packed by bucket of the shingle's hash; widespread shingles spread over salts."""
 
@@ -368,24 +375,29 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def similar_components(docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of ``docs`` (doc_id, text).
+    """(doc_id, n_shingles, component_id, component, text_key) for each row of ``docs`` (doc_id, text).
 
     Documents link when ``100 * intersection >= percent * union`` of their sets of ``width``-word
-    shingles; ``component_id`` is the smallest doc_id reachable by links, the own one included.
+    shingles; ``component_id`` is the smallest doc_id reachable by links, the own one included, and
+    ``component`` a name of all that is reachable, NULL without shingles: two components may have one
+    smallest doc_id where its rows differ. ``text_key`` is the text's xxhash64.
     A NULL or empty text has no shingles and no links. Copies and repeated rows share one class and
     get a row each. A row without doc_id stays, without links: its component_id is NULL. Other
     columns are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    named = saved(
-        arrow_map(docs, _name_sets(width), "doc_id long, n long, cls long, chunk int, counts binary"), "jaccard-names"
-    )
+    keyed = docs.withColumn("text_key", F.xxhash64("text"))
+    named = arrow_map(keyed, _name_sets(width), "doc_id long, text_key long, n long, cls long, chunk int, counts binary")
+    named = saved(named, "jaccard-names")
     counts = _bin_counts(named)
-    classes = named.filter("chunk is null").select("doc_id", "n", "cls")
+    classes = named.filter("chunk is null").select("doc_id", "text_key", "n", "cls")
     total = int(counts.sum()) * (100 - percent) // 100
     bits = max(0, (total // ENTRIES_PER_BUCKET).bit_length())
-    common = spark.sparkContext.broadcast(widespread(docs, counts, width))
+    often, level = widespread(docs, counts, width)
+    common = spark.sparkContext.broadcast((often, level))
+    levels = spark.createDataFrame(pa.table({"tok": signed(often), "level": level.astype(np.int64)}))
+    levels = saved(levels, "jaccard-levels")
     entries = arrow_map(docs, _entries(width, percent, common, bits), ENTRY)
     index = saved(
         arrow_groups(
@@ -427,16 +439,30 @@ def similar_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     edges = known.filter(links).select("a", "b")
     labels = connected(edges, "jaccard-first")
     if not large.isEmpty():
-        edges = edges.unionByName(_across(large, found, known, links, labels, overlaps, percent))
+        limits = saved(_limits(large, held, levels, percent), "jaccard-limits")
+        edges = edges.unionByName(_across(large, limits, found, known, links, labels, overlaps, percent))
         labels = connected(edges, "jaccard-all")
 
     reached = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     reached = reached.withColumn("of", F.coalesce("component", F.when(F.col("n") > 0, F.col("cls"))))
-    smallest = reached.filter("doc_id is not null and of is not null").groupBy("of").agg(F.min("doc_id").alias("least"))
-    return reached.join(smallest, "of", "left").select(
+    smallest = reached.filter("doc_id is not null and of is not null").groupBy("of")
+    smallest = smallest.agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
+    # A row alone has no other to look for. Components with more than a thousandth of all rows are at most
+    # a thousand; their rows do not move, like those without a component.
+    smallest = saved(smallest.filter("rows > 1"), "jaccard-smallest")
+    reached = saved(reached, "jaccard-reached")
+    many = F.col("rows") * 1000 > reached.count()
+    hot = smallest.filter(many).select("of", F.col("least").alias("hot_least"))
+    placed = reached.join(F.broadcast(hot), "of", "left")
+    still = F.col("hot_least").isNotNull() | F.col("of").isNull()
+    moved = placed.filter(~still).drop("hot_least").join(smallest.filter(~many).select("of", "least"), "of", "left")
+    every = placed.filter(still).withColumnRenamed("hot_least", "least").unionByName(moved)
+    return every.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"),
+        F.col("of").alias("component"),
+        "text_key",
     )
 
 
@@ -477,7 +503,25 @@ def _with_both(pairs: DataFrame, own: DataFrame, key: str) -> DataFrame:
     return pairs
 
 
-def _across(large, found, known, links, labels, overlaps, percent) -> DataFrame:
+def _limits(large: DataFrame, held: DataFrame, levels: DataFrame, percent: int) -> DataFrame:
+    """(cls, cap, end) of the sets in large lists.
+
+    Of two sets, the one whose prefix ends earlier in the corpus-wide order has no shingle in its prefix
+    that the other has behind its own. So what they share is either met in small lists, and counted there,
+    or among the ``cap`` shingles which the one that ends earlier has in large lists or behind its
+    prefix. ``end`` is the place of the last prefix shingle in that order, NULL if its list is not large.
+    """
+    size = prefix_length(percent)
+    last = large.filter(f"pos = {size} - 1").join(levels, "tok", "left")
+    # Hashes are ordered as unsigned numbers.
+    place = F.struct(F.coalesce("level", F.lit(0)).alias("level"), F.col("tok").bitwiseXOR(F.lit(-(1 << 63))).alias("tok"))
+    last = last.groupBy("cls").agg(F.max(place).alias("end"))
+    sizes = large.groupBy("cls").agg(F.max("n").alias("n"))
+    cap = F.expr(f"n - {size} + held").alias("cap")
+    return sizes.join(held, "cls").join(last, "cls", "left").select("cls", cap, "end")
+
+
+def _across(large, limits, found, known, links, labels, overlaps, percent) -> DataFrame:
     """Links between sets of one large list that the leaders' links have not connected yet."""
     entries = _mixed_lists(large, known, links, labels, "jaccard-mixed")
     groups = entries.groupBy("lead").agg(
@@ -485,7 +529,16 @@ def _across(large, found, known, links, labels, overlaps, percent) -> DataFrame:
         F.min("n").alias("lo"),
         F.max("n").alias("hi"),
         F.collect_set("tok").alias("held"),
+        F.count("*").alias("entries"),
+    )
+    members = entries.select("cls", "lead").distinct().join(limits, "cls").groupBy("lead")
+    members = members.agg(
+        F.max("cap").alias("cap"),
+        F.min("end").alias("early"),
+        F.when(F.count("end") == F.count("*"), F.max("end")).alias("late"),
+        (F.count("end") == F.count("*")).alias("ended"),
     )
+    groups = groups.join(members.withColumn("early", F.when(F.col("ended"), F.col("early"))).drop("ended"), "lead")
     # Similar sets meet in the list of their first common shingle, which both have in the part of
     # their prefix that would do without the count of common ones.
     # What both have from there on bounds what they share; of followers, the best case counts.
@@ -502,8 +555,13 @@ def _across(large, found, known, links, labels, overlaps, percent) -> DataFrame:
     beside = found.filter("least > 0").join(lead_of.select(F.col("cls").alias("a"), F.col("lead").alias("x")), "a")
     beside = beside.join(lead_of.select(F.col("cls").alias("b"), F.col("lead").alias("y")), "b")
     beside = beside.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.max("common").alias("beside"))
-    enough = F.col("meetings") + F.coalesce("beside", F.lit(0)) >= 1 + F.floor(F.least("lo_a", "lo_b") / SHARED_PART)
-    met = saved(met.join(beside, ["a", "b"], "left").filter(enough), "jaccard-met")
+    beside_them = F.coalesce("beside", F.lit(0))
+    enough = F.col("meetings") + beside_them >= 1 + F.floor(F.least("lo_a", "lo_b") / SHARED_PART)
+    # The cap of the followers that end earlier counts, where it is known which these are.
+    cap = F.when(F.col("late_a") <= F.col("early_b"), F.col("cap_a")).when(F.col("late_b") <= F.col("early_a"), F.col("cap_b"))
+    cap = F.coalesce(cap, F.greatest("cap_a", "cap_b"))
+    capped = (100 + percent) * (cap + beside_them) >= percent * (F.col("lo_a") + F.col("lo_b"))
+    met = saved(met.join(beside, ["a", "b"], "left").filter(enough & capped), "jaccard-met")
     compared = overlaps(met.select("a", "b"), "jaccard-leaders").join(met, ["a", "b"])
     joined = compared.filter(links).select("a", "b")
     # No follower pair can reach the threshold when even this bound stays below it.
@@ -511,18 +569,39 @@ def _across(large, found, known, links, labels, overlaps, percent) -> DataFrame:
         f"{100 + percent} * (inter + extra_a + extra_b) >= {percent} * (lo_a + lo_b)"
         f" and 100 * hi_a >= {percent} * lo_b and 100 * hi_b >= {percent} * lo_a"
     )
-    unsure = saved(compared.filter(~links & reachable).select("a", "b"), "jaccard-unsure")
-    left = entries.select("tok", F.col("cls").alias("y"), F.col("n").alias("n1"), F.col("pos").alias("p1"), F.col("lead").alias("a"))
-    right = entries.select("tok", F.col("cls").alias("z"), F.col("n").alias("n2"), F.col("pos").alias("p2"), F.col("lead").alias("b"))
+    # Of two leaders, the one whose followers have fewer entries is "few": these are offered to the other's lists.
+    few = F.col("entries_a") <= F.col("entries_b")
+    unsure = compared.filter(~links & reachable).select(
+        F.when(few, F.col("a")).otherwise(F.col("b")).alias("few"),
+        F.when(few, F.col("b")).otherwise(F.col("a")).alias("many"),
+        "inter",
+    )
+    unsure = saved(unsure, "jaccard-unsure")
+    # The first common shingle of similar sets is among their "first" entries, as above.
+    own = ["tok", F.col("cls").alias("y"), F.col("n").alias("n1"), F.col("pos").alias("p1"), F.col("lead").alias("few")]
+    left = entries.filter("first = 1").select(*own, F.col("extra").alias("extra1"))
+    right = left.toDF("tok", "z", "n2", "p2", "many", "extra2")
     open_pairs = (
-        left.join(unsure, "a")
-        .join(right, ["tok", "b"])
+        left.join(unsure, "few")
+        .join(right, ["tok", "many"])
         .filter(
             f"100 * least(n1, n2) >= {percent} * greatest(n1, n2)"
             f" and {100 + percent} * least(n1 - p1, n2 - p2) >= {percent} * (n1 + n2)"
+            f" and {100 + percent} * (inter + extra1 + extra2) >= {percent} * (n1 + n2)"
         )
-        .select(F.least("y", "z").alias("a"), F.greatest("y", "z").alias("b"))
-        .distinct()
+        .select("y", "z")
+    )
+    # The bound of the followers, now for each pair of them.
+    for side in "yz":
+        own = limits.select(F.col("cls").alias(side), F.col("cap").alias(f"cap_{side}"), F.col("end").alias(f"end_{side}"))
+        open_pairs = open_pairs.distinct().join(own, side) if side == "y" else open_pairs.join(own, side)
+    cap = F.when(F.col("end_y") <= F.col("end_z"), F.col("cap_y")).when(F.col("end_z") <= F.col("end_y"), F.col("cap_z"))
+    open_pairs = open_pairs.select(
+        F.least("y", "z").alias("a"), F.greatest("y", "z").alias("b"), F.coalesce(cap, F.greatest("cap_y", "cap_z")).alias("cap")
     )
+    sizes = entries.groupBy("cls").agg(F.max("n").alias("n"))
+    open_pairs = _with_both(open_pairs, sizes, "cls").join(found.select("a", "b", "common"), ["a", "b"], "left")
+    within = (100 + percent) * (F.col("cap") + F.coalesce("common", F.lit(0))) >= percent * (F.col("n_a") + F.col("n_b"))
+    open_pairs = open_pairs.filter(within).select("a", "b").distinct()
     late = overlaps(open_pairs, "jaccard-open").filter(links).select("a", "b")
     return joined.unionByName(late)

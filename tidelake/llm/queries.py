@@ -27,7 +27,8 @@ from tidelake.session import scratch_dir
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.similar_components(table(spark, sf_dir, "documents"))
+    found = jaccard_join.similar_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +110,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "warc")
-    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    warc.write_archives(table(spark, sf_dir, "pages"), path, segment_bytes=8 << 10)
     read = warc.read_archives(spark, path).select(
         "page_id",
         F.octet_length("payload").cast("long").alias("payload_bytes"),

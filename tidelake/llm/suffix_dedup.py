@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.common import arrow_groups, arrow_map, mixed, saved
+from tidelake.llm.common import BROADCAST_ROWS, arrow_groups, arrow_map, mixed, saved
 
 ANCHOR = 20
 NEAR_BITS = 12
@@ -31,7 +31,7 @@ DECIDED_BUCKETS = 1 << 30
 GAP = 96
 PIECE_BYTES = 256 << 10
 SHARD_BYTES = 1 << 20
-ANCHORS_PER_BUCKET = 150_000
+ANCHORS_PER_BUCKET = 80_000
 FLUSH = 200_000
 
 BASE = np.uint64(0xD6E8FEB86659FD93)
@@ -501,8 +501,11 @@ def without_repeats(docs: DataFrame, length: int = 50, carry: Sequence[str] = ()
     def per_doc(marks: DataFrame) -> DataFrame:
         return marks.groupBy("doc_id", "th").agg(F.collect_list(F.struct("kind", "pos")).alias("marks"))
 
-    opened = per_doc(settled.filter(F.col("kind") == OPEN))
-    windows = arrow_map(narrow.join(opened, ["doc_id", "th"]), _shards(length, bits), POSTED)
+    opened = settled.filter(F.col("kind") == OPEN)
+    # Only texts with open anchors move; while these are few, the others are left out before the shuffle.
+    named = saved(opened.select("doc_id", "th").distinct(), "suffix-opened")
+    texts = narrow.join(F.broadcast(named), ["doc_id", "th"], "left_semi") if named.count() <= BROADCAST_ROWS else narrow
+    windows = arrow_map(texts.join(per_doc(opened), ["doc_id", "th"]), _shards(length, bits), POSTED)
     merged = saved(arrow_groups(windows, ["bucket"], _merge, MARK), "suffix-merged")
     marks = per_doc(settled.filter(F.col("kind") == COVERED).unionByName(merged))
     schema = (
