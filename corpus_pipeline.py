@@ -30,17 +30,27 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest doc_id, of each group linked by similar texts.
 
-    Rows of one doc_id count as one document, of which one row stays; rows without doc_id stay.
+    Rows are judged with their texts: of a doc_id that has several, each text stays or goes by its own
+    group. Rows that repeat a doc_id and text, or similar texts under one doc_id, count as one
+    document; rows without doc_id stay.
     """
     found = saved(jaccard_join.similar_components(docs), "pipeline-components")
-    dropped = found.filter("component_id != doc_id").select("doc_id").distinct()
-    kept = docs.join(F.broadcast(dropped) if dropped.count() <= 200_000 else dropped, "doc_id", "left_anti")
-    again = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    again = saved(again, "pipeline-repeated")
+    row = ["doc_id", "text_key"]
+    named = found.filter("doc_id is not null")
+    # Of one doc_id's similar texts the one with the smallest key stays.
+    several = named.filter("component_id = doc_id and component is not null").groupBy("doc_id", "component")
+    several = several.agg(F.min("text_key").alias("kept"), F.max("text_key").alias("last")).filter("kept < last")
+    others = named.join(several.select("doc_id", "component", "kept"), ["doc_id", "component"]).filter("text_key != kept")
+    dropped = named.filter("component_id != doc_id").select(*row).unionByName(others.select(*row)).distinct()
+    again = named.groupBy(*row).count().filter("count > 1").select(*row)
+    dropped, again = saved(dropped, "pipeline-dropped"), saved(again, "pipeline-repeated")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("doc_id"))
+    keyed = keyed.withColumn("text_key", F.xxhash64("row.text"))
+    kept = keyed.join(F.broadcast(dropped) if dropped.count() <= 200_000 else dropped, row, "left_anti")
     if not again.isEmpty():
-        once = matching(kept, again, ["doc_id"]).dropDuplicates(["doc_id"])
-        kept = kept.join(again, "doc_id", "left_anti").unionByName(once)
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+        once = matching(kept, again, row).dropDuplicates(row)
+        kept = kept.join(again, row, "left_anti").unionByName(once)
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
