@@ -409,6 +409,82 @@ def test_sparse_sites_are_drawn_to_the_whole(spark):
     assert found["a"].path_share > 0.88 and found["b"].path_share < 0.22 and found["c"].path_share > 0.1
 
 
+def plain_quality(docs, labels):
+    """{doc_id: posterior} for distinct doc_ids: ridge logistic regression by descent, shares and weights in dicts."""
+    looks = {i: quality.looks(t or "") for i, t, _, _ in docs}
+    known = sorted(i for i in labels if i in looks)
+    x, y = np.array([looks[i] for i in known]), np.array([labels[i] for i in known], float)
+    mean, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
+    z, each = np.c_[np.ones(len(x)), (x - mean) / spread], np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    ridge, w = np.r_[1e-6, np.full(x.shape[1], quality.RIDGE)], np.zeros(x.shape[1] + 1)
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-z @ w))
+        hessian = sum(e * q * (1 - q) * np.outer(r, r) for e, q, r in zip(each, p, z)) + np.diag(ridge)
+        w = w + np.linalg.inv(hessian) @ (sum(e * (t - q) * r for e, t, q, r in zip(each, y, p, z)) - ridge * w)
+    evidence = {i: float(np.clip(w[0] + w[1:] @ ((np.array(v) - mean) / spread), -12, 12)) for i, v in looks.items()}
+    good = {i: 1 / (1 + np.exp(-e)) for i, e in evidence.items()}
+    base = sum(good.values()) / len(good)
+
+    def shares(groups, prior):
+        between = sum(len(m) * (np.mean([good[i] for i in m]) - prior[g]) ** 2 for g, m in groups.items())
+        within = sum(len(m) * np.var([good[i] for i in m]) for m in groups.values()) / (len(docs) - len(groups))
+        differ = (between - len(groups) * within) / len(docs)
+        strong = quality.MOST_STRENGTH if differ <= within / quality.MOST_STRENGTH else max(1.0, within / differ)
+        return {g: (sum(good[i] for i in m) + strong * prior[g]) / (len(m) + strong) for g, m in groups.items()}
+
+    hosts, paths = {}, {}
+    for i, _, host, path in docs:
+        hosts.setdefault(host, []).append(i)
+        paths.setdefault((host, path), []).append(i)
+    of_host = shares(hosts, {h: base for h in hosts})
+    of_path = shares(paths, {g: of_host[g[0]] for g in paths})
+
+    def logit(p):
+        p = min(1 - 1e-4, max(1e-4, p))
+        return np.log(p / (1 - p))
+
+    shift = {i: logit(of_path[host, path]) - logit(base) for i, _, host, path in docs}
+    grid = np.linspace(0, quality.MOST_SITE_WEIGHT, 200_001)
+    e, d = np.array([evidence[i] for i in known]), np.array([shift[i] for i in known])
+    loss = 0.5 * quality.SITE_RIDGE * grid**2
+    for k in range(len(known)):
+        loss += np.logaddexp(0, (1 - 2 * y[k]) * (e[k] + grid * d[k]))
+    weight = grid[np.argmin(loss)]
+    return {i: 1 / (1 + np.exp(-(evidence[i] + weight * shift[i]))) for i in looks}, weight
+
+
+def site_docs():
+    """Texts that look much alike, in hosts that differ: one of good documents, one of bad ones, several of both."""
+    rng = random.Random(9)
+    docs, labels = [], {}
+    for i in range(400):
+        host = ("fine", "poor", "mixed", None)[i % 4]
+        is_good = {"fine": 0.95, "poor": 0.08}.get(host, 0.5) > rng.random()
+        words = [rng.choice("alpha beta gamma delta epsilon zeta eta theta".split()) for _ in range(rng.randrange(5, 60))]
+        # One look of many tells a little.
+        noise = rng.random() < (0.2 if is_good else 0.6)
+        docs.append((i, " ".join(words) + (" $$$ @@" if noise else " end."), host, f"p{i % 3}"))
+        if i % 2:
+            labels[i] = int(is_good)
+    return docs, labels
+
+
+def test_quality_equals_a_plain_version_and_sites_count(spark):
+    docs, labels = site_docs()
+    want, weight = plain_quality(docs, labels)
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string, lang string").repartition(3)
+    known = spark.createDataFrame(sorted(labels.items()), "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality.judged(df, known).collect()}
+    assert max(abs(got[i].posterior - p) for i, p in want.items()) < 1e-3 and weight > 0.2
+    # Sites change decisions that the texts alone would have made otherwise.
+    alone = {i: r.evidence >= np.log(quality.KEEP_FROM / (1 - quality.KEEP_FROM)) for i, r in got.items()}
+    assert sum(alone[i] != r.keep for i, r in got.items()) >= 3
+    # Sites that say nothing have next to no weight.
+    evidence, shift = np.zeros(1000), np.tile([0.5, -0.5], 500)
+    assert quality.site_weight(evidence, shift, np.tile([1.0, 1.0, 0.0, 0.0], 250)) < 1e-9
+    assert quality.site_weight(np.empty(0), np.empty(0), np.empty(0)) == 0
+
+
 def test_quality_of_odd_rows(spark, odd_docs, no_docs, texts):
     labels = spark.createDataFrame([(1, 1), (12, 0), (None, 1), (13, None), (2, 1), (2, 0)], "doc_id long, quality int")
     rows = quality.judged(odd_docs, labels).collect()

@@ -3,7 +3,9 @@
 A logistic model on a text's looks gives each document's odds. Hosts and paths (for a corpus without
 URLs: any coarse and finer grouping) get a share of good documents by grouped sums over the whole
 corpus; a sparse path is drawn to its host, a sparse host to all documents. How strongly is estimated
-from how much hosts, and paths within hosts, differ beyond chance (empirical Bayes).
+from how much hosts, and paths within hosts, differ beyond chance (empirical Bayes). How much a path's
+share then counts beside a document's own evidence is estimated too, as what makes the labels likeliest:
+nothing where sites tell no more than texts do.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +25,8 @@ from tidelake.llm.common import arrow_map, matching, saved
 
 TRAIN_ROWS = 20_000
 RIDGE = 1.0
-SITE_WEIGHT = 0.5
+#: Prior precision of the weight of sites, and its bounds.
+SITE_RIDGE, MOST_SITE_WEIGHT = 1.0, 2.0
 KEEP_FROM = 0.3
 MOST_STRENGTH = 1e4
 
@@ -100,11 +104,17 @@ def fitted(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.r_[w[0] - inner @ mean, inner]
 
 
+def _labelled(rows: DataFrame, labels: DataFrame, *columns: str) -> list:
+    """``columns`` and the quality of the labelled rows; of more than ``TRAIN_ROWS``, those of least hash of doc_id."""
+    known = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).filter("doc_id is not null and quality is not null")
+    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    found = rows.select("doc_id", *columns).join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *columns)
+    return found.limit(TRAIN_ROWS).collect()
+
+
 def train(seen: DataFrame, labels: DataFrame) -> np.ndarray:
     """Weights from the labelled documents of ``seen`` (doc_id, looks); of more than ``TRAIN_ROWS``, those of least hash."""
-    known = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).filter("doc_id is not null and quality is not null")
-    rows = seen.select("doc_id", "looks").join(known.groupBy("doc_id").agg(F.min("quality").alias("quality")), "doc_id")
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS).collect()
+    rows = _labelled(seen, labels, "looks")
     x = np.array([r.looks for r in rows], np.float64).reshape(-1, len(NAMES))
     return fitted(x, np.array([r.quality for r in rows], np.float64))
 
@@ -120,25 +130,27 @@ def chance(log_odds: Column) -> Column:
 
 
 def _strength(groups: DataFrame, mean: str) -> float:
-    """Prior weight, in documents, that explains how much groups (n, good) differ from ``mean``.
+    """Prior weight, in documents, that explains how much groups (n, good, squares) differ from ``mean``.
 
-    Method of moments: the spread of the groups' shares beyond what n draws would give by chance.
+    Method of moments: the spread of documents within groups, against the spread of the groups' shares
+    beyond what that leads to.
     """
-    share = F.col("good") / F.col("n")
-    beyond = F.sum(F.col("n") * ((share - F.col(mean)) ** 2)).alias("between")
-    chanceful = F.sum(F.col(mean) * (1 - F.col(mean))).alias("within")
-    row = groups.agg(beyond, chanceful, F.sum("n").alias("n"), F.sum(F.col("n") * F.col(mean) * (1 - F.col(mean))).alias("size")).first()
-    if not row.n or not row.size:
+    beyond = F.sum(F.col("n") * ((F.col("good") / F.col("n") - F.col(mean)) ** 2)).alias("between")
+    inner = F.sum(F.col("squares") - F.col("good") ** 2 / F.col("n")).alias("inner")
+    row = groups.agg(beyond, inner, F.sum("n").alias("n"), F.count("*").alias("groups")).first()
+    if not row.n or row.n == row.groups:
         return MOST_STRENGTH
-    spread = (row.between - row.within) / row.size
-    return MOST_STRENGTH if spread <= 1 / MOST_STRENGTH else max(1.0, 1 / spread - 1)
+    within = max(0.0, row.inner / (row.n - row.groups))
+    spread = (row.between - row.groups * within) / row.n
+    return MOST_STRENGTH if spread <= within / MOST_STRENGTH else max(1.0, within / spread)
 
 
 def sites(scored: DataFrame) -> DataFrame:
     """(host, path, base, host_share, path_share) from ``scored`` (host, path, p); written, one row a path."""
-    paths = scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("p").alias("good"))
+    p = F.col("p")
+    paths = scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(p).alias("good"), F.sum(p * p).alias("squares"))
     paths = saved(paths, "quality-paths")
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    hosts = paths.groupBy("host").agg(*[F.sum(c).alias(c) for c in ("n", "good", "squares")])
     total = paths.agg(F.sum("good") / F.sum("n")).first()[0]
     hosts = hosts.withColumn("base", F.lit(0.5 if total is None else float(total)))
     strong = _strength(hosts, "base")
@@ -155,9 +167,26 @@ def _logit(p: Column) -> Column:
     return F.log(p / (1 - p))
 
 
-def posterior(evidence: Column) -> Column:
+def site_shift() -> Column:
+    """Log odds of a path's share against those of all documents."""
+    return _logit(F.col("path_share")) - _logit(F.col("base"))
+
+
+def site_weight(evidence: np.ndarray, shift: np.ndarray, good: np.ndarray) -> float:
+    """How much of the shift makes the labels likeliest beside the evidence, by Newton steps; 0 without labels."""
+    weight = 0.0
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(evidence + weight * shift, -30, 30)))
+        step = (shift @ (good - p) - SITE_RIDGE * weight) / ((shift * shift) @ (p * (1 - p)) + SITE_RIDGE)
+        before, weight = weight, float(np.clip(weight + step, 0.0, MOST_SITE_WEIGHT))
+        if abs(weight - before) < 1e-10:
+            break
+    return weight
+
+
+def posterior(evidence: Column, weight: float) -> Column:
     """Chance that a document is good: its evidence, moved by what its path is like against all documents."""
-    return chance(evidence + SITE_WEIGHT * (_logit(F.col("path_share")) - _logit(F.col("base"))))
+    return chance(evidence + weight * site_shift())
 
 
 def judged(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
@@ -171,14 +200,32 @@ def judged(docs: DataFrame, labels: DataFrame, host: str = "source", path: str =
     """
     own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col(f"`{host}`").alias("host"), F.col(f"`{path}`").alias("path"))
     seen = saved(with_looks(own, "looks").drop("text"), "quality-looks")
-    return _judge(seen, train(seen, labels)).select("doc_id", "evidence", "host_share", "path_share", "posterior", "keep")
+    columns = ["doc_id", "evidence", "host_share", "path_share", "posterior", "keep"]
+    return _judge(seen, model(seen, labels)).select(*columns)
+
 
+class Model(NamedTuple):
+    """Weights of the looks, shares of the sites as a written table, weight of the sites."""
 
-def _judge(seen: DataFrame, weights: np.ndarray, groups: DataFrame | None = None) -> DataFrame:
+    looks: np.ndarray
+    sites: DataFrame
+    site_weight: float
+
+
+def model(seen: DataFrame, labels: DataFrame) -> Model:
+    """Everything fitted on ``seen`` (doc_id, host, path, looks): sites on all rows, weights on labelled ones."""
+    weights = train(seen, labels)
     scored = seen.withColumn("evidence", odds(F.col("looks"), weights))
-    if groups is None:
-        groups = sites(scored.select("host", "path", chance(F.col("evidence")).alias("p")))
-    return with_site(scored, groups).withColumn("posterior", posterior(F.col("evidence"))).withColumn(
+    groups = sites(scored.select("host", "path", chance(F.col("evidence")).alias("p")))
+    known = _labelled(with_site(scored, groups).withColumn("shift", site_shift()), labels, "evidence", "shift")
+    arrays = (np.array([r[c] for r in known], np.float64) for c in ("evidence", "shift", "quality"))
+    return Model(weights, groups, site_weight(*arrays))
+
+
+def _judge(seen: DataFrame, fitted_: Model) -> DataFrame:
+    scored = seen.withColumn("evidence", odds(F.col("looks"), fitted_.looks))
+    sited = with_site(scored, fitted_.sites)
+    return sited.withColumn("posterior", posterior(F.col("evidence"), fitted_.site_weight)).withColumn(
         "keep", F.col("posterior") >= KEEP_FROM
     )
 
@@ -202,8 +249,5 @@ def good_documents(docs: DataFrame, labels: DataFrame, host: str = "source", pat
         F.col(f"`{path}`").alias("path"),
     )
     seen = saved(with_looks(row.drop("row"), "looks").drop("text"), "quality-looks")
-    weights = train(seen, labels)
-    scored = seen.withColumn("evidence", odds(F.col("looks"), weights))
-    groups = sites(scored.select("host", "path", chance(F.col("evidence")).alias("p")))
     # The looks are taken once more where the text is, which is cheaper than moving texts to them.
-    return _judge(with_looks(row, "looks"), weights, groups).filter("keep").select("row.*")
+    return _judge(with_looks(row, "looks"), model(seen, labels)).filter("keep").select("row.*")
