@@ -3,10 +3,12 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidelake.llm import fingerprints, jaccard_join, packing, pii, quality, sentencepiece_codec, suffix_dedup
 from tidelake.llm.common import table, tokenizer_path
@@ -131,7 +133,7 @@ def as_unigram(path):
     return out
 
 
-def test_pieces_equal_the_lattice_of_the_library(docs):
+def test_pieces_are_those_of_the_lattice_over_the_same_scores(docs):
     from sentencepiece import SentencePieceProcessor
 
     path = tokenizer_path("piece_bpe_32k.model")
@@ -184,6 +186,24 @@ def test_fingerprints_of_odd_rows(odd_docs, no_docs, texts):
     assert fingerprints.edited_fingerprints(no_docs).collect() == []
 
 
+def test_many_rows_without_id_are_in_bins_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "BIN_ROWS", 10)
+    rows = [(i, f"text of the document {i} " * 9) for i in range(60)] + [(None, f"nameless text {i} " * 7) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    binned = fingerprints._binned(docs.withColumn("th", F.xxhash64("text")), 10)
+    sizes = {r.bin: r["count"] for r in binned.groupBy("bin").count().collect()}
+    assert sum(n for b, n in sizes.items() if b < 0) == 90 and max(n for b, n in sizes.items() if b < 0) < 30
+    # The order is that of one bin: ids falling, then rows without id by their hash.
+    hashes = {r.text: r.th for r in docs.select("text", F.xxhash64("text").alias("th")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r[1]] >> 1, hashes[r[1]]))
+    want = Counter()
+    for (i, text), (_, after) in zip(order, order[1:] + order[:1]):
+        n = len(text) // 3
+        want[i, text[: len(text) - n] + after[:n]] += 1
+    got = Counter((r.doc_id, r.edited) for r in fingerprints.edited_fingerprints(docs).collect())
+    assert got == want
+
+
 def test_sketches_merge_and_estimate(spark):
     from pyspark.sql import functions as F
 

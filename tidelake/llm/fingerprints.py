@@ -81,7 +81,7 @@ def printed(a: Column) -> Column:
 def _binned(rows: DataFrame, per_bin: int) -> DataFrame:
     """``rows`` with a column ``bin``: ranges of doc_id of about ``per_bin`` rows, more where that made over ``MOST_BINS``.
 
-    NULL ids are in bin -1.
+    Rows without id come last, by ranges of their text's hash ``th``, in bins -1, -2, …
     A range's bounds are quantiles of all ids, so dense stretches of ids get as many bins as they need.
     """
     known = rows.select(F.col("doc_id").cast("double").alias("doc_id")).dropna()
@@ -90,8 +90,11 @@ def _binned(rows: DataFrame, per_bin: int) -> DataFrame:
     splits = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     number = Bucketizer(splits=splits, inputCol="_place", outputCol="bin")
     placed = number.transform(rows.withColumn("_place", F.coalesce(F.col("doc_id").cast("double"), F.lit(0.0))))
+    nameless = 1 + min(MOST_BINS - 1, rows.filter("doc_id is null").count() // per_bin)
+    share = (F.shiftright("th", 1).cast("double") + F.lit(2.0**62)) / F.lit(2.0**63)
+    part = F.least(F.floor(share * nameless), F.lit(nameless - 1))
     return placed.drop("_place").withColumn(
-        "bin", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.col("bin")).cast("int")
+        "bin", F.when(F.col("doc_id").isNull(), -1 - part).otherwise(F.col("bin")).cast("int")
     )
 
 
@@ -120,12 +123,12 @@ def edited_fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
         F.expr("r.bin = h.bin and r.doc_id <=> h.head.doc_id and shiftright(r.th, 1) = -h.head.low"),
     )
     firsts = firsts.groupBy("r.bin").agg(F.min(F.struct("r.th", "r.text")).alias("first"))
-    ring = Window.orderBy(F.desc("bin"))
-    whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     firsts = saved(firsts, "fingerprint-firsts")
-    below = firsts.select(
-        F.col("bin").alias("_bin"), F.coalesce(F.lead("first.text").over(ring), F.first("first.text").over(whole)).alias("below")
-    )
+    # Which bin is below which is decided by their numbers, at most two times MOST_BINS; the texts stay where they are.
+    numbers = sorted((r.bin for r in firsts.select("bin").collect()), reverse=True)
+    above = list(zip(numbers[1:] + numbers[:1], numbers))
+    ring = docs.sparkSession.createDataFrame(above, "bin int, _bin int")
+    below = firsts.join(F.broadcast(ring), "bin").select("_bin", F.col("first.text").alias("below"))
 
     own = rows.repartition("bin").groupBy("bin", "doc_id", "th").agg(
         F.first("text").alias("text"), F.count("*").cast("int").alias("copies")

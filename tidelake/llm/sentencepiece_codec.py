@@ -4,6 +4,11 @@ The model file gives pieces, scores and byte pieces; no training. The automaton
 each place its output links give all pieces that end there, longest first, and each may improve the
 best score of that place. Characters no piece covers cost more than the worst piece and are written
 as byte pieces.
+
+The pieces are those of the best path by the scores, whatever kind of model the file holds. A merge
+model's own encoder joins pieces pair by pair instead, and its scores are ranks of merges, so its ids
+are others and fewer: on 200 documents 195,038 against 222,682 here, none the same as a whole. Decoding
+gives the text back in either case.
 """
 
 from __future__ import annotations
