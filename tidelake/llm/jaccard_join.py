@@ -36,7 +36,7 @@ from tidelake.llm.common import (
 
 BINS = 1 << 20
 CHUNK = 1 << 16
-ENTRIES_PER_BUCKET = 350_000
+ENTRIES_PER_BUCKET = 200_000
 FLUSH = 400_000
 SMALL_LIST = 64
 SALTED_LIST = 20_000
