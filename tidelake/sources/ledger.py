@@ -50,11 +50,14 @@ def folders_of(spark: SparkSession, root: str) -> list[str]:
 
 def files_of(spark: SparkSession, root: str, folder: str, pattern: str = "*.csv") -> DataFrame:
     """(path, length) of the files in one folder, at any depth; of ``LOOSE``, those directly under ``root``."""
-    listed = (
-        spark.read.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", folder != LOOSE).load(f"{root}/*" if folder == LOOSE else f"{root}/{folder}")
-    )
-    return listed.select("path", "length")
+    files = spark.read.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", pattern)
+    if folder != LOOSE:
+        return files.option("recursiveFileLookup", True).load(f"{root}/{folder}").select("path", "length")
+    place = _hadoop_path(spark, root)
+    place = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    # The pattern opens the folders too, whose files are listed under their own names.
+    own = F.regexp_extract("path", "^(.*)/[^/]*$", 1) == place.rstrip("/")
+    return files.load(f"{root}/*").select("path", "length").filter(own)
 
 
 class Ledger:
