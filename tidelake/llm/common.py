@@ -72,14 +72,23 @@ def arrow_groups(
     return df.groupBy(*keys).applyInArrow(group, schema)
 
 
+#: Has Spark delete what a statement shuffled when the statement ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: later steps neither repeat it nor depend on its executors."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
     schema, spark = df.schema, df.sparkSession
-    del df
-    # What the step shuffled is of no more use; Spark deletes it once the garbage collector finds that out.
-    spark.sparkContext._jvm.System.gc()
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(schema).parquet(path)
 
 

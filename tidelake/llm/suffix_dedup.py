@@ -32,6 +32,7 @@ GAP = 96
 PIECE_BYTES = 256 << 10
 SHARD_BYTES = 1 << 20
 ANCHORS_PER_BUCKET = 80_000
+WINDOWS_PER_BUCKET = 150_000
 FLUSH = 200_000
 
 BASE = np.uint64(0xD6E8FEB86659FD93)
@@ -493,7 +494,7 @@ def without_repeats(docs: DataFrame, length: int = 50, carry: Sequence[str] = ()
         carried.alias("carried"),
     )
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(0, int(total * 0.065 / ANCHORS_PER_BUCKET).bit_length())
+    bits, wide_bits = (max(0, int(total * 0.065 / most).bit_length()) for most in (ANCHORS_PER_BUCKET, WINDOWS_PER_BUCKET))
     narrow = docs.select("doc_id", "th", "text")
     posted = arrow_map(narrow, _scan(length, bits), POSTED)
     settled = saved(arrow_groups(posted, ["bucket"], _settle, MARK), "suffix-settled")
@@ -505,7 +506,7 @@ def without_repeats(docs: DataFrame, length: int = 50, carry: Sequence[str] = ()
     # Only texts with open anchors move; while these are few, the others are left out before the shuffle.
     named = saved(opened.select("doc_id", "th").distinct(), "suffix-opened")
     texts = narrow.join(F.broadcast(named), ["doc_id", "th"], "left_semi") if named.count() <= BROADCAST_ROWS else narrow
-    windows = arrow_map(texts.join(per_doc(opened), ["doc_id", "th"]), _shards(length, bits), POSTED)
+    windows = arrow_map(texts.join(per_doc(opened), ["doc_id", "th"]), _shards(length, wide_bits), POSTED)
     merged = saved(arrow_groups(windows, ["bucket"], _merge, MARK), "suffix-merged")
     marks = per_doc(settled.filter(F.col("kind") == COVERED).unionByName(merged))
     schema = (
