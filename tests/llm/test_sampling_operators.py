@@ -153,6 +153,7 @@ def test_license_scan_of_no_rows_and_own_templates(spark, no_docs):
     df = spark.createDataFrame([(1, "all rights reserved, ALL rights"), (2, "none")], "doc_id long, text string")
     got = {r.doc_id: [(s.label, s.start) for s in r.spans] for r in license_scan.scanned(df, [("arr", "all rights")]).collect()}
     assert got == {1: [("arr", 0), ("arr", 3)], 2: []}
+    assert sorted((r.doc_id, r.n_words) for r in license_scan.scanned(df, []).collect()) == [(1, 5), (2, 1)]
     with pytest.raises(ValueError):
         license_scan.scanned(df, [("one", "word")])
 

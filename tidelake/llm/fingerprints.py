@@ -125,9 +125,9 @@ def edited_fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
     firsts = firsts.groupBy("r.bin").agg(F.min(F.struct("r.th", "r.text")).alias("first"))
     firsts = saved(firsts, "fingerprint-firsts")
     # Which bin is below which is decided by their numbers, at most two times MOST_BINS; the texts stay where they are.
-    numbers = sorted((r.bin for r in firsts.select("bin").collect()), reverse=True)
-    above = list(zip(numbers[1:] + numbers[:1], numbers))
-    ring = docs.sparkSession.createDataFrame(above, "bin int, _bin int")
+    falling = Window.orderBy(F.desc("bin"))
+    top = F.max("bin").over(falling.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    ring = firsts.select(F.coalesce(F.lead("bin").over(falling), top).alias("bin"), F.col("bin").alias("_bin"))
     below = firsts.join(F.broadcast(ring), "bin").select("_bin", F.col("first.text").alias("below"))
 
     own = rows.repartition("bin").groupBy("bin", "doc_id", "th").agg(

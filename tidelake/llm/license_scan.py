@@ -14,6 +14,7 @@ results. Further columns of any name do not matter.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -97,25 +98,28 @@ def template_grams(spark: SparkSession, templates: Iterable[tuple[str, str]]) ->
         phrase = len(words) < PHRASE_WORDS
         width = PHRASE_WIDTH if phrase else NOTICE_WIDTH
         grams = [words[i : i + width] for i in range(len(words) - width + 1)]
-        rows += [(number, label, phrase, len(words), len(grams), i, width, gram) for i, gram in enumerate(grams)]
+        known = {"template": number, "label": label, "phrase": phrase, "length": len(words), "grams": len(grams), "width": width}
+        rows += [{**known, "place": i, "gram": gram} for i, gram in enumerate(grams)]
     if len(rows) > MOST_GRAMS:
         raise ValueError(f"templates have more than {MOST_GRAMS} k-grams")
-    made = spark.createDataFrame(
-        rows,
-        "template int, label string, phrase boolean, length int, grams int, place int, width int, gram array<string>",
-    )
-    by_width = F.when(F.col("width") == PHRASE_WIDTH, F.xxhash64(*[F.get("gram", F.lit(k)) for k in range(PHRASE_WIDTH)]))
-    return made.withColumn("hash", by_width.otherwise(F.xxhash64(*[F.get("gram", F.lit(k)) for k in range(NOTICE_WIDTH)])))
+    fields = "template int, label string, phrase boolean, length int, grams int, place int, width int, gram array<string>"
+    kind = "array<struct<" + fields.replace(", ", ",").replace(" ", ":") + ">>"
+    made = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), kind)))
+
+    def hashed(width: int) -> Column:
+        return F.xxhash64(*[F.get("gram", F.lit(k)) for k in range(width)])
+
+    short = F.col("width") == PHRASE_WIDTH
+    return made.withColumn("hash", F.when(short, hashed(PHRASE_WIDTH)).otherwise(hashed(NOTICE_WIDTH)))
 
 
 def votes(docs: DataFrame, templates: Iterable[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """One row a text (``template`` NULL) and one a hit: (doc_id, id, key, n_words, template, place, at)."""
     grams = template_grams(docs.sparkSession, templates)
     hit = F.struct("template", "place", "width", "gram").alias("hit")
-    itself = grams.select(F.lit(ITSELF).cast("long").alias("hash"), F.lit(None).cast("int").alias("template")).limit(1)
-    looked_up = grams.select("hash", hit).unionByName(
-        itself.select("hash", F.lit(None).cast(grams.select(hit).schema["hit"].dataType).alias("hit"))
-    )
+    looked_up = grams.select("hash", hit)
+    no_hit = F.lit(None).cast(looked_up.schema["hit"].dataType).alias("hit")
+    looked_up = looked_up.unionByName(docs.sparkSession.range(1).select(F.lit(ITSELF).cast("long").alias("hash"), no_hit))
     texts = docs.select("doc_id", F.xxhash64("text").alias("key"), words_of(F.col("text")).alias("words"))
     hashes = F.concat(
         F.array(F.lit(ITSELF).cast("long")),
