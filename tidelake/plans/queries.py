@@ -688,12 +688,11 @@ def stream_late_rows(spark, sf_dir):
             arriving = tables.replay_stream(spark, f"{out}/events", events.schema)
             counted = state.windowed_count(arriving, "ts", ["event_type"], "1 hour", "10 seconds")
             reports.append(log.rows(ingest.run_available_now(counted, f"{out}/rows", f"{out}/checkpoint")))
-    dropped = reports[0].unionByName(reports[1]).agg(F.sum("rows_dropped_by_watermark").alias("late_groups"))
+    dropped = reports[0].unionByName(reports[1]).agg(F.sum("rows_dropped_by_watermark")).first()[0]
     windows = spark.read.parquet(f"{out}/rows").select(
         F.col("window.start").cast("timestamp_ntz").alias("window_start"), "event_type", "count"
     )
-    one = F.lit(1).alias("one")
-    return windows.select("*", one).join(F.broadcast(dropped.select("*", one)), "one").drop("one")
+    return windows.withColumn("late_groups", F.lit(dropped).cast("long"))
 
 
 @query
