@@ -18,7 +18,7 @@ from tidelake.session import scratch_dir
 cloudpickle.register_pickle_by_value(sys.modules["tidelake.llm"])
 
 BATCH_ROWS = 2_000
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 8 << 20
 BROADCAST_ROWS = 200_000
 
 
