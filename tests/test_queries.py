@@ -34,6 +34,12 @@ def test_the_as_of_join_reads_its_facts_once(spark, sf_dir):
     assert "l_shipdate" in text and "l_linenumber" not in text
 
 
+def test_the_kept_view_of_costs_meets_no_record_with_all_versions_of_its_cluster(spark, sf_dir):
+    lines = plan(entry.queries()["view_cost_by_compute"](spark, sf_dir)).splitlines()
+    joins = [line for line in lines if "Join" in line]
+    assert joins and not any("cluster_id" in line for line in joins)
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["usage_date", "workspace_id", "total_dbu", "list_cost_usd"] and df.count() > 0

@@ -46,7 +46,12 @@ def create_views(
     """
     known = {name: ".".join(f"`{part}`" for part in source.split(".")) for name, source in sources.items()}
     for name in ("jobs", "clusters"):
-        known[f"{name}_tie"] = "".join(f", `{column}` DESC" for column in (ties or {}).get(name, ()))
+        columns = (ties or {}).get(name, ())
+        known[f"{name}_tie"] = "".join(f", `{column}` DESC" for column in columns)
+        # The same order where versions stand among other rows, which have no ties.
+        known[f"{name}_ties"] = "".join(f", `{column}` AS _tie{i}" for i, column in enumerate(columns))
+        known[f"{name}_no_ties"] = "".join(f", NULL AS _tie{i}" for i in range(len(columns)))
+        known[f"{name}_tie_order"] = "".join(f", _tie{i}" for i in range(len(columns)))
     made = []
     for name in names or VIEW_SQL:
         spark.sql(f"CREATE OR REPLACE VIEW {schema}.{name} AS {VIEW_SQL[name].format(**known)}")

@@ -3,7 +3,7 @@
 A view that outlives its session is stored as text, so each view of :mod:`tidelake.plans.monitoring`
 has its equal here; the tests hold both against each other. Texts name their sources by ``{table}``.
 The DataFrame forms cut long histories into slots and slices of time; for a table in which one key
-has very many versions they are the better choice.
+has very many rows they are the better choice.
 """
 
 from __future__ import annotations
@@ -42,23 +42,27 @@ def _latest(table: str, keys: str, where: str = "") -> str:
 
 CONFIG = ", ".join(CLUSTER_CONFIG)
 
-COST_BY_COMPUTE = f"""WITH terms AS (
-  SELECT workspace_id, cluster_id, change_time, {CONFIG},
-    lead(change_time) OVER (PARTITION BY workspace_id, cluster_id ORDER BY change_time) AS until
-  FROM (
-    SELECT *, row_number() OVER (PARTITION BY workspace_id, cluster_id, change_time
-      ORDER BY change_time{{clusters_tie}}) AS _one
-    FROM {{clusters}} WHERE workspace_id IS NOT NULL AND cluster_id IS NOT NULL AND change_time IS NOT NULL
-  ) WHERE _one = 1
-),
-named AS (
-  SELECT *, usage_metadata.cluster_id AS cluster_id, usage_metadata.node_type AS billed_node_type
+# Usage and versions of a cluster are put in time order and each record takes the last version before it:
+# one exchange, and no record is compared with all versions of its cluster.
+_BILLED = "usage_date, usage_start_time, usage_end_time, sku_name, cloud, usage_unit, usage_quantity"
+
+COST_BY_COMPUTE = f"""WITH named AS (
+  SELECT {_BILLED}, usage_metadata.node_type AS billed_node_type, workspace_id, usage_metadata.cluster_id AS cluster_id,
+    usage_start_time AS _time, 1 AS _fact, NULL AS _version{{clusters_no_ties}}
   FROM {{usage}} WHERE usage_metadata.cluster_id IS NOT NULL
 ),
+versions AS (
+  SELECT {", ".join(f"NULL AS {c}" for c in _BILLED.split(", "))}, NULL AS billed_node_type, workspace_id, cluster_id,
+    change_time AS _time, 0 AS _fact, struct({CONFIG}) AS _version{{clusters_ties}}
+  FROM {{clusters}} WHERE workspace_id IS NOT NULL AND cluster_id IS NOT NULL AND change_time IS NOT NULL
+),
 configured AS (
-  SELECT n.*, {", ".join(f"t.{c}" for c in CLUSTER_CONFIG)}
-  FROM named n LEFT JOIN terms t ON n.workspace_id = t.workspace_id AND n.cluster_id = t.cluster_id
-    AND t.change_time <= n.usage_start_time AND (t.until IS NULL OR n.usage_start_time < t.until)
+  SELECT {_BILLED}, billed_node_type, workspace_id, cluster_id, {", ".join(f"_known.{c}" for c in CLUSTER_CONFIG)}
+  FROM (
+    SELECT *, last_value(_version, true) OVER (PARTITION BY workspace_id, cluster_id
+      ORDER BY _time, _fact{{clusters_tie_order}} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _known
+    FROM (SELECT * FROM named UNION ALL SELECT * FROM versions)
+  ) WHERE _fact = 1
 ),
 {_priced("configured")}
 {_grouped(f"usage_date, workspace_id, cluster_id, {CONFIG}, sku_name, billed_node_type, usage_unit")}"""
