@@ -40,6 +40,14 @@ def test_the_kept_view_of_costs_meets_no_record_with_all_versions_of_its_cluster
     assert joins and not any("cluster_id" in line for line in joins)
 
 
+@pytest.mark.parametrize("name", ["view_compute_utilization"])
+def test_utilization_moves_rows_once_before_grouping(spark, sf_dir, name):
+    text = plan(entry.queries()[name](spark, sf_dir))
+    moved = [line for line in text.splitlines() if "Exchange" in line]
+    assert not any("instance_id" in line for line in moved)
+    assert sum("metric_time" in line or "start_time" in line for line in moved) == 1
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["usage_date", "workspace_id", "total_dbu", "list_cost_usd"] and df.count() > 0
