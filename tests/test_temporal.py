@@ -115,6 +115,19 @@ def test_interval(spark, within):
     assert everything.count() - temporal.out_of_range_matches(everything, "lt", "rt", within).count() == len(want)
 
 
+def test_only_busy_keys_are_cut_into_slices(spark, facts_and_versions):
+    """Keys of few rows meet their versions whole; no version is carried from slice to slice for them."""
+    facts, versions = facts_and_versions
+    f = spark.createDataFrame([(i, k, at(t)) for i, k, t in facts], "id int, k int, t timestamp")
+    v = spark.createDataFrame([(k, at(t), n) for k, t, n in versions], "k int, since timestamp, n int")
+    results = []
+    for busy_rows, carries in ((1000, False), (150, True), (1, True)):  # none, the busiest key, all keys
+        got = temporal.asof_join(f, v, ["k"], "t", "since", ["n"], ["n"], 60, busy_rows=busy_rows)
+        assert ("_visited" in got._jdf.queryExecution().toString()) is carries
+        results.append(sorted(map(repr, got.collect())))
+    assert results[0] == results[1] == results[2] and len(results[0]) == len(facts)
+
+
 def test_busy_key_is_spread(spark):
     """A key with most of the rows is worked on in many tasks, not one."""
     f = spark.range(20_000).select(

@@ -17,6 +17,7 @@ from tidelake.functions.times import bucket_of
 from tidelake.session import written_once
 
 DAY = 86400
+BUSY_ROWS = 10_000
 
 PRICE_KEYS = ("sku_name", "cloud", "usage_unit")
 
@@ -77,19 +78,21 @@ def asof_join(
     bring: Sequence[str],
     tie: Sequence[str] = (),
     width_seconds: int = 600,
+    busy_rows: int = BUSY_ROWS,
 ) -> DataFrame:
     """Every fact once, with the columns ``bring`` of its key's latest version at or before ``at``.
 
     Facts with no earlier version keep NULLs. Among versions with one time the greatest ``tie``
-    wins. Facts are never multiplied by the versions of their key, and a busy key is worked on
-    in slices of ``width_seconds``:
+    wins. Facts are never multiplied by the versions of their key, and a busy key, one of more than
+    ``busy_rows`` facts and versions, is worked on in slices of ``width_seconds``:
 
-    1. the facts are computed once, and written with their slices to the shared folder;
-    2. the closing version of each slice is carried forward to the slices facts fall in, one
-       ordered pass over the slices of a key, whose number is bounded by the time span; the slices
+    1. the facts are computed once, and written with their slices to the shared folder; the rows of
+       each key are counted, and the busy keys written, which are at most a ``busy_rows``-th of all rows;
+    2. of a busy key, the closing version of each slice is carried forward to the slices facts fall in,
+       one ordered pass over the slices of a key, whose number is bounded by the time span; the slices
        come from two narrow columns of the written facts;
-    3. facts, versions and carried versions of one slice are put in time order, and every fact
-       takes the last version before it.
+    3. facts, versions and carried versions of one key, or one slice of a busy key, are put in time
+       order, and every fact takes the last version before it.
 
     Facts without key or time match nothing; they are spread over tasks instead of meeting in one.
     """
@@ -114,9 +117,19 @@ def asof_join(
         }
     )
     sliced = written_once(sliced, "asof-facts")
-    visited = sliced.filter("_void IS NULL").select(*keys, "_slice").distinct().withColumn("_visited", F.lit(True))
-
-    closing = own.groupBy(*keys, "_slice").agg(F.max_by("_version", F.struct("_time", "_tie")).alias("_version"))
+    of_key = sliced.filter("_void IS NULL").select(*keys).unionByName(own.select(*keys)).groupBy(*keys).count()
+    busy = written_once(of_key.filter(F.col("count") > busy_rows).select(*keys), "asof-busy")
+    if busy.isEmpty():
+        whole = F.lit(None).cast("long")
+        return _in_time_order(sliced.withColumn("_slice", whole), own.withColumn("_slice", whole), facts, keys, bring)
+
+    busy = busy.withColumn("_busy", F.lit(True))
+    slice_of_busy = F.when(F.col("_busy"), F.col("_slice"))
+    sliced, own = (df.join(busy, list(keys), "left").withColumn("_slice", slice_of_busy).drop("_busy") for df in (sliced, own))
+    cut = F.col("_void").isNull() & F.col("_slice").isNotNull()
+    visited = sliced.filter(cut).select(*keys, "_slice").distinct().withColumn("_visited", F.lit(True))
+
+    closing = own.filter("_slice IS NOT NULL").groupBy(*keys, "_slice").agg(F.max_by("_version", F.struct("_time", "_tie")).alias("_version"))
     earlier = Window.partitionBy(*keys).orderBy("_slice").rangeBetween(Window.unboundedPreceding, -1)
     carried = (
         visited.unionByName(closing, allowMissingColumns=True)
@@ -124,7 +137,13 @@ def asof_join(
         .filter(F.col("_visited") & F.col("_version").isNotNull())
         .drop("_visited")
     )
+    return _in_time_order(sliced, own.unionByName(carried, allowMissingColumns=True), facts, keys, bring)
+
 
+def _in_time_order(
+    sliced: DataFrame, versions: DataFrame, facts: DataFrame, keys: Sequence[str], bring: Sequence[str]
+) -> DataFrame:
+    """Every fact of ``sliced`` with the last of ``versions`` before it, within its key and slice."""
     so_far = (
         Window.partitionBy(*keys, "_slice", "_void")
         .orderBy(F.col("_time").asc_nulls_first(), F.col("_fact").asc_nulls_first(), "_tie")
@@ -132,8 +151,7 @@ def asof_join(
     )
     return (
         sliced.withColumn("_fact", F.lit(1))
-        .unionByName(own, allowMissingColumns=True)
-        .unionByName(carried, allowMissingColumns=True)
+        .unionByName(versions, allowMissingColumns=True)
         .withColumn("_version", F.last("_version", ignorenulls=True).over(so_far))
         .filter(F.col("_fact").isNotNull())
         .select(*facts.columns, *[F.col(f"_version.{c}").alias(c) for c in bring])
