@@ -40,7 +40,7 @@ def test_the_kept_view_of_costs_meets_no_record_with_all_versions_of_its_cluster
     assert joins and not any("cluster_id" in line for line in joins)
 
 
-@pytest.mark.parametrize("name", ["view_compute_utilization"])
+@pytest.mark.parametrize("name", ["compute_utilization", "view_compute_utilization"])
 def test_utilization_moves_rows_once_before_grouping(spark, sf_dir, name):
     text = plan(entry.queries()[name](spark, sf_dir))
     moved = [line for line in text.splitlines() if "Exchange" in line]

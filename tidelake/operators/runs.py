@@ -78,8 +78,12 @@ def job_tasks(timeline: DataFrame, jobs: DataFrame, tie: Sequence[str] = ()) ->
 
 
 def utilization(nodes: DataFrame) -> DataFrame:
-    """Load per cluster and minute; driver and workers are averaged apart (NULL when there are none)."""
+    """Load per cluster and minute; driver and workers are averaged apart (NULL when there are none).
+
+    Counting nodes apart takes two rounds of grouping, and rows are narrower than sums: the rows move, once.
+    """
     cpu = F.col("cpu_user_percent") + F.col("cpu_system_percent")
+    nodes = nodes.repartition("workspace_id", "cluster_id", "start_time")
     return nodes.groupBy("workspace_id", "cluster_id", F.col("start_time").alias("metric_time")).agg(
         F.countDistinct("instance_id").alias("node_count"),
         F.round(F.avg(cpu), 2).alias("avg_cpu_percent"),
