@@ -4,14 +4,16 @@ import pathlib
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent))
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as entry  # noqa: E402
 import oracle  # noqa: E402
+from tidelake.plans import bindings as b  # noqa: E402
 from tidelake.plans.oracles import ORACLES  # noqa: E402
-from tidelake.plans.queries import QUERIES  # noqa: E402
+from tidelake.plans.queries import HALVES, QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -48,6 +50,14 @@ def test_utilization_moves_rows_once_before_grouping(spark, sf_dir, name):
     assert sum("metric_time" in line or "start_time" in line for line in moved) == 1
 
 
+@pytest.mark.parametrize("source, made", [("usage", b.usage), ("job_run_timeline", b.run_timeline), ("node_timeline", b.nodes)])
+def test_halves_of_a_source_are_picked_below_its_joins(spark, sf_dir, source, made):
+    half = made(spark, sf_dir).filter(F.pmod(F.xxhash64(*HALVES[source]), F.lit(2)) == 0)
+    lines = half._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    picked = [i for i, line in enumerate(lines) if "xxhash64" in line]
+    assert picked and min(picked) > max(i for i, line in enumerate(lines) if "Join" in line)
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["usage_date", "workspace_id", "total_dbu", "list_cost_usd"] and df.count() > 0
