@@ -234,3 +234,13 @@ def test_fixed_schema_stream(spark, tmp_path):
     out = spark.read.parquet(f"{tmp_path}/out")
     assert ids(out) == [0, 1]
     assert out.select(F.countDistinct("_source_file")).first()[0] == 2
+
+
+def test_rows_with_nothing_to_rescue_build_no_map(spark):
+    rows = [("1", "x", None), ("n/a", "x", None), ("1", "x", {}), ("1", "x", {"more": "z", "none": None}), (None, None, {"none": None})]
+    df = spark.createDataFrame(rows, "a string, b string, others map<string,string>")
+    got = rules.with_rescued(df, {"a": "bigint", "b": "string"}, "others")
+    assert [r._rescued_data for r in got.collect()] == [None, '{"a":"n/a"}', None, '{"more":"z"}', None]
+    text = got._jdf.queryExecution().analyzed().toString()
+    # The map is made inside another condition only.
+    assert text.count("CASE WHEN (size(map_filter(") == text.count("THEN CASE WHEN (size(map_filter(") == 1

@@ -58,7 +58,7 @@ def with_rescued(df: DataFrame, types: Mapping[str, str], others: str | None = N
 
     ``others`` names a map column of values the schema has no column for; they are kept as well.
     NULL means that nothing was rescued. An existing ``_rescued_data`` (a malformed line the
-    reader kept) wins over the per-column values.
+    reader kept) wins over the per-column values. Rows with nothing to keep build no map.
     """
     lost = {
         name: F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()
@@ -66,17 +66,18 @@ def with_rescued(df: DataFrame, types: Mapping[str, str], others: str | None = N
         if kind.lower() != "string"
     }
     rescued = F.lit(None).cast("string")
+    any_lost = F.lit(False)
+    for flag in lost.values():
+        any_lost = any_lost | flag
     if others:
         pairs = [F.create_map(F.lit(name), F.when(flag, F.col(name))) for name, flag in lost.items()]
         kept = F.map_filter(
             F.map_concat(*pairs, F.coalesce(F.col(others), F.create_map().cast("map<string,string>"))),
             lambda _, value: value.isNotNull(),
         )
-        rescued = F.when(F.size(kept) > 0, F.to_json(kept))
+        some = any_lost | (F.col(others).isNotNull() & (F.size(others) > 0))
+        rescued = F.when(some, F.when(F.size(kept) > 0, F.to_json(kept)))
     elif lost:
-        any_lost = F.lit(False)
-        for flag in lost.values():
-            any_lost = any_lost | flag
         kept = F.struct(*[F.when(flag, F.col(name)).alias(name) for name, flag in lost.items()])
         rescued = F.when(any_lost, F.to_json(kept))
     if "_rescued_data" in df.columns:
