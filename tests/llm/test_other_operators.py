@@ -257,6 +257,20 @@ def test_long_payloads_of_repeated_and_missing_ids(spark):
     assert len(ids) == len(set(ids)) and {f["warc-refers-to"] for f in fields if "warc-refers-to" in f} <= set(ids)
 
 
+def test_segments_are_put_together_in_one_pass_over_a_task(spark):
+    """A call for each record costs more than the record; segments of one come together and in order."""
+    html = {i: "".join(chr(97 + (i * j) % 26) for j in range(100 + 700 * i)) for i in range(40)}
+    df = spark.createDataFrame([(i, f"http://a.com/{i}", t) for i, t in html.items()], "page_id long, url string, html string")
+    path = scratch_dir(spark, "warc-segments")
+    warc.write_archives(df.repartition(5), path, segment_bytes=300)
+    read = warc.read_archives(spark, path)
+    assert "FlatMapGroupsInArrow" not in read._jdf.queryExecution().executedPlan().toString()
+    assert {r.page_id: bytes(r.payload).decode() for r in read.collect() if r.complete} == html
+    parts = {n: {"page_id": 1, "uri": "", "digest": None, "segment": n, "total": 10 if n == 3 else None, "block": b"x"} for n in (1, 3)}
+    assert warc._reassemble(parts)[-1] is False
+
+
+
 def test_damaged_records_are_told(spark):
     import pyarrow as pa
 

@@ -17,6 +17,7 @@ from tidelake.llm.common import arrow_map
 SEGMENT_BYTES = 64 << 10
 CHUNK_BYTES = 8 << 10
 RECORDS_PER_FILE = 500
+SEGMENT_ROWS = 64
 RECORD_END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -196,8 +197,8 @@ def _read_row(page_id, uri, kind, refers_to, digest, block: bytes | None) -> tup
     if kind == "response" and complete:
         try:
             payload = payload_of(block)
-            complete = digest in (None, digest32(payload))
-            digest = digest32(payload)
+            own = digest32(payload)
+            complete, digest = digest in (None, own), own
         except ValueError:
             complete = False
     return page_id, uri, kind, refers_to, payload, digest, complete
@@ -235,17 +236,33 @@ def _parse(segmented: bool):
     return run
 
 
-def _reassemble(group: pa.Table) -> pa.Table:
+def _reassemble(parts: dict[int, dict]) -> tuple:
     """One segmented record; without all numbers from 1, or with another total length, it stays incomplete."""
-    parts = {row["segment"]: row for row in group.to_pylist()}
     first, last = parts.get(1), parts[max(parts)]
     block = None
     if first and sorted(parts) == list(range(1, len(parts) + 1)) and last["total"] is not None:
         block = b"".join(parts[k]["block"] for k in sorted(parts))
         block = block if len(block) == last["total"] else None
     known = first or last
-    row = _read_row(known.get("page_id"), known["uri"], "response", None, known["digest"], block)
-    return pa.Table.from_batches([_batch([row], READ, _READ_KINDS)])
+    return _read_row(known.get("page_id"), known["uri"], "response", None, known["digest"], block)
+
+
+def _records_of_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segmented records put together from segments that come in order of their origin."""
+    parts: dict[int, dict] = {}
+    origin = None
+    for batch in batches:
+        rows = []
+        for segment in batch.to_pylist():
+            if parts and segment["origin"] != origin:
+                rows.append(_reassemble(parts))
+                parts = {}
+            origin = segment["origin"]
+            parts[segment["segment"]] = segment
+        if rows:
+            yield _batch(rows, READ, _READ_KINDS)
+    if parts:
+        yield _batch([_reassemble(parts)], READ, _READ_KINDS)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -256,6 +273,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     are read by one task, so writers bound the records of a file.
     """
     files = spark.read.format("binaryFile").load(path).select("content")
-    whole = arrow_map(files, _parse(False), READ, rows=1)
-    parts = arrow_map(files, _parse(True), SEGMENT, rows=1)
-    return whole.unionByName(parts.groupBy("origin").applyInArrow(_reassemble, READ))
+    # Spark takes one size of batches for all three; files are bounded by their bytes before it is reached.
+    whole = arrow_map(files, _parse(False), READ, rows=SEGMENT_ROWS)
+    parts = arrow_map(files, _parse(True), SEGMENT, rows=SEGMENT_ROWS)
+    in_order = parts.repartition("origin").sortWithinPartitions("origin", "segment")
+    return whole.unionByName(arrow_map(in_order, _records_of_segments, READ, rows=SEGMENT_ROWS))
