@@ -526,3 +526,24 @@ def test_queries_equal_their_sql(spark, sf_dir):
     con = oracle.connect(sf_dir)
     for name, sql in ORACLES.items():
         assert oracle.compare(con, QUERIES[name](spark, sf_dir), sql) is None
+
+
+def test_cut_points_are_found_without_sorting(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    cases = []
+    for total in (1, 256, 257, 3000):
+        docs, sentences = (np.sort(rng.integers(-2, total + 3, size)) for size in (6, 9))
+        ends = {total} | {p for p in [*docs.tolist(), *sentences.tolist()] if 0 < p <= total}
+        want, last = [], 0
+        for end in sorted(ends):
+            want += [*range(last + packing.HARD_EVERY, end, packing.HARD_EVERY), end]
+            last = end
+        charge = [0.0 if p in docs else packing.SENTENCE_CUT if p in sentences else packing.HARD_CUT for p in want]
+        cases.append((total, docs, sentences, want, charge))
+    for name in ("unique", "union1d", "isin"):
+        monkeypatch.setattr(np, name, None)
+    for total, docs, sentences, want, charge in cases:
+        places, penalties = packing.cut_points(total, docs, sentences)
+        assert places.tolist() == want and penalties.tolist() == charge

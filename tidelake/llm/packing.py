@@ -33,7 +33,8 @@ BUFFER = 1_500_000
 MEMO = 600_000
 
 
-_FINAL_MARK = re.compile(rb"(?<=[a-z])([.,])(?=\s|$)")
+# The mark comes first, so that the search goes from mark to mark and not from byte to byte.
+_FINAL_MARK = re.compile(rb"[.,](?<=[a-z].)(?=\s|$)")
 
 
 class WordTokens:
@@ -67,11 +68,12 @@ class WordTokens:
         words are encoded as one text and told apart by their last pieces.
         """
         if all(map(str.isalpha, words)):
-            ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, np.uint32)
+            (found,) = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+            ids = np.array(found.ids, np.uint32)
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(words):
                 return ids, np.diff(np.r_[0, ends])
-        found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
 
@@ -98,7 +100,7 @@ class WordTokens:
         low = text.lower()
         low = text if any(s in low for s in self.special) else low
         # A mark behind a letter is a unit of its own, with a space before it or not.
-        return _FINAL_MARK.sub(rb" \1", low).split()
+        return _FINAL_MARK.sub(rb" \g<0>", low).split()
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids, the number of ids of each text, and the places after which a sentence ends."""
@@ -162,15 +164,18 @@ def best_cuts(places: np.ndarray, penalties: np.ndarray, window: int = WINDOW) -
 
 def cut_points(total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places where a sequence may end and what ending there costs; the end of the stream is one."""
-    places = np.unique(np.concatenate([doc_ends, sentence_ends, [total]]))
-    places = places[(places > 0) & (places <= total)]
+    # What ends where: a document over a sentence over nothing but the stream.
+    kind = np.zeros(total + 1, np.uint8)
+    kind[total] = 1
+    kind[sentence_ends[(sentence_ends > 0) & (sentence_ends <= total)]] = 2
+    kind[doc_ends[(doc_ends > 0) & (doc_ends <= total)]] = 3
+    places = np.flatnonzero(kind)
     gaps = np.diff(np.r_[0, places])
-    extra = [np.arange(p - g + HARD_EVERY, p, HARD_EVERY) for p, g in zip(places[gaps > HARD_EVERY], gaps[gaps > HARD_EVERY])]
-    places = np.union1d(places, np.concatenate(extra)) if extra else places
-    penalties = np.full(len(places), HARD_CUT)
-    penalties[np.isin(places, sentence_ends)] = SENTENCE_CUT
-    penalties[np.isin(places, doc_ends)] = 0.0
-    return places, penalties
+    for p, g in zip(places[gaps > HARD_EVERY].tolist(), gaps[gaps > HARD_EVERY].tolist()):
+        kind[p - g + HARD_EVERY : p : HARD_EVERY] = 1
+    kind[0] = 0
+    places = np.flatnonzero(kind)
+    return places, np.array([0.0, HARD_CUT, SENTENCE_CUT, 0.0])[kind[places]]
 
 
 class Stream:
