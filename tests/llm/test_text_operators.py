@@ -268,6 +268,34 @@ def test_many_small_shards_agree(spark, monkeypatch):
         assert ([(s.start, s.end) for s in r.spans], bytes(r.kept)) == want[r.doc_id]
 
 
+def test_rows_of_marks_grow_no_faster_than_texts(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "ANCHORS_PER_BUCKET", 1_000)
+    monkeypatch.setattr(suffix_dedup, "WINDOWS_PER_BUCKET", 1_000)
+    monkeypatch.setattr(suffix_dedup, "HOMES", 4, raising=False)
+    kept, made = suffix_dedup.saved, {}
+
+    def counted(df, label):
+        out = kept(df, label)
+        if label in ("suffix-settled", "suffix-merged"):
+            made[label] = made.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "saved", counted)
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    stock = ["".join(rng.choice(letters) for _ in range(90)) for _ in range(40)]
+    rows = [(i, "".join(rng.choice(stock) + "".join(rng.choices(letters, k=40)) for _ in range(12))) for i in range(200)]
+    seen = []
+    for n in (40, 200):
+        made.clear()
+        docs = spark.createDataFrame(rows[:n], "doc_id long, text string").repartition(n // 10)
+        want = brute.repeats(rows[:n])
+        for r in suffix_dedup.without_repeats(docs).collect():
+            assert ([(s.start, s.end) for s in r.spans], bytes(r.kept)) == want[r.doc_id]
+        seen.append(sum(made.values()))
+    assert seen[1] <= 6 * seen[0] and seen[1] <= 3 * len(rows)
+
+
 def test_repeats_of_odd_rows(odd_docs, no_docs, texts):
     rows = suffix_dedup.without_repeats(odd_docs, carry=odd_docs.columns).collect()
     assert len(rows) == len(texts) + 3

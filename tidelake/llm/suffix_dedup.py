@@ -12,6 +12,9 @@ the corpus, so shards hold only the stretches of text that can matter:
    give its groups of equal windows and the earliest document of each.
 3. The shards' sorted windows are merged by hash range: each shard's windows are looked up by binary
    search in the merged ones, which tells it of earlier documents in other shards.
+
+What the buckets of steps 1 and 3 find goes back to the documents by home: a fixed number of document
+ranges, so that the rows sent are in proportion to the buckets, however thinly a document is spread over them.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ SHARD_BYTES = 1 << 20
 ANCHORS_PER_BUCKET = 80_000
 WINDOWS_PER_BUCKET = 150_000
 FLUSH = 200_000
+HOMES = 256
+HOME_BYTES = 256 << 20
 
 BASE = np.uint64(0xD6E8FEB86659FD93)
 VALUES = mixed(np.arange(1, 258, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -194,28 +199,61 @@ def shard_windows(segments: Sequence[bytes], length: int) -> tuple[np.ndarray, n
     return segment[kept], kept - (ends - sizes)[segment[kept]], np.cumsum(new) - 1
 
 
-MARK = "doc_id long, th long, kind int, pos binary"
+MARK = "home int, kind int, ids binary, hashes binary, counts binary, pos binary"
+MARK_NAMES = ["home", "kind", "ids", "hashes", "counts", "pos"]
+DOC_MARKS = "doc_id long, th long, marks array<struct<kind:int,pos:binary>>"
 COVERED, OPEN, REPEATED = 0, 1, 2
 
 
-def _marks(docs: np.ndarray, pos: np.ndarray, kind: int, ids: np.ndarray, hashes: np.ndarray):
-    """One row per document with its positions of one kind."""
+def _marks(docs: np.ndarray, pos: np.ndarray, kind: int, ids: np.ndarray, hashes: np.ndarray, homes: int) -> list[tuple]:
+    """One row per home, a range of documents by hash, with their positions of one kind and how many each has.
+
+    Buckets grow in number with the input, so a row per document in each would come to hold a single position.
+    """
     if not len(docs):
         return []
-    order = np.lexsort((pos, docs))
-    docs, pos = docs[order], pos[order].astype(np.uint32)
+    home = (mixed(ids.view(np.uint64) ^ hashes.view(np.uint64)) % np.uint64(homes)).astype(np.int64)[docs]
+    order = np.lexsort((pos, docs, home))
+    docs, pos, home = docs[order], pos[order].astype(np.uint32), home[order]
     start = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]])
-    edges = np.r_[start, len(docs)]
+    own, counts = docs[start], np.diff(np.r_[start, len(docs)]).astype(np.uint32)
+    edges = np.r_[np.flatnonzero(np.r_[True, np.diff(home[start]) != 0]), len(start)].tolist()
+    start = np.r_[start, len(docs)].tolist()
     return [
-        (int(ids[docs[lo]]), int(hashes[docs[lo]]), kind, pos[lo:hi].tobytes())
-        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist())
-    ]
+        (
+            int(home[start[lo]]), kind, ids[own[lo:hi]].tobytes(), hashes[own[lo:hi]].tobytes(),
+            counts[lo:hi].tobytes(), pos[start[lo] : start[hi]].tobytes(),
+        )
+        for lo, hi in zip(edges, edges[1:])
+    ]
 
 
 def _mark_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-    columns = list(zip(*rows)) if rows else [()] * 4
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "th", "kind", "pos"])
+    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
+    columns = list(zip(*rows)) if rows else [()] * 6
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], MARK_NAMES)
+
+
+def _gather(group: pa.Table) -> pa.Table:
+    """One home's marks from all buckets, one row per document."""
+    rows = group.to_pylist()
+    ids, hashes = (np.concatenate([np.frombuffer(r[c], np.int64) for r in rows]) for c in ("ids", "hashes"))
+    counts, pos = (np.concatenate([np.frombuffer(r[c], np.uint32) for r in rows]) for c in ("counts", "pos"))
+    kind = np.repeat([r["kind"] for r in rows], [len(r["ids"]) // 8 for r in rows])
+    counts = counts.astype(np.int64)
+    begin = np.cumsum(counts) - counts
+    order = np.lexsort((kind, hashes, ids))
+    ids, hashes, kind, counts, begin = ids[order], hashes[order], kind[order], counts[order], begin[order]
+    pos = pos[np.repeat(begin - (np.cumsum(counts) - counts), counts) + np.arange(len(pos))]
+    new_doc = np.r_[True, (np.diff(ids) != 0) | (np.diff(hashes) != 0)]
+    start = np.flatnonzero(new_doc | np.r_[True, np.diff(kind) != 0])
+    ends = np.cumsum(counts)[np.r_[start[1:], len(ids)] - 1].tolist()
+    found = pa.array([pos[lo:hi].tobytes() for lo, hi in zip([0, *ends], ends)], pa.binary())
+    first = np.flatnonzero(new_doc)
+    edges = pa.array(np.r_[np.searchsorted(start, first), len(start)].astype(np.int32))
+    marks = pa.StructArray.from_arrays([pa.array(kind[start].astype(np.int32)), found], ["kind", "pos"])
+    columns = [pa.array(ids[first]), pa.array(hashes[first]), pa.ListArray.from_arrays(edges, marks)]
+    return pa.Table.from_arrays(columns, ["doc_id", "th", "marks"])
 
 
 POSTED = "bucket int, key binary, around binary, doc binary, low binary, high binary, ids binary, hashes binary"
@@ -334,35 +372,39 @@ def _scan(length: int, bits: int):
     return run
 
 
-def _settle(group: pa.Table) -> pa.Table:
+def _settle(homes: int):
     """One bucket's anchors: those covered by an earlier document's surroundings, and the open ones."""
-    key, around, doc, pos, ids, hashes, _ = _unpost(group, wide=False)
-    if _is_decided(group):
-        return pa.Table.from_batches([_mark_batch(_marks(doc, pos, COVERED, ids, hashes))])
-    owner = ids[doc]
-    order = np.lexsort((owner, around, key))
-    key, around, doc, pos, owner = key[order], around[order], doc[order], pos[order], owner[order]
-    new_key = np.r_[True, key[1:] != key[:-1]]
-    new_class = new_key | np.r_[True, around[1:] != around[:-1]]
-    starts = np.flatnonzero(new_class)
-    class_of = np.cumsum(new_class) - 1
-    covered = owner > owner[starts][class_of]  # sorted by owner within a class
-    first = np.zeros(len(key), bool)
-    first[starts] = True
-    is_open = np.zeros(len(key), bool)
-    for shift in (0, NEAR_BITS):
-        # Only where the bytes on one side agree too can two documents share a whole window.
-        near = around >> np.uint64(shift) & np.uint64((1 << NEAR_BITS) - 1)
-        order = np.lexsort((near, key))
-        group = np.r_[True, (np.diff(key[order]) != 0) | (np.diff(near[order]) != 0)]
-        begin, of = np.flatnonzero(group), np.cumsum(group) - 1
-        classes = np.bincount(of, weights=first[order], minlength=len(begin))
-        low, high = np.minimum.reduceat(owner[order], begin), np.maximum.reduceat(owner[order], begin)
-        is_open[order] |= ((classes > 1) & (low != high))[of]
-    is_open &= ~covered
-    rows = _marks(doc[covered], pos[covered], COVERED, ids, hashes)
-    rows += _marks(doc[is_open], pos[is_open], OPEN, ids, hashes)
-    return pa.Table.from_batches([_mark_batch(rows)])
+
+    def run(group: pa.Table) -> pa.Table:
+        key, around, doc, pos, ids, hashes, _ = _unpost(group, wide=False)
+        if _is_decided(group):
+            return pa.Table.from_batches([_mark_batch(_marks(doc, pos, COVERED, ids, hashes, homes))])
+        owner = ids[doc]
+        order = np.lexsort((owner, around, key))
+        key, around, doc, pos, owner = key[order], around[order], doc[order], pos[order], owner[order]
+        new_key = np.r_[True, key[1:] != key[:-1]]
+        new_class = new_key | np.r_[True, around[1:] != around[:-1]]
+        starts = np.flatnonzero(new_class)
+        class_of = np.cumsum(new_class) - 1
+        covered = owner > owner[starts][class_of]  # sorted by owner within a class
+        first = np.zeros(len(key), bool)
+        first[starts] = True
+        is_open = np.zeros(len(key), bool)
+        for shift in (0, NEAR_BITS):
+            # Only where the bytes on one side agree too can two documents share a whole window.
+            near = around >> np.uint64(shift) & np.uint64((1 << NEAR_BITS) - 1)
+            order = np.lexsort((near, key))
+            group = np.r_[True, (np.diff(key[order]) != 0) | (np.diff(near[order]) != 0)]
+            begin, of = np.flatnonzero(group), np.cumsum(group) - 1
+            classes = np.bincount(of, weights=first[order], minlength=len(begin))
+            low, high = np.minimum.reduceat(owner[order], begin), np.maximum.reduceat(owner[order], begin)
+            is_open[order] |= ((classes > 1) & (low != high))[of]
+        is_open &= ~covered
+        rows = _marks(doc[covered], pos[covered], COVERED, ids, hashes, homes)
+        rows += _marks(doc[is_open], pos[is_open], OPEN, ids, hashes, homes)
+        return pa.Table.from_batches([_mark_batch(rows)])
+
+    return run
 
 
 def _positions(marks: list[dict], kind: int) -> np.ndarray:
@@ -418,21 +460,24 @@ def _shards(length: int, bits: int):
     return run
 
 
-def _merge(group: pa.Table) -> pa.Table:
+def _merge(homes: int):
     """Windows of one hash range: each shard's are looked up in all shards' merged windows."""
-    key, _, doc, pos, ids, hashes, block = _unpost(group, wide=True)
-    if _is_decided(group):
-        return pa.Table.from_batches([_mark_batch(_marks(doc, pos, REPEATED, ids, hashes))])
-    owner = ids[doc]
-    order = np.lexsort((owner, key))
-    merged, first = np.unique(key[order], return_index=True)
-    earliest = owner[order][first]
-    rows = []
-    edges = np.r_[np.flatnonzero(np.r_[True, np.diff(block) != 0]), len(block)]
-    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
-        found = earliest[np.searchsorted(merged, key[lo:hi])] < owner[lo:hi]
-        rows += _marks(doc[lo:hi][found], pos[lo:hi][found], REPEATED, ids, hashes)
-    return pa.Table.from_batches([_mark_batch(rows)])
+
+    def run(group: pa.Table) -> pa.Table:
+        key, _, doc, pos, ids, hashes, block = _unpost(group, wide=True)
+        if _is_decided(group):
+            return pa.Table.from_batches([_mark_batch(_marks(doc, pos, REPEATED, ids, hashes, homes))])
+        owner = ids[doc]
+        order = np.lexsort((owner, key))
+        merged, first = np.unique(key[order], return_index=True)
+        earliest = owner[order][first]
+        found = np.zeros(len(key), bool)
+        edges = np.r_[np.flatnonzero(np.r_[True, np.diff(block) != 0]), len(block)]
+        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            found[lo:hi] = earliest[np.searchsorted(merged, key[lo:hi])] < owner[lo:hi]
+        return pa.Table.from_batches([_mark_batch(_marks(doc[found], pos[found], REPEATED, ids, hashes, homes))])
+
+    return run
 
 
 def _cut(length: int):
@@ -495,19 +540,20 @@ def without_repeats(docs: DataFrame, length: int = 50, carry: Sequence[str] = ()
     )
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits, wide_bits = (max(0, int(total * 0.065 / most).bit_length()) for most in (ANCHORS_PER_BUCKET, WINDOWS_PER_BUCKET))
+    homes = max(HOMES, total // HOME_BYTES)
     narrow = docs.select("doc_id", "th", "text")
     posted = arrow_map(narrow, _scan(length, bits), POSTED)
-    settled = saved(arrow_groups(posted, ["bucket"], _settle, MARK), "suffix-settled")
+    settled = saved(arrow_groups(posted, ["bucket"], _settle(homes), MARK), "suffix-settled")
 
     def per_doc(marks: DataFrame) -> DataFrame:
-        return marks.groupBy("doc_id", "th").agg(F.collect_list(F.struct("kind", "pos")).alias("marks"))
+        return arrow_groups(marks, ["home"], _gather, DOC_MARKS)
 
-    opened = settled.filter(F.col("kind") == OPEN)
+    opened = saved(per_doc(settled.filter(F.col("kind") == OPEN)), "suffix-opened")
     # Only texts with open anchors move; while these are few, the others are left out before the shuffle.
-    named = saved(opened.select("doc_id", "th").distinct(), "suffix-opened")
+    named = opened.select("doc_id", "th")
     texts = narrow.join(F.broadcast(named), ["doc_id", "th"], "left_semi") if named.count() <= BROADCAST_ROWS else narrow
-    windows = arrow_map(texts.join(per_doc(opened), ["doc_id", "th"]), _shards(length, wide_bits), POSTED)
-    merged = saved(arrow_groups(windows, ["bucket"], _merge, MARK), "suffix-merged")
+    windows = arrow_map(texts.join(opened, ["doc_id", "th"]), _shards(length, wide_bits), POSTED)
+    merged = saved(arrow_groups(windows, ["bucket"], _merge(homes), MARK), "suffix-merged")
     marks = per_doc(settled.filter(F.col("kind") == COVERED).unionByName(merged))
     schema = (
         "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, text string, carried "
